@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,3 +86,19 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, target_rows: int)
         rows = t.num_rows - at
     if rows:
         yield pa.Table.from_batches(held).combine_chunks()
+
+
+def join_labels(comp: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Merge the classes of i and j in place; comp[x] is the smallest index of x's class."""
+    while len(i):
+        a, b = comp[i], comp[j]
+        open_ = a != b
+        if not open_.any():
+            return
+        i, j, a, b = i[open_], j[open_], a[open_], b[open_]
+        np.minimum.at(comp, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            jump = comp[comp]
+            if (jump == comp).all():
+                break
+            comp[:] = jump

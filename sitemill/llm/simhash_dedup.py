@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, whole_groups
+from .common import connected_components, cut, join_labels, whole_groups
 
 RADIUS = 3
 #: Distinct fingerprints that may share a bucket before it is split by further blocks.
@@ -46,22 +46,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return cols.mapInArrow(run, "doc_id long, fp long")
 
 
-def _join_labels(comp: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Merge the classes of i and j in place; comp[x] is the smallest index of x's class."""
-    while len(i):
-        a, b = comp[i], comp[j]
-        open_ = a != b
-        if not open_.any():
-            return
-        i, j, a, b = i[open_], j[open_], a[open_], b[open_]
-        np.minimum.at(comp, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            jump = comp[comp]
-            if (jump == comp).all():
-                break
-            comp[:] = jump
-
-
 def trie_classes(bucket: np.ndarray, fp: np.ndarray, radius: int = RADIUS, chunk: int = PAIRS_AT_ONCE) -> np.ndarray:
     """Classes of fingerprints linked at ``radius`` or fewer bits inside the same bucket.
 
@@ -111,7 +95,7 @@ def trie_classes(bucket: np.ndarray, fp: np.ndarray, radius: int = RADIUS, chunk
         if d == 7:
             ok &= ca != cb
             before = comp.copy() if not merged else None
-            _join_labels(comp, starts[8][ca[ok]], starts[8][cb[ok]])
+            join_labels(comp, starts[8][ca[ok]], starts[8][cb[ok]])
             merged = merged or not (before == comp).all()
         else:
             own = ok & (starts[d + 1][ca] + 1 == np.r_[starts[d + 1], n][ca + 1]) & (ca == cb)
