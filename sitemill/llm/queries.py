@@ -4,20 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import decontaminate, packing, simhash_dedup, substring_dedup, toxicity, vector_dedup
 from .common import table
-from .simhash_dedup import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents: the items found in each, best window first seen."""
+    hits = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "item_id", "start_word", "n_words", "hamming", "similarity")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what is left of its text and the removed spans of the original."""
+    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "text", F.size("removed").alias("n_spans"), gone.alias("n_removed"), "removed")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.flag_toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(table(spark, sf_dir, "documents"))
+    return simhash_dedup.simhash_groups(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op3_decontamination, op5_best_fit_packing, op6_substring_dedup, op8_toxicity, op9_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
