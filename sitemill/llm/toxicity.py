@@ -19,6 +19,8 @@ BITS = 18
 FACTORS = 8
 #: At most so many labelled rows of each class, by the order of a hash of their ids, fit the model.
 SAMPLE_PER_CLASS = 4_000
+#: Features whose log odds ratio between the classes is so many standard errors from zero are learnt.
+SCREEN_Z = 3.0
 
 
 def word_features(word: str, bits: int = BITS) -> list[int]:
@@ -67,19 +69,23 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.raw(np.concatenate(rows), starts), -35, 35)))
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray, prior: float, bits: int = BITS, factors: int = FACTORS, epochs: int = 8, rate: float = 0.05, decay: float = 1e-3, seed: int = 7) -> FactorizationMachine:
+def train(rows: list[np.ndarray], labels: np.ndarray, prior: float, bits: int = BITS, factors: int = FACTORS, epochs: int = 8, rate: float = 0.05, decay: float = 1e-3, seed: int = 7, screen: float = SCREEN_Z) -> FactorizationMachine:
     """AdaGrad on the log loss in small batches; ``prior`` is the share of label 1 outside the sample.
 
-    Features of a single row are noise that no other row can confirm: they keep weight zero.
+    Features that occur alike in both classes keep weight and factors zero: with hundreds of terms
+    a text, unscreened noise terms outweigh the few that matter.
     """
     n = 1 << bits
     rng = np.random.default_rng(seed)
     m = FactorizationMachine(float(np.log(prior / (1 - prior))), np.zeros(n), np.zeros((n, factors)))
     if not len(rows) or labels.min() == labels.max():
         return m
-    seen = np.bincount(np.concatenate(rows), minlength=n)
-    m.v[seen > 1] = rng.normal(0, 0.01, (int((seen > 1).sum()), factors))
-    rows = [r[seen[r] > 1] for r in rows]
+    pos, neg = (np.bincount(np.concatenate([r for r, y in zip(rows, labels, strict=True) if y == c] or [[]]).astype("i8"), minlength=n) + 0.5 for c in (1, 0))
+    n1, n0 = (labels == 1).sum() + 1, (labels == 0).sum() + 1
+    odds = np.log(pos / (n1 - pos)) - np.log(neg / (n0 - neg))
+    kept = np.abs(odds) >= screen * np.sqrt(1 / pos + 1 / (n1 - pos) + 1 / neg + 1 / (n0 - neg))
+    m.v[kept] = rng.normal(0, 0.01, (int(kept.sum()), factors))
+    rows = [r[kept[r]] for r in rows]
     # each class weighs as it does in the whole table
     share = labels.mean()
     weight = np.where(labels == 1, prior / share, (1 - prior) / (1 - share))
