@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, simhash_dedup, substring_dedup, toxicity, vector_dedup
+import corpus_pipeline
+
+from . import decontaminate, html_extract, license_scan, lm_scoring, packing, simhash_dedup, substring_dedup, toxicity, url_filter, vector_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,12 +20,21 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.vector_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_tokens", F.round("log10_score", 4).alias("log10_score"), F.round("mean_log10", 4).alias("mean_log10"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contaminated documents: the items found in each, best window first seen."""
     hits = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "item_id", "start_word", "n_words", "hamming", "similarity")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -35,6 +46,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.size("removed").alias("n_spans"), gone.alias("n_removed"), "removed")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.flag_toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,8 +58,31 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+ALL = (
+    op1_embedding_near_dedup,
+    op2_lm_scoring,
+    op3_decontamination,
+    op4_url_filter,
+    op5_best_fit_packing,
+    op6_substring_dedup,
+    op7_html_extraction,
+    op8_toxicity,
+    op9_simhash_near_dedup,
+    op10_license_scan,
+    pipeline,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op3_decontamination, op5_best_fit_packing, op6_substring_dedup, op8_toxicity, op9_simhash_near_dedup)}
+    return {f.__name__: f for f in ALL}
 
 
 def oracle_sql() -> dict[str, str]:
