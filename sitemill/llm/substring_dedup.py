@@ -29,9 +29,26 @@ def units(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def passages(text: str, min_words: int = MIN_UNIT_WORDS) -> list[tuple[int, int, list[str]]]:
+    """(start, end, lower-case words): units, where short ones of a line are joined to those behind them.
+
+    What is joined depends on the line since its last long unit only, so a repeated passage gives
+    the same units wherever it stands.
+    """
+    out: list[tuple[int, int, list[str]]] = []
+    start, words = 0, []
+    for a, b in units(text):
+        words += text[a:b].lower().split()
+        if len(words) >= min_words or text[b - 1] == "\n":
+            out.append((start, b, words))
+            start, words = b, []
+    if start < len(text):
+        out.append((start, len(text), words))
+    return out
+
+
 def _digests(text: str, min_words: int) -> Iterator[tuple[int, bytes]]:
-    for i, (a, b) in enumerate(units(text)):
-        w = text[a:b].lower().split()
+    for i, (_, _, w) in enumerate(passages(text, min_words)):
         if len(w) >= min_words:
             yield i, xxhash.xxh3_128_digest(" ".join(w).encode("utf-8", "surrogatepass"))
 
@@ -39,11 +56,11 @@ def _digests(text: str, min_words: int) -> Iterator[tuple[int, bytes]]:
 def removed_spans(text: str, repeated: set[int], min_run_words: int = MIN_RUN_WORDS, min_words: int = MIN_UNIT_WORDS) -> list[tuple[int, int]]:
     """Spans to remove: runs of repeated units, with the short units inside a run, of enough words."""
     spans: list[tuple[int, int]] = []
-    parts = units(text)
+    parts = passages(text, min_words)
     start = end = None
     words = held = 0
-    for i, (a, b) in enumerate([*parts, (len(text), len(text))]):
-        n = len(text[a:b].split())
+    for i, (a, b, w) in enumerate([*parts, (len(text), len(text), [])]):
+        n = len(w)
         if i in repeated:
             words, held = (words + held + n, 0) if start is not None else (n, 0)
             start, end = (a if start is None else start), b
