@@ -28,8 +28,9 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 
 
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
-    """For each row the k nearest reference points by angle, nearest first."""
-    return np.argsort(-(unit_rows(x) @ unit_rows(pivots).T), axis=1, kind="stable")[:, :k].astype("i2")
+    """For each row the k nearest reference points by angle, nearest first; -1 where there are fewer."""
+    near = np.argsort(-(unit_rows(x) @ unit_rows(pivots).T), axis=1, kind="stable")[:, :k].astype("i2")
+    return np.pad(near, ((0, 0), (0, k - near.shape[1])), constant_values=-1)
 
 
 def links_in_list(pivot: int, x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray, same: bool, cosine: float, shared: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -40,6 +41,7 @@ def links_in_list(pivot: int, x: np.ndarray, y: np.ndarray, px: np.ndarray, py:
     in the list of its smallest shared pivot only.
     """
     ids = np.unique(np.r_[px.ravel(), py.ravel()])
+    ids = ids[ids >= 0]
     member = lambda p: (p[:, :, None] == ids).any(1).astype("f4")
     x, y = unit_rows(x), unit_rows(y)
     step = max(1, 2_000_000 // max(1, len(y)))
@@ -115,7 +117,7 @@ def vector_groups(
                 )
 
     described = distinct.mapInArrow(describe, "rep long, copies long, x binary, pivots array<smallint>")
-    lists = described.select("*", F.octet_length("x").alias("dim"), F.explode("pivots").alias("pivot"))
+    lists = described.select("*", F.octet_length("x").alias("dim"), F.explode("pivots").alias("pivot")).where("pivot >= 0")
     # a row for each list: bounded by the number of reference points
     lengths = {(r["dim"], r["pivot"]): r["count"] for r in lists.groupBy("dim", "pivot").count().collect()}
     blocks = [(d, p, -(-n // block)) for (d, p), n in lengths.items()]
