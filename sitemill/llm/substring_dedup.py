@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: A unit ends after a line break, or after a sentence mark and the space behind it.
 BOUNDARY = re.compile(r"\n+|[.!?…][\"'»”)\]]*[ \t]+")
-#: Shorter units repeat by chance: they count only between repeated ones.
+#: Shorter units repeat by chance: they go only with a longer one beside them.
 MIN_UNIT_WORDS = 4
 #: Repeated units in a row are removed if they have so many words together.
 MIN_RUN_WORDS = 8
@@ -32,45 +32,45 @@ def units(text: str) -> list[tuple[int, int]]:
 def passages(text: str, min_words: int = MIN_UNIT_WORDS) -> list[tuple[int, int, list[str]]]:
     """(start, end, lower-case words): units, where short ones of a line are joined to those behind them.
 
-    What is joined depends on the line since its last long unit only, so a repeated passage gives
-    the same units wherever it stands.
+    At the end of a line a short one joins the unit before it. What is joined depends on the line
+    since its last long unit only, so a repeated passage gives the same units wherever it stands.
     """
     out: list[tuple[int, int, list[str]]] = []
-    start, words = 0, []
+    start, words, fresh = 0, [], True  # fresh: no unit of this line yet
     for a, b in units(text):
         words += text[a:b].lower().split()
-        if len(words) >= min_words or text[b - 1] == "\n":
+        last = text[b - 1] == "\n" or b == len(text)
+        if len(words) < min_words and last and not fresh:
+            x, _, w = out.pop()
+            out.append((x, b, w + words))
+            start, words = b, []
+        elif len(words) >= min_words or last:
             out.append((start, b, words))
             start, words = b, []
-    if start < len(text):
-        out.append((start, len(text), words))
+        fresh = last or fresh and start != b
     return out
 
 
 def _digests(text: str, min_words: int) -> Iterator[tuple[int, bytes]]:
     for i, (_, _, w) in enumerate(passages(text, min_words)):
-        if len(w) >= min_words:
+        if w:
             yield i, xxhash.xxh3_128_digest(" ".join(w).encode("utf-8", "surrogatepass"))
 
 
 def removed_spans(text: str, repeated: set[int], min_run_words: int = MIN_RUN_WORDS, min_words: int = MIN_UNIT_WORDS) -> list[tuple[int, int]]:
-    """Spans to remove: runs of repeated units, with the short units inside a run, of enough words."""
+    """Spans to remove: runs of repeated units that have enough words and not only short ones."""
     spans: list[tuple[int, int]] = []
-    parts = passages(text, min_words)
     start = end = None
-    words = held = 0
-    for i, (a, b, w) in enumerate([*parts, (len(text), len(text), [])]):
-        n = len(w)
+    words = longest = 0
+    for i, (a, b, w) in enumerate([*passages(text, min_words), (len(text), len(text), [])]):
         if i in repeated:
-            words, held = (words + held + n, 0) if start is not None else (n, 0)
-            start, end = (a if start is None else start), b
+            if start is None:
+                start, words, longest = a, 0, 0
+            end, words, longest = b, words + len(w), max(longest, len(w))
         elif start is not None:
-            if i < len(parts) and n < min_words:
-                held += n
-                continue
-            if words >= min_run_words:
+            if words >= min_run_words and longest >= min_words:
                 spans.append((start, end))
-            start, held = None, 0
+            start = None
     return spans
 
 
