@@ -130,12 +130,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     The bounded sample (ids first in the order of a hash) is the only thing the driver gets: sorted
     feature ids, not texts. Rows without a label, an id or a text take no part; of labels that
-    disagree for one id the larger holds.
+    disagree for one id the larger holds. Without any label every text scores a low prior.
     """
     lab = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     lab = lab.where(fold("id") != 0).groupBy("id").agg(F.max("y").alias("y"))
     counts = {r["y"]: r["count"] for r in lab.groupBy("y").count().collect()}
-    prior = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
+    prior = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 10)
     mixed = F.xxhash64("id", F.lit("fit"))
     pick = None
     for y in (0, 1):
