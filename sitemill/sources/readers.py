@@ -37,7 +37,7 @@ def read_fastq(spark: SparkSession, path: str, strict: bool = True) -> DataFrame
     Plain files are split, gzip files are not. A record without qualities is truncated: an error,
     or with ``strict`` off left out. ``ord`` is the place in the file.
     """
-    lines = numbered_lines(spark, path, FASTQ_GLOB if not path.endswith((".gz", ".fastq", ".fq")) else None)
+    lines = numbered_lines(spark, path, None if "*" in path or path.endswith((".gz", ".fastq", ".fq")) else FASTQ_GLOB)
     part = lambda i: F.max(F.when(F.col("line") % 4 == i, F.col("value")))
     rec = lines.groupBy("path", F.floor(F.col("line") / 4).alias("ord")).agg(part(0).alias("header"), part(1).alias("seq"), part(3).alias("qual"))
     rec = rec.where(F.coalesce(F.col("header"), F.lit("")) != "")
