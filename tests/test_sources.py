@@ -139,9 +139,9 @@ def test_writers(spark, tmp_path):
     assert [(r["header"], r["seq"], r["qual"]) for r in back.collect()] == [("r1#2", "ACGT", "IIII")]
     sums = W.deposit(reads, str(tmp_path / "g")).collect()
     assert len(sums) == 2 and all(len(r["md5"]) == 32 for r in sums)
-    site = spark.createDataFrame([("chr1", 5, 6, "n", 139, "+", 3, 9, 1 / 3, 0.012345, 4e-12)], "chrom string, start long, end long, name string, score long, strand string, signal long, coverage long, fraction double, pvalue double, qvalue double")
+    site = spark.createDataFrame([("chr1", 5, 6, "n", 139, "+", 3, 9, 1 / 3, 0.0123456, 4e-12)], "chrom string, start long, end long, name string, score long, strand string, signal long, coverage long, fraction double, pvalue double, qvalue double")
     W.write_text(W.site_bed_text(site), str(tmp_path / "s"), W.SITE_HEADER)
-    assert [r["value"] for r in spark.read.text(str(tmp_path / "s")).collect()] == [W.SITE_HEADER, "chr1\t5\t6\tn\t139\t+\t3\t9\t0.3333\t1.234e-02\t4.000e-12"]
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "s")).collect()] == [W.SITE_HEADER, "chr1\t5\t6\tn\t139\t+\t3\t9\t0.3333\t1.235e-02\t4.000e-12"]
     assert W.bed_text(site).first()[0] == "chr1\t5\t6\tn\t139\t+"
 
 
