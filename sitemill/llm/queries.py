@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, html_extract, license_scan, lm_scoring, packing, simhash_dedup, substring_dedup, toxicity, url_filter, vector_dedup
+from . import decontaminate, html_extract, license_scan, lm_scoring, oracles, packing, simhash_dedup, substring_dedup, toxicity, url_filter, vector_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,4 +86,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the operators that it can express; the others are tested against brute force."""
+    return oracles.oracle_sql() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

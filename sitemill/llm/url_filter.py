@@ -43,7 +43,7 @@ def rule_columns(host: Column, path: Column, rules: tuple[tuple[str, str], ...]
 def segment_shape(segment: Column) -> Column:
     """A segment with numbers, long hex strings and dates as wildcards; its other characters stay."""
     s = F.regexp_replace(segment, r"\d{4}-\d{2}-\d{2}", "{date}")
-    s = F.regexp_replace(s, r"(?i)\b[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\b|\b(?=[a-f]*\d)[0-9a-f]{12,}\b", "{hex}")
+    s = F.regexp_replace(s, r"\b[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\b|\b[0-9a-fA-F]{12,}\b", "{hex}")
     return F.regexp_replace(s, r"\d+", "{n}")
 
 
@@ -94,7 +94,7 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.sum(F.when(known, F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("label") == "block", F.col("n")).otherwise(0)).alias("bad")
     )
     # siblings: the last fixed segment masked
-    nodes = nodes.withColumn("parent", F.regexp_replace("template", r"[^/{}*]+(?=(/[^/]*[{*][^/]*)*/?$)", "?"))
+    nodes = nodes.withColumn("parent", F.regexp_replace("template", r"^(.*/)?([^/{}*]+)((/[^/]*[{*][^/]*)*/?)$", "$1?$3"))
     family = nodes.where("n > 0").groupBy("host", "parent").agg(F.sum("n").alias("fn"), F.sum("bad").alias("fbad"))
     nodes = nodes.join(family, ["host", "parent"], "left")
     p = F.col("fbad") / F.col("fn")
