@@ -15,8 +15,9 @@ from .common import whole_groups
 
 ORDER = 3
 BACKOFF = 0.4
-#: Tokens of consecutive documents that make a chunk: a worker holds one chunk at a time.
-CHUNK_TOKENS = 1_500_000
+#: Tokens of consecutive documents, at five characters each, that make a chunk: a worker holds one
+#: chunk at a time. Larger chunks send fewer n-grams twice.
+CHUNK_TOKENS = 3_000_000
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -109,11 +110,6 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_TOKENS) -> Iter
         yield task << 24 | seq, Chunk.read(ids, texts)
 
 
-def _unique(k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    u, inverse, n = np.unique(k, return_inverse=True, return_counts=True)
-    return u, inverse, n
-
-
 def backoff_scores(chunk: Chunk, counts: dict[int, np.ndarray], total: int, order: int, exclude_own: bool) -> tuple[np.ndarray, np.ndarray]:
     """Log10 scores summed per document, and token counts; ``counts[n]`` by sorted distinct n-gram.
 
@@ -123,24 +119,31 @@ def backoff_scores(chunk: Chunk, counts: dict[int, np.ndarray], total: int, orde
     """
     n_words = len(chunk.words)
     doc = chunk.owners()
-    other = np.full((order + 1, n_words), -1.0)  # count of the n-gram that ends at each token
-    for n in range(1, order + 1):
+
+    def of_others(n: int) -> np.ndarray:
+        """Corpus count of the n-gram that ends at each token, -1 where the document is too short."""
         k, ends = chunk.keys(n)
-        u, inverse, _ = _unique(k)
+        _, inverse = np.unique(k, return_inverse=True)
+        del k
         c = counts[n][inverse].astype("f8")
         if exclude_own:
-            pair = inverse * (len(chunk.sizes) + 1) + doc[ends]
-            _, own, mine = _unique(pair)
+            _, own, mine = np.unique(inverse * (len(chunk.sizes) + 1) + doc[ends], return_inverse=True, return_counts=True)
             c -= mine[own]
-        other[n, ends] = c
+        out = np.full(n_words, -1.0)
+        out[ends] = c
+        return out
+
+    shorter = of_others(1)
     size = np.maximum(total - (chunk.sizes[doc] if exclude_own else 0), 1).astype("f8")
-    score = np.log10(np.maximum(other[1], 1) / size) + np.log10(BACKOFF) * np.where(other[1] > 0, 0, 1) if n_words else np.zeros(0)
+    score = np.log10(np.maximum(shorter, 1) / size) + np.where(shorter > 0, 0, np.log10(BACKOFF))
     for n in range(2, order + 1):
-        before = np.r_[-1.0, other[n - 1, :-1]] if n_words else np.zeros(0)
-        here = (other[n] > 0) & (before > 0)
-        full = np.log10(np.where(here, other[n], 1)) - np.log10(np.where(here, before, 1))
-        longer = other[n] >= 0  # the document has a word before: a backoff costs
-        score = np.where(here, full, score + np.where(longer, np.log10(BACKOFF), 0))
+        here = of_others(n)
+        context = np.r_[-1.0, shorter[:-1]][:n_words]
+        full = (here > 0) & (context > 0)
+        # a token with a long enough past that is not found there pays for the backoff
+        score += np.where(here >= 0, np.log10(BACKOFF), 0)
+        score[full] = np.log10(here[full]) - np.log10(context[full])
+        shorter = here
     return np.bincount(doc, score, len(chunk.sizes)), chunk.sizes
 
 
@@ -167,7 +170,7 @@ def lm_scores(
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, c in chunks(batches, chunk_tokens):
             for n in range(1, order + 1):
-                u, _, m = _unique(c.keys(n)[0])
+                u, m = np.unique(c.keys(n)[0], return_counts=True)
                 cuts = np.searchsorted(u >> shift, np.arange(parts + 1))
                 rows = [(p, x, y) for p, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
                 blobs = [_pack(np.diff(u[x:y], prepend=np.uint64(0)), m[x:y].astype("u4")) for _, x, y in rows]
