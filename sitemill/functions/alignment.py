@@ -126,3 +126,55 @@ def substitutions(reads: DataFrame, keys: tuple[str, ...] = ("sample", "chrom",
     some = reads.where(may_mismatch(F.col("md")) & F.col("seq").isNotNull()).select(*keys, "cigar", "md", "seq", F.col("start0").cast("long"))
     kinds = ", ".join(f"{k} {reads.schema[k].dataType.simpleString()}" for k in keys)
     return some.mapInArrow(walk, f"{kinds}, pos long, ref string, alt string")
+
+
+def md_tag(cigar: str, seq: str, reference: str) -> tuple[str, int]:
+    """(MD, NM) of a read, from the reference bases that its CIGAR spans."""
+    out, run, edits, r, q = "", 0, 0, 0, 0
+    for n, op in _OPS.findall(cigar):
+        n = int(n)
+        if op in "M=X":
+            for a, b in zip(reference[r : r + n].upper(), seq[q : q + n].upper(), strict=False):
+                if a == b:
+                    run += 1
+                else:
+                    out, run, edits = f"{out}{run}{a}", 0, edits + 1
+            r, q = r + n, q + n
+        elif op == "D":
+            out, run, edits = f"{out}{run}^{reference[r : r + n].upper()}", 0, edits + n
+            r += n
+        elif op == "N":
+            r += n
+        elif op in "IS":
+            q, edits = q + n, edits + (n if op == "I" else 0)
+    return f"{out}{run}", edits
+
+
+def with_md(reads: DataFrame, reference: DataFrame, slice_size: int = 100_000) -> DataFrame:
+    """Adds md and nm to reads, from a reference table (name, seq) of whole sequences.
+
+    Sequences are cut to slices, and a read joins the slices that it touches: the join is keyed by
+    (chrom, slice), no task holds a chromosome, and nothing is broadcast. Reads beyond the reference
+    get nulls. Reads need a unique ord.
+    """
+    n = F.ceil(F.length("seq") / slice_size)
+    cuts = reference.where(F.length("seq") > 0).select(F.col("name").alias("chrom"), "seq", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("slice"))
+    slices = cuts.select("chrom", "slice", F.expr(f"substring(seq, cast(slice * {slice_size} + 1 as int), {slice_size})").alias("bases"))
+    end0 = F.col("start0") + reference_length(F.col("cigar"))
+    wide = reads.select("*", end0.alias("__end"), F.explode(F.sequence(F.floor(F.col("start0") / slice_size), F.floor((end0 - 1) / slice_size))).alias("slice"))
+    part = wide.join(slices, ["chrom", "slice"]).select(
+        "ord", "slice", F.expr(f"substring(bases, cast(greatest(start0 - slice * {slice_size}, 0) + 1 as int), cast(__end - greatest(start0, slice * {slice_size}) as int))").alias("b")
+    )
+    whole = part.groupBy("ord").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("slice", "b"))), lambda x: x["b"]), "").alias("__ref"))
+    old = reads.drop("md", "nm")
+    at = [f.name for f in old.schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(b.column("cigar").to_pylist(), b.column("seq").to_pylist(), b.column("__ref").to_pylist(), strict=True)
+            tags = [(None, None) if r is None or c in (None, "*") else md_tag(c, q or "", r) for c, q, r in rows]
+            cols = [b.column(n) for n in at]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array([t[0] for t in tags], pa.string()), pa.array([t[1] for t in tags], pa.int32())], names=[*at, "md", "nm"])
+
+    schema = old.withColumn("md", F.lit(None).cast("string")).withColumn("nm", F.lit(None).cast("int")).schema
+    return old.join(whole, "ord", "left").select(*at, "__ref").mapInArrow(run, schema)

@@ -108,3 +108,23 @@ def check_eclip(reads: DataFrame, header: str = "header", order: str = "ord", pr
     share = lambda c: F.avg(c.cast("double"))
     facts = head.agg(share(mate == "1").alias("r1"), share(mate == "2").alias("r2"), share(umi != "").alias("with_umi"), F.min_by(F.length(umi), order).alias("umi_length"))
     return facts.select(F.when(F.col("r1") >= 0.95, "R1").when(F.col("r2") >= 0.95, "R2").otherwise("unknown").alias("mate"), (F.col("with_umi") >= 0.95).alias("umi_in_header"), "umi_length")
+
+
+def known_samples(reads: DataFrame) -> DataFrame:
+    """Reads that a barcode claimed."""
+    return reads.where(F.col("sample") != "unknown")
+
+
+def repeat_filter_summary(reads: DataFrame) -> DataFrame:
+    """(sample, total, once, many, kept, percent): reads by how they hit the repeats; kept hit none."""
+    mapped = F.col("flag").bitwiseAND(4) == 0
+    n = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
+    s = reads.groupBy("sample").agg(F.count("*").alias("total"), n(mapped & (F.coalesce("nh", F.lit(1)) <= 1)).alias("once"), n(mapped & (F.col("nh") > 1)).alias("many"), n(~mapped).alias("kept"))
+    return s.withColumn("percent", F.round(100 * (F.col("once") + F.col("many")) / F.col("total"), 2))
+
+
+def index_stats(reads: DataFrame) -> DataFrame:
+    """(sample, ref, mapped, unmapped) by reference, as an index counts them; references without mapped reads are left out."""
+    mapped = F.col("flag").bitwiseAND(4) == 0
+    n = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
+    return reads.where(F.col("chrom") != "*").groupBy("sample", F.col("chrom").alias("ref")).agg(n(mapped).alias("mapped"), n(~mapped).alias("unmapped")).where("mapped > 0")

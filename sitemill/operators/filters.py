@@ -33,6 +33,11 @@ def is_human_standard(chrom: Column) -> Column:
     return chrom.rlike("^(chr)?([1-9]|1[0-9]|2[0-2]|X|Y|M|MT)$")
 
 
+def is_numbered_or_named(chrom: Column) -> Column:
+    """Human chromosomes of the site callers on tags: chr1 to chr22, chrX, chrY, chrM, with or without chr."""
+    return chrom.rlike("^(chr)?([1-9]|1[0-9]|2[0-2]|X|Y|M)$")
+
+
 def canonical_chromosomes(reads: DataFrame, chrom: str = "chrom") -> DataFrame:
     """Numbered, X, Y and mitochondrial chromosomes of any organism, in the naming style at hand.
 

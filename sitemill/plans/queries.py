@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as N
-from ..functions.alignment import cigar_blocks
+from ..functions.alignment import cigar_blocks, with_md
 from ..functions.stats import binom_sf, binom_sf_deep, site_score
 from ..operators import dedup, demux, filters, intervals, matrix, mutations, tracks
 from ..operators import pileup as P
 from ..streaming.batches import windowed_counts
-from . import prep, sites
+from . import prep, sites, tags
 from .views import FASTQ, GROUPS, PEAKS, READS, duck, fastq, groups, peaks, reads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -613,6 +613,47 @@ def valley_peaks(spark: SparkSession, d: str) -> DataFrame:
     return matrix.valley_peaks(intervals.depth_track(r, ["chrom", "strand"]))
 
 
+@query()
+def tag_sites(spark: SparkSession, d: str) -> DataFrame:
+    r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
+    at = lambda n: (F.col("start") + n).alias("pos")
+    cols = ["qname", "chrom", "strand"]
+    m = r.where("has_sub = 1").select(*cols, at(5), F.lit("sub").alias("mut_type")).unionByName(r.where("shape = 'D'").select(*cols, at(8), F.lit("del").alias("mut_type")))
+    out = tags.tag_sites(r, m)
+    return out["del"].select("chrom", "start", "strand", F.lit("del").alias("kind"), "score").unionByName(out["sub"].select("chrom", "start", "strand", F.lit("sub").alias("kind"), "score")).unionByName(
+        out["trunc"].select("chrom", "start", "strand", F.lit("trunc").alias("kind"), "score")
+    )
+
+
+@query(duck(READS) + " SELECT sample, chrom AS ref, count(*) AS mapped, CAST(0 AS BIGINT) AS unmapped FROM reads GROUP BY ALL")
+def index_stats(spark: SparkSession, d: str) -> DataFrame:
+    return demux.index_stats(reads(spark, d))
+
+
+@query(duck(READS) + " SELECT sample, count(*) AS total, CAST(count(*) FILTER (read_id % 3 <> 0 AND nh <= 1) AS BIGINT) AS once, CAST(count(*) FILTER (read_id % 3 <> 0 AND nh > 1) AS BIGINT) AS many, CAST(count(*) FILTER (read_id % 3 = 0) AS BIGINT) AS kept, round(100 * count(*) FILTER (read_id % 3 <> 0) / count(*), 2) AS percent FROM reads GROUP BY sample")
+def repeat_filter_summary(spark: SparkSession, d: str) -> DataFrame:
+    r = reads(spark, d)
+    return demux.repeat_filter_summary(r.withColumn("flag", F.when(F.col("read_id") % 3 == 0, F.col("flag").bitwiseOR(4)).otherwise(F.col("flag"))))
+
+
+@query(duck(FASTQ, DEMUX) + " SELECT sample, count(*) AS n FROM demuxed WHERE sample <> 'unknown' GROUP BY sample")
+def known_samples(spark: SparkSession, d: str) -> DataFrame:
+    return demux.known_samples(demux.demultiplex(fastq(spark, d), _barcodes(spark))).groupBy("sample").agg(F.count("*").alias("n"))
+
+
+@query(duck(READS) + " SELECT qname, ord, CASE WHEN shape = 'D' THEN concat('8^A', CAST(len - 9 AS VARCHAR)) WHEN has_sub = 1 THEN concat('5A', CAST(len - 6 AS VARCHAR)) WHEN shape = 'N' THEN CAST(len - 4 AS VARCHAR) ELSE CAST(len AS VARCHAR) END AS md, CAST(CASE WHEN shape = 'D' OR has_sub = 1 THEN 1 ELSE 0 END AS INT) AS nm FROM reads WHERE end0 <= 25000")
+def recomputed_md(spark: SparkSession, d: str) -> DataFrame:
+    r = reads(spark, d).where("end0 <= 25000").withColumnRenamed("ord", "copy").withColumn("ord", F.struct("qname", "copy"))
+    ref = spark.range(1, 6).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("name"), F.lit("A" * 25_000).alias("seq"))
+    return with_md(r, ref, 1000).select("qname", F.col("copy").alias("ord"), "md", "nm")
+
+
+@query()
+def weighted_collapse(spark: SparkSession, d: str) -> DataFrame:
+    r = filters.unique_reads(reads(spark, d)).withColumn("qname", F.concat("qname", F.lit("#"), (F.col("read_id") % 3 + 1).cast("string")))
+    return dedup.collapse_weighted(r)
+
+
 # --- sets, groups, streams ------------------------------------------------------------------------
 @query(duck(READS) + " SELECT chrom, strand, count(*) AS n, count(DISTINCT sample) AS n_samples FROM (SELECT chrom, strand, sample FROM reads WHERE sample = 'A' UNION ALL SELECT chrom, strand, sample FROM reads WHERE sample <> 'A') GROUP BY ALL")
 def aggregate_union(spark: SparkSession, d: str) -> DataFrame:

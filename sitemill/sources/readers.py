@@ -66,15 +66,15 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def sam_columns(rows: DataFrame) -> DataFrame:
     """Named columns of raw SAM fields f (array of strings), with sample and ord."""
-    f = lambda i: F.col("f")[i]
+    f = lambda i: F.get("f", F.lit(i))  # noqa: E731  header lines may still be here when a filter is pushed down
     tag = lambda name, kind: F.regexp_extract(F.array_join(F.slice("f", 12, 1 << 20), "\t"), rf"(?:^|\t){name}:{kind}:([^\t]*)", 1)
     out = rows.select(
         "sample",
         f(0).alias("qname"),
-        f(1).cast("int").alias("flag"),
+        f(1).try_cast("int").alias("flag"),
         f(2).alias("chrom"),
-        (f(3).cast("long") - 1).alias("start0"),
-        f(4).cast("int").alias("mapq"),
+        (f(3).try_cast("long") - 1).alias("start0"),
+        f(4).try_cast("int").alias("mapq"),
         f(5).alias("cigar"),
         f(9).alias("seq"),
         F.when(tag("NH", "i") != "", tag("NH", "i").cast("int")).alias("nh"),
@@ -209,7 +209,7 @@ def read_bed(spark: SparkSession, path: str) -> DataFrame:
     g = lambda i: F.try_element_at("f", F.lit(i + 1))
     sample = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"(_collapsed)?\.bed(\.gz)?$", "")
     return t.select(
-        sample.alias("sample"), g(0).alias("chrom"), g(1).cast("long").alias("start"), g(2).cast("long").alias("end"), g(3).alias("name"), g(4).try_cast("double").alias("score"), g(5).alias("strand")
+        sample.alias("sample"), g(0).alias("chrom"), g(1).try_cast("long").alias("start"), g(2).try_cast("long").alias("end"), g(3).alias("name"), g(4).try_cast("double").alias("score"), g(5).alias("strand")
     )
 
 
@@ -217,7 +217,7 @@ def read_bedgraph(spark: SparkSession, path: str, strand: str | None = None) ->
     """(sample, strand, chrom, start, end, value); fields between tabs or spaces, track lines left out."""
     t = spark.read.text(path).select(F.split("value", r"[\t ]+").alias("f"), F.col("_metadata.file_path").alias("path")).where(~F.col("value").rlike("^(#|track|browser|$)"))
     sample = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.(bedgraph|bg)$", "")
-    return t.select(sample.alias("sample"), F.lit(strand).alias("strand"), F.col("f")[0].alias("chrom"), F.col("f")[1].cast("long").alias("start"), F.col("f")[2].cast("long").alias("end"), F.col("f")[3].cast("double").alias("value"))
+    return t.select(sample.alias("sample"), F.lit(strand).alias("strand"), F.get("f", F.lit(0)).alias("chrom"), F.get("f", F.lit(1)).try_cast("long").alias("start"), F.get("f", F.lit(2)).try_cast("long").alias("end"), F.get("f", F.lit(3)).try_cast("double").alias("value"))
 
 
 def _tsv(spark: SparkSession, path: str, names: list[str], strict: bool = False) -> DataFrame:
