@@ -10,12 +10,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: A unit ends after a line break, or after a sentence mark and the space behind it.
 BOUNDARY = re.compile(r"\n+|[.!?…][\"'»”)\]]*[ \t]+")
 #: Shorter units repeat by chance: they go only with a longer one beside them.
 MIN_UNIT_WORDS = 4
 #: Repeated units in a row are removed if they have so many words together.
 MIN_RUN_WORDS = 8
+#: So many of the commonest repeated digests are broadcast, about 3 MB.
+TOP_DIGESTS = 50_000
 
 
 def units(text: str) -> list[tuple[int, int]]:
@@ -91,8 +95,9 @@ def substring_dedup(
     and text get the same result; rows of one id and other texts are ranked by place. Other
     columns pass through.
 
-    Only digests that occur twice are joined back; the group side of that join has one row for
-    each digest, so a unit that a third of all rows share is a skewed join that AQE splits.
+    Digests that occur twice are joined back to the units. The commonest ones, a bounded number,
+    are broadcast and their units dealt by row, so a unit that a third of all rows share makes no
+    large task; any other has less than one part in TOP_DIGESTS of the units.
     """
     key = F.col("__id"), F.col("__rid")
     names = [c for c in docs.columns if c != "removed"]
@@ -115,7 +120,13 @@ def substring_dedup(
         explode, "digest binary, __id long, __rid long, unit int"
     )
     first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("__id", "unit")).alias("first")).where("n > 1")
-    again = found.join(first.select("digest", "first"), "digest").where(F.struct("__id", "unit") != F.col("first"))
+    first = cut(first)
+    top = first.orderBy(F.col("n").desc(), "digest").limit(TOP_DIGESTS).select("digest", F.col("first").alias("__top"))
+    # units of the commonest digests need no partner and are dealt by row, the others by digest
+    own = F.encode(F.concat_ws(":", F.hex("digest"), F.col("__id").cast("string"), F.col("unit").cast("string")), "utf-8")
+    dealt = found.join(F.broadcast(top), "digest", "left").withColumn("__at", F.when(F.col("__top").isNull(), F.col("digest")).otherwise(own))
+    dealt = dealt.join(first.select(F.col("digest").alias("__at"), "first"), "__at", "left").withColumn("first", F.coalesce("__top", "first"))
+    again = dealt.where(F.col("first").isNotNull() & (F.struct("__id", "unit") != F.col("first")))
     marks = again.groupBy(*key).agg(F.collect_set("unit").alias("__units"))
     joined = base.join(marks, ["__id", "__rid"], "left")
 

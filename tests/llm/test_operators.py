@@ -323,6 +323,27 @@ def test_substrings(spark):
     assert substring_dedup.substring_dedup(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("top", [1, 50_000])
+def test_substrings_against_brute_force(spark, monkeypatch, top):
+    monkeypatch.setattr(substring_dedup, "TOP_DIGESTS", top)
+    r = random.Random(8)
+    pool = [prose(r.randint(3, 40), 300 + i) for i in range(12)]
+    rows = [(i, "\n".join(r.choice([prose(20, 900 + 7 * i + k), r.choice(pool), "Is on. Is on. Is on."]) for k in range(r.randint(0, 6)))) for i in range(80)]
+    first, n = {}, Counter()
+    for d, t in rows:
+        for u, h in substring_dedup._digests(t, substring_dedup.MIN_UNIT_WORDS):
+            n[h] += 1
+            first.setdefault(h, (d, u))
+    want = {}
+    for d, t in rows:
+        again = {u for u, h in substring_dedup._digests(t, substring_dedup.MIN_UNIT_WORDS) if n[h] > 1 and first[h] != (d, u)}
+        for a, b in reversed(substring_dedup.removed_spans(t, again)):
+            t = t[:a] + t[b:]
+        want[d] = t
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {x["doc_id"]: x["text"] for x in substring_dedup.substring_dedup(df).collect()} == want
+
+
 def test_units_cover_the_text():
     for t in ("a. b c! d\n\ne", "", "x", "One two three four five. Six.\nSeven eight.", 'He said "so." Then left'):
         assert "".join(t[a:b] for a, b in substring_dedup.units(t)) == t
