@@ -19,6 +19,8 @@ SMOOTHING, PRIOR = 4.0, 0.25
 REJECT = 0.5
 #: Branches whose blocked shares differ by fewer standard errors are merged.
 ALIKE_Z = 1.96
+#: A table is broadcast only if it was counted and has no more rows than this.
+BROADCAST_ROWS = 500_000
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -47,26 +49,36 @@ def segment_shape(segment: Column) -> Column:
     return F.regexp_replace(s, r"\d+", "{n}")
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, bool]:
+    """The table, materialised, with a broadcast hint if it has few enough rows; and whether it has."""
+    df = cut(df)
+    small = df.count() <= BROADCAST_ROWS
+    return F.broadcast(df) if small else df, small
+
+
 def path_templates(paths: DataFrame, depth: int = DEPTH, fanout: int = FANOUT) -> DataFrame:
     """Adds template to distinct (host, path, ...) rows: the path with variable segments as wildcards.
 
     Level by level from the host's root, nodes are (host, template so far). A node with more than
     ``fanout`` distinct children of which most occur once has variable children: they become ``*``.
-    Two aggregates a level, no row gathers its node's children.
+    Two aggregates a level, no row gathers its node's children. The table of such nodes is counted:
+    it is broadcast where it is small, so that a host with most of the paths is not dealt to one
+    task; a large one is joined by shuffle.
     """
     parts = F.transform(F.split("path", "/"), segment_shape)
     head = F.slice(parts, 1, depth)
     tail = F.when(F.size(parts) > depth, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    t = paths.withColumn("__seg", F.concat(head, tail)).withColumn("template", F.element_at("__seg", 1))
+    t = cut(paths.withColumn("__seg", F.concat(head, tail)).withColumn("template", F.element_at("__seg", 1)))
     for level in range(2, depth + 1):
         seg = F.try_element_at("__seg", F.lit(level))
         kids = t.where(seg.isNotNull()).groupBy("host", "template", seg.alias("seg")).agg(F.count("*").alias("n"))
         nodes = kids.groupBy("host", "template").agg(F.count("*").alias("kids"), F.sum((F.col("n") <= 2).cast("int")).alias("rare"))
         wild = nodes.where((F.col("kids") > fanout) & (2 * F.col("rare") > F.col("kids"))).select("host", "template", F.lit(True).alias("wild"))
+        wild, small = counted(wild)
         t = t.join(wild, ["host", "template"], "left")
         here = F.when(F.col("wild"), "*").otherwise(seg)
         t = t.withColumn("template", F.when(seg.isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", here))).drop("wild")
-        t = cut(t)
+        t = t if small else cut(t)
     last = F.try_element_at("__seg", F.lit(depth + 1))
     return t.withColumn("template", F.concat_ws("/", "template", last)).drop("__seg")
 
@@ -103,6 +115,7 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     n, bad = F.when(alike, F.col("fn")).otherwise(F.col("n")), F.when(alike, F.col("fbad")).otherwise(F.col("bad"))
     purity = F.round((bad + SMOOTHING * PRIOR) / (n + SMOOTHING), 9).alias("purity")
     nodes = nodes.select("host", "template", purity, F.when(alike, F.col("parent")).otherwise(F.col("template")).alias("merged"))
+    nodes, _ = counted(nodes)
     named = t.select("host", "path", "template").join(nodes, ["host", "template"]).select("host", "path", F.col("merged").alias("template"), "purity")
     out = base.join(named, ["host", "path"])
     own = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
