@@ -18,7 +18,7 @@ BOUNDARY = re.compile(r"\n+|[.!?…][\"'»”)\]]*[ \t]+")
 MIN_UNIT_WORDS = 4
 #: Repeated units in a row are removed if they have so many words together.
 MIN_RUN_WORDS = 8
-#: So many of the commonest repeated digests are broadcast, about 3 MB.
+#: Fewer than so many of the commonest repeated digests are broadcast, 3 MB at most.
 TOP_DIGESTS = 50_000
 
 
@@ -95,9 +95,9 @@ def substring_dedup(
     and text get the same result; rows of one id and other texts are ranked by place. Other
     columns pass through.
 
-    Digests that occur twice are joined back to the units. The commonest ones, a bounded number,
-    are broadcast and their units dealt by row, so a unit that a third of all rows share makes no
-    large task; any other has less than one part in TOP_DIGESTS of the units.
+    Digests that occur twice are joined back to the units. Those with more than one part in
+    TOP_DIGESTS of all repeats, so fewer than that many, are broadcast and their units dealt by row:
+    a unit that a third of all rows share makes no large task.
     """
     key = F.col("__id"), F.col("__rid")
     names = [c for c in docs.columns if c != "removed"]
@@ -121,7 +121,8 @@ def substring_dedup(
     )
     first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("__id", "unit")).alias("first")).where("n > 1")
     first = cut(first)
-    top = first.orderBy(F.col("n").desc(), "digest").limit(TOP_DIGESTS).select("digest", F.col("first").alias("__top"))
+    total = first.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    top = first.where(F.col("n") > total / TOP_DIGESTS).select("digest", F.col("first").alias("__top"))  # fewer than TOP_DIGESTS
     # units of the commonest digests need no partner and are dealt by row, the others by digest
     own = F.encode(F.concat_ws(":", F.hex("digest"), F.col("__id").cast("string"), F.col("unit").cast("string")), "utf-8")
     dealt = found.join(F.broadcast(top), "digest", "left").withColumn("__at", F.when(F.col("__top").isNull(), F.col("digest")).otherwise(own))
