@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +13,11 @@ from pyspark.sql import functions as F
 from .common import connected_components, cut, join_labels, whole_groups
 
 COSINE = 0.9
-#: Nearest reference points that describe a vector, and how many of them two vectors must share.
-PREFIX, SHARED = 6, 2
+#: Nearest reference points that describe a vector, at least and at most, and how many of them two
+#: vectors must share.
+PREFIX, MAX_PREFIX, SHARED = 6, 16, 2
+#: Pairs just at the threshold that must become candidates, as measured on so many made ones.
+RECALL, PROBES = 0.99, 1000
 #: Reference points: one for so many vectors, between the bounds.
 VECTORS_PER_PIVOT, PIVOTS = 400, (64, 2048)
 #: Members of an inverted list that are compared in one task; longer lists are dealt in blocks.
@@ -33,6 +37,45 @@ def nearest_pivots(x: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
     return np.pad(near, ((0, 0), (0, k - near.shape[1])), constant_values=-1)
 
 
+def needed_prefix(some: np.ndarray, pivots: np.ndarray, cosine: float = COSINE, shared: int = SHARED, recall: float = RECALL) -> int:
+    """The shortest prefix at which pairs just at ``cosine`` share ``shared`` points with ``recall``.
+
+    Pairs are made from ``some`` vectors of the table: each is turned by the angle of ``cosine``, once
+    towards others of the table and once in any direction; the worse of both counts.
+    """
+    rng = np.random.default_rng(0)
+    x = unit_rows(np.resize(some, (PROBES, some.shape[1])))
+    points = unit_rows(pivots).T
+    out = shared
+    for way in (x[rng.permutation(len(x))] * rng.choice([-1.0, 1.0], (len(x), 1)), rng.normal(size=x.shape)):
+        way = way - (way * x).sum(1, keepdims=True) * x
+        size = np.sqrt((way * way).sum(1, keepdims=True))
+        ok = size[:, 0] > 1e-6
+        if not ok.any():
+            continue
+        a = x[ok]
+        b = cosine * a + math.sqrt(1 - cosine * cosine) * way[ok] / size[ok]
+        need = []
+        for k in range(0, len(a), 250):
+            ranks = [np.argsort(np.argsort(-(v[k : k + 250] @ points), axis=1, kind="stable"), axis=1) for v in (a, b)]
+            need.append(np.sort(np.maximum(*ranks), axis=1)[:, shared - 1] + 1)
+        need = np.sort(np.concatenate(need))
+        out = max(out, int(need[math.ceil(recall * len(need)) - 1]))
+    return out
+
+
+def reference_points(some: np.ndarray, n: int, cosine: float, prefix: int, shared: int) -> tuple[np.ndarray, int]:
+    """(reference points, prefix): ``n`` of the vectors, or half as many until a prefix of
+    ``MAX_PREFIX`` at most holds the recall. With ``MAX_PREFIX`` points all vectors share them all.
+    """
+    while n > MAX_PREFIX:
+        k = max(prefix, needed_prefix(some[n:], some[:n], cosine, shared))
+        if k <= max(prefix, MAX_PREFIX):
+            return some[:n], k
+        n //= 2
+    return some[:n], n
+
+
 def links_in_list(pivot: int, x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray, same: bool, cosine: float, shared: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i of x, j of y) of one inverted list that link, a few hundred rows at a time.
 
@@ -71,8 +114,9 @@ def vector_groups(
     """vec_id, n_links, component_id, kept: one row for each input row.
 
     Equal vectors are collapsed to their smallest id first, so copies cost nothing. The others are
-    described by their ``prefix`` nearest reference points, a bounded sample of the vectors (2048
-    at most, first in the order of a hash). The inverted list of a point has every vector that
+    described by their nearest reference points, a bounded sample of the vectors (2048 at most,
+    first in the order of a hash). How many is measured on made pairs, ``prefix`` at least, since
+    more points need a longer prefix for the same recall. The inverted list of a point has every vector that
     names it. Vectors of a list that share ``shared`` points are candidates, and every candidate
     is verified in double precision. A list of more than ``block`` vectors is dealt to one task for
     each pair of blocks. Tasks return link counts and a spanning forest, never the pairs.
@@ -90,12 +134,16 @@ def vector_groups(
     sound = (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)
     sound = F.coalesce(sound, F.lit(False)) & F.col("vec_id").isNotNull()
     distinct = cut(base.where(sound).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
-    pivots: dict[int, np.ndarray] = {}
+    pivots: dict[int, tuple[np.ndarray, int]] = {}
     for r in distinct.groupBy(F.size("v").alias("dim")).count().collect():
         n = int(min(max(r["count"] // VECTORS_PER_PIVOT, PIVOTS[0]), PIVOTS[1]))
-        some = distinct.where(F.size("v") == r["dim"]).orderBy(F.xxhash64("v"), "rep").limit(n)
-        pivots[r["dim"]] = np.array([x["v"] for x in some.select("v").collect()], f)
+        # the vectors behind the points are the probes; where there are few, all share all points
+        n = min(n, r["count"] // 2) if r["count"] > PIVOTS[0] else min(r["count"], MAX_PREFIX)
+        some = distinct.where(F.size("v") == r["dim"]).orderBy(F.xxhash64("v"), "rep").limit(n + PROBES)
+        some = np.array([x["v"] for x in some.select("v").collect()], f)
+        pivots[r["dim"]] = reference_points(some, n, cosine, prefix, shared)
     points = spark.sparkContext.broadcast(pivots)
+    width = max((k for _, k in pivots.values()), default=0)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -105,7 +153,8 @@ def vector_groups(
             for dim in np.unique(sizes):
                 rows = np.flatnonzero(sizes == dim)
                 x = flat[starts[rows][:, None] + np.arange(dim)]
-                p = nearest_pivots(x, points.value[int(dim)], prefix)
+                p = nearest_pivots(x, *points.value[int(dim)])
+                p = np.pad(p, ((0, 0), (0, width - p.shape[1])), constant_values=-1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(b.column("rep").to_numpy()[rows]),

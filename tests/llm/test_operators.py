@@ -102,6 +102,28 @@ def test_vectors_against_brute_force(spark):
     assert len(got) == len(rows) + 8
 
 
+def test_vectors_recall_holds_with_many_reference_points(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "VECTORS_PER_PIVOT", 2)  # 2048 points, as for 820,000 vectors
+    rng = np.random.default_rng(1)
+    x, way = rng.normal(size=(2100, 64)), rng.normal(size=(2100, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    way -= (way * x).sum(1, keepdims=True) * x
+    way /= np.linalg.norm(way, axis=1, keepdims=True)
+    y = 0.9001 * x + math.sqrt(1 - 0.9001**2) * way
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.r_[x, y])], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["component_id"] for r in vector_dedup.vector_groups(df).collect()}
+    assert sum(got[i] == got[i + 2100] for i in range(2100)) >= 0.98 * 2100
+
+
+def test_vectors_recall_in_few_dimensions():
+    # on a circle the six nearest of many points span no such angle: fewer points are taken
+    a = np.random.default_rng(2).uniform(0, 2 * math.pi, 3048)
+    points, k = vector_dedup.reference_points(np.stack([np.cos(a), np.sin(a)], 1), 2048, 0.9, 6, 2)
+    t = np.linspace(0, 2 * math.pi, 720)
+    near = [vector_dedup.nearest_pivots(np.stack([np.cos(x), np.sin(x)], 1), points, k) for x in (t, t + math.acos(0.9))]
+    assert np.mean([len(set(p) & set(q)) >= 2 for p, q in zip(*near, strict=True)]) >= 0.95
+
+
 def test_vectors_empty(spark):
     assert vector_dedup.vector_groups(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
