@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -88,9 +89,14 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 
+def word_list(text: str) -> list[str]:
+    """Lower-case words; numbers are alike."""
+    return ["#" if x[0].isdigit() else x for x in WORD.findall(text.lower())]
+
+
 def bigrams(text: str) -> Counter[tuple[str, str]]:
-    """Word bigrams with repeats; numbers are alike; a single word pairs with nothing."""
-    w = ["#" if x[0].isdigit() else x for x in WORD.findall(text.lower())]
+    """Word bigrams with repeats; a single word pairs with nothing."""
+    w = word_list(text)
     return Counter(zip(w, w[1:], strict=False)) if len(w) != 1 else Counter({(w[0], ""): 1})
 
 
@@ -111,40 +117,54 @@ class Scanner:
         for i, (_, b) in enumerate(self.templates):
             for g in b:
                 self.having.setdefault(g, []).append(i)
-        self.words = {w for g in self.having for w in g}
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(name, dice, start, end) of the matches in order, best first where they overlap.
 
-        A coefficient of t needs sizes within t/(2-t) and (2-t)/t of each other. A run starts at a
-        unit that shares a bigram with the template, grows while it is not too large, and is
-        compared once it is not too small.
+        A coefficient of t needs sizes within t/(2-t) and (2-t)/t of each other, and t/(2-t) of the
+        template's bigrams in common. A run starts at a unit with a bigram of the template (one
+        that runs into the next words counts), grows until it is too large, whatever it passes, and is
+        only tried where so many of the template's bigrams stand in reach.
         """
         low, high = self.threshold / (2 - self.threshold), (2 - self.threshold) / self.threshold
         spans = units(text)
-        cache: dict[int, Counter] = {}
-
-        def grams(i: int) -> Counter:
-            if i not in cache:
-                cache[i] = bigrams(text[slice(*spans[i])])
-            return cache[i]
-
+        words: list[str] = []
+        ends = []  # words up to the end of each unit; units end behind white space, so no word crosses
+        for a, b in spans:
+            words += word_list(text[a:b])
+            ends.append(len(words))
+        pairs = list(zip(words, words[1:], strict=False))
+        at: dict[int, list[int]] = {}  # for each template the places of its bigrams
+        for k, g in enumerate(pairs):
+            for t in self.having.get(g, ()):
+                at.setdefault(t, []).append(k)
+        starts = [0, *ends[:-1]]
         found: list[tuple[float, int, int, str]] = []
-        for i in range(len(spans)):
-            near = {t for g in grams(i) if g in self.having for t in self.having[g]}
-            for t in near:
-                size, own = self.sizes[t], self.templates[t][1]
-                j = i
-                while j < len(spans):
-                    # joined as one text, so that bigrams over the units' borders count
-                    run = grams(i) if j == i else bigrams(text[spans[i][0] : spans[j][1]])
-                    if run.total() > size * high:
-                        break
-                    if run.total() >= size * low and (d := dice(run, own)) >= self.threshold:
-                        found.append((round(d, 9), spans[i][0], spans[j][1], self.templates[t][0]))
-                    if j > i and not any(g in own for g in grams(j)):
+        for t, places in at.items():
+            name, own, size = self.templates[t][0], self.templates[t][1], self.sizes[t]
+            least, most = size * low - 1e-9, size * high + 1e-9
+            if len(places) < least:
+                continue
+            for i in sorted({bisect_right(ends, k) for k in places}):
+                p = starts[i]
+                k = bisect_left(places, p)
+                if bisect_left(places, p + most) - k < least:
+                    continue
+                run: Counter[tuple[str, str]] = Counter()
+                common, q = 0, p
+                for j in range(i, len(spans)):
+                    n = ends[j] - 1 - p
+                    if n > most:
                         break
-                    j += 1
+                    for g in pairs[q : ends[j] - 1]:
+                        run[g] += 1
+                        common += run[g] <= own[g]
+                    q = max(q, ends[j] - 1)
+                    if n >= least and n > 0 and (d := 2 * common / (n + size)) >= self.threshold:
+                        found.append((round(d, 9), spans[i][0], spans[j][1], name))
+        for i, (a, b) in enumerate(zip(starts, ends, strict=True)):
+            if b - a == 1:
+                found += [(1.0, *spans[i], self.templates[t][0]) for t in self.having.get((words[a], ""), ())]
         out: list[tuple[str, float, int, int]] = []
         for d, a, b, name in sorted(found, key=lambda x: (-x[0], x[1], x[2], x[3])):
             if all(b <= x or a >= y for _, _, x, y in out):

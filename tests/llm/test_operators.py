@@ -527,3 +527,34 @@ def test_dice_and_size_bounds():
     s = license_scan.Scanner((("T", "one two three four five six"),))
     assert s.scan("one two three four five six") == [("T", 1.0, 0, 27)]
     assert s.scan("one two three") == [] and s.scan("one two three four five six " + "x " * 40) == []
+
+
+def test_runs_pass_units_without_words_of_the_template():
+    bsd, mit = (next(t for n, t in license_scan.TEMPLATES if n == name and len(t) > 200) for name in ("BSD", "MIT"))
+    a, b, c = re.split(r" (?=Redistributions )", bsd)
+    numbered = f"Copyright 2020 someone.\n\n{a}\n\n1. {b}\n2. {c}\n\nint main;\n"
+    paragraphs = re.split(r"(?<=[.:]) (?=The above|THE SOFTWARE|to deal)", mit)
+    commented = "/*\n" + "".join(" * " + "\n * ".join(re.findall(r".{1,70}(?: |$)", x)) + "\n *\n" for x in paragraphs) + " */\nint main;\n"
+    s = license_scan.Scanner()
+    for name, text in (("BSD", numbered), ("MIT", commented)):
+        hits = s.scan(text)
+        assert [h[0] for h in hits] == [name] and hits[0][1] > 0.9
+        assert "int main" not in text[slice(*hits[0][2:])]
+
+
+def test_runs_against_brute_force():
+    r = random.Random(11)
+    templates = (("A", "a b c d e f g h"), ("B", "c d e a b"), ("C", "h"), ("D", "b 1 c"))
+    s = license_scan.Scanner(templates)
+    for _ in range(400):
+        text = "".join(r.choice(["a", "b c", "a b c", "d e", "f g h", "h", "1.", "*", "x y", "e a b"]) + r.choice(["\n", ". ", " "]) for _ in range(r.randint(1, 9)))
+        spans, found = substring_dedup.units(text), []
+        for i in range(len(spans)):
+            for j in range(i, len(spans)):
+                for name, t in templates:
+                    d = license_scan.dice(license_scan.bigrams(text[spans[i][0] : spans[j][1]]), license_scan.bigrams(t))
+                    if d >= license_scan.DICE:
+                        found.append((round(d, 9), spans[i][0], spans[j][1], name))
+        best = min(found, key=lambda x: (-x[0], x[2] - x[1]), default=None)
+        got = s.scan(text)
+        assert bool(got) == bool(best) and (not best or max(h[1] for h in got) == best[0]), text
