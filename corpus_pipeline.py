@@ -11,6 +11,8 @@ from sitemill.llm.common import cut, table
 
 #: Documents that score this or more are rejected.
 TOXIC = 0.5
+#: Documents whose five-word shingles are so similar are near-duplicates.
+SIMILARITY = 0.8
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -21,8 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each SimHash group, the one with the smallest id."""
-    return simhash_dedup.keep_one(docs)
+    """Keeps one document of each group, by SimHash or five-word Jaccard: the one with the smallest id."""
+    return simhash_dedup.keep_one(docs, jaccard=SIMILARITY)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -18,6 +19,8 @@ RADIUS = 3
 HOT_BUCKET = 50_000
 #: Node pairs that the traversal expands at once.
 PAIRS_AT_ONCE = 2_000_000
+#: One document of so many is sampled; shingles in so many of the sample, these at most, come last.
+SAMPLE, COMMON_IN_SAMPLE, TOP_SHINGLES = 16, 4, 50_000
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -182,12 +185,127 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return fps.join(named, "fp", "left").select("doc_id", hexed, "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
+def shingle_set(text: str | None, shingle: int = 5) -> np.ndarray:
+    """The distinct shingles of a whole text as sorted hashes; none if it has no words."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    k = min(shingle, len(w))
+    grams = map(b" ".join, zip(*(w[i:] for i in range(k)), strict=False))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams), "<u8", len(w) - k + 1 if w else 0))
+
+
+def candidate_pairs(token: np.ndarray, comp: np.ndarray, n: np.ndarray, similarity: float, chunk: int = PAIRS_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of rows of one token (sorted) whose sizes allow the similarity and that aren't linked yet."""
+    later = np.searchsorted(token, token, "right") - np.arange(len(token)) - 1
+    total = np.cumsum(later)
+    at = 0
+    while at < len(token):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + chunk, "right")))
+        i = np.repeat(np.arange(at, to), later[at:to])
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later[at:to]) - later[at:to], later[at:to])
+        at = to
+        ok = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9)
+        if ok.any():
+            yield i[ok], j[ok]
+
+
+def jaccard_edges(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(src, dst): links by the Jaccard similarity of shingle sets, exact, beyond those of ``groups``.
+
+    ``groups`` (doc_id, component_id) are links known already; with them the edges have the
+    components of all pairs at ``similarity`` or more. Equal sets are collapsed. All sets are
+    ordered alike, the commonest shingles of a sample last; two sets of that similarity share one of
+    the first n - ceil(similarity n) + 1 shingles. They share no more than they share of those and
+    the rest of the one whose first shingles end earlier; pairs for which that could be enough
+    are verified on whole sets. The sample makes lists short; it has no part in the result.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column(1).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, shingle).view("i8"))], names=["h"])
+
+    some = base.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).mapInArrow(shingles, "h long")
+    common = some.groupBy("h").count().where(F.col("count") >= COMMON_IN_SAMPLE).orderBy(F.desc("count"), "h").limit(TOP_SHINGLES).select("h").collect()
+    top = np.array([r["h"] for r in common], "i8").view("u8")
+    order = np.argsort(top)
+    ranks = base.sparkSession.sparkContext.broadcast((top[order], (len(top) - order).astype("i8")))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, late = ranks.value
+        for b in batches:
+            rows = []
+            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                x = shingle_set(t, shingle)
+                if not len(x):
+                    continue
+                key = xxhash.xxh3_128_digest(x.tobytes())
+                rank = np.zeros(len(x), "i8")
+                if len(hot):
+                    k = np.minimum(np.searchsorted(hot, x), len(hot) - 1)
+                    rank = np.where(hot[k] == x, late[k], 0)
+                first = len(x) - math.ceil(similarity * len(x) - 1e-9) + 1
+                rows.append((d, key, len(x), x[np.lexsort((x, rank))[:first]].view("i8")))
+            cols = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "key", "n", "prefix"])
+
+    described = cut(base.mapInArrow(prefixes, "doc_id long, key binary, n int, prefix array<long>"))
+    known = groups.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("comp"))
+    reps = described.groupBy("key").agg(F.min("doc_id").alias("rep"))
+    equal = described.join(reps, "key").where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
+    rows = described.join(reps, "key").where("doc_id = rep").dropDuplicates(["key"]).join(known, "doc_id")
+    rows = rows.select("doc_id", "comp", "n", F.explode("prefix").alias("token"))
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "token", 100_000):
+            token, rep, comp, n = (t.column(c).to_numpy() for c in ("token", "doc_id", "comp", "n"))
+            rest = np.ceil(similarity * n - 1e-9) - 1  # behind the first shingles
+            for i, j in candidate_pairs(token, comp, n, similarity):
+                least = similarity / (1 + similarity) * (n[i] + n[j]) - np.maximum(rest[i], rest[j]) - 1e-9
+                p = np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])])
+                p, first, times = np.unique(p, axis=1, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(p[0]), pa.array(p[1]), pa.array(times), pa.array(least[first])], names=["src", "dst", "n", "least"])
+
+    found = rows.repartition("token").sortWithinPartitions("token").mapInArrow(pairs, "src long, dst long, n long, least double")
+    found = found.groupBy("src", "dst").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+    found = cut(found.where("n >= least").select("src", "dst"))
+    ends = found.select(F.col("src").alias("doc_id")).union(found.select(F.col("dst").alias("doc_id"))).distinct()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = pa.array([shingle_set(t, shingle).tobytes() for t in b.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), x], names=["doc_id", "x"])
+
+    whole = cut(base.join(ends, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, x binary"))
+    both = found.join(whole.select(F.col("doc_id").alias("src"), F.col("x").alias("a")), "src").join(whole.select(F.col("doc_id").alias("dst"), F.col("x").alias("b")), "dst")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            ok = []
+            for a, b in zip(t.column(2), t.column(3), strict=True):
+                a, b = (np.frombuffer(v.as_py(), "<u8") for v in (a, b))
+                same = len(np.intersect1d(a, b, assume_unique=True))
+                ok.append(same >= similarity * (len(a) + len(b) - same) - 1e-9)
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["src", "dst"]).filter(pa.array(ok, pa.bool_()))
+
+    return both.select("src", "dst", "a", "b").mapInArrow(verify, "src long, dst long").unionByName(equal)
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS, jaccard: float | None = None
+) -> DataFrame:
     """The documents without near-duplicates: of each group the one with the smallest id stays, once.
 
-    Documents without an id are kept as they are.
+    With ``jaccard``, documents whose five-word shingles are so similar link too, whatever their
+    fingerprints. Documents without an id are kept as they are.
     """
     groups = simhash_groups(docs, id_col, text_col, shingle, radius)
+    if jaccard is not None:
+        groups = cut(groups.select("doc_id", "component_id"))
+        links = groups.where("doc_id is not null").select(F.col("doc_id").alias("src"), F.col("component_id").alias("dst"))
+        roots = connected_components(links.unionByName(jaccard_edges(docs, groups, id_col, text_col, similarity=jaccard)))
+        groups = roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
     out = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
     rest = docs.join(out, id_col, "left_anti")
     return rest.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(rest.where(F.col(id_col).isNull()))

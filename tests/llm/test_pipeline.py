@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from sitemill.llm import simhash_dedup
-from tests.llm.test_operators import prose
+from tests.llm.test_operators import components, prose
 
 
 @pytest.fixture(scope="module")
@@ -57,6 +57,28 @@ def test_stages(spark, data, tmp_path):
     assert set(left[4]) == set(left[3])
 
 
+@pytest.mark.parametrize("sample,common", [(16, 4), (1, 2)])
+def test_near_copies_by_five_word_jaccard(spark, monkeypatch, sample, common):
+    monkeypatch.setattr(simhash_dedup, "SAMPLE", sample)
+    monkeypatch.setattr(simhash_dedup, "COMMON_IN_SAMPLE", common)
+    r = random.Random(3)
+    docs = {}
+    for i in range(40):
+        words = prose(r.choice([6, 30, 120]), 3000 + i).split()
+        for k in range(5):
+            w = list(words)
+            for _ in range(k if len(w) > 20 else k % 2):
+                w[r.randrange(len(w))] = "edit"
+            docs[10 * i + k] = " ".join(w)
+    sets = {d: {tuple(t.lower().split()[a : a + 5]) for a in range(max(1, len(t.split()) - 4))} for d, t in docs.items()}
+    links = [(a, b) for a in docs for b in docs if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    df = spark.createDataFrame([*docs.items(), (900, None), (901, "")], "doc_id long, text string")
+    hamming = [(x["doc_id"], x["component_id"]) for x in simhash_dedup.simhash_groups(df).collect()]
+    root = components([*docs, 900, 901], [*links, *hamming])
+    assert len(set(root.values())) < len({c for _, c in hamming})
+    assert {x["doc_id"] for x in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()} == set(root.values())
+
+
 def test_run(spark, data):
     d, texts, toxic, _ = data
     out = corpus_pipeline.run(spark, d).collect()
