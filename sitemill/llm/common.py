@@ -21,32 +21,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the cluster's shared checkpoint folder and cut its lineage there.
 
-    The folder is ``spark.checkpoint.dir`` of the session; only where that is unset (tests on
-    one machine) a temporary one is made. Never localCheckpoint: a lost executor loses nothing.
+    The folder is ``spark.checkpoint.dir`` of the session. Where that is unset, a local session
+    (tests on one machine) gets a temporary one; on a cluster that is an error, since executors
+    would write to disks that the others can't read. Never localCheckpoint: a lost executor loses
+    nothing.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint"))
     return df.checkpoint(eager=True)
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 50) -> DataFrame:
+#: Edge tables of at most so many rows (16 bytes each) are contracted in one task.
+SMALL_EDGES = 1_000_000
+
+
+def _roots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of an edge table of bounded size."""
+    got = list(batches)
+    if not got:
+        return
+    u, v = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in (0, 1))
+    node, at = np.unique(np.r_[u, v], return_inverse=True)
+    comp = np.arange(len(node))
+    join_labels(comp, at[: len(u)], at[len(u) :])
+    for k in range(0, len(node), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(node[k : k + 100_000]), pa.array(node[comp[k : k + 100_000]])], names=["node", "root"])
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 50, small: int = SMALL_EDGES) -> DataFrame:
     """Smallest reachable id for each node of an undirected edge table: columns node, root.
 
-    Alternating large-star and small-star contraction. Each round is a partial aggregate (the
-    smallest neighbour, so a hub is one row per task) and a join on the node, which AQE may split
-    when it is skewed; no neighbour list is ever gathered. Rounds are cut by checkpoints and end
-    when the edge set no longer changes. Self-loops and null ends are ignored; no edges give an
-    empty table.
+    A table that counts ``small`` edges at most is contracted in one task. A larger one takes
+    alternating large-star and small-star rounds: each is a partial aggregate (the smallest
+    neighbour, so a hub is one row per task) and a join on the node, which AQE may split when it is
+    skewed; no neighbour list is ever gathered. Rounds are cut by checkpoints and end when the edge
+    set no longer changes. Both ways give the same rows. Self-loops and null ends are ignored; no
+    edges give an empty table.
     """
-    a, b = F.col(src), F.col(dst)
-    e = edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
+    a, b = F.col(src).cast("long"), F.col(dst).cast("long")
+    e = edges.where(F.col(src) != F.col(dst)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     e = cut(e)
+    if e.count() <= small:
+        return e.coalesce(1).mapInArrow(_roots_of, "node long, root long")
     sign = None
     for _ in range(max_rounds):
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if not now["n"] or (now["n"], now["h"]) == sign:
+        if (now["n"], now["h"]) == sign:
             break
         sign = (now["n"], now["h"])
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -54,9 +79,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         big = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         big = big.where(F.col("u") != F.col("v")).distinct()
         low = big.groupBy("u").agg(F.min("v").alias("m"))
-        small = big.join(low, "u")
-        e = small.select("u", F.col("m").alias("v")).union(
-            small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        rest = big.join(low, "u")
+        e = rest.select("u", F.col("m").alias("v")).union(
+            rest.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         e = cut(e.distinct())
     else:

@@ -9,7 +9,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, cut, join_labels, whole_groups
@@ -21,6 +21,14 @@ HOT_BUCKET = 50_000
 PAIRS_AT_ONCE = 2_000_000
 #: One document of so many is sampled; shingles in so many of the sample, these at most, come last.
 SAMPLE, COMMON_IN_SAMPLE, TOP_SHINGLES = 16, 4, 50_000
+#: Jaccard similarity of five-word shingles at which documents are near-duplicates.
+SIMILARITY = 0.8
+#: Bits of a parity map at least.
+PARITY_BITS = 512
+#: Members of a shingle's list that are compared in one task; longer lists are dealt in blocks.
+LIST_BLOCK = 4096
+#: A table is broadcast only if it was counted and has no more rows than this.
+BROADCAST_ROWS = 300_000
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -193,92 +201,132 @@ def shingle_set(text: str | None, shingle: int = 5) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams), "<u8", len(w) - k + 1 if w else 0))
 
 
-def candidate_pairs(token: np.ndarray, comp: np.ndarray, n: np.ndarray, similarity: float, chunk: int = PAIRS_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of rows of one token (sorted) whose sizes allow the similarity and that aren't linked yet."""
-    later = np.searchsorted(token, token, "right") - np.arange(len(token)) - 1
-    total = np.cumsum(later)
-    at = 0
-    while at < len(token):
-        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + chunk, "right")))
-        i = np.repeat(np.arange(at, to), later[at:to])
-        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later[at:to]) - later[at:to], later[at:to])
-        at = to
-        ok = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9)
-        if ok.any():
-            yield i[ok], j[ok]
-
-
-def jaccard_edges(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(src, dst): links by the Jaccard similarity of shingle sets, exact, beyond those of ``groups``.
-
-    ``groups`` (doc_id, component_id) are links known already; with them the edges have the
-    components of all pairs at ``similarity`` or more. Equal sets are collapsed. All sets are
-    ordered alike, the commonest shingles of a sample last; two sets of that similarity share one of
-    the first n - ceil(similarity n) + 1 shingles. They share no more than they share of those and
-    the rest of the one whose first shingles end earlier; pairs for which that could be enough
-    are verified on whole sets. The sample makes lists short; it has no part in the result.
+def parity_map(x: np.ndarray) -> bytes:
+    """For each residue of the hashes whether an odd number of them has it; about a bit a hash.
+
+    Two maps differ in no more bits than the sets have elements of their own, so that the
+    differing bits bound the similarity from above. Sizes are powers of two: a larger map folds
+    to a smaller one by exclusive or of its halves, under which the bound still holds.
+    """
+    bits = max(PARITY_BITS, 1 << max(0, len(x) - 1).bit_length())
+    odd = np.bincount((x % np.uint64(bits)).astype("i8"), minlength=bits) & 1
+    return np.packbits(odd.astype("u1"), bitorder="little").tobytes()
+
+
+def likely_pairs(
+    n: np.ndarray, maps: list[bytes], comp: np.ndarray, left: np.ndarray, right: np.ndarray | None, similarity: float, spanning: bool
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of one list in different classes whose sizes and parity maps allow the similarity.
+
+    Pairs of ``left`` with ``right``, or inside ``left`` where that is None. With ``spanning`` only a
+    forest that connects whatever those pairs connect.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
+    size = np.array([len(m) for m in maps])
+    cls, times = np.unique(comp, return_inverse=True, return_counts=True)[1:]
+    group = np.arange(len(times))
+
+    def load(at: np.ndarray, bytes_: int) -> np.ndarray:
+        """Maps of the rows, folded to one size."""
+        out = np.empty((len(at), bytes_ // 8), "u8")
+        for k, i in enumerate(at):
+            m = np.frombuffer(maps[i], "<u8")
+            out[k] = m if len(maps[i]) == bytes_ else m[: len(m) // 2] ^ m[len(m) // 2 :]
+        return out
+
+    for s in np.unique(size):
+        of = lambda at, k, s=s: at[size[at] == k * s]
+        if right is None:
+            own = of(left, 1)
+            own = own[np.lexsort((own, cls[own], times[cls[own]]))]  # the largest class last
+            todo = [(own, own, True), (own, of(left, 2), False)]
+        else:
+            todo = [(of(left, 1), np.r_[of(right, 1), of(right, 2)], False), (of(right, 1), of(left, 2), False)]
+        for rows, others, ordered in todo:
+            x, y = load(rows, int(s)), load(others, int(s))
+            step = max(1, 4_000_000 // max(1, y.size))
+            for at in range(0, len(rows), step):
+                i = rows[at : at + step]
+                cols = np.arange(at if ordered else 0, len(others))
+                mine = group[cls[i]]
+                if (mine == mine[0]).all():
+                    cols = cols[group[cls[others[cols]]] != mine[0]]
+                j = others[cols]
+                differ = np.bitwise_count(x[at : at + step, None] ^ y[cols]).sum(2, dtype="i8") if len(j) else np.zeros((len(i), 0), "i8")
+                total = n[i][:, None] + n[j]
+                need = np.ceil(similarity / (1 + similarity) * total - 1e-9)
+                ok = (total - differ >= 2 * need) & (np.minimum(n[i][:, None], n[j]) >= need) & (mine[:, None] != group[cls[j]])
+                if ordered:
+                    ok &= cols > at + np.arange(len(i))[:, None]
+                a, b = np.nonzero(ok)
+                a, b = i[a], j[b]
+                while spanning and len(a):
+                    lo, hi = np.minimum(group[cls[a]], group[cls[b]]), np.maximum(group[cls[a]], group[cls[b]])
+                    pick = np.unique(hi, return_index=True)[1]
+                    yield a[pick], b[pick]
+                    join_labels(group, lo[pick], hi[pick])
+                    apart = group[cls[a]] != group[cls[b]]
+                    a, b = a[apart], b[apart]
+                if len(a):
+                    yield a, b
+
+
+def described(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, rid, fp, key, n, prefix, bits of each row: all that the links are found by.
+
+    ``rid`` is a hash of the text, ``key`` one of its shingle set, ``prefix`` the first
+    n - ceil(similarity n) + 1 shingles in an order that all rows share: two sets of that similarity
+    have one of these in common. The commonest shingles of a sample come last, which makes lists
+    short and has no part in the result.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("rid"), F.col(text_col).cast("string").alias("text"))
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b.column(1).to_pylist():
+            for t in b.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, shingle).view("i8"))], names=["h"])
 
-    some = base.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).mapInArrow(shingles, "h long")
+    some = base.where(F.pmod(F.col("rid"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(shingles, "h long")
     common = some.groupBy("h").count().where(F.col("count") >= COMMON_IN_SAMPLE).orderBy(F.desc("count"), "h").limit(TOP_SHINGLES).select("h").collect()
     top = np.array([r["h"] for r in common], "i8").view("u8")
     order = np.argsort(top)
-    ranks = base.sparkSession.sparkContext.broadcast((top[order], (len(top) - order).astype("i8")))
+    hot, late = top[order], (len(top) - order).astype("i4")
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, late = ranks.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for t in b.column(2).to_pylist():
                 x = shingle_set(t, shingle)
-                if not len(x):
-                    continue
-                key = xxhash.xxh3_128_digest(x.tobytes())
-                rank = np.zeros(len(x), "i8")
+                rank = np.zeros(len(x), "i4")
                 if len(hot):
                     k = np.minimum(np.searchsorted(hot, x), len(hot) - 1)
                     rank = np.where(hot[k] == x, late[k], 0)
                 first = len(x) - math.ceil(similarity * len(x) - 1e-9) + 1
-                rows.append((d, key, len(x), x[np.lexsort((x, rank))[:first]].view("i8")))
-            cols = list(zip(*rows, strict=True)) or [()] * 4
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "key", "n", "prefix"])
-
-    described = cut(base.mapInArrow(prefixes, "doc_id long, key binary, n int, prefix array<long>"))
-    known = groups.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("comp"))
-    reps = described.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    equal = described.join(reps, "key").where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
-    rows = described.join(reps, "key").where("doc_id = rep").dropDuplicates(["key"]).join(known, "doc_id")
-    rows = rows.select("doc_id", "comp", "n", F.explode("prefix").alias("token"))
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, "token", 100_000):
-            token, rep, comp, n = (t.column(c).to_numpy() for c in ("token", "doc_id", "comp", "n"))
-            rest = np.ceil(similarity * n - 1e-9) - 1  # behind the first shingles
-            for i, j in candidate_pairs(token, comp, n, similarity):
-                least = similarity / (1 + similarity) * (n[i] + n[j]) - np.maximum(rest[i], rest[j]) - 1e-9
-                p = np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])])
-                p, first, times = np.unique(p, axis=1, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(p[0]), pa.array(p[1]), pa.array(times), pa.array(least[first])], names=["src", "dst", "n", "least"])
-
-    found = rows.repartition("token").sortWithinPartitions("token").mapInArrow(pairs, "src long, dst long, n long, least double")
-    found = found.groupBy("src", "dst").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
-    found = cut(found.where("n >= least").select("src", "dst"))
-    ends = found.select(F.col("src").alias("doc_id")).union(found.select(F.col("dst").alias("doc_id"))).distinct()
+                prefix = x[np.lexsort((x, rank))[:first]].view("i8")
+                fp = np.array([fingerprint(t, shingle)], "u8").view("i8")[0]
+                rows.append((int(fp), xxhash.xxh3_128_digest(x.tobytes()), len(x), prefix, parity_map(x)))
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary())
+            out = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *out], names=["doc_id", "rid", "fp", "key", "n", "prefix", "bits"])
+
+    return base.mapInArrow(run, "doc_id long, rid long, fp long, key binary, n int, prefix array<long>, bits binary")
+
+
+def verified(edges: DataFrame, atoms: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """The candidate (src, dst) whose whole shingle sets have the Jaccard similarity."""
+    edges = cut(edges.distinct())
+    ends = edges.select(F.col("src").alias("atom")).union(edges.select(F.col("dst").alias("atom"))).distinct()
+    ends = cut(ends.join(atoms.select("atom", "at"), "atom").select("atom", F.col("at.id").alias("id"), F.col("at.rid").alias("rid")))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("rid"), F.col(text_col).cast("string").alias("text"))
+    few = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
+    texts = base.join(few, (base["rid"] == ends["rid"]) & base["doc_id"].eqNullSafe(ends["id"])).select("atom", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = pa.array([shingle_set(t, shingle).tobytes() for t in b.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), x], names=["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), x], names=["atom", "x"])
 
-    whole = cut(base.join(ends, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, x binary"))
-    both = found.join(whole.select(F.col("doc_id").alias("src"), F.col("x").alias("a")), "src").join(whole.select(F.col("doc_id").alias("dst"), F.col("x").alias("b")), "dst")
+    whole = cut(texts.mapInArrow(sets, "atom long, x binary").groupBy("atom").agg(F.first("x").alias("x")))  # rows of one atom have one set
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -289,23 +337,89 @@ def jaccard_edges(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", te
                 ok.append(same >= similarity * (len(a) + len(b) - same) - 1e-9)
             yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["src", "dst"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("src", "dst", "a", "b").mapInArrow(verify, "src long, dst long").unionByName(equal)
+    both = edges.join(whole.select(F.col("atom").alias("src"), F.col("x").alias("a")), "src").join(whole.select(F.col("atom").alias("dst"), F.col("x").alias("b")), "dst")
+    return cut(both.select("src", "dst", "a", "b").mapInArrow(verify, "src long, dst long"))
+
 
+def token_lists(atoms: DataFrame, block: int) -> DataFrame:
+    """token, lo, hi, own, atom: each list of a shared first shingle, long ones as pairs of blocks."""
+    rows = atoms.select("atom", F.explode("prefix").alias("token"))
+    rows = rows.join(rows.groupBy("token").agg(F.count("*").alias("members")).where("members > 1"), "token")
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    rows = rows.select("atom", "token", F.pmod(F.xxhash64("atom"), blocks).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    return cut(rows.select("token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "atom"))
 
-def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS, jaccard: float | None = None
+
+def list_edges(lists: DataFrame, atoms: DataFrame, comps: DataFrame | None, similarity: float, spanning: bool) -> DataFrame:
+    """(src, dst): candidates inside the lists, of different classes of ``comps`` (atom, comp)."""
+    some = atoms.select("atom", "n", "bits")
+    some = some.withColumn("comp", F.col("atom")) if comps is None else some.join(comps, "atom", "left").withColumn("comp", F.coalesce("comp", "atom"))
+    rows = lists.join(some, "atom").withColumn("key", F.xxhash64("token", "lo", "hi"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "key", 20_000):
+            cols = {c: t.column(c).to_numpy() for c in ("token", "lo", "hi", "own", "atom", "n", "comp")}
+            tag = np.stack([cols[c].astype("i8") for c in ("token", "lo", "hi")])
+            cuts = np.r_[0, np.flatnonzero((tag[:, 1:] != tag[:, :-1]).any(0)) + 1, t.num_rows]
+            bits = t.column("bits")
+            for s, e in zip(cuts, cuts[1:], strict=False):
+                comp = cols["comp"][s:e]
+                if (comp == comp[0]).all():
+                    continue
+                maps, n, own = bits.slice(s, e - s).to_pylist(), cols["n"][s:e].astype("i8"), cols["own"][s:e]
+                same = cols["lo"][s] == cols["hi"][s]
+                left = np.arange(e - s) if same else np.flatnonzero(own == cols["lo"][s])
+                right = None if same else np.flatnonzero(own == cols["hi"][s])
+                for i, j in likely_pairs(n, maps, comp, left, right, similarity, spanning):
+                    a, b = cols["atom"][s:e][i], cols["atom"][s:e][j]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["src", "dst"])
+
+    order = ["key", "token", "lo", "hi", "atom"]
+    return rows.repartition("key").sortWithinPartitions(*order).mapInArrow(run, "src long, dst long")
+
+
+def near_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = SIMILARITY, radius: int = RADIUS, block: int = LIST_BLOCK
 ) -> DataFrame:
-    """The documents without near-duplicates: of each group the one with the smallest id stays, once.
+    """doc_id, rid, root: rows of one root are linked by pairs of at least that Jaccard similarity.
 
-    With ``jaccard``, documents whose five-word shingles are so similar link too, whatever their
-    fingerprints. Documents without an id are kept as they are.
+    1. The trie self-join links fingerprints within ``radius`` bits. SimHash alone misses most pairs
+       just at the similarity, so lists of shared first shingles, which every such pair is in, add
+       a spanning forest of what the pairs' parity maps allow. All are verified on whole sets.
+    2. What lists still hold of pairs of different classes is verified in full. So the classes
+       are exactly those of all pairs, and a group of copies costs little more than its forest.
+
+    Texts of equal shingle sets are one node from the start; texts without words are alike.
+    """
+    rows = cut(described(docs, id_col, text_col, shingle, similarity))
+    at = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "rid")).alias("at")
+    atoms = rows.groupBy("key").agg(at, F.min("fp").alias("fp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    atoms = cut(atoms.withColumn("atom", F.monotonically_increasing_id()))
+    prints = cut(atoms.where("n > 0").groupBy("fp").agg(F.min("atom").alias("rep")))
+    alike = atoms.join(prints, "fp").where("atom <> rep").select(F.col("rep").alias("src"), F.col("atom").alias("dst"))
+    lists = token_lists(atoms.where("n > 0"), block)
+    verify = lambda e: verified(e, atoms, docs, id_col, text_col, shingle, similarity)
+    links = verify(fingerprint_edges(prints, radius).unionByName(alike).unionByName(list_edges(lists, atoms, None, similarity, True)))
+    comps = cut(connected_components(links).withColumnsRenamed({"node": "atom", "root": "comp"}))
+    more = verify(list_edges(lists, atoms, comps, similarity, False))
+    roots = connected_components(links.unionByName(more)).withColumnsRenamed({"node": "atom"})
+    named = atoms.select("key", "atom").join(roots, "atom", "left").select("key", F.coalesce("root", "atom").alias("root"))
+    return rows.select("doc_id", "rid", "key").join(named, "key").select("doc_id", "rid", "root")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """The documents without near-duplicates by ``near_groups``, columns unchanged.
+
+    Of each group the row with the smallest id stays, once; among rows of that id the smallest
+    hash of the text, then of the whole row, decides. Rows without an id rank last. Rows of one id
+    and different texts are documents of their own. An empty table stays empty.
     """
-    groups = simhash_groups(docs, id_col, text_col, shingle, radius)
-    if jaccard is not None:
-        groups = cut(groups.select("doc_id", "component_id"))
-        links = groups.where("doc_id is not null").select(F.col("doc_id").alias("src"), F.col("component_id").alias("dst"))
-        roots = connected_components(links.unionByName(jaccard_edges(docs, groups, id_col, text_col, similarity=jaccard)))
-        groups = roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
-    out = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    rest = docs.join(out, id_col, "left_anti")
-    return rest.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(rest.where(F.col(id_col).isNull()))
+    groups = near_groups(docs, id_col, text_col, shingle, similarity, radius)
+    best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "rid")).alias("x"))
+    best = best.select(F.col("x.none").alias("__none"), F.col("x.id").alias("__id"), F.col("x.rid").alias("__rid"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    own = F.col(id_col).cast("long")
+    d = docs.select(*names, own.isNull().alias("__none"), F.coalesce(own, F.lit(0)).alias("__id"), F.xxhash64(F.col(text_col).cast("string")).alias("__rid"))
+    keys = ["__none", "__id", "__rid"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*names)))
+    return d.join(best, keys).withColumn("__place", place).where("__place = 1").select(*names)

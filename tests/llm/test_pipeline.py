@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 import __spark_entry__
@@ -46,8 +47,7 @@ def test_stages(spark, data, tmp_path):
             assert docs.columns == columns
     ids = set(texts)
     assert set(left[0]) == ids - toxic
-    groups = {r["doc_id"]: r["component_id"] for r in simhash_dedup.simhash_groups(spark.read.parquet(f"{tmp_path}/0")).collect()}
-    assert set(left[1]) == set(groups.values())
+    assert set(left[1]) == set(left[0]) - {400, 401, 406, 407}
     assert 1 in left[1] and not {400, 401, 406, 407} & set(left[1]) and 405 in left[1]
     assert set(left[2]) == set(left[1])
     assert shared in left[2][402]["text"] and shared not in left[2][403]["text"]
@@ -57,26 +57,64 @@ def test_stages(spark, data, tmp_path):
     assert set(left[4]) == set(left[3])
 
 
-@pytest.mark.parametrize("sample,common", [(16, 4), (1, 2)])
-def test_near_copies_by_five_word_jaccard(spark, monkeypatch, sample, common):
+def jaccard_classes(texts, similarity=0.8):
+    """Index -> smallest index of its class, by all pairs."""
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[a : a + 5]) for a in range(max(1, len(w) - 4))} if w else set())
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
+    return components(range(len(sets)), links)
+
+
+@pytest.mark.parametrize("sample,common,block", [(16, 4, 4096), (1, 2, 4096), (16, 4, 3)])
+def test_near_copies_by_five_word_jaccard(spark, monkeypatch, sample, common, block):
     monkeypatch.setattr(simhash_dedup, "SAMPLE", sample)
     monkeypatch.setattr(simhash_dedup, "COMMON_IN_SAMPLE", common)
+    monkeypatch.setattr(simhash_dedup, "PARITY_BITS", 64)
     r = random.Random(3)
-    docs = {}
+    texts = []
     for i in range(40):
         words = prose(r.choice([6, 30, 120]), 3000 + i).split()
         for k in range(5):
             w = list(words)
             for _ in range(k if len(w) > 20 else k % 2):
                 w[r.randrange(len(w))] = "edit"
-            docs[10 * i + k] = " ".join(w)
-    sets = {d: {tuple(t.lower().split()[a : a + 5]) for a in range(max(1, len(t.split()) - 4))} for d, t in docs.items()}
-    links = [(a, b) for a in docs for b in docs if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    df = spark.createDataFrame([*docs.items(), (900, None), (901, "")], "doc_id long, text string")
-    hamming = [(x["doc_id"], x["component_id"]) for x in simhash_dedup.simhash_groups(df).collect()]
-    root = components([*docs, 900, 901], [*links, *hamming])
-    assert len(set(root.values())) < len({c for _, c in hamming})
-    assert {x["doc_id"] for x in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()} == set(root.values())
+            texts.append(" ".join(w))
+    base = prose(140, 77).split()  # a large group, some of whose pairs are below the similarity
+    for i in range(60):
+        w = list(base)
+        for _ in range(r.randrange(9)):
+            w[r.randrange(len(w))] = f"x{r.random()}"
+        texts.append(" ".join(w))
+    texts += [None, "", " \n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    root = jaccard_classes(texts)
+    got = {x["doc_id"]: x["root"] for x in simhash_dedup.near_groups(df, block=block).collect()}
+    first = {}
+    assert all(first.setdefault(got[i], root[i]) == root[i] for i in sorted(got)) and len(first) == len(set(root.values()))
+    assert {x["doc_id"] for x in simhash_dedup.keep_one(df).collect()} == set(root.values())
+
+
+def test_keep_one_loses_no_text(spark):
+    a, b, x, y = (prose(60, s) for s in (1, 2, 3, 4))
+    rows = [(1, a), (5, b), (5, a), (7, x), (7, y), (None, x), (None, "alone " + prose(20, 5)), (9, b), (9, b), (3, prose(30, 6)), (3, prose(30, 6))]
+    df = spark.createDataFrame([(i, t, "q", 1) for i, t in rows], "doc_id long, text string, rid string, root int")
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash_dedup.keep_one(df).collect()), key=repr)
+    assert got == sorted([(1, a), (5, b), (7, x), (7, y), rows[6], (3, rows[9][1])], key=repr)
+    assert simhash_dedup.keep_one(df).columns == df.columns
+    assert simhash_dedup.keep_one(df.limit(0)).count() == 0
+
+
+def test_parity_maps_bound_the_difference():
+    rng = np.random.default_rng(0)
+    for n in (3, 600, 3000):
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype="u8"))
+        y = np.unique(np.r_[x[n // 5 :], rng.integers(0, 1 << 63, n // 5, dtype="u8")])
+        a, b = (np.frombuffer(simhash_dedup.parity_map(v), "<u8") for v in (x, y))
+        while len(a) != len(b):
+            a, b = (v[: len(v) // 2] ^ v[len(v) // 2 :] if len(v) == max(len(a), len(b)) else v for v in (a, b))
+        assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
 
 
 def test_run(spark, data):
