@@ -23,8 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group, by SimHash or five-word Jaccard: the one with the smallest id."""
-    return simhash_dedup.keep_one(docs, jaccard=SIMILARITY)
+    """Keeps one document of each group by SimHash and five-word Jaccard: the one with the smallest id."""
+    return simhash_dedup.keep_one(docs, similarity=SIMILARITY)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
