@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +9,13 @@ from .common import cut
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Fingerprints within so many bits are verified; 10 blocks with one flipped bit each reach 19.
-RADIUS = 19
-BLOCKS = (7, 7, 7, 7, 6, 6, 6, 6, 6, 6)
+#: Fingerprints of 128 bits within so many are verified. At a similarity of 0.8 a fifth of the bits
+#: differ, 26 with a deviation of 4.6; of unrelated ones half, 64.
+RADIUS = 42
+#: Blocks of 32 bits: two fingerprints within the radius differ in RADIUS // BLOCKS bits at most in one.
+BLOCKS = 4
+#: Window starts whose windows are cut out of a text in one row.
+CHUNK = 4096
 #: A table is broadcast only if it was counted and has no more rows than this.
 BROADCAST_ROWS = 1_000_000
 
@@ -35,29 +37,38 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def _fingerprint(grams: Column) -> Column:
+    """64 bits: those whose shingles with the bit set outweigh the others; grams: array<struct<s,w>>."""
+    vote = lambda b: F.aggregate(grams, F.lit(0.0), lambda acc, g: acc + F.when(F.getbit(g["s"], b) == 1, g["w"]).otherwise(-g["w"]))
+    up = lambda acc, x: F.shiftleft(acc, 1).bitwiseOR(F.when(x > 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
+    return F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(63)), vote), F.lit(0).cast("long"), up)
+
+
 def _profiles(windows: DataFrame, weights: DataFrame, n_weights: int, keys: list[str]) -> DataFrame:
-    """For each window (keys, grams): the weighted SimHash fp, the distinct grams and their total weight.
+    """For each window (keys, grams): its weighted SimHash as two longs f0, f1, the distinct grams and their total weight.
 
     A shingle weighs one over the number of benchmark items that have it, one if none has.
     """
     flat = windows.select(*keys, F.explode(F.array_distinct("grams")).alias("s"))
     flat = flat.join(_bounded(weights, n_weights), "s", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
-    bit = lambda b: F.sum(F.when(F.shiftright("s", b).bitwiseAND(F.lit(1).cast("long")) == 1, F.col("w")).otherwise(-F.col("w")))
-    sums = flat.groupBy(*keys).agg(F.collect_list("s").alias("grams"), F.sum("w").alias("total"), *[bit(b).alias(f"b{b}") for b in range(64)])
-    one = lambda b: F.when(F.col(f"b{b}") > 0, F.lit(1 << b if b < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long"))
-    fp = reduce(lambda x, y: x.bitwiseOR(y), [one(b) for b in range(64)])
-    return sums.select(*keys, "grams", "total", fp.alias("fp"))
+    sums = flat.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("s", "w"))).alias("g"))
+    other = F.transform("g", lambda x: F.struct(F.xxhash64(x["s"]).alias("s"), x["w"].alias("w")))
+    total = F.aggregate("g", F.lit(0.0), lambda acc, x: acc + x["w"])
+    return sums.select(*keys, F.col("g.s").alias("grams"), total.alias("total"), _fingerprint(F.col("g")).alias("f0"), _fingerprint(other).alias("f1"))
+
 
+def within_blocks(a: list[Column], b: list[Column], radius: int = RADIUS) -> Column:
+    """Whether some of the blocks of two fingerprints (two longs each) differ in its share of the radius at most.
 
-def _blocks(fp: Column, flips: bool) -> Column:
-    """Array of (block, value): the blocks of a fingerprint, with every single bit flipped too if asked."""
-    out, at = [], 0
-    for i, width in enumerate(BLOCKS):
-        v = F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-        for m in [0, *[1 << b for b in range(width)]] if flips else [0]:
-            out.append(F.struct(F.lit(i).alias("blk"), v.bitwiseXOR(F.lit(m).cast("long")).alias("v")))
-        at += width
-    return F.array(*out)
+    Of more differing bits than the share in every block the sum would be over the radius.
+    """
+    out = F.lit(False)
+    for x, y in zip(a, b, strict=True):
+        d = x.bitwiseXOR(y)
+        for at in range(0, 64, 128 // BLOCKS):
+            block = F.shiftrightunsigned(d, at).bitwiseAND(F.lit((1 << 128 // BLOCKS) - 1).cast("long"))
+            out = out | (F.bit_count(block) <= radius // BLOCKS)
+    return out
 
 
 def contamination(
@@ -68,16 +79,18 @@ def contamination(
     item_col: str = "item_id",
     item_text: str = "text",
     threshold: float = SIMILARITY,
+    radius: int = RADIUS,
 ) -> DataFrame:
     """(doc_id, __rid, item_id, start_word, n_words, hamming, similarity): the best window for each pair.
 
     1. Where a document has a shingle of an item, a window of the item's size is laid at the same
-       offset. A window without such a shingle has similarity zero, so this loses nothing.
-    2. Windows and items get 64-bit weighted SimHashes. Ten blocks index them, items with each
-       single bit of a block flipped too: two fingerprints within 19 bits agree on some block up to
-       one bit, so every pair within the radius is found.
+       offset, and the item is its partner. Pairs without such a shingle have similarity zero, so
+       this loses nothing, and an item never meets windows that it shares nothing with.
+    2. Windows and items get 128-bit weighted SimHashes, indexed by item and compared block by
+       block: four blocks of 32 bits, of which one differs in a quarter of the radius at most if
+       the fingerprints lie within it. So every pair within the radius stays.
     3. Each such pair is verified: the weighted Dice coefficient of the two shingle sets must
-       reach ``threshold``.
+       reach ``threshold``. Lower thresholds than 0.8 need a larger ``radius``; one of 128 keeps all.
 
     Items without words match nothing; those of fewer than five words are one shingle. Null texts
     are empty. ``__rid`` is a hash of the text, so that rows of one or no id stay apart; equal rows
@@ -94,34 +107,39 @@ def contamination(
     sizes = [r["k"] for r in items.select("k").distinct().collect()]  # five values at most
     seeds = items.select("item_id", "len", "k", F.posexplode("grams").alias("off", "s"))
     weights = seeds.groupBy("s").agg((F.lit(1.0) / F.countDistinct("item_id")).alias("w"))
-    seeds = cut(seeds.select("s", "k", "off", "len").distinct())
+    seeds = cut(seeds)
     n_seeds = seeds.count()
 
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("__rid"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("__rid"), F.col(text_col).cast("string").alias("text"))
     hashed = lambda d: d.select("doc_id", "__rid", F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("wh"), *[c for c in d.columns if c == "spots"])
+    keys = ["doc_id", "__rid", "k", "a", "b"]
     marks = None
     for k in sizes or [SHINGLE]:
         flat = hashed(base).select("doc_id", "__rid", F.size("wh").alias("n"), F.posexplode(shingle_hashes(F.col("wh"), k)).alias("pos", "s"))
-        own = seeds.where(F.col("k") == k).select("s", "k", "off", "len")
-        part = flat.join(_bounded(own, n_seeds), "s").select(
-            "doc_id", "__rid", "k", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("a"), F.least(F.col("pos") - F.col("off") + F.col("len"), F.col("n")).alias("b")
-        )
+        own = seeds.where(F.col("k") == k).select("item_id", "s", "k", "off", "len")
+        start, end = F.greatest(F.col("pos") - F.col("off"), F.lit(0)), F.least(F.col("pos") - F.col("off") + F.col("len"), F.col("n"))
+        part = flat.join(_bounded(own, n_seeds), "s").select("doc_id", "__rid", "k", start.alias("a"), end.alias("b"), "item_id")
         marks = part if marks is None else marks.unionByName(part)
-    spots = marks.distinct().groupBy("doc_id", "__rid").agg(F.collect_list(F.struct("k", "a", "b")).alias("spots"))
+    marks = cut(marks.distinct())
+    spots = marks.select(*keys).distinct().groupBy("doc_id", "__rid", F.expr(f"a div {CHUNK}").alias("chunk")).agg(F.collect_list(F.struct("k", "a", "b")).alias("spots"))
     spots = cut(spots)
-    found = base.join(_bounded(spots, spots.count() * 8), F.expr("true") & base["doc_id"].eqNullSafe(spots["doc_id"]) & (base["__rid"] == spots["__rid"]))
-    found = hashed(found.select(base["doc_id"], base["__rid"], "text", "spots")).dropDuplicates(["doc_id", "__rid"])
+    few = _bounded(spots, marks.count())
+    found = base.join(few, base["doc_id"].eqNullSafe(spots["doc_id"]) & (base["__rid"] == spots["__rid"]))
+    found = hashed(found.select(base["doc_id"], base["__rid"], "text", "spots"))
     grams = pick_grams(F.col("wh"), F.col("k"), F.col("a"), F.col("b"), sizes or [SHINGLE])
     windows = found.select("doc_id", "__rid", "wh", F.explode("spots").alias("x")).select("doc_id", "__rid", "wh", "x.k", "x.a", "x.b")
-    windows = windows.select("doc_id", "__rid", "k", "a", "b", grams.alias("grams"))
-    keys = ["doc_id", "__rid", "k", "a", "b"]
-    left = _profiles(windows, weights, n_seeds, keys)
+    windows = windows.select(*keys, grams.alias("grams")).dropDuplicates(keys)
+    left = cut(_profiles(windows, weights, n_seeds, keys))
     right = _profiles(items.select("item_id", "grams"), weights, n_seeds, ["item_id"])
-    right = right.select("item_id", F.col("grams").alias("igrams"), F.col("total").alias("itotal"), F.col("fp").alias("ifp"), F.inline(_blocks(F.col("fp"), True)))
-    left = cut(left)
-    near = left.select("*", F.inline(_blocks(F.col("fp"), False))).join(_bounded(right, n_seeds * len(BLOCKS)), ["blk", "v"])
-    near = near.withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp")))).where(F.col("hamming") <= RADIUS)
-    near = near.dropDuplicates([*keys, "item_id"])
+    right = right.select("item_id", F.col("grams").alias("igrams"), F.col("total").alias("itotal"), F.col("f0").alias("i0"), F.col("f1").alias("i1"))
+    right = _bounded(cut(right), n_seeds)
+    same = left["doc_id"].eqNullSafe(marks["doc_id"])
+    for c in keys[1:]:
+        same = same & (left[c] == marks[c])
+    near = left.join(marks, same).select(*[left[c] for c in left.columns], "item_id").join(right, "item_id")
+    near = near.where(within_blocks([F.col("f0"), F.col("f1")], [F.col("i0"), F.col("i1")], radius))
+    apart = F.bit_count(F.col("f0").bitwiseXOR(F.col("i0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("i1")))
+    near = near.withColumn("hamming", apart.cast("int")).where(F.col("hamming") <= radius)
     both = near.select(*keys, "item_id", "hamming", "total", "itotal", F.explode(F.array_intersect("grams", "igrams")).alias("s"))
     both = both.join(_bounded(weights, n_seeds), "s").groupBy(*keys, "item_id", "hamming", "total", "itotal").agg(F.sum("w").alias("common"))
     both = both.withColumn("similarity", F.round(2 * F.col("common") / (F.col("total") + F.col("itotal")), 9)).where(F.col("similarity") >= threshold)
@@ -140,5 +158,5 @@ def pick_grams(hashes: Column, k: Column, a: Column, b: Column, sizes: list[int]
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that hold no benchmark passage, columns unchanged."""
     bad = contamination(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__bad"), F.col("__rid").alias("__badrid")).distinct()
-    d = docs.withColumn("__key", F.col(id_col).cast("long")).withColumn("__h", F.xxhash64(text_col))
+    d = docs.withColumn("__key", F.col(id_col).cast("long")).withColumn("__h", F.xxhash64(F.col(text_col).cast("string")))
     return d.join(bad, d["__key"].eqNullSafe(bad["__bad"]) & (d["__h"] == bad["__badrid"]), "left_anti").drop("__key", "__h")

@@ -210,16 +210,54 @@ def test_decontamination(spark):
 def test_blocks_guarantee_the_radius(spark):
     r = random.Random(1)
     rows = []
-    for i in range(200):
-        a = r.getrandbits(64)
-        b = a
-        for k in r.sample(range(64), r.randint(0, decontaminate.RADIUS)):
-            b ^= 1 << k
-        rows.append((i, a - (1 << 63), b - (1 << 63)))
-    df = spark.createDataFrame(rows, "i int, a long, b long")
-    x = df.select("i", F.inline(decontaminate._blocks(F.col("a"), True)))
-    y = df.select("i", F.inline(decontaminate._blocks(F.col("b"), False)))
-    assert x.join(y, ["i", "blk", "v"]).select("i").distinct().count() == 200
+    for i in range(300):
+        x = r.getrandbits(128)
+        y = x
+        for k in r.sample(range(128), r.randint(0, decontaminate.RADIUS)):
+            y ^= 1 << k
+        rows.append((i, *(v - (1 << 63) for z in (x, y) for v in (z >> 64, z & (1 << 64) - 1))))
+    df = spark.createDataFrame(rows, "i int, a long, b long, c long, d long")
+    ok = decontaminate.within_blocks([F.col("a"), F.col("b")], [F.col("c"), F.col("d")])
+    assert df.where(ok).count() == 300
+    rows = [(i, *(r.getrandbits(64) - (1 << 63) for _ in range(4))) for i in range(1000)]
+    assert spark.createDataFrame(rows, "i int, a long, b long, c long, d long").where(ok).count() < 200
+
+
+def test_decontamination_against_all_windows_and_items(spark):
+    r = random.Random(6)
+    common = prose(12, 600)
+    items = {i: (common + " " if i % 3 == 0 else "") + prose(r.choice([4, 12, 30, 60]), 610 + i) for i in range(12)}
+    docs = {}
+    for d in range(240):
+        w = re.findall(r"[a-z]+", items[d % 12].lower())
+        for _ in range(r.randint(0, 1 + len(w) // 14)):
+            at, what = r.randrange(len(w)), r.random()
+            w = w[:at] + (["edit"] if what < 0.6 else []) + w[at + (what < 0.8) :] if what < 0.8 else [*w[:at], "more", *w[at:]]
+        docs[d] = " ".join([*prose(r.randint(0, 40), 700 + d).split(), *w, *prose(r.randint(0, 40), 900 + d).split()])
+    split = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    grams = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    each = {}
+    for i, t in items.items():
+        w = split(t)
+        each[i] = (len(w), min(5, len(w)), grams(w, min(5, len(w))))
+    df = Counter((k, g) for _, k, s in each.values() for g in s)
+    weight = lambda k, s: sum(1 / max(1, df[k, g]) for g in s)
+    want = {}
+    for d, t in docs.items():
+        w = split(t)
+        for i, (n, k, s) in each.items():
+            sims = []
+            for a in range(max(1, len(w) - n + 1)):
+                x = grams(w[a : a + n], k)
+                if x & s:
+                    sims.append(2 * weight(k, x & s) / (weight(k, x) + weight(k, s)))
+            if sims and max(sims) >= 0.8:
+                want[d, i] = max(sims)
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x["similarity"] for x in decontaminate.contamination(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), bench).collect()}
+    assert len(want) > 80 and sum(0.8 <= s < 0.9 for s in want.values()) > 8
+    assert len(set(want) - set(got)) <= 0.01 * len(want)
+    assert all(got[p] <= want.get(p, 1) + 1e-9 for p in got)
 
 
 # --- 4 --------------------------------------------------------------------------------------
