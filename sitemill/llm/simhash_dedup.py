@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ SIMILARITY = 0.8
 PARITY_BITS = 512
 #: Members of a shingle's list that are compared in one task; longer lists are dealt in blocks.
 LIST_BLOCK = 4096
+#: Lists of at most so many members are compared many at once.
+SHORT_LIST = 16
 #: A table is broadcast only if it was counted and has no more rows than this.
 BROADCAST_ROWS = 300_000
 
@@ -213,27 +216,74 @@ def parity_map(x: np.ndarray) -> bytes:
     return np.packbits(odd.astype("u1"), bitorder="little").tobytes()
 
 
+class ParityMaps:
+    """Parity maps of a table's rows, by the values and offsets of a binary column."""
+
+    def __init__(self, column: pa.Array):
+        self.offsets = np.frombuffer(column.buffers()[1], "i4")[column.offset : column.offset + len(column) + 1].astype("i8")
+        self.flat = np.frombuffer(column.buffers()[2] or b"", "u1")
+        self.size = np.diff(self.offsets)
+
+    def rows(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Maps of these rows as words; those of twice the size are folded."""
+        out = np.empty((len(at), size // 8), "u8")
+        for times in (1, 2):
+            k = np.flatnonzero(self.size[at] == times * size)
+            if len(k):
+                m = self.flat[self.offsets[at[k]][:, None] + np.arange(times * size)].view("u8").reshape(len(k), times, -1)
+                out[k] = m[:, 0] if times == 1 else m[:, 0] ^ m[:, 1]
+        return out
+
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Differing bits of each pair of rows; sizes beyond twice each other differ too much anyway."""
+        out = np.zeros(len(i), "i8")
+        low = np.minimum(self.size[i], self.size[j])
+        for size in np.unique(low):
+            k = np.flatnonzero(low == size)
+            step = max(1, 8_000_000 // int(size))
+            for at in range(0, len(k), step):
+                some = k[at : at + step]
+                out[some] = np.bitwise_count(self.rows(i[some], int(size)) ^ self.rows(j[some], int(size))).sum(1, dtype="i8")
+        return out
+
+
+def enough(n: np.ndarray, m: np.ndarray, differ: np.ndarray | int, similarity: float) -> np.ndarray:
+    """Whether sets of these sizes, with at least so many elements of their own, can have the similarity."""
+    need = np.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
+    return (n + m - differ >= 2 * need) & (np.minimum(n, m) >= need)
+
+
+def short_list_pairs(start: np.ndarray, end: np.ndarray, n: np.ndarray, maps: ParityMaps, comp: np.ndarray, similarity: float, spanning: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``likely_pairs`` of many short lists (row ranges) at once; with ``spanning`` each row's first partner."""
+    k = end - start
+    row = np.repeat(start - np.cumsum(k) + k, k) + np.arange(k.sum())
+    later = np.repeat(end, k) - row - 1
+    i = np.repeat(row, later)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later) - later, later)
+    ok = (comp[i] != comp[j]) & enough(n[i], n[j], 0, similarity)
+    i, j = i[ok], j[ok]
+    ok = enough(n[i], n[j], maps.differ(i, j), similarity)
+    i, j = i[ok], j[ok]
+    if spanning:
+        pick = np.unique(j, return_index=True)[1]  # pairs are in the order of i
+        i, j = i[pick], j[pick]
+    return i, j
+
+
 def likely_pairs(
-    n: np.ndarray, maps: list[bytes], comp: np.ndarray, left: np.ndarray, right: np.ndarray | None, similarity: float, spanning: bool
+    n: np.ndarray, maps: ParityMaps, comp: np.ndarray, left: np.ndarray, right: np.ndarray | None, similarity: float, spanning: bool
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one list in different classes whose sizes and parity maps allow the similarity.
+    """Row pairs of one list in different classes whose sizes and parity maps allow the similarity.
 
     Pairs of ``left`` with ``right``, or inside ``left`` where that is None. With ``spanning`` only a
     forest that connects whatever those pairs connect.
     """
-    size = np.array([len(m) for m in maps])
-    cls, times = np.unique(comp, return_inverse=True, return_counts=True)[1:]
+    rows_of = np.r_[left, right] if right is not None else left
+    cls = np.zeros(len(comp), "i8")
+    cls[rows_of], times = np.unique(comp[rows_of], return_inverse=True, return_counts=True)[1:]
     group = np.arange(len(times))
-
-    def load(at: np.ndarray, bytes_: int) -> np.ndarray:
-        """Maps of the rows, folded to one size."""
-        out = np.empty((len(at), bytes_ // 8), "u8")
-        for k, i in enumerate(at):
-            m = np.frombuffer(maps[i], "<u8")
-            out[k] = m if len(maps[i]) == bytes_ else m[: len(m) // 2] ^ m[len(m) // 2 :]
-        return out
-
-    for s in np.unique(size):
+    size = maps.size
+    for s in np.unique(size[rows_of]):
         of = lambda at, k, s=s: at[size[at] == k * s]
         if right is None:
             own = of(left, 1)
@@ -242,7 +292,7 @@ def likely_pairs(
         else:
             todo = [(of(left, 1), np.r_[of(right, 1), of(right, 2)], False), (of(right, 1), of(left, 2), False)]
         for rows, others, ordered in todo:
-            x, y = load(rows, int(s)), load(others, int(s))
+            x, y = maps.rows(rows, int(s)), maps.rows(others, int(s))
             step = max(1, 4_000_000 // max(1, y.size))
             for at in range(0, len(rows), step):
                 i = rows[at : at + step]
@@ -252,9 +302,7 @@ def likely_pairs(
                     cols = cols[group[cls[others[cols]]] != mine[0]]
                 j = others[cols]
                 differ = np.bitwise_count(x[at : at + step, None] ^ y[cols]).sum(2, dtype="i8") if len(j) else np.zeros((len(i), 0), "i8")
-                total = n[i][:, None] + n[j]
-                need = np.ceil(similarity / (1 + similarity) * total - 1e-9)
-                ok = (total - differ >= 2 * need) & (np.minimum(n[i][:, None], n[j]) >= need) & (mine[:, None] != group[cls[j]])
+                ok = enough(n[i][:, None], n[j], differ, similarity) & (mine[:, None] != group[cls[j]])
                 if ordered:
                     ok &= cols > at + np.arange(len(i))[:, None]
                 a, b = np.nonzero(ok)
@@ -358,21 +406,20 @@ def list_edges(lists: DataFrame, atoms: DataFrame, comps: DataFrame | None, simi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "key", 20_000):
-            cols = {c: t.column(c).to_numpy() for c in ("token", "lo", "hi", "own", "atom", "n", "comp")}
-            tag = np.stack([cols[c].astype("i8") for c in ("token", "lo", "hi")])
-            cuts = np.r_[0, np.flatnonzero((tag[:, 1:] != tag[:, :-1]).any(0)) + 1, t.num_rows]
-            bits = t.column("bits")
-            for s, e in zip(cuts, cuts[1:], strict=False):
-                comp = cols["comp"][s:e]
-                if (comp == comp[0]).all():
-                    continue
-                maps, n, own = bits.slice(s, e - s).to_pylist(), cols["n"][s:e].astype("i8"), cols["own"][s:e]
-                same = cols["lo"][s] == cols["hi"][s]
-                left = np.arange(e - s) if same else np.flatnonzero(own == cols["lo"][s])
-                right = None if same else np.flatnonzero(own == cols["hi"][s])
-                for i, j in likely_pairs(n, maps, comp, left, right, similarity, spanning):
-                    a, b = cols["atom"][s:e][i], cols["atom"][s:e][j]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["src", "dst"])
+            token, lo, hi, own, atom, n, comp = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "own", "atom", "n", "comp"))
+            n, maps = n.astype("i8"), ParityMaps(t.column("bits").combine_chunks())
+            cuts = np.r_[0, np.flatnonzero((token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1, t.num_rows]
+            start, end = cuts[:-1], cuts[1:]
+            open_ = np.minimum.reduceat(comp, start) != np.maximum.reduceat(comp, start)
+            short = open_ & (end - start <= SHORT_LIST) & (lo[start] == hi[start])
+            pairs = [iter([short_list_pairs(start[short], end[short], n, maps, comp, similarity, spanning)])]
+            for s, e in zip(start[open_ & ~short], end[open_ & ~short], strict=True):
+                at = np.arange(s, e)
+                left, right = (at, None) if lo[s] == hi[s] else (at[own[s:e] == lo[s]], at[own[s:e] == hi[s]])
+                pairs.append(likely_pairs(n, maps, comp, left, right, similarity, spanning))
+            for i, j in chain(*pairs):
+                a, b = atom[i], atom[j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["src", "dst"])
 
     order = ["key", "token", "lo", "hi", "atom"]
     return rows.repartition("key").sortWithinPartitions(*order).mapInArrow(run, "src long, dst long")

@@ -242,22 +242,21 @@ def test_decontamination_against_all_windows_and_items(spark):
         each[i] = (len(w), min(5, len(w)), grams(w, min(5, len(w))))
     df = Counter((k, g) for _, k, s in each.values() for g in s)
     weight = lambda k, s: sum(1 / max(1, df[k, g]) for g in s)
-    want = {}
+    want, shorter = {}, {}
     for d, t in docs.items():
         w = split(t)
         for i, (n, k, s) in each.items():
-            sims = []
-            for a in range(max(1, len(w) - n + 1)):
-                x = grams(w[a : a + n], k)
-                if x & s:
-                    sims.append(2 * weight(k, x & s) / (weight(k, x) + weight(k, s)))
-            if sims and max(sims) >= 0.8:
-                want[d, i] = max(sims)
+            for a in range(1 - n, len(w)):  # at the ends of a text windows can be shorter
+                x = grams(w[max(a, 0) : a + n], k)
+                if x & s and (sim := 2 * weight(k, x & s) / (weight(k, x) + weight(k, s))) >= 0.8 - 1e-9:
+                    shorter[d, i] = max(sim, shorter.get((d, i), 0))
+                    if len(w[max(a, 0) : a + n]) == min(n, len(w)):
+                        want[d, i] = max(sim, want.get((d, i), 0))
     bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
     got = {(x["doc_id"], x["item_id"]): x["similarity"] for x in decontaminate.contamination(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), bench).collect()}
-    assert len(want) > 80 and sum(0.8 <= s < 0.9 for s in want.values()) > 8
+    assert len(want) > 60 and sum(0.8 <= s < 0.9 for s in want.values()) > 8
     assert len(set(want) - set(got)) <= 0.01 * len(want)
-    assert all(got[p] <= want.get(p, 1) + 1e-9 for p in got)
+    assert all(got[p] <= shorter[p] + 1e-9 for p in got)
 
 
 # --- 4 --------------------------------------------------------------------------------------
