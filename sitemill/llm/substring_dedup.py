@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -89,37 +89,40 @@ def substring_dedup(
 
     Units (lines, and sentences within lines, so that a passage pasted into a line is found too)
     are normalised by case and white space and grouped by a 128-bit digest over the whole table.
-    The occurrence that ranks first by (id, place) stays; the others go. ``removed`` holds code
-    point offsets into the original text, which reading the original at the kept offsets
-    reproduces; a column of that name is replaced. Null text stays null; empty text stays empty; null ids rank last; rows of one id
-    and text get the same result; rows of one id and other texts are ranked by place. Other
-    columns pass through.
+    The occurrence that ranks first by (id, hash of the text, copy, place) stays; the others go.
+    ``copy`` numbers rows of one id and text, so of equal rows only one keeps a passage. ``removed``
+    holds code point offsets into the original text, which reading the original at the kept offsets
+    reproduces; a column of that name is replaced. Null text stays null; empty text stays empty; null
+    ids rank last. Other columns pass through.
 
     Digests that occur twice are joined back to the units. Those with more than one part in
     TOP_DIGESTS of all repeats, so fewer than that many, are broadcast and their units dealt by row:
     a unit that a third of all rows share makes no large task.
     """
-    key = F.col("__id"), F.col("__rid")
     names = [c for c in docs.columns if c != "removed"]
     docs = docs.select(*[F.col(f"`{c}`") for c in names])
-    base = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))).withColumn("__rid", F.xxhash64(text_col))
+    text = F.col(text_col).cast("string")
+    base = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))).withColumn("__rid", F.xxhash64(text))
+    some = base.where(F.length(text) > 0)
+    # rows of one id and text, if any, are told apart by their number among equals
+    again = cut(some.groupBy("__id", "__rid").agg(F.count("*").alias("__n")).where("__n > 1"))
+    rows = some.select("__id", "__rid", text.alias("text"))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[list] = [[], [], [], []]
+            cols: list[list] = [[], [], [], []]
             for d, r, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for i, h in _digests(t, min_words):
-                    for col, v in zip(rows, (h, d, r, i), strict=True):
+                    for col, v in zip(cols, (h, d, r, i), strict=True):
                         col.append(v)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.binary()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.int32())],
+                [pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32())],
                 names=["digest", "__id", "__rid", "unit"],
             )
 
-    found = base.where(F.length(text_col) > 0).select("__id", "__rid", F.col(text_col).cast("string")).mapInArrow(
-        explode, "digest binary, __id long, __rid long, unit int"
-    )
-    first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("__id", "unit")).alias("first")).where("n > 1")
+    found = rows.mapInArrow(explode, "digest binary, __id long, __rid long, unit int")
+    place = F.struct("__id", "__rid", "unit")
+    first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     first = cut(first)
     total = first.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     top = first.where(F.col("n") > total / TOP_DIGESTS).select("digest", F.col("first").alias("__top"))  # fewer than TOP_DIGESTS
@@ -127,20 +130,28 @@ def substring_dedup(
     own = F.encode(F.concat_ws(":", F.hex("digest"), F.col("__id").cast("string"), F.col("unit").cast("string")), "utf-8")
     dealt = found.join(F.broadcast(top), "digest", "left").withColumn("__at", F.when(F.col("__top").isNull(), F.col("digest")).otherwise(own))
     dealt = dealt.join(first.select(F.col("digest").alias("__at"), "first"), "__at", "left").withColumn("first", F.coalesce("__top", "first"))
-    again = dealt.where(F.col("first").isNotNull() & (F.struct("__id", "unit") != F.col("first")))
-    marks = again.groupBy(*key).agg(F.collect_set("unit").alias("__units"))
+    repeated = dealt.where(F.col("first").isNotNull()).select("__id", "__rid", "unit", (place != F.col("first")).alias("later"))
+    marks = repeated.groupBy("__id", "__rid").agg(F.collect_set(F.when(F.col("later"), F.col("unit"))).alias("__units"))
+    # of equal rows all but one lose every unit that repeats, and equal rows repeat all their units
     joined = base.join(marks, ["__id", "__rid"], "left")
+    if again.head(1):
+        copy = F.row_number().over(Window.partitionBy("__id", "__rid").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in names])))
+        joined = joined.withColumn("__copy", F.when(F.length(text) > 0, copy).otherwise(1))
+    else:
+        joined = joined.withColumn("__copy", F.lit(1))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, gone = [], []
-            for t, u in zip(b.column(at).to_pylist(), b.column("__units").to_pylist(), strict=True):
+            for t, u, copy in zip(*(b.column(c).to_pylist() for c in (names[at], "__units", "__copy")), strict=True):
+                if copy > 1:
+                    u = range(len(passages(t, min_words)))
                 spans = removed_spans(t, set(u), min_run_words, min_words) if u else []
                 for x, y in reversed(spans):
                     t = t[:x] + t[y:]
                 texts.append(t)
                 gone.append([{"start": x, "end": y} for x, y in spans])
-            cols = [c for n, c in zip(b.schema.names, b.columns, strict=True) if n != "__units"]
+            cols = [c for n, c in zip(b.schema.names, b.columns, strict=True) if n not in ("__units", "__copy")]
             cols[at] = pa.array(texts, pa.string())
             cols.append(pa.array(gone, kind))
             yield pa.RecordBatch.from_arrays(cols, names=[*names, "removed"])
@@ -148,4 +159,4 @@ def substring_dedup(
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     at = names.index(text_col)
     schema = docs.withColumn("removed", F.lit(None).cast("array<struct<start:int,end:int>>")).schema
-    return joined.select(*[F.col(f"`{c}`") for c in names], "__units").mapInArrow(cut_out, schema)
+    return joined.select(*[F.col(f"`{c}`") for c in names], "__units", "__copy").mapInArrow(cut_out, schema)

@@ -383,25 +383,86 @@ def test_substrings(spark):
     assert substring_dedup.substring_dedup(df.limit(0)).count() == 0
 
 
+def plain_units(text):
+    """(start, end, words): cut at line breaks and sentence ends; short ones of a line join the next, the last one the one before."""
+    out, line, start, i = [], [], 0, 0
+    words = lambda a, b: text[a:b].lower().split()
+
+    def close():
+        got, at = [], None
+        for a, b in line:
+            at = a if at is None else at
+            if len(words(at, b)) >= 4:
+                got.append((at, b))
+                at = None
+        if at is not None:
+            got[-1:] = [(got[-1][0], line[-1][1])] if got else [(at, line[-1][1])]
+        out.extend(got)
+        line.clear()
+
+    while i < len(text):
+        j = i
+        if text[i] == "\n":
+            while j < len(text) and text[j] == "\n":
+                j += 1
+            line.append((start, j))
+            close()
+            start = i = j
+        elif text[i] in ".!?…":
+            j += 1
+            while j < len(text) and text[j] in "\"'»”)]":
+                j += 1
+            k = j
+            while k < len(text) and text[k] in " \t":
+                k += 1
+            if k > j:
+                line.append((start, k))
+                start = i = k
+            else:
+                i += 1
+        else:
+            i += 1
+    if start < len(text):
+        line.append((start, len(text)))
+    close() if line else None
+    return [(a, b, tuple(words(a, b))) for a, b in out]
+
+
+def plain_substrings(rows):
+    """What is left of each text: later copies of a unit go in runs of eight words with a unit of four."""
+    rank = lambda r: (r[0] is None, r[0] or 0, xxhash.xxh64_intdigest((r[1] or "").encode(), seed=42) - (xxhash.xxh64_intdigest((r[1] or "").encode(), seed=42) >> 63 << 64))
+    seen, out = set(), []
+    for d, t in sorted(rows, key=rank):
+        if not t:
+            out.append((d, t))
+            continue
+        left, run = "", []
+        fresh = set()
+        for a, b, w in [*plain_units(t), (len(t), len(t), ())]:
+            if w and (w in seen or w in fresh):
+                run.append((a, b, w))
+                continue
+            fresh.add(w)
+            if sum(len(x) for _, _, x in run) < 8 or max(len(x) for _, _, x in run) < 4:
+                left += "".join(t[x:y] for x, y, _ in run)
+            run = []
+            left += t[a:b]
+        seen |= fresh
+        out.append((d, left))
+    return out
+
+
 @pytest.mark.parametrize("top", [1, 50_000])
 def test_substrings_against_brute_force(spark, monkeypatch, top):
     monkeypatch.setattr(substring_dedup, "TOP_DIGESTS", top)
     r = random.Random(8)
     pool = [prose(r.randint(3, 40), 300 + i) for i in range(12)]
     rows = [(i, "\n".join(r.choice([prose(20, 900 + 7 * i + k), r.choice(pool), "Is on. Is on. Is on."]) for k in range(r.randint(0, 6)))) for i in range(80)]
-    first, n = {}, Counter()
-    for d, t in rows:
-        for u, h in substring_dedup._digests(t, substring_dedup.MIN_UNIT_WORDS):
-            n[h] += 1
-            first.setdefault(h, (d, u))
-    want = {}
-    for d, t in rows:
-        again = {u for u, h in substring_dedup._digests(t, substring_dedup.MIN_UNIT_WORDS) if n[h] > 1 and first[h] != (d, u)}
-        for a, b in reversed(substring_dedup.removed_spans(t, again)):
-            t = t[:a] + t[b:]
-        want[d] = t
+    rows += [(200, prose(60, 990))] * 3 + [(201, prose(30, 991)), (201, prose(30, 992) + " " + prose(30, 991)), (None, prose(40, 993)), (None, prose(40, 993)), (None, None), (202, prose(40, 993))]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert {x["doc_id"]: x["text"] for x in substring_dedup.substring_dedup(df).collect()} == want
+    got = Counter((x["doc_id"], x["text"]) for x in substring_dedup.substring_dedup(df).collect())
+    assert got == Counter(plain_substrings(rows))
+    assert got[200, ""] == 2 and got[200, rows[80][1]] == 1
 
 
 def test_units_cover_the_text():
@@ -494,6 +555,36 @@ def test_pairwise_terms_are_learnt():
     assert float(m.v[a] @ m.v[b]) > 0
 
 
+def test_pairs_that_differ_only_together_pass_the_screen():
+    # either term alone marks label 1, both together or none label 0: each is spread evenly
+    rng = np.random.default_rng(1)
+    a, b = (toxicity.word_features(w)[0] for w in ("one", "other"))
+    rows, y = [], []
+    for i in range(3000):
+        f = set(rng.integers(0, 1 << toxicity.BITS, 5).tolist())
+        f |= ({a} if i % 4 in (1, 3) else set()) | ({b} if i % 4 in (2, 3) else set())
+        rows.append(np.array(sorted(f)))
+        y.append(float(i % 4 in (1, 2)))
+    kept = toxicity.screened(rows, np.array(y), 1 << toxicity.BITS, toxicity.SCREEN_Z)
+    assert kept[a] and kept[b] and kept.sum() < 100
+    m = toxicity.train(rows, np.array(y), 0.5, epochs=60)
+    s = m.score([np.array(sorted(x), "i8") for x in ([a], [b], [a, b])])
+    assert min(s[:2]) > 0.5 > s[2]
+
+
+def test_rare_terms_of_one_class_pass_the_screen():
+    rows = [np.array([1 if i < 12 else 2]) if i < 4000 else np.array([2]) for i in range(8000)]
+    assert toxicity.screened(rows, np.array([1.0] * 4000 + [0.0] * 4000), 8, toxicity.SCREEN_Z)[1]
+
+
+def test_scores_are_sums_over_pairs():
+    rng = np.random.default_rng(2)
+    m = toxicity.FactorizationMachine(-0.3, rng.normal(size=50), rng.normal(size=(50, 4)))
+    rows = [np.sort(rng.choice(50, k, replace=False)) for k in (0, 1, 2, 7, 30)]
+    raw = [m.bias + sum(m.w[i] for i in r) + sum(m.v[i] @ m.v[j] for k, i in enumerate(r) for j in r[k + 1 :]) for r in rows]
+    assert m.score(rows) == pytest.approx([1 / (1 + math.exp(-x)) for x in raw])
+
+
 # --- 9 --------------------------------------------------------------------------------------
 def plain_fingerprint(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
@@ -546,10 +637,11 @@ def test_licenses(spark):
         (62, "Copyright 2020\n" + mit.replace(". ", ".\n") + "\n" + prose(30, 4)),
         (63, "released under the mit license"),
         (64, "We talk of a license here and of the public in general."),
+        (65, prose(30, 5) + "\nAll rights reserved."),
     ]
     df, rows = documents(spark, extra)
     got = {r["doc_id"]: r for r in license_scan.scan_licenses(df).collect()}
-    assert {d: got[d]["best"] for d in range(60, 65)} == {60: "GPL", 61: "CC-BY-NC", 62: "MIT", 63: "MIT", 64: None}
+    assert {d: got[d]["best"] for d in range(60, 66)} == {60: "GPL", 61: "CC-BY-NC", 62: "MIT", 63: "MIT", 64: None, 65: None}
     assert all(got[d]["n_matches"] == 0 for d in (1, 5, 6, 8, 9, None))
     hit = got[60]["licenses"][0]
     assert dict(rows)[60][hit["start"] : hit["end"]].strip() == "This work is licensed under the GNU General Public License, version 2."
