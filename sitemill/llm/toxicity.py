@@ -19,8 +19,9 @@ BITS = 18
 FACTORS = 8
 #: At most so many labelled rows of each class, by the order of a hash of their ids, fit the model.
 SAMPLE_PER_CLASS = 4_000
-#: Features whose log odds ratio between the classes is so many standard errors from zero are learnt.
-SCREEN_Z = 3.0
+#: Features are learnt whose likelihood ratio between the classes is that of so many standard errors,
+#: and so are both of a pair, among so many of the commonest others, whose joint presence exceeds so many.
+SCREEN_Z, PAIR_TERMS, PAIR_Z = 3.0, 1000, 7.0
 
 
 def word_features(word: str, bits: int = BITS) -> list[int]:
@@ -69,21 +70,54 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.raw(np.concatenate(rows), starts), -35, 35)))
 
 
+def likelihood_ratio(pos: np.ndarray, n1: int, neg: np.ndarray, n0: int) -> np.ndarray:
+    """Twice the log likelihood ratio of presence between classes of n1 and n0 rows; zero counts are sound."""
+    term = lambda o, e: np.where(o > 0, o * np.log(np.maximum(o, 1e-300) / np.maximum(e, 1e-300)), 0.0)
+    share = (pos + neg) / (n1 + n0)
+    return 2 * (term(pos, n1 * share) + term(neg, n0 * share) + term(n1 - pos, n1 * (1 - share)) + term(n0 - neg, n0 * (1 - share)))
+
+
+def screened(rows: list[np.ndarray], labels: np.ndarray, n: int, z: float, pair_terms: int = PAIR_TERMS, pair_z: float = PAIR_Z) -> np.ndarray:
+    """Which of ``n`` features differ between the classes, alone or in a pair of two that don't alone."""
+    n1, n0 = int((labels == 1).sum()), int((labels == 0).sum())
+    pos, neg = (np.bincount(np.concatenate([r for r, y in zip(rows, labels, strict=True) if y == c] or [[]]).astype("i8"), minlength=n).astype("f8") for c in (1, 0))
+    kept = likelihood_ratio(pos, n1, neg, n0) >= z * z
+    kept |= z <= 0
+    count = np.where(kept | (pos + neg == n1 + n0), 0, pos + neg)
+    common = np.argsort(-count, kind="stable")[:pair_terms]
+    common = np.sort(common[count[common] >= pair_z])
+    if len(common) < 2:
+        return kept
+    both = [np.zeros((len(common), len(common)), "f4") for _ in range(2)]
+    for c in (0, 1):
+        own = [r for r, y in zip(rows, labels, strict=True) if y == c]
+        for at in range(0, len(own), 500):
+            x = np.zeros((min(500, len(own) - at), len(common)), "f4")
+            for k, r in enumerate(own[at : at + 500]):
+                i = np.searchsorted(common, r)
+                i = i[(i < len(common)) & (common[np.minimum(i, len(common) - 1)] == r)]
+                x[k, i] = 1
+            both[c] += x.T @ x
+    for k in range(len(common)):
+        hit = likelihood_ratio(both[1][k].astype("f8"), n1, both[0][k].astype("f8"), n0) >= pair_z * pair_z
+        hit[k] = False
+        kept[common[hit]] = True
+    return kept
+
+
 def train(rows: list[np.ndarray], labels: np.ndarray, prior: float, bits: int = BITS, factors: int = FACTORS, epochs: int = 8, rate: float = 0.05, decay: float = 1e-3, seed: int = 7, screen: float = SCREEN_Z) -> FactorizationMachine:
     """AdaGrad on the log loss in small batches; ``prior`` is the share of label 1 outside the sample.
 
-    Features that occur alike in both classes keep weight and factors zero: with hundreds of terms
-    a text, unscreened noise terms outweigh the few that matter.
+    Features that occur alike in both classes, alone and in pairs, keep weight and factors zero:
+    with hundreds of terms a text, unscreened noise terms outweigh the few that matter. Pairs are
+    tested among the ``PAIR_TERMS`` commonest such features.
     """
     n = 1 << bits
     rng = np.random.default_rng(seed)
     m = FactorizationMachine(float(np.log(prior / (1 - prior))), np.zeros(n), np.zeros((n, factors)))
     if not len(rows) or labels.min() == labels.max():
         return m
-    pos, neg = (np.bincount(np.concatenate([r for r, y in zip(rows, labels, strict=True) if y == c] or [[]]).astype("i8"), minlength=n) + 0.5 for c in (1, 0))
-    n1, n0 = (labels == 1).sum() + 1, (labels == 0).sum() + 1
-    odds = np.log(pos / (n1 - pos)) - np.log(neg / (n0 - neg))
-    kept = np.abs(odds) >= screen * np.sqrt(1 / pos + 1 / (n1 - pos) + 1 / neg + 1 / (n0 - neg))
+    kept = screened(rows, labels, n, screen)
     m.v[kept] = rng.normal(0, 0.01, (int(kept.sum()), factors))
     rows = [r[kept[r]] for r in rows]
     # each class weighs as it does in the whole table
@@ -130,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     The bounded sample (ids first in the order of a hash) is the only thing the driver gets: sorted
     feature ids, not texts. Rows without a label, an id or a text take no part; of labels that
-    disagree for one id the larger holds. Without any label every text scores a low prior.
+    disagree for one id the larger holds, of texts that share an id the one of the smallest hash. Without any label every text scores a low prior.
     """
     lab = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     lab = lab.where(fold("id") != 0).groupBy("id").agg(F.max("y").alias("y"))
@@ -150,8 +184,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(f, pa.binary())], names=["id", "y", "f"])
 
     # at most 2 * per_class rows, so the broadcast has a fixed bound
-    rows = texts.join(F.broadcast(pick), "id").select("id", "y", "text").mapInArrow(hashed, "id long, y int, f binary")
-    got = sorted({r["id"]: (r["y"], r["f"]) for r in sorted(rows.collect(), key=lambda r: (r["id"], r["f"]))}.items())
+    one = texts.join(F.broadcast(pick), "id").groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = one.select("id", "y", "text").mapInArrow(hashed, "id long, y int, f binary")
+    got = sorted((r["id"], (r["y"], r["f"])) for r in rows.collect())
     x = [np.frombuffer(bytes(f), "<i4").astype("i8") for _, (_, f) in got]
     return train(x, np.array([y for _, (y, _) in got], float), prior)
 
