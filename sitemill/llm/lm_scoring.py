@@ -11,13 +11,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_groups
+from .common import cut, whole_groups
 
 ORDER = 3
 BACKOFF = 0.4
 #: Tokens of consecutive documents, at five characters each, that make a chunk: a worker holds one
 #: chunk at a time. Larger chunks send fewer n-grams twice.
 CHUNK_TOKENS = 3_000_000
+#: Tokens, of all orders' n-grams, whose counts one partition of the tables holds.
+PARTITION_TOKENS = 2_000_000
+#: Bits of an n-gram's key: two n-grams share one by chance once in 2^56 pairs.
+KEY_BITS = 56
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -75,6 +79,10 @@ class Chunk:
         vocabulary = np.fromiter(map(xxhash.xxh64_intdigest, number), "u8", len(number))
         return cls(ids, np.array(sizes, "i8"), np.concatenate(streams) if streams else np.zeros(0, "u4"), vocabulary)
 
+    @classmethod
+    def unpack(cls, ids: list[int | None], words: bytes, sizes: bytes, vocabulary: bytes) -> Chunk:
+        return cls(ids, *(_unpack(b, k)[0] for b, k in ((sizes, "i8"), (words, "u4"), (vocabulary, "u8"))))
+
     def keys(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the n-grams, and where each ends in the stream; none crosses documents."""
         h = self.vocabulary[self.words] if len(self.words) else np.zeros(0, "u8")
@@ -84,17 +92,14 @@ class Chunk:
         k = np.full(len(ends), n, "u8") * _ODD[0]
         for j in range(n - 1, -1, -1):
             k = _mix(k * np.uint64(3) + h[ends - j])
-        return k, ends
+        return k >> np.uint64(64 - KEY_BITS), ends
 
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.sizes)), self.sizes)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_TOKENS) -> Iterator[tuple[int, Chunk]]:
-    """Chunks of a scan's partition (third column), numbered by it and by place.
-
-    The same rows give the same chunks on each run: a scan deals its files alike each time.
-    """
+    """Chunks of consecutive rows (id, text, partition), numbered by partition and place."""
     task = seq = size = 0
     ids, texts = [], []
     for b in batches:
@@ -159,26 +164,15 @@ def lm_scores(
     entry for each chunk, a partition's load is even, and no list of documents moves. Then scores
     are summed by document.
 
+    Chunks are materialised before their n-grams are taken, so it doesn't matter whether the rows of
+    ``docs`` come in the same order twice, as after a lost executor they may not. Partitions are as
+    many as the chunks' tokens need, at ``PARTITION_TOKENS`` each.
+
     Null and empty texts have no tokens, score 0 and a null mean. Rows of one or no id each give a
     row and count as documents of their own. Extra columns are ignored; an empty table gives none.
     """
-    spark = docs.sparkSession
-    parts = 1 << max(3, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    shift = np.uint64(64 - parts.bit_length() + 1)
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.spark_partition_id().alias("task"))
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, c in chunks(batches, chunk_tokens):
-            for n in range(1, order + 1):
-                u, m = np.unique(c.keys(n)[0], return_counts=True)
-                cuts = np.searchsorted(u >> shift, np.arange(parts + 1))
-                rows = [(p, x, y) for p, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
-                blobs = [_pack(np.diff(u[x:y], prepend=np.uint64(0)), m[x:y].astype("u4")) for _, x, y in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p for p, _, _ in rows], pa.int32()), pa.array([name] * len(rows), pa.int64()), pa.array([n] * len(rows), pa.int32()), pa.array(blobs, pa.binary())],
-                    names=["part", "chunk", "n", "blob"],
-                )
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "part", 1):
             part, n = t.column("part").to_numpy(), t.column("n").to_numpy()
@@ -206,22 +200,39 @@ def lm_scores(
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([name], pa.int64()),
-                    pa.array([0], pa.int32()),
-                    pa.array([0], pa.int32()),
+                    pa.array([len(c.words)], pa.int64()),
                     pa.array([_pack(c.words)], pa.binary()),
                     pa.array([c.ids], pa.list_(pa.int64())),
                     pa.array([_pack(c.sizes)], pa.binary()),
                     pa.array([_pack(c.vocabulary)], pa.binary()),
                 ],
-                names=["chunk", "n", "part", "blob", "ids", "sizes", "vocabulary"],
+                names=["chunk", "tokens", "blob", "ids", "sizes", "vocabulary"],
             )
 
-    grams = cols.mapInArrow(explode, "part int, chunk long, n int, blob binary")
+    body = cut(cols.mapInArrow(bodies, "chunk long, tokens long, blob binary, ids array<bigint>, sizes binary, vocabulary binary"))
+    total = body.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    parts = 1 << max(3, (total // PARTITION_TOKENS).bit_length())
+    shift = np.uint64(KEY_BITS - parts.bit_length() + 1)
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, *blobs in zip(*(b.column(k).to_pylist() for k in ("chunk", "blob", "sizes", "vocabulary")), strict=True):
+                c = Chunk.unpack([], *blobs)
+                for n in range(1, order + 1):
+                    u, m = np.unique(c.keys(n)[0], return_counts=True)
+                    cuts = np.searchsorted(u >> shift, np.arange(parts + 1))
+                    rows = [(p, x, y) for p, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
+                    out = [_pack(np.diff(u[x:y], prepend=np.uint64(0)), m[x:y].astype("u4")) for _, x, y in rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([p for p, _, _ in rows], pa.int32()), pa.array([name] * len(rows), pa.int64()), pa.array([n] * len(rows), pa.int32()), pa.array(out, pa.binary())],
+                        names=["part", "chunk", "n", "blob"],
+                    )
+
+    grams = body.mapInArrow(explode, "part int, chunk long, n int, blob binary")
     tables = grams.repartition(parts, "part").sortWithinPartitions("part", "n", "chunk").mapInArrow(count, "chunk long, n int, part int, blob binary")
-    none = F.lit(None)
+    none, zero = F.lit(None), F.lit(0).alias("n")
     tables = tables.withColumns({"ids": none.cast("array<bigint>"), "sizes": none.cast("binary"), "vocabulary": none.cast("binary")})
-    body = cols.mapInArrow(bodies, "chunk long, n int, part int, blob binary, ids array<bigint>, sizes binary, vocabulary binary")
-    total = cols.select(F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    body = body.select("chunk", zero, F.lit(0).alias("part"), "blob", "ids", "sizes", "vocabulary")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "chunk", 1):
@@ -229,9 +240,8 @@ def lm_scores(
             for name in np.unique(names):
                 rows = t.filter(pa.array(names == name)).to_pylist()
                 top = next(r for r in rows if r["n"] == 0)
-                unpack = lambda b, k: _unpack(b, k)[0]
-                c = Chunk(top["ids"], unpack(top["sizes"], "i8"), unpack(top["blob"], "u4"), unpack(top["vocabulary"], "u8"))
-                found = {n: [unpack(r["blob"], "u8") for r in sorted((r for r in rows if r["n"] == n), key=lambda r: r["part"])] for n in range(1, order + 1)}
+                c = Chunk.unpack(top["ids"], top["blob"], top["sizes"], top["vocabulary"])
+                found = {n: [_unpack(r["blob"], "u8")[0] for r in sorted((r for r in rows if r["n"] == n), key=lambda r: r["part"])] for n in range(1, order + 1)}
                 counts = {n: np.concatenate(x) if x else np.zeros(0, "u8") for n, x in found.items()}
                 s, sizes = backoff_scores(c, counts, total, order, exclude_own)
                 mean = [x / n if n else None for x, n in zip(s.tolist(), sizes.tolist(), strict=True)]

@@ -176,6 +176,24 @@ def test_lm_scores(spark, order, own):
     assert lm_scoring.lm_scores(df.limit(0)).count() == 0
 
 
+def test_lm_scores_of_rows_in_another_order_each_time(spark):
+    texts = {i: prose(40, 40 + i % 30) for i in range(200)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    shuffled = df.mapInArrow(reordered, df.schema)
+    got = {r["doc_id"]: r["log10_score"] for r in lm_scoring.lm_scores(shuffled, chunk_tokens=200).collect()}
+    assert got == pytest.approx(dict(zip(texts, backoff(list(texts.values()), 3), strict=True)))
+
+
+def reordered(batches):
+    """Rows of a partition in another order at each call."""
+    import os
+
+    import pyarrow as pa
+
+    t = pa.Table.from_batches(list(batches)).select(["doc_id", "text"])
+    yield from t.take(np.random.default_rng(list(os.urandom(8))).permutation(t.num_rows)).combine_chunks().to_batches()
+
+
 # --- 3 --------------------------------------------------------------------------------------
 def test_decontamination(spark):
     item, short = prose(40, 50), "tiny benchmark item"
