@@ -102,7 +102,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         elif name == "crosslinks":
             W.write_text(W.bed_text(table), f"{a.output}/{name}")
         else:
-            W.write_text(W.site_bed_text(table), f"{a.output}/{name}", W.SITE_HEADER)
+            W.write_sites(table, f"{a.output}/{name}")
     return None
 
 

@@ -29,8 +29,8 @@ def multimapped_reads(reads: DataFrame) -> DataFrame:
 
 
 def is_human_standard(chrom: Column) -> Column:
-    """1 to 22, X, Y, M or MT, with or without chr."""
-    return chrom.rlike("^(chr)?([1-9]|1[0-9]|2[0-2]|X|Y|M|MT)$")
+    """1 to 22, leading zeros allowed, X, Y and MT, with or without chr; M only with it."""
+    return chrom.rlike("^(chr)?(0*([1-9]|1[0-9]|2[0-2])|X|Y|MT)$|^chrM$")
 
 
 def is_numbered_or_named(chrom: Column) -> Column:

@@ -39,7 +39,7 @@ def overlap_counts(peaks: DataFrame, features: DataFrame, keys: list[str], by: l
     counts = pairs.groupBy("peak_id", *[F.col(f"b_{c}").alias(c) for c in by]).agg(F.count("*").alias(name))
     frame = peaks
     if by:
-        frame = peaks.crossJoin(F.broadcast(features.select(*by).distinct().limit(100_000)))  # samples: a few
+        frame = peaks.crossJoin(features.select(*by).distinct())  # the shape of the result
     return frame.join(counts, ["peak_id", *by], "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("long"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.alignment import cigar_blocks, has_deletion, reference_length, substitutions, truncation_site
 from ..functions.stats import bh_adjust, binom_sf, binom_sf_deep
 from .filters import testable
-from .intervals import gap_cluster
+from .intervals import gap_cluster_chunked
 
 KEYS = ["sample", "chrom", "strand"]
 #: Substitution counts saturate here.
@@ -77,8 +77,11 @@ def background(df: DataFrame, signal: str, by: list[str] | None = None, min_cove
 
 
 def cluster_rates(piles: DataFrame, max_gap: int = 25) -> DataFrame:
-    """Adds cluster and local_rate: clean truncations over coverage in runs of near positions."""
-    c = gap_cluster(piles, KEYS, "pos", max_gap)
+    """Adds cluster (its first position) and local_rate: clean truncations over coverage in runs of near positions.
+
+    Runs are found in pieces of a chromosome, so no task sorts a whole one.
+    """
+    c = gap_cluster_chunked(piles, KEYS, "pos", max_gap)
     w = Window.partitionBy(*KEYS, "cluster")
     total = F.sum("coverage").over(w)
     return c.withColumn("local_rate", F.when(total > 0, F.sum("clean_truncations").over(w) / total).otherwise(0.0))
@@ -99,16 +102,23 @@ def test_sites(
     return bh_adjust(out.withColumn("pvalue", p), family or KEYS)
 
 
-def bed_sites(sites: DataFrame, label: str) -> DataFrame:
-    """The site columns of a BED-like table, in its order: q ascending, then fraction descending."""
+def bed_sites(sites: DataFrame, label: str | None) -> DataFrame:
+    """The site columns of a BED-like table, in its order: q ascending, then fraction descending.
+
+    Names are ``label:chrom:pos:strand``. Without a label, for substitutions, it is the type as in
+    ``TtoC``, and sub_type stays as a column.
+    """
     from ..functions.stats import site_score
 
+    kind = [] if label else ["sub_type"]
+    first = F.lit(label) if label else F.concat(F.substring("sub_type", 1, 1), F.lit("to"), F.substring("sub_type", 2, 1))
     out = sites.select(
+        *kind,
         "sample",
         "chrom",
         F.col("pos").alias("start"),
         (F.col("pos") + 1).alias("end"),
-        F.concat_ws(":", F.lit(label), "chrom", F.col("pos").cast("string"), "strand").alias("name"),
+        F.concat_ws(":", first, "chrom", F.col("pos").cast("string"), "strand").alias("name"),
         site_score(F.col("qvalue")).alias("score"),
         "strand",
         "signal",
@@ -117,4 +127,4 @@ def bed_sites(sites: DataFrame, label: str) -> DataFrame:
         "pvalue",
         "qvalue",
     )
-    return out.orderBy("sample", "chrom", F.when(F.col("strand") == "+", 0).otherwise(1), "qvalue", F.col("fraction").desc(), "start")
+    return out.orderBy("sample", *kind, "chrom", F.when(F.col("strand") == "+", 0).otherwise(1), "qvalue", F.col("fraction").desc(), "start")

@@ -358,7 +358,24 @@ def umi_position_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.dedup_position(filters.unique_reads(reads(spark, d)))
 
 
-@query()
+def _networks(names: str, weight: str) -> str:
+    """Directional UMI networks as tables: a UMI belongs to the heaviest that reaches it over falling edges."""
+    bundle = "sample, chrom, strand, site, spliced"
+    return duck(
+        READS,
+        f"keyed AS (SELECT * REPLACE ({names} AS qname), CASE WHEN strand = '-' THEN end0 ELSE start0 END AS site, shape = 'N' AS spliced FROM reads WHERE nh = 1)",
+        f"placed AS (SELECT *, row_number() OVER (PARTITION BY {bundle}, umi ORDER BY mapq DESC, qname, ord) AS rk, sum({weight}) OVER (PARTITION BY {bundle}, umi) AS w, count(*) OVER (PARTITION BY {bundle}, umi) AS n FROM keyed)",
+        f"umis AS (SELECT *, row_number() OVER (ORDER BY {bundle}, w DESC, umi) AS id FROM placed WHERE rk = 1)",
+        "edges AS (SELECT a.id AS i, b.id AS j FROM umis a JOIN umis b ON a.sample = b.sample AND a.chrom = b.chrom AND a.strand = b.strand AND a.site = b.site AND a.spliced = b.spliced AND a.id <> b.id AND length(a.umi) = length(b.umi) AND a.w >= 2 * b.w - 1 AND hamming(a.umi, b.umi) = 1)",
+        "reach(i, j) AS (SELECT id, id FROM umis UNION SELECT reach.i, edges.j FROM reach JOIN edges ON edges.i = reach.j)",
+        "owned AS (SELECT j, min(i) AS i FROM reach GROUP BY j)",
+        "nets AS (SELECT i, sum(n) AS reads, sum(w) AS score, arg_min(struct_pack(q := u.qname, s := u.start0, e := u.end0, f := u.flag, m := u.mapq, c := u.cigar), struct_pack(m := -u.mapq, q := u.qname)) AS r FROM owned JOIN umis u ON u.id = owned.j GROUP BY i)",
+    ).replace("WITH ", "WITH RECURSIVE ", 1) + (
+        " SELECT u.sample, u.chrom, u.strand, u.site, u.spliced, u.umi, CAST(reads AS BIGINT) AS reads, r.q AS qname, r.s AS start0, r.e AS end0, r.f AS flag, r.m AS mapq, r.c AS cigar"
+    )
+
+
+@query(_networks("qname", "1") + " FROM nets JOIN umis u ON u.id = nets.i")
 def umi_directional_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.dedup_directional(filters.unique_reads(reads(spark, d)))
 
@@ -369,7 +386,7 @@ def readname_parse(spark: SparkSession, d: str) -> DataFrame:
     return fastq(spark, d).select("name", N.name_id(n).alias("id"), N.name_count(n).alias("n"), N.name_umi(n).alias("umi"))
 
 
-@query(duck(FASTQ) + ", head AS (SELECT CASE WHEN split_part(name, '#', 3) <> '' THEN split_part(name, '#', 3) END AS u FROM (SELECT * FROM fastq ORDER BY ord LIMIT 200)) SELECT count(u) = count(*) AS has_umi, CASE WHEN count(u) = count(*) THEN CAST(mode(length(u)) AS INT) ELSE 0 END AS umi_length FROM head")
+@query(duck(FASTQ) + ", head AS (SELECT CASE WHEN split_part(name, '#', 3) <> '' THEN split_part(name, '#', 3) END AS u FROM (SELECT * FROM fastq ORDER BY ord LIMIT 200)) SELECT count(u) > 0 AS has_umi, coalesce(CAST(mode(length(u)) AS INT), 0) AS umi_length FROM head")
 def umi_detect_length(spark: SparkSession, d: str) -> DataFrame:
     return dedup.detect_umi(fastq(spark, d), name="name")
 
@@ -648,7 +665,7 @@ def recomputed_md(spark: SparkSession, d: str) -> DataFrame:
     return with_md(r, ref, 1000).select("qname", F.col("copy").alias("ord"), "md", "nm")
 
 
-@query()
+@query(_networks("concat(qname, '#', CAST(read_id % 3 + 1 AS VARCHAR))", "read_id % 3 + 1") + ", CAST(score AS BIGINT) AS score FROM nets JOIN umis u ON u.id = nets.i")
 def weighted_collapse(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumn("qname", F.concat("qname", F.lit("#"), (F.col("read_id") % 3 + 1).cast("string")))
     return dedup.collapse_weighted(r)

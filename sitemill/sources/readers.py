@@ -97,14 +97,29 @@ def read_sam_header(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _inflate(blob: bytes) -> Iterator[bytes]:
-    """Data of a BGZF file: gzip members one after another."""
-    at = 0
+    """Data of a BGZF file: gzip members one after another, each of the size that its header names.
+
+    A plain gzip file, whose headers don't, is inflated by one pass over the rest.
+    """
+    view, at = memoryview(blob), 0
     while at < len(blob):
+        size = _member_size(view, at)
         d = zlib.decompressobj(31)
-        yield d.decompress(blob[at:]) + d.flush()
-        at = len(blob) - len(d.unused_data)
-        if not d.unused_data:
-            break
+        yield d.decompress(view[at : at + size] if size else view[at:]) + d.flush()
+        at = at + size if size else len(blob) - len(d.unused_data)
+
+
+def _member_size(view: memoryview, at: int) -> int:
+    """Bytes of the gzip member at ``at`` by its BC field; 0 if it has none."""
+    if len(view) < at + 18 or not view[at + 3] & 4:
+        return 0
+    k, end = at + 12, at + 12 + int.from_bytes(view[at + 10 : at + 12], "little")
+    while k + 4 <= end:
+        n = int.from_bytes(view[k + 2 : k + 4], "little")
+        if bytes(view[k : k + 2]) == b"BC" and n == 2:
+            return int.from_bytes(view[k + 4 : k + 6], "little") + 1
+        k += 4 + n
+    return 0
 
 
 _SEQ, _CIGAR = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"

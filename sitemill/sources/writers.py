@@ -41,6 +41,15 @@ def site_bed_text(sites: DataFrame) -> DataFrame:
     )
 
 
+def write_sites(sites: DataFrame, path: str) -> None:
+    """Site rows with their header; substitution sites in a folder for each type."""
+    if "sub_type" not in sites.columns:
+        return write_text(site_bed_text(sites), path, SITE_HEADER)
+    for kind in [r["sub_type"] for r in sites.select("sub_type").distinct().orderBy("sub_type").collect()]:  # twelve at most
+        write_text(site_bed_text(sites.where(F.col("sub_type") == kind)), f"{path}/{kind[0]}to{kind[1]}", SITE_HEADER)
+    return None
+
+
 def bed_text(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in ("chrom", "start", "end", "name", "score", "strand")]).alias("value"))
 
@@ -50,9 +59,10 @@ def bedgraph_text(track: DataFrame, value: str = "value") -> DataFrame:
 
 
 def with_header(text: DataFrame, header: str) -> DataFrame:
-    """A header row before the rows, in a one-file write."""
-    first = text.sparkSession.createDataFrame([(0, header)], "o int, value string")
-    return first.unionByName(text.select(F.lit(1).alias("o"), "value")).coalesce(1).sortWithinPartitions("o").select("value")
+    """A header row before the rows, which keep their order, in a one-file write: for text that tools read, not for large tables."""
+    first = text.sparkSession.createDataFrame([(-1, header)], "i long, value string")
+    rows = text.select(F.monotonically_increasing_id().alias("i"), "value")  # in the order of the rows
+    return first.unionByName(rows).coalesce(1).sortWithinPartitions("i").select("value")
 
 
 def write_text(text: DataFrame, path: str, header: str | None = None) -> None:

@@ -57,3 +57,12 @@ def test_weighted_collapse(spark):
     reads = [read(100, "30M", end=130, umi="AAA", name=f"r{i}#3#AAA", order=i) for i in range(2)]
     got = dedup.collapse_weighted(spark.createDataFrame(reads, READ)).collect()
     assert len(got) == 1 and got[0]["score"] == 6 and got[0]["reads"] == 2
+    # AAT (2 reads of 5 copies) is a neighbour of AAA (6 of 3): one network of 28 copies, and CCC apart
+    names = [("AAA", 3)] * 6 + [("AAT", 5)] * 2 + [("CCC", 1)]
+    reads = [read(100, "30M", end=130, umi=u, name=f"r{i}#{c}#{u}", order=i) for i, (u, c) in enumerate(names)]
+    got = dedup.collapse_weighted(spark.createDataFrame(reads, READ)).collect()
+    assert sorted((r["umi"], r["reads"], r["score"]) for r in got) == [("AAA", 6, 18), ("AAT", 2, 10), ("CCC", 1, 1)]
+    names[0] = ("AAA", 20)
+    reads = [read(100, "30M", end=130, umi=u, name=f"r{i}#{c}#{u}", order=i) for i, (u, c) in enumerate(names)]
+    got = dedup.collapse_weighted(spark.createDataFrame(reads, READ)).collect()
+    assert sorted((r["umi"], r["reads"], r["score"]) for r in got) == [("AAA", 8, 45), ("CCC", 1, 1)]

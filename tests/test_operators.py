@@ -67,7 +67,7 @@ def test_background_fallback(spark):
 def test_clusters(spark):
     df = spark.createDataFrame([("s", "c", "+", p, t, c) for p, t, c in ((10, 2, 5), (20, 0, 4), (45, 1, 6), (71, 1, 1))], "sample string, chrom string, strand string, pos long, clean_truncations long, coverage long")
     got = {r["pos"]: (r["cluster"], round(r["local_rate"], 6)) for r in P.cluster_rates(df).collect()}
-    assert got == {10: (1, 0.2), 20: (1, 0.2), 45: (1, 0.2), 71: (2, 1.0)}
+    assert got == {10: (10, 0.2), 20: (10, 0.2), 45: (10, 0.2), 71: (71, 1.0)}  # named by their first position
 
 
 def test_chunked_clusters_equal_plain_ones(spark):
@@ -139,6 +139,26 @@ def test_directional_networks(spark):
     assert sorted(r["reads"] for r in one) == [1, 26]
 
 
+def test_detect_umi(spark):
+    d = lambda *n: tuple(dedup.detect_umi(spark.createDataFrame(list(zip(n, range(len(n)), strict=True)), "qname string, ord long")).first())
+    assert d("a", "b#1#ACGT", "c#1#ACG", "d#ACG", "e#9") == (True, 3)
+    assert d("b#1#ACGT", "c#1#ACG") == (True, 4) and d("a", "b#2") == (False, 0)
+
+
+def test_substitution_sites_keep_their_type(spark):
+    rows = [("A", "c", "+", 5, t, 3, 9, 0.3, 1e-4, 1e-3) for t in ("TC", "GA")]
+    df = spark.createDataFrame(rows, "sample string, chrom string, strand string, pos long, sub_type string, signal long, coverage long, fraction double, pvalue double, qvalue double")
+    assert [(r["sub_type"], r["name"]) for r in P.bed_sites(df, None).collect()] == [("GA", "GtoA:c:5:+"), ("TC", "TtoC:c:5:+")]
+    assert P.bed_sites(df, "del").columns[0] == "sample"
+    assert sites.parse_sub_types(["TTOC", "ttoc", "T>C", "xx"]) == ["TC", "TC", "TC"]
+
+
+def test_human_chromosomes(spark):
+    names = ["chr1", "chr01", "chr22", "chr23", "M", "chrM", "MT", "chrMT", "X", "chrX", "0", "05", "chr"]
+    df = spark.createDataFrame([(x,) for x in names], "chrom string")
+    assert {r[0] for r in df.where(filters.is_human_standard(F.col("chrom"))).collect()} == {"chr1", "chr01", "chr22", "chrM", "MT", "chrMT", "X", "chrX", "05"}
+
+
 def test_filters(spark):
     reads = [read(1, "5M"), read(1, "5M", flag=4), read(1, "5M", flag=256), read(1, "5M", flag=2048), read(1, "*"), read(1, "5M", mapq=20, nh=1), read(1, "5M", mapq=20, nh=3), read(1, "5M", mapq=20, nh=None)]
     df = spark.createDataFrame(reads, READ)

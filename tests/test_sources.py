@@ -161,3 +161,22 @@ def test_event_windows_of_a_stream(spark, tmp_path):
     q = s.writeStream.format("memory").queryName("w").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     q.awaitTermination(120)
     assert spark.table("w").agg(F.sum("n")).first()[0] == e.count()
+
+
+def test_inflate_is_linear_and_takes_plain_members():
+    import gzip
+    import struct
+    import zlib
+
+    from sitemill.sources.readers import _inflate
+
+    def member(data):
+        c = zlib.compressobj(1, zlib.DEFLATED, -15)
+        body = c.compress(data) + c.flush()
+        head = b"\x1f\x8b\x08\x04" + b"\0" * 5 + b"\xff" + struct.pack("<H", 6) + b"BC" + struct.pack("<HH", 2, len(body) + 25)
+        return head + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+    parts = [bytes([i % 251]) * 60_000 for i in range(1500)]
+    blob = b"".join(map(member, parts)) + member(b"")
+    assert b"".join(_inflate(blob)) == b"".join(parts)
+    assert b"".join(_inflate(gzip.compress(b"abc") + gzip.compress(b"def"))) == b"abcdef" and list(_inflate(b"")) == []
