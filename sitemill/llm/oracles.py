@@ -69,16 +69,16 @@ WITH parts AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url,
 base AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
 judged AS (SELECT *, {rule} AS rule, {fixed} AS fixed FROM base),
 paths AS (SELECT host, path, count(*) AS n, max(fixed) AS label, list_transform(string_split(path, '/'), lambda x: {shape}) AS s FROM judged GROUP BY host, path),
-t1 AS (SELECT host, path, n, label, CASE WHEN len(s) > {DEPTH} THEN list_append(s[1:{DEPTH}], '**') ELSE s END AS seg, s[1] AS template FROM paths),{",".join(levels)},
+t1 AS (SELECT host, path, n, label, CASE WHEN len(s) > {DEPTH} THEN list_append(s[1:{DEPTH}], array_to_string(s[{DEPTH + 1}:], '/')) ELSE s END AS seg, s[1] AS template FROM paths),{",".join(levels)},
 t AS (SELECT host, path, n, label, CASE WHEN len(seg) > {DEPTH} THEN concat(template, '/', seg[{DEPTH + 1}]) ELSE template END AS template FROM t{DEPTH}),
 nodes AS (SELECT host, template, coalesce(sum(n) FILTER (label IS NOT NULL), 0) AS n, coalesce(sum(n) FILTER (label = 'block'), 0) AS bad, regexp_replace(template, '^(.*/)?([^/{{}}*]+)((/[^/]*[{{*][^/]*)*/?)$', '\\1?\\3') AS parent FROM t GROUP BY host, template),
-family AS (SELECT host, parent, sum(n) AS fn, sum(bad) AS fbad FROM nodes WHERE n > 0 GROUP BY ALL),
+family AS (SELECT host, parent, sum(n) AS fn, sum(bad) AS fbad, count(*) AS kin, sum((bad + {SMOOTHING * PRIOR}) / (n + {SMOOTHING})) AS pure FROM nodes WHERE n > 0 GROUP BY ALL),
 alike AS (
-  SELECT nodes.*, fn, fbad, n > 0 AND (fbad = 0 OR fbad = fn OR abs(bad - n * (fbad / fn)) / sqrt(n * (fbad / fn) * (1 - fbad / fn)) < {ALIKE_Z}) AS same
+  SELECT nodes.*, fn, fbad, kin, pure, n = 0 AND kin IS NOT NULL AS joins, n > 0 AND (fbad = 0 OR fbad = fn OR abs(bad - n * (fbad / fn)) / sqrt(n * (fbad / fn) * (1 - fbad / fn)) < {ALIKE_Z}) AS same
   FROM nodes LEFT JOIN family USING (host, parent)),
-pure AS (SELECT host, template, CASE WHEN same THEN parent ELSE template END AS merged, round((CASE WHEN same THEN fbad ELSE bad END + {SMOOTHING * PRIOR}) / (CASE WHEN same THEN fn ELSE n END + {SMOOTHING}), 9) AS purity FROM alike)
+judged_nodes AS (SELECT host, template, CASE WHEN same OR joins THEN parent ELSE template END AS merged, round(CASE WHEN joins THEN (pure + {SMOOTHING * PRIOR}) / (kin + {SMOOTHING}) ELSE (CASE WHEN same THEN fbad ELSE bad END + {SMOOTHING * PRIOR}) / (CASE WHEN same THEN fn ELSE n END + {SMOOTHING}) END, 9) AS purity FROM alike)
 SELECT page_id, j.host, j.path, rule, coalesce(fixed, CASE WHEN purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict, merged AS template, CAST(purity AS DOUBLE) AS purity
-FROM judged j JOIN t ON t.host = j.host AND t.path = j.path JOIN pure p ON p.host = t.host AND p.template = t.template"""
+FROM judged j JOIN t ON t.host = j.host AND t.path = j.path JOIN judged_nodes p ON p.host = t.host AND p.template = t.template"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,11 +9,12 @@ from .common import LOWER, UPPER, cut
 
 #: (verdict, host/path) of the query's rules.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-#: Levels of the tree; what lies deeper is one last segment.
+#: Levels at which variable segments are learnt; what lies deeper is one last segment of fixed shapes.
 DEPTH = 6
 #: A node with more distinct children, most of them rare, has variable ones.
 FANOUT = 20
-#: Purity is smoothed by so many imagined pages, of which a quarter are blocked.
+#: Purity is smoothed by so many imagined pages, of which a quarter are blocked; that of a branch
+#: without labels by so many imagined siblings of that purity.
 SMOOTHING, PRIOR = 4.0, 0.25
 #: A template is rejected at this share of blocked pages.
 REJECT = 0.5
@@ -67,7 +68,7 @@ def path_templates(paths: DataFrame, depth: int = DEPTH, fanout: int = FANOUT) -
     """
     parts = F.transform(F.split("path", "/"), segment_shape)
     head = F.slice(parts, 1, depth)
-    tail = F.when(F.size(parts) > depth, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
+    tail = F.when(F.size(parts) > depth, F.array(F.array_join(F.slice(parts, depth + 1, F.size(parts)), "/"))).otherwise(F.array().cast("array<string>"))
     t = cut(paths.withColumn("__seg", F.concat(head, tail)).withColumn("template", F.element_at("__seg", 1)))
     for level in range(2, depth + 1):
         seg = F.try_element_at("__seg", F.lit(level))
@@ -89,8 +90,10 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     Where a rule fits, the longest one's verdict holds. Else the page's template decides: the pages
     of a host that rules have judged are the labels. Sibling templates, which differ in one fixed
     segment, are merged if their shares of blocked pages do not differ significantly from their
-    common share; templates without labels have nothing to compare and stay apart. The purity of a
-    template is its blocked share, smoothed towards a prior that allows; from one half it rejects.
+    common share. The purity of a template is its blocked share, smoothed towards a prior that
+    allows; from one half it rejects. A template without labels joins the branch of its labelled
+    siblings: its purity is their mean, smoothed as if there were four more siblings at the prior, so
+    three blocked ones condemn it and two do not. Without labelled siblings the prior is left.
 
     Null urls and those without ``://`` have an empty host and path, match no rule and are allowed
     unless the empty template is rejected. Rows of one id each give a row. Extra columns are ignored.
@@ -107,14 +110,18 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     )
     # siblings: the last fixed segment masked
     nodes = nodes.withColumn("parent", F.regexp_replace("template", r"^(.*/)?([^/{}*]+)((/[^/]*[{*][^/]*)*/?)$", "$1?$3"))
-    family = nodes.where("n > 0").groupBy("host", "parent").agg(F.sum("n").alias("fn"), F.sum("bad").alias("fbad"))
+    family = nodes.where("n > 0").groupBy("host", "parent").agg(
+        F.sum("n").alias("fn"), F.sum("bad").alias("fbad"), F.count("*").alias("kin"), F.sum((F.col("bad") + SMOOTHING * PRIOR) / (F.col("n") + SMOOTHING)).alias("pure")
+    )
     nodes = nodes.join(family, ["host", "parent"], "left")
     p = F.col("fbad") / F.col("fn")
     z = F.abs(F.col("bad") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))
     alike = (F.col("n") > 0) & ((p == 0) | (p == 1) | (z < ALIKE_Z))
     n, bad = F.when(alike, F.col("fn")).otherwise(F.col("n")), F.when(alike, F.col("fbad")).otherwise(F.col("bad"))
-    purity = F.round((bad + SMOOTHING * PRIOR) / (n + SMOOTHING), 9).alias("purity")
-    nodes = nodes.select("host", "template", purity, F.when(alike, F.col("parent")).otherwise(F.col("template")).alias("merged"))
+    joins = (F.col("n") == 0) & (F.col("kin") > 0)
+    kin = (F.col("pure") + SMOOTHING * PRIOR) / (F.col("kin") + SMOOTHING)
+    purity = F.round(F.when(joins, kin).otherwise((bad + SMOOTHING * PRIOR) / (n + SMOOTHING)), 9).alias("purity")
+    nodes = nodes.select("host", "template", purity, F.when(alike | joins, F.col("parent")).otherwise(F.col("template")).alias("merged"))
     nodes, _ = counted(nodes)
     named = t.select("host", "path", "template").join(nodes, ["host", "template"]).select("host", "path", F.col("merged").alias("template"), "purity")
     out = base.join(named, ["host", "path"])

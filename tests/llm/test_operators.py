@@ -319,6 +319,49 @@ def test_url_purity_rejects(spark):
     assert got[50]["rule"] is None and got[50]["purity"] >= 0.5 and got[50]["verdict"] == "block"
 
 
+def plain_tree(rows, rules):
+    """The verdicts of the tree by loops over all pages, for paths of two levels."""
+    parts = lambda u: re.fullmatch(r"[^:]*://([^/]*)(/[^/]*)(/.*)", u).groups()
+    shape = lambda s: re.sub(r"\d+", "{n}", s)
+    pages = []
+    for i, u in rows:
+        host, a, b = parts(u)
+        fits = [(len(t), what) for what, t in rules if (host + a + b).startswith(t)]
+        pages.append((i, host, shape(a) + shape(b), max(fits)[1] if fits else None))
+    count = lambda host, t: [sum(1 for _, h, x, v in pages if (h, x) == (host, t) and v in vs) for vs in (("allow", "block"), ("block",))]
+    out = {}
+    for i, host, t, verdict in pages:
+        n, bad = count(host, t)
+        kin = {x for _, h, x, _ in pages if h == host and x.rpartition("/")[2] == t.rpartition("/")[2]}
+        own = {x: count(host, x) for x in kin}
+        known = [c for c in own.values() if c[0]]
+        if not n and known:
+            p = (sum((b + 1) / (m + 4) for m, b in known) + 1) / (len(known) + 4)
+        else:
+            fn, fbad = sum(m for m, _ in known), sum(b for _, b in known)
+            if n and (fbad in (0, fn) or abs(bad - n * fbad / fn) / math.sqrt(n * fbad / fn * (1 - fbad / fn)) < 1.96):
+                n, bad = fn, fbad
+            p = (bad + 1) / (n + 4)
+        out[i] = verdict or ("block" if p >= 0.5 else "allow")
+    return out
+
+
+def test_urls_without_labels_join_their_siblings(spark):
+    r = random.Random(4)
+    rows = [(k, f"http://{h}.net/{s}/{r.randint(1, 999)}") for k, (h, s) in enumerate((h, s) for h in "abc" for s in ("es", "fr", "de", "it", "pl", "new") for _ in range(r.randint(8, 30)))]
+    rules = (*(("block", f"a.net/{s}/") for s in ("es", "fr", "de", "it")), *(("block", f"b.net/{s}/") for s in ("es", "fr")), ("block", "c.net/es/"), ("allow", "c.net/fr/"))
+    got = {x["page_id"]: (x["verdict"], x["rule"]) for x in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules=rules).collect()}
+    assert {i: v for i, (v, _) in got.items()} == plain_tree(rows, rules)
+    new = {u.split("/")[2]: got[i][0] for i, u in rows if "/new/" in u}
+    assert new == {"a.net": "block", "b.net": "allow", "c.net": "allow"}
+
+
+def test_deep_paths_keep_all_segments(spark):
+    rows = [(1, "http://h.org/" + "/".join("abcdefghij")), (2, "http://h.org/" + "/".join("abcdefghiz"))]
+    got = {x["page_id"]: x["template"] for x in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got == {1: "/a/b/c/d/e/f/g/h/i/j", 2: "/a/b/c/d/e/f/g/h/i/z"}
+
+
 # --- 5 --------------------------------------------------------------------------------------
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
