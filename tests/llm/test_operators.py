@@ -538,11 +538,59 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>v
 e</p><form>x<input></form><div id="sidebar-x">side</div><section class="comments"><article><p>Reader</p></article></section></article><aside>s</aside><footer>f</footer>"""
 
 
+def main_text(page):
+    texts, marked = html_extract.own_blocks(page)
+    return "\n".join(texts) if marked else None
+
+
 def test_main_text():
-    assert html_extract.main_text(PAGE) == "Title & more\nOnetwo three four\nA <b> c d e"
-    assert html_extract.main_text(None) == html_extract.main_text("") == html_extract.main_text("<p>no main part") == ""
-    assert html_extract.main_text("<article>a < b &am c") == "a < b &am c"
-    assert html_extract.main_text("<nav><ul><li>menu<article><p>in</article>") == "in"
+    assert main_text(PAGE) == "Title & more\nOnetwo three four\nA <b> c d e"
+    assert main_text(None) is main_text("") is main_text("<p>no main part") is None
+    assert main_text("<article>a < b &am c") == "a < b &am c"
+    assert main_text("<nav><ul><li>menu<article><p>in</article>") == "in"
+
+
+def test_wrappers_do_not_hide_the_main_part():
+    for page in (
+        "<form id=aspnet><main><p>Body</p></main></form>",
+        '<article class="post share-enabled"><p>Body</p></article>',
+        '<div class="page-header widget"><article><p>Body</p></article></div>',
+        '<main class="content related"><p>Body</p></main>',
+        '<div class="layout with-sidebar"><article>Body<div class="share">x</div></article></div>',
+        '<main><p>Body</p><section class="comments-list"><article>a reader</article></section><article class="comment">b</article></main>',
+        '<article><p>Body</p></article><aside><article>other</article></aside><div class="related-posts"><article>more</article></div>',
+    ):
+        assert main_text(page) == "Body", page
+    assert html_extract.own_blocks("<!-- <article> --><div><p>Real text</p></div>") == (["Real text"], False)
+    assert html_extract.own_blocks("<article><nav>x</nav></article><p>Else</p>") == (["Else"], False)
+
+
+def pages_of(marked, n, r):
+    """Pages of a host: unique text, a line that all have, one that few have, and a copy."""
+    shared, few = prose(12, 801), prose(12, 802)
+    body = ["".join(f"<p>{x}</p>" for x in (prose(30, 2000 + i), shared, *([few] if i % 12 == 0 else [])))for i in range(n)]
+    body += [body[0]] * (n // 3)
+    wrap = "<body><article>{}</article></body>" if marked else "<body><div>{}</div></body>"
+    return [wrap.format(b) for b in body], shared, few
+
+
+@pytest.mark.parametrize("shard", [400, 7])
+def test_pages_of_a_host_do_not_depend_on_its_shards(spark, monkeypatch, shard):
+    monkeypatch.setattr(html_extract, "SHARD_PAGES", shard)
+    r = random.Random(2)
+    rows = []
+    for h, marked in (("a", False), ("b", True)):
+        html, shared, few = pages_of(marked, 60, r)
+        rows += [(len(rows) + k, f"http://{h}.org/{k}", x) for k, x in enumerate(html)]
+    rows += [(900, "http://c.org/1", rows[0][2]), (901, None, rows[0][2]), (902, "http://d.org", "<p>" + "word " * 50_000 + "</p>"), (902, "http://d.org", "<p>x</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = Counter((x["page_id"], x["text"]) for x in html_extract.extract_text(df).collect())
+    want = Counter()
+    for i, u, x in rows:
+        texts = re.findall("<p>(.*?)</p>", x)
+        keep = texts if u is None or u[7] in "cd" else [t for t in texts if t != shared]  # few is on a twelfth of the pages
+        want[i, "\n".join(t.strip() for t in keep)] += 1
+    assert got == want and few in got.most_common(1)[0][0][1] + "".join(t for _, t in got)
 
 
 def test_pages(spark):
