@@ -574,9 +574,10 @@ def pages_of(marked, n, r):
     return [wrap.format(b) for b in body], shared, few
 
 
-@pytest.mark.parametrize("shard", [400, 7])
-def test_pages_of_a_host_do_not_depend_on_its_shards(spark, monkeypatch, shard):
+@pytest.mark.parametrize("shard,few_names", [(400, 10**6), (7, 10**6), (7, 0)])
+def test_pages_of_a_host_do_not_depend_on_its_shards(spark, monkeypatch, shard, few_names):
     monkeypatch.setattr(html_extract, "SHARD_PAGES", shard)
+    monkeypatch.setattr(html_extract, "BROADCAST_NAMES", few_names)
     r = random.Random(2)
     rows = []
     for h, marked in (("a", False), ("b", True)):
