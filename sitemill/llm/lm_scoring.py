@@ -20,8 +20,8 @@ BACKOFF = 0.4
 CHUNK_TOKENS = 3_000_000
 #: Tokens, of all orders' n-grams, whose counts one partition of the tables holds.
 PARTITION_TOKENS = 2_000_000
-#: Bits of an n-gram's key: two n-grams share one by chance once in 2^56 pairs.
-KEY_BITS = 56
+#: Bits of an n-gram's key and of a word's: two share one by chance once in so many powers of two.
+KEY_BITS, WORD_BITS = 54, 48
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -48,7 +48,7 @@ def _unplanes(b: bytes, kind: str) -> np.ndarray:
 
 def _pack(*arrays: np.ndarray) -> bytes:
     parts = [_planes(a) for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
 
 def _unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
@@ -76,7 +76,7 @@ class Chunk:
             w = tokens(t)
             sizes.append(len(w))
             streams.append(np.fromiter((number.setdefault(x, len(number)) for x in w), "u4", len(w)))
-        vocabulary = np.fromiter(map(xxhash.xxh64_intdigest, number), "u8", len(number))
+        vocabulary = np.fromiter(map(xxhash.xxh64_intdigest, number), "u8", len(number)) >> np.uint64(64 - WORD_BITS)
         return cls(ids, np.array(sizes, "i8"), np.concatenate(streams) if streams else np.zeros(0, "u4"), vocabulary)
 
     @classmethod
