@@ -70,34 +70,32 @@ def binom_sf_deep(k: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
 def bh_adjust(df: DataFrame, family: list[str], p: str = "pvalue", q: str = "qvalue") -> DataFrame:
     """Adds Benjamini-Hochberg q values within each family: least p*m/rank over this and later ranks.
 
-    One sort by (family, p) serves both windows. The order of tied p values does not matter.
+    No task sorts a whole family, however large. Rows are counted by distinct p first, since ties
+    share the least of their values, which is that of the last of them. Distinct values are dealt
+    to ranges a 256th of a power of two wide; one row for each range shifts the ranks in it and
+    bounds its values by the least of later ranges. Rows without a p get no q.
     """
-    up = Window.partitionBy(*family).orderBy(F.col(p))
-    out = df.withColumn("__m", F.count("*").over(Window.partitionBy(*family))).withColumn("__rank", F.row_number().over(up))
-    down = Window.partitionBy(*family).orderBy(F.col("__rank").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    least = F.min(F.col(p) * F.col("__m") / F.col("__rank")).over(down)
-    return out.withColumn(q, F.least(F.lit(1.0), least)).drop("__m", "__rank")
-
-
-def bh_adjust_ranged(df: DataFrame, p: str = "pvalue", q: str = "qvalue", buckets: int = 1024) -> DataFrame:
-    """Benjamini-Hochberg q values of one family of any size, without one task that sorts it all.
-
-    Rows are dealt to buckets by the order of p (equal-width in log p). Bucket counts, one row each,
-    shift the ranks within a bucket; the least adjusted value of later buckets bounds each bucket's
-    own. Sorting happens within buckets only.
-    """
-    level = F.least(F.greatest(F.floor((F.log10(F.greatest(F.col(p), F.lit(1e-300))) + 300) / 300 * (buckets - 1)), F.lit(0)), F.lit(buckets - 1))
-    b = df.withColumn("__b", level.cast("int"))
-    counts = b.groupBy("__b").agg(F.count("*").alias("n"))
-    every = Window.orderBy("__b")
-    base = counts.select("__b", (F.sum("n").over(every) - F.col("n")).alias("__base"), F.sum("n").over(Window.partitionBy(F.lit(1))).alias("__m"))
-    own = b.join(F.broadcast(base), "__b").withColumn("__rank", F.col("__base") + F.row_number().over(Window.partitionBy("__b").orderBy(p)))
-    own = own.withColumn("__adj", F.col(p) * F.col("__m") / F.col("__rank"))
-    lows = own.groupBy("__b").agg(F.min("__adj").alias("low"))
-    later = lows.select("__b", F.min("low").over(Window.orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, -1)).alias("__later"))
-    down = Window.partitionBy("__b").orderBy(F.col("__rank").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    out = own.join(F.broadcast(later), "__b").withColumn(q, F.least(F.lit(1.0), F.min("__adj").over(down), F.coalesce("__later", F.lit(1.0))))
-    return out.drop("__b", "__base", "__m", "__rank", "__adj", "__later")
+    from ..operators.intervals import join_null_safe
+
+    level = F.floor(F.log2(F.greatest(F.col(p), F.lit(1e-300))) * 256)
+    n = df.where(F.col(p).isNotNull()).groupBy(*family, p).agg(F.count("*").alias("__n")).withColumn("__b", level)
+    up, every = Window.partitionBy(*family).orderBy("__b"), Window.partitionBy(*family)
+    ranges = n.groupBy(*family, "__b").agg(F.sum("__n").alias("n"))
+    ranges = ranges.select(*family, "__b", (F.sum("n").over(up) - F.col("n")).alias("__base"), F.sum("n").over(every).alias("__m"))
+    inside = Window.partitionBy(*family, "__b").orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = join_null_safe(n, ranges, [*family, "__b"]).withColumn("__adj", F.col(p) * F.col("__m") / (F.col("__base") + F.sum("__n").over(inside)))
+    lows = ranked.groupBy(*family, "__b").agg(F.min("__adj").alias("low"))
+    after = Window.partitionBy(*family).orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    lows = lows.select(*family, "__b", F.min("low").over(after).alias("__later"))
+    down = Window.partitionBy(*family, "__b").orderBy(F.col(p).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    value = F.least(F.lit(1.0), F.min("__adj").over(down), F.col("__later"))
+    table = join_null_safe(ranked, lows, [*family, "__b"]).select(*family, p, value.alias(q))
+    return join_null_safe(df.drop(q), table, [*family, p]).select(*[c for c in df.columns if c != q], q)
+
+
+def bh_adjust_ranged(df: DataFrame, p: str = "pvalue", q: str = "qvalue") -> DataFrame:
+    """Benjamini-Hochberg q values of all rows as one family."""
+    return bh_adjust(df.withColumn("__all", F.lit(1)), ["__all"], p, q).drop("__all")
 
 
 def truncate6(x: Column) -> Column:

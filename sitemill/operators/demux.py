@@ -97,17 +97,26 @@ def divert_repeats(reads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return reads.where(mapped), reads.where(~mapped)
 
 
-def check_eclip(reads: DataFrame, header: str = "header", order: str = "ord", probe: int = 1000) -> DataFrame:
-    """What the first headers say: mate, share with a UMI before a colon, UMI length, as one row.
-
-    The mate is the one that 95 % of headers name, else unknown.
+def check_eclip(reads: DataFrame, mode: str, header: str = "header", order: str = "ord", probe: int = 1000) -> DataFrame:
+    """Whether a file's headers fit paired (``pe``) or single (``se``) eCLIP input, as one row.
+
+    (mate, umi_location, umi_length, verdict). The mate is the one that 95 % of the first headers
+    name, else unknown. The first header tells where the UMI is: five to ten bases before a colon,
+    the same after a last underscore, or in the sequence (length zero for these two). Paired input
+    is read 2 with a colon UMI, single input read 1 with the UMI in the sequence; the verdict is
+    ``ok`` or what is wrong. No reads: an unknown mate.
     """
-    head = reads.orderBy(order).limit(probe).select(header, order)
-    mate = F.regexp_extract(F.col(header), r"\s([12]):", 1)
-    umi = F.regexp_extract(F.col(header), r"^@?([ACGTN]{3,}):", 1)
-    share = lambda c: F.avg(c.cast("double"))
-    facts = head.agg(share(mate == "1").alias("r1"), share(mate == "2").alias("r2"), share(umi != "").alias("with_umi"), F.min_by(F.length(umi), order).alias("umi_length"))
-    return facts.select(F.when(F.col("r1") >= 0.95, "R1").when(F.col("r2") >= 0.95, "R2").otherwise("unknown").alias("mate"), (F.col("with_umi") >= 0.95).alias("umi_in_header"), "umi_length")
+    if mode not in ("pe", "se"):
+        raise ValueError(f"mode {mode}: pe or se")
+    head = reads.orderBy(order).limit(probe).select(F.col(header).alias("h"), F.col(order).alias("o"))
+    named = lambda n: F.avg(F.coalesce(F.col("h").rlike(rf"\s{n}:"), F.lit(False)).cast("double")) >= 0.95
+    facts = head.agg(F.when(named(1), "R1").when(named(2), "R2").otherwise("unknown").alias("mate"), F.regexp_replace(F.split(F.min_by("h", "o"), " ")[0], "^@", "").alias("name"))
+    colon = F.length(F.regexp_extract("name", "^([ACGTN]{5,10}):", 1))
+    place = F.when(colon > 0, "header_colon").when(F.col("name").rlike("_[ACGTN]{5,10}$"), "header_underscore").otherwise("sequence")
+    facts = facts.select("mate", place.alias("umi_location"), F.coalesce(colon, F.lit(0)).alias("umi_length"))
+    mate, where = ("R2", "header_colon") if mode == "pe" else ("R1", "sequence")
+    wrong = F.when(F.col("mate") == "unknown", "no mate in the headers").when(F.col("mate") != mate, F.concat(F.lit(f"{mode} input is {mate}, not "), "mate"))
+    return facts.withColumn("verdict", wrong.when(F.col("umi_location") != where, F.concat(F.lit(f"{mode} input has the UMI in {where}, not in "), "umi_location")).otherwise("ok"))
 
 
 def known_samples(reads: DataFrame) -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Bases that one task sorts at a time.
+CHUNK = 1_000_000
+
 
 def _bins(start: Column, end: Column, width: int) -> Column:
     """Bins that a half-open interval touches; an empty one touches its start's."""
@@ -64,56 +69,77 @@ def gap_cluster(df: DataFrame, keys: list[str], pos: str = "pos", max_gap: int =
     return df.withColumn("__new", new).withColumn(name, F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
 
 
-def gap_cluster_chunked(df: DataFrame, keys: list[str], pos: str = "pos", max_gap: int = 25, chunk: int = 1_000_000, name: str = "cluster") -> DataFrame:
-    """As gap_cluster, but no task needs a whole chromosome: cluster names are the first position.
+def join_null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys where null equals null.
 
-    Windows run within chunks of positions. A chunk's first cluster joins the last of the chunk
-    before if their gap is small; only a row for each chunk takes part in that.
+    No filter for nulls is then pushed into either side, so two sides of one origin keep one shuffle.
     """
-    c = df.withColumn("__chunk", F.floor(F.col(pos) / chunk))
-    own = gap_cluster(c, [*keys, "__chunk"], pos, max_gap, "__own")
-    w = Window.partitionBy(*keys, "__chunk", "__own")
-    own = own.withColumn("__lo", F.min(pos).over(w)).withColumn("__hi", F.max(pos).over(w))
-    ends = own.groupBy(*keys, "__chunk").agg(F.min(pos).alias("lo"), F.max(pos).alias("hi"), F.max_by("__lo", pos).alias("last"), F.max("__own").alias("n"))
+    right = b.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(keys)], *[c for c in b.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"__r{i}")) for i, k in enumerate(keys)]
+    return a.join(right, on, "left").drop(*[f"__r{i}" for i in range(len(keys))])
+
+
+def _runs(df: DataFrame, keys: list[str], start: str, end: list[str], joins: Callable[[Column, Column], Column], chunk: int, name: str) -> DataFrame:
+    """Adds ``name``, the first ``start`` of each row's run: a row joins the run of the row before it if ``joins`` says so.
+
+    ``joins`` sees two rows as structs of ``start`` and the columns ``end``. Windows run within chunks
+    of positions, so no task needs a whole chromosome. A chunk's first run goes on from the last of
+    the chunk before where they join; one row for each chunk takes part in that.
+    """
+    row = F.struct(start, *end)
+    w = Window.partitionBy(*keys, "__chunk").orderBy(start)
+    c = df.withColumn("__chunk", F.floor(F.col(start) / chunk))
+    c = c.withColumn("__new", ~F.coalesce(joins(F.lag(row).over(w), row), F.lit(False)))
+    c = c.withColumn("__lo", F.max(F.when(F.col("__new"), F.col(start))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = c.groupBy(*keys, "__chunk").agg(F.min_by(row, start).alias("__f"), F.max_by(row, start).alias("__l"), F.max("__lo").alias("__lo"), F.count_if("__new").alias("__n"))
     order = Window.partitionBy(*keys).orderBy("__chunk")
-    touch = F.col("lo") - F.lag("hi").over(order) <= max_gap
-    ends = ends.withColumn("__open", F.coalesce(touch, F.lit(False)))
-    # a chain goes on through chunks that are one cluster whole
-    through = F.col("__open") & (F.col("n") == 1)
-    ends = ends.withColumn("__seg", F.when(~through, F.col("last")))
+    ends = ends.withColumn("__open", F.coalesce(joins(F.lag("__l").over(order), F.col("__f")), F.lit(False)))
+    # a chain goes on through chunks that are one run whole
+    ends = ends.withColumn("__seg", F.when(~(F.col("__open") & (F.col("__n") == 1)), F.col("__lo")))
     carried = F.last("__seg", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    ends = ends.select(*keys, "__chunk", F.when(F.col("__open"), carried).alias("__join"))
-    out = own.join(ends, [*keys, "__chunk"])
-    first = F.col("__own") == 1
-    return out.withColumn(name, F.when(first & F.col("__join").isNotNull(), F.col("__join")).otherwise(F.col("__lo"))).drop("__chunk", "__own", "__lo", "__hi", "__join")
+    ends = ends.withColumn("__join", carried).where("__open").select(*keys, "__chunk", "__join", F.col("__f")[start].alias("__first"))
+    out = join_null_safe(c, ends, [*keys, "__chunk"])
+    return out.withColumn(name, F.when(F.col("__lo") == F.col("__first"), F.col("__join")).otherwise(F.col("__lo"))).drop("__chunk", "__new", "__lo", "__join", "__first")
 
 
-def merge_equal(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """Joins adjacent intervals of equal value: (keys, start, end, value)."""
-    w = Window.partitionBy(*keys).orderBy("start")
-    new = F.when((F.lag("end").over(w) == F.col("start")) & (F.lag(value).over(w) == F.col(value)), 0).otherwise(1)
-    island = F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    grouped = df.withColumn("__new", new).withColumn("__island", island).groupBy(*keys, "__island")
-    return grouped.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.first(value).alias(value)).drop("__island")
+def gap_cluster_chunked(df: DataFrame, keys: list[str], pos: str = "pos", max_gap: int = 25, chunk: int = CHUNK, name: str = "cluster", carry: list[str] | None = None) -> DataFrame:
+    """As gap_cluster, but no task needs a whole chromosome: cluster names are the first position.
 
+    Name in ``carry`` the columns that are used later: both passes over the rows then read the same
+    columns, and Spark shuffles what they come from once.
+    """
+    return _runs(df, keys, pos, carry or [], lambda a, b: b[pos] - a[pos] <= max_gap, chunk, name)
 
-def depth_track(intervals: DataFrame, keys: list[str], weight: Column | None = None) -> DataFrame:
+
+def depth_track(intervals: DataFrame, keys: list[str], weight: Column | None = None, chunk: int = CHUNK) -> DataFrame:
     """Sweep of intervals to a step function: (keys, start, end, value), zero steps left out.
 
-    Two events an interval, summed by position before the sort, so deep places cost one row.
+    Intervals are cut at chunk ends, so each chunk is swept by itself. Two events an interval,
+    summed by position before the sort, so deep places cost one row; where the sum stays, no step
+    begins. Of each chunk only the steps at its two ends meet those of its neighbours, and join them
+    at equal values (with weights that are no whole numbers, if both sums came out equal). Empty
+    intervals, and those without a start or an end, add nothing. Weights are above zero.
     """
     w = F.lit(1).cast("long") if weight is None else weight
-    up = intervals.select(*keys, F.col("start").alias("pos"), w.alias("d"), F.lit(1).cast("long").alias("k"))
-    down = intervals.select(*keys, F.col("end").alias("pos"), (-w).alias("d"), F.lit(-1).cast("long").alias("k"))
-    events = up.unionByName(down).groupBy(*keys, "pos").agg(F.sum("d").alias("d"), F.sum("k").alias("k"))
-    order = Window.partitionBy(*keys).orderBy("pos")
+    lo, hi = F.col("__c") * chunk, (F.col("__c") + 1) * chunk
+    cut = intervals.where(F.col("start") < F.col("end")).select(*keys, "start", "end", w.alias("__d"), F.explode(_bins(F.col("start"), F.col("end"), chunk)).alias("__c"))
+    edge = lambda at, d, n: F.struct(at.cast("long").alias("__pos"), d.alias("__v"), F.lit(n).cast("long").alias("__n"))
+    both = F.array(edge(F.greatest("start", lo), F.col("__d"), 1), edge(F.least("end", hi), -F.col("__d"), -1))
+    events = cut.select(*keys, "__c", F.inline(both)).groupBy(*keys, "__c", "__pos").agg(F.sum("__v").alias("__v"), F.sum("__n").alias("__n"))
+    order = Window.partitionBy(*keys, "__c").orderBy("__pos")
     running = order.rowsBetween(Window.unboundedPreceding, 0)
-    steps = events.select(
-        *keys, F.col("pos").alias("start"), F.lead("pos").over(order).alias("end"), F.sum("d").over(running).alias("value"), F.sum("k").over(running).alias("open")
-    )
+    swept = events.select("*", F.sum("__v").over(running).alias("value"), F.sum("__n").over(running).alias("__open"))
     # open intervals, not the sum of their weights, tell an empty step: floats leave residues
-    steps = steps.where(F.col("end").isNotNull() & (F.col("open") > 0)).drop("open")
-    return merge_equal(steps, keys)
+    same = (F.col("__v") == 0) & (F.col("__open") > 0) & (F.col("__open") > F.col("__n"))
+    steps = swept.where(~same).withColumn("end", F.lead("__pos").over(order)).where(F.col("end").isNotNull() & (F.col("__open") > 0))
+    outer = (F.col("__pos") == lo) | (F.col("end") == hi)
+    steps = steps.select(*keys, F.when(~outer, F.col("__c")).alias("__c"), F.col("__pos").alias("start"), "end", "value")
+    side = Window.partitionBy(*keys, "__c").orderBy("start")
+    goes_on = F.col("__c").isNull() & (F.lag("end").over(side) == F.col("start")) & (F.lag("value").over(side) == F.col("value"))
+    runs = steps.withColumn("__new", ~F.coalesce(goes_on, F.lit(False)))
+    runs = runs.withColumn("__run", F.max(F.when(F.col("__new"), F.col("start"))).over(side.rowsBetween(Window.unboundedPreceding, 0)))
+    grouped = runs.groupBy(*keys, "__c", "__run").agg(F.max("end").alias("end"), F.first("value").alias("value"))
+    return grouped.select(*keys, F.col("__run").alias("start"), "end", "value")
 
 
 def mean_track(tracks: DataFrame, keys: list[str], n_col: str) -> DataFrame:

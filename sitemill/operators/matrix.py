@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import gap_cluster, overlap_counts, overlap_values
+from .intervals import gap_cluster_chunked, overlap_counts, overlap_values
 
 STRANDED = ["chrom", "strand"]
 BASE = ["peak_id", "chrom", "start", "end", "name", "score", "strand"]
@@ -69,23 +69,26 @@ def wide_matrix(peaks: DataFrame, counts: DataFrame, groups: DataFrame, scales:
     return out.select(*matrix_order(out.columns, with_tc))
 
 
-def call_peaks(reads: DataFrame, size: int = 20, min_dist: int = 50, local: int = 1000, fold: float = 2.0, min_reads: int = 3, pvalue: float = 1e-4) -> DataFrame:
+def call_peaks(reads: DataFrame, size: int = 20, min_dist: int = 50, local: int = 1000, fold: float = 2.0, min_reads: int = 3, pvalue: float = 1e-4, by: list[str] | None = None) -> DataFrame:
     """Own caller of factor-like peaks: windows of ``size`` around local maxima of fragment centres.
 
     Counts per tile; a tile is a peak if it has ``min_reads``, is the largest within ``min_dist``,
     exceeds ``fold`` times its share of the density in ``local`` bases and a Poisson test.
-    Windows run in stretches of positions with an overlap, so no task holds a chromosome.
+    Windows run in stretches of positions with an overlap, so no task holds a chromosome. With
+    ``by`` (a sample or group column), each of its values has its own peaks.
     """
     from ..functions.stats import binom_sf
 
+    keys = [*(by or []), *STRANDED]
+
     tile = F.floor((F.col("start") + F.col("end")) / 2 / size)
-    n = reads.groupBy(*STRANDED, tile.alias("tile")).agg(F.count("*").alias("n"))
+    n = reads.groupBy(*keys, tile.alias("tile")).agg(F.count("*").alias("n"))
     reach, around = max(1, min_dist // size), max(1, local // size // 2)
     step = 100_000
     margin = max(reach, around)
     places = F.array_distinct(F.array(*[F.floor((F.col("tile") + d) / step) for d in (-margin, 0, margin)]))
     dealt = n.select("*", F.explode(places).alias("stretch"))
-    w = Window.partitionBy(*STRANDED, "stretch").orderBy("tile")
+    w = Window.partitionBy(*keys, "stretch").orderBy("tile")
     near, wide = w.rangeBetween(-reach, reach), w.rangeBetween(-around, around)
     best = F.max(F.struct("n", -F.col("tile"))).over(near)
     scored = dealt.withColumn("top", best == F.struct("n", -F.col("tile"))).withColumn("around", F.sum("n").over(wide))
@@ -94,17 +97,21 @@ def call_peaks(reads: DataFrame, size: int = 20, min_dist: int = 50, local: int
     scored = scored.where(F.col("top") & (F.col("n") >= min_reads) & (F.col("n") >= fold * F.col("around") * share))
     scored = scored.withColumn("pvalue", binom_sf(F.col("n"), F.col("around"), share)).where(F.col("pvalue") <= pvalue)
     start = F.col("tile") * size
-    return scored.select(*STRANDED, start.alias("start"), (start + size).alias("end"), F.concat_ws("-", "chrom", start.cast("string"), "strand").alias("name"), F.col("n").alias("score"), "pvalue")
+    return scored.select(*keys, start.alias("start"), (start + size).alias("end"), F.concat_ws("-", "chrom", start.cast("string"), "strand").alias("name"), F.col("n").alias("score"), "pvalue")
+
 
+def valley_peaks(track: DataFrame, gap: int = 50, valley: float = 0.9, by: list[str] | None = None) -> DataFrame:
+    """Peaks of a step track: runs without a gap, split where depth falls by ``valley`` between two tops.
 
-def valley_peaks(track: DataFrame, gap: int = 50, valley: float = 0.9) -> DataFrame:
-    """Peaks of a step track: runs without a gap, split where depth falls by ``valley`` between two tops."""
-    runs = gap_cluster(track.withColumn("pos", F.col("start")), STRANDED, "pos", gap, "run")
-    w = Window.partitionBy(*STRANDED, "run").orderBy("start")
+    With ``by`` (a sample or group column), each of its values has its own peaks.
+    """
+    keys = [*(by or []), *STRANDED]
+    runs = gap_cluster_chunked(track.withColumn("pos", F.col("start")), keys, "pos", gap, name="run")
+    w = Window.partitionBy(*keys, "run").orderBy("start")
     left, right = F.max("value").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.max("value").over(w.rowsBetween(0, Window.unboundedFollowing))
     low = F.col("value") < (1 - valley) * F.least(left, right)
     marked = runs.withColumn("low", low)
     part = F.sum(F.when(F.col("low"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
     kept = marked.withColumn("part", part).where(~F.col("low"))
-    out = kept.groupBy(*STRANDED, "run", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("value").alias("score"), F.max_by("start", F.struct("value", -F.col("start"))).alias("top"))
+    out = kept.groupBy(*keys, "run", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("value").alias("score"), F.max_by("start", F.struct("value", -F.col("start"))).alias("top"))
     return out.drop("run", "part")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.alignment import truncation_site
-from .intervals import gap_cluster
-from .pileup import test_sites
+from .intervals import gap_cluster_chunked
+from .pileup import site_pvalues
 
 STRANDED = ["chrom", "strand"]
 
@@ -63,8 +63,8 @@ def truncation_clusters(tags: DataFrame, deletions: DataFrame, pvalue: float = 0
     kept = without_read_through(tags, deletions)
     site = truncation_site(F.col("strand"), F.col("start"), F.col("end"))
     n = kept.groupBy(*STRANDED, site.alias("pos")).agg(F.count("*").alias("truncations")).where((F.col("pos") >= 0) & (F.col("truncations") >= min_depth))
-    c = gap_cluster(n, STRANDED, "pos", gap)
+    c = gap_cluster_chunked(n, STRANDED, "pos", gap)
     w = Window.partitionBy(*STRANDED, "cluster")
     c = c.withColumn("coverage", F.sum("truncations").over(w)).withColumn("rate", F.lit(1.0) / (F.max("pos").over(w) - F.min("pos").over(w) + 1))
-    tested = test_sites(c, "truncations", "rate", STRANDED, 1, 1, 0.0)
+    tested = site_pvalues(c, "truncations", "rate", 1, 1, 0.0)
     return tested.where(F.col("pvalue") < pvalue).select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), "truncations", "strand", "pvalue")

@@ -81,25 +81,34 @@ def cluster_rates(piles: DataFrame, max_gap: int = 25) -> DataFrame:
 
     Runs are found in pieces of a chromosome, so no task sorts a whole one.
     """
-    c = gap_cluster_chunked(piles, KEYS, "pos", max_gap)
+    c = gap_cluster_chunked(piles, KEYS, "pos", max_gap, carry=["coverage", "clean_truncations"])
     w = Window.partitionBy(*KEYS, "cluster")
     total = F.sum("coverage").over(w)
     return c.withColumn("local_rate", F.when(total > 0, F.sum("clean_truncations").over(w) / total).otherwise(0.0))
 
 
+def site_pvalues(df: DataFrame, signal: str, rate: str, min_coverage: int = 5, min_signal: int = 1, min_fraction: float = 0.05, deep: bool = False) -> DataFrame:
+    """The testable positions with signal, fraction and pvalue; a rate of zero gives p = 1.
+
+    ``deep`` takes a tail whose time does not grow with the coverage.
+    """
+    tail = binom_sf_deep if deep else binom_sf
+    out = df.where(testable(F.col("coverage"), F.col(signal), min_coverage, min_signal, min_fraction))
+    out = out.withColumn("signal", F.col(signal)).withColumn("fraction", F.col(signal) / F.col("coverage"))
+    p = F.when(F.col(rate) > 0, tail(F.col(signal).cast("long"), F.col("coverage").cast("long"), F.col(rate).cast("double"))).otherwise(1.0)
+    return out.withColumn("pvalue", p)
+
+
 def test_sites(
     df: DataFrame, signal: str, rate: str, family: list[str] | None = None, min_coverage: int = 5, min_signal: int = 1, min_fraction: float = 0.05, deep: bool = False
 ) -> DataFrame:
     """Adds fraction, pvalue and qvalue to the testable positions.
 
     The filter comes before the adjustment, whose family is by default one (sample, chrom, strand).
-    Positions whose rate is zero get p = 1 and stay in the family.
+    Positions whose rate is zero get p = 1 and stay in the family. The testable positions, a small
+    part of a pileup, are read twice and so persisted (memory and disk) until the cache is cleared.
     """
-    tail = binom_sf_deep if deep else binom_sf
-    out = df.where(testable(F.col("coverage"), F.col(signal), min_coverage, min_signal, min_fraction))
-    out = out.withColumn("signal", F.col(signal)).withColumn("fraction", F.col(signal) / F.col("coverage"))
-    p = F.when(F.col(rate) > 0, tail(F.col(signal).cast("long"), F.col("coverage").cast("long"), F.col(rate).cast("double"))).otherwise(1.0)
-    return bh_adjust(out.withColumn("pvalue", p), family or KEYS)
+    return bh_adjust(site_pvalues(df, signal, rate, min_coverage, min_signal, min_fraction, deep).persist(), family or KEYS)
 
 
 def bed_sites(sites: DataFrame, label: str | None) -> DataFrame:

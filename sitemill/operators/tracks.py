@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.alignment import UNMAPPED, crosslink_base, has_junction
 from ..functions.stats import truncate6
-from .intervals import depth_track, mean_track, merge_equal
+from .intervals import depth_track, mean_track
 
 KEYS = ["sample", "strand", "chrom"]
 
@@ -31,8 +31,7 @@ def rpm_track(reads: DataFrame, scales: DataFrame) -> DataFrame:
 def crosslink_track(reads: DataFrame, start: str = "start0", end: str = "end0") -> DataFrame:
     """Unscaled counts of first bases as steps."""
     at = crosslink_base(F.col("strand"), F.col(start), F.col(end))
-    n = reads.groupBy(*KEYS, at.alias("start")).agg(F.count("*").alias("value"))
-    return merge_equal(n.withColumn("end", F.col("start") + 1), KEYS)
+    return depth_track(reads.select(*KEYS, at.alias("start"), (at + 1).alias("end")), KEYS)
 
 
 def group_track(tracks: DataFrame, groups: DataFrame) -> DataFrame:

@@ -60,11 +60,14 @@ def _lambda(name: str, source: str, signal: str, by: str) -> str:
   FROM {name}_f JOIN {name}_t USING ({by}) GROUP BY {by})"""
 
 
+PVALUE = "CASE WHEN r <= 0 OR r >= 1 THEN 1.0 ELSE least(1.0, list_sum(list_transform(range(k, m + 1), lambda i: exp(lgamma(m + 1) - lgamma(i + 1) - CASE WHEN i = m THEN 0 ELSE lgamma(m - i + 1) END + i * ln(r) + (m - i) * ln(1 - r))))) END"
+
+
 def _tested(name: str, source: str, signal: str, rate: str, family: str) -> str:
     return f"""
 {name}_t AS (SELECT *, {signal} AS k, coverage AS m, {rate} AS r FROM {source} WHERE coverage >= 5 AND {signal} >= 1 AND {signal} / coverage >= 0.05),
 {name}_p AS (
-  SELECT *, CASE WHEN r <= 0 OR r >= 1 THEN 1.0 ELSE least(1.0, list_sum(list_transform(range(k, m + 1), lambda i: exp(lgamma(m + 1) - lgamma(i + 1) - CASE WHEN i = m THEN 0 ELSE lgamma(m - i + 1) END + i * ln(r) + (m - i) * ln(1 - r))))) END AS pvalue
+  SELECT *, {PVALUE} AS pvalue
   FROM {name}_t),
 {name}_r AS (SELECT *, pvalue * count(*) OVER (PARTITION BY {family}) / row_number() OVER (PARTITION BY {family} ORDER BY pvalue) AS adj, row_number() OVER (PARTITION BY {family} ORDER BY pvalue) AS rk FROM {name}_p),
 {name} AS (SELECT *, least(1.0, min(adj) OVER (PARTITION BY {family} ORDER BY rk DESC ROWS UNBOUNDED PRECEDING)) AS qvalue FROM {name}_r)"""
@@ -416,12 +419,18 @@ def quality_filter(spark: SparkSession, d: str) -> DataFrame:
     return filters.long_enough(fastq(spark, d)).select("name", F.round(N.mean_quality(F.col("qual")), 6).alias("quality"))
 
 
-@query()
+TRIMMED = "CASE WHEN contains(seq, 'ACGTACGTAC') THEN strpos(seq, 'ACGTACGTAC') - 1 ELSE length(seq) - coalesce(list_max(list_filter(range(5, 10), lambda n: ends_with(seq, left('ACGTACGTAC', n)))), 0) END"
+
+
+@query(duck(FASTQ) + f" SELECT name, left(seq, {TRIMMED}) AS seq, left(qual, {TRIMMED}) AS qual FROM fastq")
 def adapter_trim(spark: SparkSession, d: str) -> DataFrame:
     return prep.trim_adapters(fastq(spark, d), ["ACGTACGTAC"]).select("name", "seq", "qual")
 
 
-@query()
+@query(
+    duck(FASTQ, "cut AS (SELECT concat(name, '#', left(seq, 5)) AS name, substr(seq, 6) AS seq, substr(qual, 6) AS qual FROM fastq)")
+    + " SELECT * FROM cut WHERE length(seq) >= 16 AND list_sum(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)) / length(qual) >= 25"
+)
 def standard_preprocessing(spark: SparkSession, d: str) -> DataFrame:
     return prep.standard(fastq(spark, d), umi=5, min_length=16, min_quality=25.0).select("name", "seq", "qual")
 
@@ -448,12 +457,12 @@ def demux_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "WITH b AS (SELECT p_partkey AS id, concat(translate(CAST(p_partkey % 4 AS VARCHAR), '0123', 'ACGT'), translate(CAST(p_partkey // 4 % 4 AS VARCHAR), '0123', 'ACGT'), translate(CAST(p_size % 4 AS VARCHAR), '0123', 'ACGT'), 'AC') AS barcode FROM part WHERE p_partkey < 12), v AS (SELECT DISTINCT id, concat(substr(barcode, 1, i - 1), 'N', substr(barcode, i + 1)) AS variant FROM b, range(1, 6) t(i)) SELECT variant, count(*) AS n FROM v GROUP BY variant HAVING count(*) > 1"
+    "WITH b AS (SELECT p_partkey AS id, concat(translate(CAST(p_partkey % 4 AS VARCHAR), '0123', 'ACGT'), translate(CAST(p_partkey // 4 % 4 AS VARCHAR), '0123', 'ACGT'), translate(CAST(p_size % 4 AS VARCHAR), '0123', 'ACGT'), 'AC') AS barcode FROM part), v AS (SELECT DISTINCT id, concat(substr(barcode, 1, i - 1), 'N', substr(barcode, i + 1)) AS variant FROM b, range(1, 6) t(i)) SELECT variant, count(*) AS n FROM v GROUP BY variant HAVING count(*) > 1"
 )
 def barcode_collision(spark: SparkSession, d: str) -> DataFrame:
     base = lambda c: F.translate(c.cast("string"), "0123", "ACGT")
     k = F.col("p_partkey")
-    b = spark.read.parquet(f"{d}/part.parquet").where(k < 12).select(F.concat(base(k % 4), base(F.floor(k / 4) % 4), base(F.col("p_size") % 4), F.lit("AC")).alias("barcode"))
+    b = spark.read.parquet(f"{d}/part.parquet").select(F.concat(base(k % 4), base(F.floor(k / 4) % 4), base(F.col("p_size") % 4), F.lit("AC")).alias("barcode"))
     return demux.barcode_collisions(b, 1)
 
 
@@ -612,10 +621,21 @@ def cims_permutation(spark: SparkSession, d: str) -> DataFrame:
     return mutations.permuted_mutations(r, m)
 
 
-@query()
+@query(
+    duck(
+        READS,
+        "u AS (SELECT * FROM reads WHERE nh <= 1)",
+        "n AS (SELECT chrom, strand, CASE WHEN strand = '-' THEN end0 ELSE start0 - 1 END AS pos, count(*) AS k FROM u WHERE qname NOT IN (SELECT qname FROM u WHERE shape = 'D') GROUP BY ALL)",
+        "f AS (SELECT *, CASE WHEN pos - lag(pos) OVER w <= 25 THEN 0 ELSE 1 END AS new FROM n WHERE pos >= 0 WINDOW w AS (PARTITION BY chrom, strand ORDER BY pos))",
+        "c AS (SELECT *, sum(new) OVER (PARTITION BY chrom, strand ORDER BY pos ROWS UNBOUNDED PRECEDING) AS cluster FROM f)",
+        "t AS (SELECT *, CAST(sum(k) OVER w AS BIGINT) AS m, 1.0::DOUBLE / (max(pos) OVER w - min(pos) OVER w + 1) AS r FROM c WINDOW w AS (PARTITION BY chrom, strand, cluster))",
+        f"p AS (SELECT *, {PVALUE} AS pvalue FROM t)",
+    )
+    + ' SELECT chrom, pos AS start, pos + 1 AS "end", k AS truncations, strand, round(-log10(pvalue), 4) AS logp FROM p WHERE pvalue < 0.05'
+)
 def cits_clusters(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
-    return mutations.truncation_clusters(r, r.where("shape = 'D'"))
+    return mutations.truncation_clusters(r, r.where("shape = 'D'"), 0.05).withColumn("logp", _log("pvalue")).drop("pvalue")
 
 
 @query()
@@ -624,6 +644,12 @@ def called_peaks(spark: SparkSession, d: str) -> DataFrame:
     return matrix.call_peaks(r, pvalue=0.01)
 
 
+@query()
+def grouped_peaks(spark: SparkSession, d: str) -> DataFrame:
+    r = filters.unique_reads(demux.assign_groups(reads(spark, d), groups(spark))).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
+    return matrix.call_peaks(r, pvalue=0.01, by=["grp"])
+
+
 @query()
 def valley_peaks(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
@@ -642,6 +668,84 @@ def tag_sites(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _coded(spark: SparkSession, d: str) -> DataFrame:
+    return fastq(spark, d).withColumn("header", F.concat(F.substring("seq", 1, 5), F.lit(":"), "header"))
+
+
+@query(duck(FASTQ) + " SELECT 'R2' AS mate, 'header_colon' AS umi_location, 5 AS umi_length, 'ok' AS verdict FROM fastq GROUP BY ALL HAVING count(*) FILTER (contains(header, ' 2:')) >= 0.95 * count(*)")
+def eclip_check(spark: SparkSession, d: str) -> DataFrame:
+    return demux.check_eclip(_coded(spark, d), "pe")
+
+
+def _collapsed(seq: str, header: str = "header", qual: str = "qual") -> str:
+    return f"one AS (SELECT concat(split_part(arg_min({header}, ord), ' ', 1), '#', CAST(count(*) AS VARCHAR)) AS name, {seq} AS seq, arg_min({qual}, ord) AS qual, count(*) AS n FROM fastq GROUP BY {seq})"
+
+
+@query(duck(FASTQ, _collapsed("seq")) + " SELECT concat(name, '#', left(seq, 5)) AS name, substr(seq, 6) AS seq, substr(qual, 6) AS qual, n AS \"count\" FROM one WHERE length(seq) - 5 >= 16")
+def eclip_paired_preprocessing(spark: SparkSession, d: str) -> DataFrame:
+    return prep.eclip_paired(fastq(spark, d), 5, min_length=16).select("name", "seq", "qual", "count")
+
+
+@query(
+    duck(FASTQ, _collapsed("concat(left(seq, 5), seq)", qual="concat('IIIII', qual)"))
+    + " SELECT concat(name, '#', left(seq, 5)) AS name, substr(seq, 6) AS seq, substr(qual, 6) AS qual, n AS \"count\" FROM one WHERE length(seq) - 5 >= 20"
+)
+def eclip_single_preprocessing(spark: SparkSession, d: str) -> DataFrame:
+    return prep.eclip_single(_coded(spark, d), 5).select("name", "seq", "qual", "count")
+
+
+@query(duck(FASTQ, _collapsed("seq")) + " SELECT concat(name, '#', left(seq, 3)) AS name, substr(seq, 6) AS seq, substr(qual, 6) AS qual, n AS \"count\" FROM one WHERE length(seq) - 5 >= 16")
+def parclip_preprocessing(spark: SparkSession, d: str) -> DataFrame:
+    return prep.parclip(fastq(spark, d), umi=3, spacer=2).select("name", "seq", "qual", "count")
+
+
+@query(
+    duck(FASTQ, "q AS (SELECT ord, CASE WHEN ord % 3 = 0 THEN qual ELSE concat(left(qual, 10), repeat('#', 13)) END AS q FROM fastq)")
+    + " SELECT ord, CAST(coalesce(list_max(list_filter(range(1, length(q) + 1), lambda i: list_sum(list_transform(range(greatest(i - 3, 1), i + 1), lambda j: ascii(substr(q, j, 1)) - 33)) >= 5 * least(i, 4))), 0) AS INT) AS kept FROM q"
+)
+def quality_tail(spark: SparkSession, d: str) -> DataFrame:
+    swapped = F.when(F.col("ord") % 3 == 0, F.col("qual")).otherwise(F.concat(F.substring("qual", 1, 10), F.lit("#" * 13)))
+    return fastq(spark, d).select("ord", N.cut_tail(swapped).alias("kept"))
+
+
+@query(duck(FASTQ) + ", n AS (SELECT ord % 3 = 0 AS mapped, count(*) AS n FROM fastq GROUP BY ALL) SELECT * FROM n")
+def repeat_divert(spark: SparkSession, d: str) -> DataFrame:
+    r = fastq(spark, d).withColumn("flag", F.when(F.col("ord") % 3 == 0, 0).otherwise(4))
+    hit, rest = demux.divert_repeats(r)
+    return hit.select(F.lit(True).alias("mapped")).unionByName(rest.select(F.lit(False).alias("mapped"))).groupBy("mapped").agg(F.count("*").alias("n"))
+
+
+@query(duck(READS, PEAKS, GROUPS, SCALES, RPM, GROUP_TRACK) + """, perbase AS (SELECT grp, strand, chrom, unnest(range(s, e)) AS pos, v FROM weighted),
+means AS (SELECT grp, strand, chrom, pos, sum(v) / any_value(n) AS v FROM perbase JOIN counts USING (grp) GROUP BY grp, strand, chrom, pos)
+SELECT k.peak_id, x.grp, round(coalesce(max(v), 0), 3) AS cov_max FROM peaks k CROSS JOIN (SELECT DISTINCT grp FROM grp) x LEFT JOIN means b ON b.grp = x.grp AND b.chrom = k.chrom AND b.strand = k.strand AND b.pos >= k.start AND b.pos < k."end" GROUP BY k.peak_id, x.grp""")
+def matrix_group_cov(spark: SparkSession, d: str) -> DataFrame:
+    r = reads(spark, d)
+    t = tracks.group_track(tracks.rpm_track(r, tracks.scale_factors(r)), groups(spark))
+    return matrix.coverage_stats(peaks(spark, d), t, "grp").select("peak_id", "grp", F.round("cov_max", 3).alias("cov_max"))
+
+
+@query(
+    duck(READS, "starts AS (SELECT sample, chrom, strand, start0, count(*) AS n FROM reads WHERE nh = 1 GROUP BY ALL)", "multi AS (SELECT * FROM reads WHERE nh > 1)")
+    + """, scored AS (SELECT m.*, coalesce((SELECT sum(n) FROM starts s WHERE s.sample = m.sample AND s.chrom = m.chrom AND s.strand = m.strand AND s.start0 BETWEEN m.start0 - 50 AND m.start0 + 50), 0) AS score FROM multi m),
+best AS (SELECT *, row_number() OVER (PARTITION BY sample, qname ORDER BY score DESC, CASE WHEN (flag & 256) = 0 THEN 0 ELSE 1 END, ord) AS r FROM scored),
+src AS (SELECT 0 AS part, sample, chrom, strand, start0, end0, shape, mapq, qname, ord FROM reads WHERE nh = 1 UNION ALL SELECT 1, sample, chrom, strand, start0, end0, shape, mapq, qname, ord FROM best WHERE r = 1),
+keyed AS (SELECT *, CASE WHEN strand = '-' THEN end0 ELSE start0 END AS site, shape = 'N' AS spliced FROM src),
+ranked2 AS (SELECT *, row_number() OVER w AS rk, count(*) OVER (PARTITION BY part, sample, chrom, strand, site, spliced) AS n FROM keyed WINDOW w AS (PARTITION BY part, sample, chrom, strand, site, spliced ORDER BY mapq DESC, qname, ord))
+SELECT sample, chrom, strand, site, spliced, n AS reads, qname FROM ranked2 WHERE rk = 1"""
+)
+def rescued_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return sites.dedup_reads(reads(spark, d), 0, multi_map=True).select("sample", "chrom", "strand", "site", "spliced", "reads", "qname")
+
+
+@query()
+def grouped_tag_sites(spark: SparkSession, d: str) -> DataFrame:
+    r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
+    m = r.where("has_sub = 1").select("qname", "sample", "chrom", "strand", (F.col("start") + 5).alias("pos"), F.lit("sub").alias("mut_type"))
+    out = tags.grouped_tag_sites(r, m, groups(spark), ["g1", "g2"])
+    sides = [out[g]["trunc"].select(F.lit(g).alias("grp"), "chrom", "start", "strand", "score") for g in ("g1", "g2")]
+    return sides[0].unionByName(sides[1])
+
+
 @query(duck(READS) + " SELECT sample, chrom AS ref, count(*) AS mapped, CAST(0 AS BIGINT) AS unmapped FROM reads GROUP BY ALL")
 def index_stats(spark: SparkSession, d: str) -> DataFrame:
     return demux.index_stats(reads(spark, d))
@@ -658,10 +762,10 @@ def known_samples(spark: SparkSession, d: str) -> DataFrame:
     return demux.known_samples(demux.demultiplex(fastq(spark, d), _barcodes(spark))).groupBy("sample").agg(F.count("*").alias("n"))
 
 
-@query(duck(READS) + " SELECT qname, ord, CASE WHEN shape = 'D' THEN concat('8^A', CAST(len - 9 AS VARCHAR)) WHEN has_sub = 1 THEN concat('5A', CAST(len - 6 AS VARCHAR)) WHEN shape = 'N' THEN CAST(len - 4 AS VARCHAR) ELSE CAST(len AS VARCHAR) END AS md, CAST(CASE WHEN shape = 'D' OR has_sub = 1 THEN 1 ELSE 0 END AS INT) AS nm FROM reads WHERE end0 <= 25000")
+@query(duck(READS) + " SELECT qname, ord, CASE WHEN shape = 'D' THEN concat('8^A', CAST(len - 9 AS VARCHAR)) WHEN has_sub = 1 THEN concat('5A', CAST(len - 6 AS VARCHAR)) WHEN shape = 'N' THEN CAST(len - 4 AS VARCHAR) ELSE CAST(len AS VARCHAR) END AS md, CAST(CASE WHEN shape = 'D' OR has_sub = 1 THEN 1 ELSE 0 END AS INT) AS nm FROM reads")
 def recomputed_md(spark: SparkSession, d: str) -> DataFrame:
-    r = reads(spark, d).where("end0 <= 25000").withColumnRenamed("ord", "copy").withColumn("ord", F.struct("qname", "copy"))
-    ref = spark.range(1, 6).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("name"), F.lit("A" * 25_000).alias("seq"))
+    r = reads(spark, d).withColumnRenamed("ord", "copy").withColumn("ord", F.struct("qname", "copy"))
+    ref = r.groupBy(F.col("chrom").alias("name")).agg(F.max("end0").cast("int").alias("n")).select("name", F.expr("repeat('A', n)").alias("seq"))
     return with_md(r, ref, 1000).select("qname", F.col("copy").alias("ord"), "md", "nm")
 
 

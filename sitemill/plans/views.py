@@ -33,7 +33,7 @@ PEAKS = """
 peaks AS (
   SELECT p_partkey AS peak_id, concat('chr', CAST(p_partkey % 5 + 1 AS STRING)) AS chrom, p_partkey * 10 AS start, p_partkey * 10 + 20 + p_size AS "end",
     concat('peak', CAST(p_partkey AS STRING)) AS name, CAST(p_size AS DOUBLE) AS score, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand
-  FROM {part} WHERE p_partkey % 4 = 0)
+  FROM {part})
 """
 FASTQ = """
 fastq AS (

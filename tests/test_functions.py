@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +103,22 @@ def test_bh_adjust(spark):
         assert {r["pvalue"]: r["qvalue"] for r in d.collect()} == pytest.approx(want)
 
 
+def test_bh_adjust_families_and_ties(spark):
+    r = random.Random(5)
+    cells = [(r.choice("ab"), r.choice([1.0, 0.0, 0.25, 1e-200, 10 ** r.uniform(-12, 0), r.random()]), i) for i in range(600)] + [("c", None, -1), ("c", 0.7, -2)]
+    df = spark.createDataFrame(cells, "f string, pvalue double, i int").repartition(5)
+    got = {x["i"]: x["qvalue"] for x in S.bh_adjust(df, ["f"]).collect()}
+    for f in "abc":
+        ps = sorted((p, i) for g, p, i in cells if g == f and p is not None)
+        least = 1.0
+        for rank in range(len(ps), 0, -1):
+            p, i = ps[rank - 1]
+            least = min(least, p * len(ps) / rank)
+            assert got[i] == pytest.approx(least, rel=1e-12)
+    assert got[-1] is None and len(got) == len(cells)
+    assert S.bh_adjust(df.limit(0), ["f"]).collect() == []
+
+
 def test_scores(spark):
     got = rows(spark, "q double", [(0.04,), (0.0,), (1.0,)], S.site_score(F.col("q")))
     assert [x for (x,) in got] == [139, 1000, 0]

@@ -81,6 +81,46 @@ def test_chunked_clusters_equal_plain_ones(spark):
         assert {(x["k"], tuple(x["p"])) for x in g.collect()} == want
 
 
+def test_tracks_in_chunks_equal_a_count_by_base(spark):
+    r = random.Random(4)
+    rows = [(r.choice("ab"), s, s + r.choice([0, 1, 5, 40, 300])) for s in (r.randint(0, 900) for _ in range(120))] + [("c", 3, 700), ("c", 650, 700), ("d", None, 4)]
+    df = spark.createDataFrame(rows, "k string, start long, end long")
+    depth = {}
+    for k, s, e in rows:
+        for p in range(s or 0, e if s is not None else 0):
+            depth[k, p] = depth.get((k, p), 0) + 1
+    for chunk in (7, 100, 10**6):
+        got = sorted((x["k"], x["start"], x["end"], x["value"]) for x in intervals.depth_track(df, ["k"], chunk=chunk).collect())
+        assert {(k, p): v for k, s, e, v in got for p in range(s, e)} == depth
+        assert all(a[0] != b[0] or a[2] < b[1] or a[3] != b[3] for a, b in zip(got, got[1:], strict=False))  # nothing is left to join
+
+
+def test_eclip_rules(spark):
+    def check(mode, *headers):
+        df = spark.createDataFrame(list(enumerate(headers)), "ord long, header string")
+        return tuple(demux.check_eclip(df, mode).collect()[0])
+
+    assert check("pe", "@ACGTN:r1 2:N:0", "x 2:N:0") == ("R2", "header_colon", 5, "ok")
+    assert check("se", "r1 1:N:0") == ("R1", "sequence", 0, "ok")
+    assert check("pe", "r1_ACGTACGT 2:N:0")[1:3] == ("header_underscore", 0)
+    assert check("pe", "ACGT:r1 2:N:0")[1] == "sequence"  # four bases are too few
+    assert check("pe", "ACGTACGTACG:r1 2:N:0")[1] == "sequence"  # eleven too many
+    assert check("pe", "ACGTN:r1 1:N:0")[3] == "pe input is R2, not R1"
+    assert check("se", "ACGTN:r1 1:N:0")[3] == "se input has the UMI in sequence, not in header_colon"
+    assert check("se", "r1 1:N:0", "r2 2:N:0")[0] == "unknown"
+    assert check("se", None, "r2 2:N:0")[0] == "unknown"
+    assert demux.check_eclip(spark.createDataFrame([], "ord long, header string"), "pe").collect()[0]["mate"] == "unknown"
+    with pytest.raises(ValueError):
+        demux.check_eclip(spark.range(1).selectExpr("id AS ord", "'x' AS header"), "xx")
+
+
+def test_peaks_of_each_group(spark):
+    rows = [(g, "chr1", "+", 100, 120) for g in "aab" for _ in range(6)] + [("b", "chr1", "+", i, i + 20) for i in range(3000, 3900, 60)]
+    df = spark.createDataFrame(rows, "grp string, chrom string, strand string, start long, end long")
+    got = {(x["grp"], x["start"], x["score"]) for x in matrix.call_peaks(df, by=["grp"], pvalue=0.05).collect()}
+    assert ("a", 100, 12) in got and ("b", 100, 6) in got
+
+
 def test_interval_join(spark):
     r = random.Random(2)
     a = [(i, r.choice("xy"), s, s + r.randint(1, 900)) for i, s in enumerate(r.randint(0, 5000) for _ in range(80))]
