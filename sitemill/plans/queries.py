@@ -553,12 +553,13 @@ def matrix_group_sums(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     duck(READS, PEAKS, SCALES, RPM)
-    + ", t AS (SELECT sample, strand, chrom, s, e, v * scale AS v FROM steps JOIN scales USING (sample)) SELECT k.peak_id, x.sample, round(coalesce(sum(v), 0), 3) AS cov_sum, round(coalesce(avg(v), 0), 3) AS cov_mean, round(coalesce(max(v), 0), 3) AS cov_max FROM peaks k CROSS JOIN (SELECT DISTINCT sample FROM t) x LEFT JOIN t ON t.sample = x.sample AND t.chrom = k.chrom AND t.strand = k.strand AND t.s < k.\"end\" AND k.start < t.e GROUP BY k.peak_id, x.sample"
+    + ", t AS (SELECT sample, strand, chrom, s, e, v * scale AS v FROM steps JOIN scales USING (sample)) SELECT k.peak_id, x.sample, round(coalesce(sum(v), 0) + 1e-7, 3) AS cov_sum, round(coalesce(avg(v), 0) + 1e-7, 3) AS cov_mean, round(coalesce(max(v), 0) + 1e-7, 3) AS cov_max FROM peaks k CROSS JOIN (SELECT DISTINCT sample FROM t) x LEFT JOIN t ON t.sample = x.sample AND t.chrom = k.chrom AND t.strand = k.strand AND t.s < k.\"end\" AND k.start < t.e GROUP BY k.peak_id, x.sample"
 )
 def matrix_cov_stats(spark: SparkSession, d: str) -> DataFrame:
     r = reads(spark, d)
     out = matrix.coverage_stats(peaks(spark, d), tracks.rpm_track(r, tracks.scale_factors(r)))
-    return out.select("peak_id", "sample", *[F.round(c, 3).alias(c) for c in ("cov_sum", "cov_mean", "cov_max")])
+    # halves of a last digit go up on both sides
+    return out.select("peak_id", "sample", *[F.round(F.col(c) + 1e-7, 3).alias(c) for c in ("cov_sum", "cov_mean", "cov_max")])
 
 
 @query(
@@ -717,11 +718,11 @@ def repeat_divert(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck(READS, PEAKS, GROUPS, SCALES, RPM, GROUP_TRACK) + """, perbase AS (SELECT grp, strand, chrom, unnest(range(s, e)) AS pos, v FROM weighted),
 means AS (SELECT grp, strand, chrom, pos, sum(v) / any_value(n) AS v FROM perbase JOIN counts USING (grp) GROUP BY grp, strand, chrom, pos)
-SELECT k.peak_id, x.grp, round(coalesce(max(v), 0), 3) AS cov_max FROM peaks k CROSS JOIN (SELECT DISTINCT grp FROM grp) x LEFT JOIN means b ON b.grp = x.grp AND b.chrom = k.chrom AND b.strand = k.strand AND b.pos >= k.start AND b.pos < k."end" GROUP BY k.peak_id, x.grp""")
+SELECT k.peak_id, x.grp, round(coalesce(max(v), 0) + 1e-7, 3) AS cov_max FROM peaks k CROSS JOIN (SELECT DISTINCT grp FROM grp) x LEFT JOIN means b ON b.grp = x.grp AND b.chrom = k.chrom AND b.strand = k.strand AND b.pos >= k.start AND b.pos < k."end" GROUP BY k.peak_id, x.grp""")
 def matrix_group_cov(spark: SparkSession, d: str) -> DataFrame:
     r = reads(spark, d)
     t = tracks.group_track(tracks.rpm_track(r, tracks.scale_factors(r)), groups(spark))
-    return matrix.coverage_stats(peaks(spark, d), t, "grp").select("peak_id", "grp", F.round("cov_max", 3).alias("cov_max"))
+    return matrix.coverage_stats(peaks(spark, d), t, "grp").select("peak_id", "grp", F.round(F.col("cov_max") + 1e-7, 3).alias("cov_max"))
 
 
 @query(
