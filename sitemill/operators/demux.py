@@ -5,37 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.adapters import claim
 from ..functions.names import hamming, repeat_parts
 
 MAX_BARCODES = 10_000
 
 
-def demultiplex(reads: DataFrame, barcodes: DataFrame, max_mismatches: int = 1, search: int | None = None) -> DataFrame:
+def error_rate(barcodes: DataFrame, max_mismatches: int) -> float:
+    """Mismatches as a share of the first barcode's length; partial barcodes get theirs in proportion."""
+    first = barcodes.orderBy("ord").select("barcode").first()
+    return max_mismatches / len(first["barcode"]) if first and first["barcode"] else 0.0
+
+
+def demultiplex(reads: DataFrame, barcodes: DataFrame, max_mismatches: int = 1, search: int | None = None, least: int = 3) -> DataFrame:
     """Adds sample, barcode_start and errors; reads without a barcode get the sample ``unknown``.
 
-    A barcode may start anywhere in the first ``search`` bases (default: the 5' end only). No
-    indels. The fewest errors win, then the leftmost place, then the order of the barcode table
-    (ord). Reads are not changed. The barcode table is counted: tens of rows, broadcast.
+    A barcode may start anywhere, or lack its first bases where the read starts, with ``least`` bases
+    left; errors are a rate (``error_rate``). No indels. The most matches less errors win, then the
+    leftmost place, then the order of the barcode table (ord). With ``search``, whole barcodes in the
+    first ``search`` bases only (0: at the 5' end), fewest errors first. Empty reads are dropped, others
+    not changed. The barcode table is counted: tens of rows, sent to every task.
     """
     rows = barcodes.select("sample", "barcode", "ord")
     if rows.count() > MAX_BARCODES:
         raise ValueError(f"more than {MAX_BARCODES} barcodes")
-    table = rows.groupBy().agg(F.sort_array(F.collect_list(F.struct("ord", "sample", "barcode"))).alias("table"))
-    places = F.sequence(F.lit(0), F.lit(search or 0))
-
-    def best(b: F.Column, seq: F.Column) -> F.Column:
-        at = lambda p: F.struct(hamming(F.substring(seq, p + 1, F.length(b["barcode"])), b["barcode"]).alias("errors"), p.alias("start"), b["ord"].alias("ord"), b["sample"].alias("sample"))
-        return F.transform(places, at)
-
-    found = F.flatten(F.transform("table", lambda b: best(b, F.col("seq"))))
-    hit = F.array_min(F.filter(found, lambda x: x["errors"] <= max_mismatches))
-    out = reads.crossJoin(F.broadcast(table)).withColumn("__hit", hit)
-    return out.select(
-        *[F.col(c) for c in reads.columns if c not in ("sample", "barcode_start", "errors")],
-        F.coalesce("__hit.sample", F.lit("unknown")).alias("sample"),
-        F.col("__hit.start").alias("barcode_start"),
-        F.col("__hit.errors").alias("errors"),
-    )
+    reads = reads.where(F.length("seq") > 0)
+    kept = [F.col(c) for c in reads.columns if c not in ("sample", "barcode_start", "errors")]
+    if search is None:
+        named = [(r["sample"], r["barcode"]) for r in rows.orderBy("ord").collect() if r["barcode"]]
+        out = reads.withColumn("__hit", claim(F.col("seq"), named, error_rate(rows, max_mismatches), least))
+    else:
+        table = rows.groupBy().agg(F.sort_array(F.collect_list(F.struct("ord", "sample", "barcode"))).alias("table"))
+        places = F.sequence(F.lit(0), F.lit(search))
+
+        def best(b: F.Column, seq: F.Column) -> F.Column:
+            at = lambda p: F.struct(hamming(F.substring(seq, p + 1, F.length(b["barcode"])), b["barcode"]).alias("errors"), p.alias("start"), b["ord"].alias("ord"), b["sample"].alias("sample"))
+            return F.transform(places, at)
+
+        found = F.flatten(F.transform("table", lambda b: best(b, F.col("seq"))))
+        hit = F.array_min(F.filter(found, lambda x: x["errors"] <= max_mismatches))
+        out = reads.crossJoin(F.broadcast(table)).withColumn("__hit", hit).withColumn("__hit", F.struct(F.col("__hit.sample").alias("sample"), F.col("__hit.start").alias("barcode_start"), F.col("__hit.errors").alias("errors")))
+    return out.select(*kept, F.coalesce("__hit.sample", F.lit("unknown")).alias("sample"), F.col("__hit.barcode_start").alias("barcode_start"), F.col("__hit.errors").alias("errors"))
 
 
 def barcode_collisions(barcodes: DataFrame, max_mismatches: int = 1) -> DataFrame:

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.adapters import cut_near
 from ..functions.names import adapter_cut, cut_tail, mean_quality, strip_mate, trim_layout, umi_to_sequence
 from ..operators.dedup import collapse_exact
 
 
-def trim_adapters(reads: DataFrame, adapters: list[str]) -> DataFrame:
-    """Sequence and quality up to the earliest of the adapters."""
+def trim_adapters(reads: DataFrame, adapters: list[str], error_rate: float = 0.0, least: int = 5) -> DataFrame:
+    """Sequence and quality up to the adapter: the earliest exact one, or with an error rate the best one."""
     if not adapters:
         return reads
-    keep = reduce(F.least, [adapter_cut(F.col("seq"), a) for a in adapters]) if len(adapters) > 1 else adapter_cut(F.col("seq"), adapters[0])
+    if error_rate > 0:
+        keep = cut_near(F.col("seq"), adapters, error_rate, least)
+    else:
+        cuts = [adapter_cut(F.col("seq"), a, least) for a in adapters]
+        keep = F.least(*cuts) if len(cuts) > 1 else cuts[0]
     return reads.withColumn("__k", keep).withColumn("qual", F.expr("left(qual, __k)")).withColumn("seq", F.expr("left(seq, __k)")).drop("__k")
 
 

@@ -448,12 +448,35 @@ demuxed AS (SELECT f.ord, coalesce(x.sample, 'unknown') AS sample, CAST(x.errors
 
 @query(duck(FASTQ, DEMUX) + " SELECT * FROM demuxed")
 def barcode_demux(spark: SparkSession, d: str) -> DataFrame:
-    return demux.demultiplex(fastq(spark, d), _barcodes(spark)).select("ord", "sample", "errors")
+    return demux.demultiplex(fastq(spark, d), _barcodes(spark), search=0).select("ord", "sample", "errors")
+
+
+@query(
+    duck(
+        FASTQ,
+        "codes AS (SELECT 'c1' AS sample, 'AGACGT' AS barcode, 0 AS bo UNION ALL SELECT 'c2', 'CAACGT', 1 UNION ALL SELECT 'c3', 'TTTCGA', 2 UNION ALL SELECT 'c4', 'TACCAA', 3)",
+        "places AS (SELECT f.ord AS o, sample, bo, p, 6 + least(p, 0) AS over, hamming(right(barcode, 6 + least(p, 0)), substr(seq, greatest(p, 0) + 1, 6 + least(p, 0))) AS errors FROM fastq f, codes, range(-3, 18) t(p))",
+        "best AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY over - 2 * errors DESC, p, bo) AS r FROM places WHERE errors <= over // 6)",
+    )
+    + " SELECT f.ord, coalesce(b.sample, 'unknown') AS sample, CASE WHEN b.p IS NOT NULL THEN CAST(greatest(b.p, 0) AS INT) END AS barcode_start, CAST(b.errors AS INT) AS errors FROM fastq f LEFT JOIN best b ON b.o = f.ord AND b.r = 1"
+)
+def barcode_search(spark: SparkSession, d: str) -> DataFrame:
+    codes = spark.createDataFrame([("c1", "AGACGT", 0), ("c2", "CAACGT", 1), ("c3", "TTTCGA", 2), ("c4", "TACCAA", 3)], "sample string, barcode string, ord int")
+    return demux.demultiplex(fastq(spark, d), codes).select("ord", "sample", "barcode_start", "errors")
+
+
+@query(
+    duck(FASTQ, "places AS (SELECT ord, seq, qual, p, least(10, 23 - p) AS over, hamming(left('ACGTACCTAC', CAST(least(10, 23 - p) AS INT)), substr(seq, p + 1, least(10, 23 - p))) AS errors FROM fastq, range(0, 19) t(p))",
+         "best AS (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY over - 2 * errors DESC, p) AS r FROM places WHERE errors <= floor(over * 0.1 + 1e-9))")
+    + " SELECT f.ord, left(f.seq, CAST(coalesce(b.p, 23) AS INT)) AS seq, left(f.qual, CAST(coalesce(b.p, 23) AS INT)) AS qual FROM fastq f LEFT JOIN best b ON b.ord = f.ord AND b.r = 1"
+)
+def adapter_trim_near(spark: SparkSession, d: str) -> DataFrame:
+    return prep.trim_adapters(fastq(spark, d), ["ACGTACCTAC"], 0.1).select("ord", "seq", "qual")
 
 
 @query(duck(FASTQ, DEMUX) + " SELECT sample, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 1) AS percent FROM demuxed GROUP BY sample")
 def demux_summary(spark: SparkSession, d: str) -> DataFrame:
-    return demux.demux_summary(demux.demultiplex(fastq(spark, d), _barcodes(spark)))
+    return demux.demux_summary(demux.demultiplex(fastq(spark, d), _barcodes(spark), search=0))
 
 
 @query(
@@ -760,7 +783,7 @@ def repeat_filter_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck(FASTQ, DEMUX) + " SELECT sample, count(*) AS n FROM demuxed WHERE sample <> 'unknown' GROUP BY sample")
 def known_samples(spark: SparkSession, d: str) -> DataFrame:
-    return demux.known_samples(demux.demultiplex(fastq(spark, d), _barcodes(spark))).groupBy("sample").agg(F.count("*").alias("n"))
+    return demux.known_samples(demux.demultiplex(fastq(spark, d), _barcodes(spark), search=0)).groupBy("sample").agg(F.count("*").alias("n"))
 
 
 @query(duck(READS) + " SELECT qname, ord, CASE WHEN shape = 'D' THEN concat('8^A', CAST(len - 9 AS VARCHAR)) WHEN has_sub = 1 THEN concat('5A', CAST(len - 6 AS VARCHAR)) WHEN shape = 'N' THEN CAST(len - 4 AS VARCHAR) ELSE CAST(len AS VARCHAR) END AS md, CAST(CASE WHEN shape = 'D' OR has_sub = 1 THEN 1 ELSE 0 END AS INT) AS nm FROM reads")

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sitemill.functions.adapters import best_places
 from sitemill.operators import dedup, demux, filters, intervals, matrix, mutations, tracks
 from sitemill.operators import pileup as P
 from sitemill.plans import prep, sites
@@ -217,9 +218,34 @@ def test_barcodes(spark):
     assert "AANN" in {r["variant"] for r in demux.barcode_collisions(b("AAAA", "AATT"), 2).collect()}
     assert demux.barcodes_too_near(b("AAAA", "AATT", "CCCC"), 2).count() == 1
     reads = spark.createDataFrame([("AAAAGG",), ("AATAGG",), ("GGGGGG",), ("CCCCAA",), ("TCCCCA",)], "seq string")
-    got = [(r["seq"], r["sample"], r["errors"]) for r in demux.demultiplex(reads, b("AAAA", "CCCC"), 1).collect()]
+    got = [(r["seq"], r["sample"], r["errors"]) for r in demux.demultiplex(reads, b("AAAA", "CCCC"), 1, search=0).collect()]
     assert got == [("AAAAGG", "s0", 0), ("AATAGG", "s0", 1), ("GGGGGG", "unknown", None), ("CCCCAA", "s1", 0), ("TCCCCA", "s1", 1)]
     assert demux.demultiplex(reads.limit(5), b("CCCC"), 0, 1).where("sample = 's0'").count() == 2
+    anywhere = spark.createDataFrame([("GGAAAAGG",), ("CCCGGGGG",), ("TGGCACCG",), ("GGGGGCCC",), ("",), (None,)], "seq string")
+    got = [(r["seq"], r["sample"], r["barcode_start"], r["errors"]) for r in demux.demultiplex(anywhere, b("AAAA", "ACCC"), 1).collect()]
+    assert got == [("GGAAAAGG", "s0", 2, 0), ("CCCGGGGG", "s1", 0, 0), ("TGGCACCG", "s1", 4, 1), ("GGGGGCCC", "s1", 4, 1)]
+    assert demux.error_rate(b("AAAA", "CC"), 1) == 0.25
+
+
+def test_places_against_brute_force():
+    rng = random.Random(5)
+    word = lambda n, letters="ACGT": "".join(rng.choice(letters) for _ in range(n))
+    for _ in range(200):
+        adapter, front, rate, least = word(rng.randint(1, 8), "ACGTN"), rng.random() < 0.5, rng.choice((0, 0.1, 0.25, 0.4)), rng.randint(1, 4)
+        reads = [word(rng.randint(0, 20)) for _ in range(10)]
+        score, place, errors = best_places([r.encode() for r in reads], adapter.encode(), rate, least, front)
+        for i, read in enumerate(reads):
+            best = (-1, 0, 0)
+            for p in range(-len(adapter), len(read) + 1):
+                pairs = [(a, read[p + j]) for j, a in enumerate(adapter) if 0 <= p + j < len(read)]
+                if (p + len(adapter) > len(read)) if front else p < 0:
+                    continue
+                wrong = sum(a not in ("N", x) for a, x in pairs)
+                if len(pairs) >= min(least, len(adapter)) and wrong <= int(rate * sum(a != "N" for a, _ in pairs) + 1e-9) and len(pairs) - 2 * wrong > best[0]:
+                    best = (len(pairs) - 2 * wrong, p, wrong)
+            assert score[i] == best[0]
+            if best[0] >= 0:
+                assert (place[i], errors[i]) == best[1:]
 
 
 def test_groups(spark):
