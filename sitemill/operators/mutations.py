@@ -37,7 +37,7 @@ def permuted_mutations(tags: DataFrame, mutations: DataFrame, iterations: int =
     """(chrom, strand, pos, k, m, fdr): mutated tags m of k overlapping ones, against random places.
 
     Own estimate: each mutation is thrown ``iterations`` times to a place of its tag chosen by a
-    hash (repeatable on any partitioning). The rate at (m, k) is the expected number of positions
+    digest (repeatable on any partitioning and engine). The rate at (m, k) is the expected number of positions
     with so many mutations or more, over the observed number, at most one.
     """
     cover = tags.select(*STRANDED, F.explode(F.sequence("start", F.col("end") - 1)).alias("pos")).groupBy(*STRANDED, "pos").agg(F.count("*").alias("k"))
@@ -46,7 +46,8 @@ def permuted_mutations(tags: DataFrame, mutations: DataFrame, iterations: int =
     placed = mutations.select("qname").join(tags.select("qname", *STRANDED, "start", "end"), "qname")
     numbered = placed.withColumn("i", F.row_number().over(Window.partitionBy("qname").orderBy("start")))
     thrown = numbered.select("*", F.explode(F.sequence(F.lit(1), F.lit(iterations))).alias("it"))
-    at = F.col("start") + F.pmod(F.xxhash64("qname", "i", "it", F.lit(seed)), F.col("end") - F.col("start"))
+    digits = F.substring(F.md5(F.concat_ws("|", "qname", "i", "it", F.lit(seed))), 1, 8)
+    at = F.col("start") + F.conv(digits, 16, 10).cast("long") % (F.col("end") - F.col("start"))
     null = thrown.groupBy("it", *STRANDED, at.alias("pos")).agg(F.count("*").alias("m")).join(cover, [*STRANDED, "pos"])
     both = real.groupBy("k", "m").agg(F.count("*").alias("n_real")).join(null.groupBy("k", "m").agg((F.count("*") / F.lit(iterations)).alias("n_null")), ["k", "m"], "full").fillna(0)
     more = Window.partitionBy("k").orderBy(F.col("m").desc()).rowsBetween(Window.unboundedPreceding, 0)

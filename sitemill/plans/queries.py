@@ -116,6 +116,41 @@ elements AS (
 BARCODES = "barcodes AS (SELECT 'b1' AS sample, 'AGAC' AS barcode, 0 AS ord UNION ALL SELECT 'b2', 'CAAC', 1 UNION ALL SELECT 'b3', 'GTAC', 2 UNION ALL SELECT 'b4', 'TGAC', 3)"
 
 
+#: Tag-based parts of the SQL side.
+def _thrown(kind: str, pos: str) -> str:
+    """Counts of real and thrown mutations of one kind, and their rates by (k, m)."""
+    return f"""
+muts AS (SELECT qname, chrom, strand, {pos} AS pos FROM u WHERE {kind}),
+cover AS (SELECT chrom, strand, pos, count(*) AS k FROM (SELECT chrom, strand, unnest(range(start0, end0)) AS pos FROM u) GROUP BY ALL),
+seen AS (SELECT chrom, strand, pos, k, count(*) AS m FROM muts JOIN cover USING (chrom, strand, pos) GROUP BY ALL),
+numbered AS (SELECT u.*, row_number() OVER (PARTITION BY qname ORDER BY start0) AS i FROM muts JOIN u USING (qname)),
+thrown AS (SELECT it, chrom, strand, start0 + CAST(concat('0x', left(md5(concat_ws('|', qname, i, it, 1)), 8)) AS BIGINT) % (end0 - start0) AS pos FROM numbered, range(1, 6) t(it)),
+nulls AS (SELECT k, m, count(*) / 5 AS n_null FROM (SELECT it, chrom, strand, pos, count(*) AS m FROM thrown GROUP BY ALL) JOIN cover USING (chrom, strand, pos) GROUP BY ALL),
+reals AS (SELECT k, m, count(*) AS n_real FROM seen GROUP BY ALL),
+sums AS (SELECT k, m, sum(coalesce(n_real, 0)) OVER w AS a, sum(coalesce(n_null, 0)) OVER w AS b FROM reals FULL JOIN nulls USING (k, m) WINDOW w AS (PARTITION BY k ORDER BY m DESC ROWS UNBOUNDED PRECEDING)),
+rates AS (SELECT k, m, CASE WHEN a > 0 THEN least(b / a, 1.0) ELSE 1.0 END AS fdr FROM sums)"""
+
+
+def _truncated(keys: str, source: str = "u") -> str:
+    """Tested truncations of tags without a deletion, in clusters by gap."""
+    return f"""
+n AS (SELECT {keys}, CASE WHEN strand = '-' THEN end0 ELSE start0 - 1 END AS pos, count(*) AS k FROM {source} WHERE qname NOT IN (SELECT qname FROM u WHERE shape = 'D') GROUP BY ALL),
+f AS (SELECT *, CASE WHEN pos - lag(pos) OVER w <= 25 THEN 0 ELSE 1 END AS new FROM n WHERE pos >= 0 WINDOW w AS (PARTITION BY {keys} ORDER BY pos)),
+c AS (SELECT *, sum(new) OVER (PARTITION BY {keys} ORDER BY pos ROWS UNBOUNDED PRECEDING) AS cluster FROM f),
+t AS (SELECT *, CAST(sum(k) OVER w AS BIGINT) AS m, 1.0::DOUBLE / (max(pos) OVER w - min(pos) OVER w + 1) AS r FROM c WINDOW w AS (PARTITION BY {keys}, cluster)),
+p AS (SELECT *, {PVALUE} AS pvalue FROM t)"""
+
+
+def _tiles(keys: str, source: str) -> str:
+    """Peaks as the largest tiles of 20 bases around, against the share of 51 tiles."""
+    return f"""
+tiles AS (SELECT {keys}, CAST(floor((start0 + end0) / 2 / 20) AS BIGINT) AS tile, count(*) AS k FROM {source} GROUP BY ALL),
+near AS (
+  SELECT *, 1.0::DOUBLE / 51 AS r, CAST(sum(k) OVER (PARTITION BY {keys} ORDER BY tile RANGE BETWEEN 25 PRECEDING AND 25 FOLLOWING) AS BIGINT) AS m,
+    k * 10000000000 - tile = max(k * 10000000000 - tile) OVER (PARTITION BY {keys} ORDER BY tile RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS top FROM tiles),
+called AS (SELECT *, {PVALUE} AS pvalue FROM near WHERE top AND k >= 3 AND k >= 2.0 * m / 51)"""
+
+
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Registers a function as a query, and its SQL."""
 
@@ -638,11 +673,13 @@ def parse_alignments(spark: SparkSession, d: str) -> DataFrame:
     return mutations.parse_alignments(reads(spark, d), 1, 25).select("sample", "name", "chrom", "start", "end", "strand")
 
 
-@query()
+@query(
+    duck(READS, "u AS (SELECT * FROM reads WHERE nh <= 1)", _thrown("has_sub = 1", "start0 + 5")) + " SELECT chrom, strand, pos, k, m, round(fdr, 9) AS fdr FROM seen JOIN rates USING (k, m)"
+)
 def cims_permutation(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
     m = r.where("has_sub = 1").select("qname", "chrom", "strand", (F.col("start") + 5).alias("pos"))
-    return mutations.permuted_mutations(r, m)
+    return mutations.permuted_mutations(r, m).withColumn("fdr", F.round("fdr", 9))
 
 
 @query(
@@ -662,25 +699,47 @@ def cits_clusters(spark: SparkSession, d: str) -> DataFrame:
     return mutations.truncation_clusters(r, r.where("shape = 'D'"), 0.05).withColumn("logp", _log("pvalue")).drop("pvalue")
 
 
-@query()
+@query(
+    duck(READS, "u AS (SELECT * FROM reads WHERE nh <= 1)", _tiles("chrom, strand", "u"))
+    + " SELECT chrom, strand, tile * 20 AS start, tile * 20 + 20 AS \"end\", concat_ws('-', chrom, tile * 20, strand) AS name, k AS score, round(-log10(pvalue), 4) AS logp FROM called WHERE pvalue <= 0.01"
+)
 def called_peaks(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
-    return matrix.call_peaks(r, pvalue=0.01)
+    return matrix.call_peaks(r, pvalue=0.01).withColumn("logp", _log("pvalue")).drop("pvalue")
 
 
-@query()
+@query(
+    duck(READS, GROUPS, "u AS (SELECT * FROM reads WHERE nh <= 1)", "g AS (SELECT * FROM u JOIN grp USING (sample))", _tiles("grp, chrom, strand", "g"))
+    + " SELECT grp, chrom, strand, tile * 20 AS start, tile * 20 + 20 AS \"end\", concat_ws('-', chrom, tile * 20, strand) AS name, k AS score, round(-log10(pvalue), 4) AS logp FROM called WHERE pvalue <= 0.01"
+)
 def grouped_peaks(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(demux.assign_groups(reads(spark, d), groups(spark))).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
-    return matrix.call_peaks(r, pvalue=0.01, by=["grp"])
+    return matrix.call_peaks(r, pvalue=0.01, by=["grp"]).withColumn("logp", _log("pvalue")).drop("pvalue")
 
 
-@query()
+@query(
+    duck(
+        READS,
+        "u AS (SELECT chrom, strand, start0 AS s, end0 AS e, 1 AS v FROM reads WHERE nh <= 1)",
+        _steps("track", "u", "chrom, strand"),
+        "news AS (SELECT *, CASE WHEN s - lag(s) OVER w <= 50 THEN 0 ELSE 1 END AS new FROM track WINDOW w AS (PARTITION BY chrom, strand ORDER BY s))",
+        "runs AS (SELECT *, sum(new) OVER (PARTITION BY chrom, strand ORDER BY s ROWS UNBOUNDED PRECEDING) AS run FROM news)",
+        "lows AS (SELECT *, v < (1 - 0.9::DOUBLE) * least(max(v) OVER (w ROWS UNBOUNDED PRECEDING), max(v) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS low FROM runs WINDOW w AS (PARTITION BY chrom, strand, run ORDER BY s))",
+        "parts AS (SELECT *, sum(CASE WHEN low THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand, run ORDER BY s ROWS UNBOUNDED PRECEDING) AS part FROM lows)",
+    )
+    + " SELECT chrom, strand, min(s) AS start, max(e) AS \"end\", CAST(max(v) AS BIGINT) AS score, arg_max(s, v * 1000000000000 - s) AS top FROM parts WHERE NOT low GROUP BY chrom, strand, run, part"
+)
 def valley_peaks(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
-    return matrix.valley_peaks(intervals.depth_track(r, ["chrom", "strand"]))
+    return matrix.valley_peaks(intervals.depth_track(r, ["chrom", "strand"])).withColumn("score", F.col("score").cast("long"))
 
 
-@query()
+@query(
+    duck(READS, "u AS (SELECT * FROM reads WHERE nh <= 1)", _truncated("chrom, strand"))
+    + " SELECT chrom, pos AS start, strand, 'trunc' AS kind, CAST(k AS DOUBLE) AS score FROM p WHERE pvalue < 0.001"
+    + " UNION ALL SELECT chrom, start0 + 5, strand, 'sub', CAST(count(*) AS DOUBLE) FROM u WHERE has_sub = 1 GROUP BY ALL"
+    + " UNION ALL SELECT chrom, start0 + 8, strand, 'del', CAST(count(*) AS DOUBLE) FROM u WHERE shape = 'D' GROUP BY ALL"
+)
 def tag_sites(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
     at = lambda n: (F.col("start") + n).alias("pos")
@@ -761,10 +820,15 @@ def rescued_dedup(spark: SparkSession, d: str) -> DataFrame:
     return sites.dedup_reads(reads(spark, d), 0, multi_map=True).select("sample", "chrom", "strand", "site", "spliced", "reads", "qname")
 
 
-@query()
+@query(
+    duck(READS, GROUPS, "u AS (SELECT * FROM reads WHERE nh <= 1)", "g AS (SELECT * FROM u JOIN grp USING (sample))", _truncated("grp, chrom, strand", "g"))
+    + " SELECT grp, chrom, pos AS start, strand, CAST(k AS DOUBLE) AS score FROM p WHERE pvalue < 0.001"
+)
 def grouped_tag_sites(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
-    m = r.where("has_sub = 1").select("qname", "sample", "chrom", "strand", (F.col("start") + 5).alias("pos"), F.lit("sub").alias("mut_type"))
+    cols = ["qname", "sample", "chrom", "strand"]
+    m = r.where("has_sub = 1").select(*cols, (F.col("start") + 5).alias("pos"), F.lit("sub").alias("mut_type"))
+    m = m.unionByName(r.where("shape = 'D'").select(*cols, (F.col("start") + 8).alias("pos"), F.lit("del").alias("mut_type")))
     out = tags.grouped_tag_sites(r, m, groups(spark), ["g1", "g2"])
     sides = [out[g]["trunc"].select(F.lit(g).alias("grp"), "chrom", "start", "strand", "score") for g in ("g1", "g2")]
     return sides[0].unionByName(sides[1])
