@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -148,60 +151,91 @@ def _tags(b: bytes) -> Iterator[str]:
             at += _SIZES[kind]
 
 
-def bam_records(blob: bytes) -> tuple[list[tuple[str, int]], Iterator[list[str]]]:
-    """(references with lengths, records as SAM fields) of a BAM file's bytes."""
-    data = b"".join(_inflate(blob))
-    if data[:4] != b"BAM\1":
+class _Stream:
+    """Inflated data read forward; what was taken is let go of."""
+
+    def __init__(self, parts: Iterator[bytes]) -> None:
+        self.parts, self.held, self.at = parts, b"", 0
+
+    def take(self, n: int) -> bytes | None:
+        """The next n bytes; None at the end of the data, an error within a record."""
+        while len(self.held) - self.at < n:
+            more = next(self.parts, None)
+            if more is None:
+                if self.at == len(self.held):
+                    return None
+                raise ValueError("truncated BAM file")
+            self.held, self.at = self.held[self.at :] + more, 0
+        self.at += n
+        return self.held[self.at - n : self.at]
+
+
+def bam_references(data: _Stream) -> list[tuple[str, int]]:
+    """References with lengths; the stream then stands at the first record."""
+    if data.take(4) != b"BAM\1":
         raise ValueError("not a BAM file")
-    at = 8 + struct.unpack_from("<i", data, 4)[0]
-    n = struct.unpack_from("<i", data, at)[0]
-    at += 4
-    refs: list[tuple[str, int]] = []
-    for _ in range(n):
-        k = struct.unpack_from("<i", data, at)[0]
-        refs.append((data[at + 4 : at + 3 + k].decode(), struct.unpack_from("<i", data, at + 4 + k)[0]))
-        at += 8 + k
-
-    def rows(at: int) -> Iterator[list[str]]:
-        while at < len(data):
-            size, ref, pos, k, mapq, _, ops, flag, length, mate, mate_pos, insert = struct.unpack_from("<iiiBBHHHiiii", data, at)
-            p = at + 36
-            name = data[p : p + k - 1].decode()
+    number = lambda: struct.unpack("<i", data.take(4) or b"")[0]
+    data.take(number())
+    return [((data.take(number()) or b"")[:-1].decode(), number()) for _ in range(number())]
+
+
+def bam_records(blob: bytes, chrom: str | None = None) -> tuple[list[tuple[str, int]], Iterator[list[str]]]:
+    """(references with lengths, records as SAM fields) of a BAM file's bytes.
+
+    Members are inflated as the records need them. Records of other references than ``chrom`` are
+    passed over by their number, undecoded; in a file whose header says it is sorted by coordinate,
+    nothing after the reference is inflated.
+    """
+    data = _Stream(_inflate(blob))
+    start = _Stream(_inflate(blob)).take(8) or b""
+    head = _Stream(_inflate(blob)).take(8 + struct.unpack("<i", start[4:])[0]) if start[:4] == b"BAM\1" else b""
+    is_sorted = b"\tSO:coordinate" in (head or b"").split(b"\n", 1)[0]
+    refs = bam_references(data)
+    want = None if chrom is None else next((i for i, r in enumerate(refs) if r[0] == chrom), -2 if chrom != "*" else -1)
+
+    def rows() -> Iterator[list[str]]:
+        if want == -2:
+            return
+        while (size := data.take(4)) is not None:
+            record = data.take(struct.unpack("<i", size)[0])
+            if record is None:
+                raise ValueError("truncated BAM file")
+            ref, pos, k, mapq, _, ops, flag, length, mate, mate_pos, insert = struct.unpack_from("<iiBBHHHiiii", record, 0)
+            if want is not None and ref != want:
+                if is_sorted and want >= 0 and (ref > want or ref < 0):
+                    return
+                continue
+            p = 32
+            name = record[p : p + k - 1].decode()
             p += k
-            cigar = "".join(f"{c >> 4}{_CIGAR[c & 15]}" for c in struct.unpack_from(f"<{ops}I", data, p)) or "*"
+            cigar = "".join(f"{c >> 4}{_CIGAR[c & 15]}" for c in struct.unpack_from(f"<{ops}I", record, p)) or "*"
             p += 4 * ops
-            packed = data[p : p + (length + 1) // 2]
+            packed = record[p : p + (length + 1) // 2]
             seq = "".join(_SEQ[x >> 4] + _SEQ[x & 15] for x in packed)[:length] or "*"
             p += len(packed)
-            qual = "".join(chr(q + 33) for q in data[p : p + length]) if length and data[p] != 255 else "*"
+            qual = "".join(chr(q + 33) for q in record[p : p + length]) if length and record[p] != 255 else "*"
             p += length
-            chrom = refs[ref][0] if ref >= 0 else "*"
-            yield [name, str(flag), chrom, str(pos + 1), str(mapq), cigar, refs[mate][0] if mate >= 0 else "*", str(mate_pos + 1), str(insert), seq, qual, *_tags(data[p : at + 4 + size])]
-            at += 4 + size
+            yield [name, str(flag), refs[ref][0] if ref >= 0 else "*", str(pos + 1), str(mapq), cigar, refs[mate][0] if mate >= 0 else "*", str(mate_pos + 1), str(insert), seq, qual, *_tags(record[p:])]
 
-    return refs, rows(at)
+    return refs, rows()
 
 
 def read_bam(spark: SparkSession, path: str, chrom: str | None = None) -> DataFrame:
     """Alignment rows of BAM files, one task a file; ``chrom`` keeps one reference.
 
-    For repeated work write the rows to Parquet partitioned by chromosome, which prunes and splits.
+    A task holds a file's compressed bytes (Spark's limit for one is 2 GB) and a member of the
+    inflated data. For repeated work write the rows to Parquet partitioned by chromosome, which
+    prunes and splits.
     """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["path", "f", "ord"]
         for b in batches:
             for p, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                fields: list[list[str]] = []
-                done = 0
-                for row in bam_records(blob)[1]:
-                    if chrom is None or row[2] == chrom:
-                        fields.append(row)
-                    if len(fields) == 10_000:
-                        yield pa.RecordBatch.from_arrays([pa.array([p] * len(fields)), pa.array(fields), pa.array(range(done, done + len(fields)))], names=names)
-                        done, fields = done + len(fields), []
-                if fields:
+                rows, done = bam_records(blob, chrom)[1], 0
+                while fields := list(islice(rows, 10_000)):
                     yield pa.RecordBatch.from_arrays([pa.array([p] * len(fields)), pa.array(fields), pa.array(range(done, done + len(fields)))], names=names)
+                    done += len(fields)
 
     raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(decode, "path string, f array<string>, ord long")
     return sam_columns(raw.select(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.bam$", "").alias("sample"), "f", "ord"))
@@ -212,7 +246,7 @@ def read_bam_header(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            refs = [r for blob in b.column(0).to_pylist() for r in bam_records(blob)[0]]
+            refs = [r for blob in b.column(0).to_pylist() for r in bam_references(_Stream(_inflate(blob)))]
             yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in refs], pa.string()), pa.array([k for _, k in refs], pa.int64())], names=["chrom", "length"])
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(decode, "chrom string, length long").distinct()
@@ -289,29 +323,30 @@ def read_pileup(spark: SparkSession, path: str) -> DataFrame:
     return p if "strand" in p.columns else p.withColumn("strand", F.lit("+"))
 
 
-def import_pileup_arrays(spark: SparkSession, path: str, sample: str) -> DataFrame:
-    """A pileup of compressed arrays: keys chrom__strand__field, or chrom__field without strands."""
+def _arrays(blob: bytes) -> tuple[dict[str, np.ndarray], list[tuple[str, str, str]]]:
+    """The arrays of a compressed file by name, and (prefix, chrom, strand) of each chromosome and strand in it."""
+    z = np.load(io.BytesIO(blob))
+    data = {k: z[k] for k in z.files}
+    bases = [k[: -len("__positions")] for k in data if k.endswith("__positions")]
+    return data, [(b, b.partition("__")[0], "-" if b.partition("__")[2] == "rev" else "+") for b in bases]
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
 
-        import numpy as np
+def import_pileup_arrays(spark: SparkSession, path: str, sample: str) -> DataFrame:
+    """A pileup of compressed arrays: keys chrom__strand__field, or chrom__field without strands.
+
+    Their substitution counts are read by ``import_substitution_arrays``.
+    """
 
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for blob in b.column(0).to_pylist():
-                z = np.load(io.BytesIO(blob))
-                for key in z.files:
-                    if not key.endswith("__positions"):
-                        continue
-                    base = key[: -len("__positions")]
-                    chrom, _, name = base.partition("__")
-                    pos = z[key].astype("i8")
-                    get = lambda f, base=base, pos=pos: z[f"{base}__{f}"].astype("i8") if f"{base}__{f}" in z.files else None
-                    trunc = get("truncations")
-                    clean = get("clean_truncations")
-                    cols = [get("coverage"), trunc, trunc if clean is None else clean, get("deletions")]
-                    cols = [np.zeros(len(pos), "i8") if c is None else c for c in cols]
-                    strand = "-" if name == "rev" else "+"
+                data, parts = _arrays(blob)
+                for base, chrom, strand in parts:
+                    pos = data[f"{base}__positions"].astype("i8")
+                    none = np.zeros(len(pos), "i8")
+                    get = lambda f, other, base=base, data=data: data.get(f"{base}__{f}", other).astype("i8")
+                    trunc = get("truncations", none)
+                    cols = [get("coverage", none), trunc, get("clean_truncations", trunc), get("deletions", none)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([sample] * len(pos)), pa.array([chrom] * len(pos)), pa.array([strand] * len(pos)), pa.array(pos), *map(pa.array, cols)],
                         names=["sample", "chrom", "strand", "pos", "coverage", "truncations", "clean_truncations", "deletions"],
@@ -319,3 +354,20 @@ def import_pileup_arrays(spark: SparkSession, path: str, sample: str) -> DataFra
 
     schema = "sample string, chrom string, strand string, pos long, coverage long, truncations long, clean_truncations long, deletions long"
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(decode, schema)
+
+
+def import_substitution_arrays(spark: SparkSession, path: str, sample: str) -> DataFrame:
+    """(sample, chrom, strand, pos, sub_type, n) of a pileup of compressed arrays: keys end in ``__sub__TC``."""
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for blob in b.column(0).to_pylist():
+                data, parts = _arrays(blob)
+                for base, chrom, strand in parts:
+                    for key in [k for k in data if k.startswith(f"{base}__sub__")]:
+                        seen = np.flatnonzero(data[key])
+                        own = [pa.array([x] * len(seen), pa.string()) for x in (sample, chrom, strand, key[-2:])]
+                        pos, n = (pa.array(data[k][seen].astype("i8")) for k in (f"{base}__positions", key))
+                        yield pa.RecordBatch.from_arrays([*own[:3], pos, own[3], n], names=["sample", "chrom", "strand", "pos", "sub_type", "n"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(decode, "sample string, chrom string, strand string, pos long, sub_type string, n long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,26 @@ def deposit(reads: DataFrame, path: str) -> DataFrame:
     return files.select("path", F.md5("content").alias("md5"))
 
 
+def deposit_summary(spark: SparkSession, path: str) -> DataFrame:
+    """(sample, reads, percent) of a deposit, counted in what was written; percent of all, one decimal."""
+    lines = spark.read.text(path).groupBy("sample").agg((F.count("*") / 4).cast("long").alias("reads"))
+    every = lines.agg(F.sum("reads").alias("__all"))
+    return lines.crossJoin(every).select(F.col("sample").cast("string").alias("sample"), "reads", F.round(100 * F.col("reads") / F.col("__all"), 1).alias("percent"))
+
+
+def sam_text(reads: DataFrame) -> DataFrame:
+    """Alignment rows as SAM lines with the NH and MD tags that they have; qualities are left out."""
+    tag = lambda name, kind, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{name}:{kind}:"), F.col(c).cast("string")))
+    fields = ["qname", "flag", "chrom", (F.col("start0") + 1).cast("string"), "mapq", "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", F.lit("*"), tag("NH", "i", "nh"), tag("MD", "Z", "md")]
+    return reads.select(F.concat_ws("\t", *[F.col(f).cast("string") if isinstance(f, str) else f for f in fields]).alias("value"))
+
+
+def write_sam(reads: DataFrame, sizes: DataFrame, path: str) -> None:
+    """SAM lines in a folder, the references (chrom, length) in a file of their own, as every reader here takes them."""
+    sam_text(reads).write.text(path)
+    sizes.select(F.concat(F.lit("@SQ\tSN:"), "chrom", F.lit("\tLN:"), F.col("length").cast("string"))).coalesce(1).write.mode("append").text(path)
+
+
 def _number(c: Column, form: str) -> Column:
     return F.format_string(form, c)
 
@@ -58,6 +78,11 @@ def bedgraph_text(track: DataFrame, value: str = "value") -> DataFrame:
     return track.orderBy("chrom", "start").select(F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), F.col(value).cast("string")).alias("value"))
 
 
+def write_bedgraph(track: DataFrame, path: str, name: str, value: str = "value") -> None:
+    """One sample and strand as bedGraph text with its track line."""
+    write_text(bedgraph_text(track, value), path, f'track type=bedGraph name="{name}"')
+
+
 def with_header(text: DataFrame, header: str) -> DataFrame:
     """A header row before the rows, which keep their order, in a one-file write: for text that tools read, not for large tables."""
     first = text.sparkSession.createDataFrame([(-1, header)], "i long, value string")
