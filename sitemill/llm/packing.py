@@ -6,6 +6,7 @@ import json
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -112,12 +113,76 @@ def lower_bound(counts: np.ndarray, capacity: int = CAPACITY) -> int:
     return int(best)
 
 
+def covers(a: tuple[int, ...], b: tuple[int, ...], most: int = 10_000) -> bool:
+    """Whether the set a dominates b: the items of b can be dealt to those of a, none overfull.
+
+    Then a packing with b has one with a that is no worse. Equal items may be matched first. Gives
+    up after ``most`` tries with False, which keeps b and so loses nothing.
+    """
+    left, spare = Counter(b), Counter(a)
+    common = left & spare
+    todo = sorted((left - common).elements(), reverse=True)
+    room = sorted((spare - common).elements())
+    if sum(todo) > sum(room):
+        return False
+    tries = 0
+
+    def deal(i: int) -> bool:
+        nonlocal tries
+        if i == len(todo):
+            return True
+        seen = set()
+        for j, free in enumerate(room):
+            if free < todo[i] or free in seen:
+                continue
+            tries += 1
+            if tries > most:
+                return False
+            seen.add(free)
+            room[j] = free - todo[i]
+            if deal(i + 1):
+                return True
+            room[j] = free
+        return False
+
+    return deal(0)
+
+
+def undominated(sets: list[tuple[int, ...]], width: int | None = None) -> list[tuple[int, ...]]:
+    """The sets that none before them covers, in their order; the first ``width`` if given."""
+    out: list[tuple[int, ...]] = []
+    for items in sets:
+        if len(out) == width:
+            break
+        if not any(covers(o, items) for o in out):
+            out.append(items)
+    return out
+
+
+def all_fillings(counts: np.ndarray, room: int) -> list[tuple[int, ...]]:
+    """Every undominated set of items for ``room``, tightest first. Exponential: for the exact search."""
+    sizes = [int(x) for x in np.flatnonzero(counts[: room + 1])[::-1] if x]
+    found: list[tuple[int, ...]] = []
+
+    def grow(at: int, left: int, items: tuple[int, ...]) -> None:
+        if at == len(sizes):
+            found.append(items)
+            return
+        for n in range(min(int(counts[sizes[at]]), left // sizes[at]), -1, -1):
+            grow(at + 1, left - n * sizes[at], items + (sizes[at],) * n)
+
+    grow(0, room, ())
+    # larger sums first, then larger items: no set is covered by one after it, but for equals
+    found.sort(key=lambda f: (-sum(f), [-x for x in f]))
+    return undominated(found)
+
+
 def fillings(counts: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
-    """The best undominated sets of items for ``room``, tightest first, then with larger items.
+    """Tight sets of items for ``room`` that don't dominate each other: tightest first, unlike ones before the rest.
 
     One item that fills the room exactly dominates every other set. Otherwise sets of one, two and
-    three items, each made maximal by further best fits; a set that leaves more and has a smaller
-    largest item is dominated.
+    three items, each made maximal by further best fits: a choice, not every undominated set, which
+    ``all_fillings`` enumerates.
     """
     have = counts[: room + 1].copy()
     if room <= 0 or not have[1:].any():
@@ -166,13 +231,10 @@ def fillings(counts: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]
         best = exact_fill(have, room)
         if best:
             add(best)
-    ranked = sorted(found.items(), key=lambda f: (f[1], [-x for x in f[0]]))
-    out, top = [], 0
-    for items, _ in ranked:
-        if items[0] > top:
-            out.append(items)
-            top = items[0]
-    return out[:width]
+    kept = undominated([items for items, _ in sorted(found.items(), key=lambda f: (f[1], [-x for x in f[0]]))])
+    # unlike ones first: those whose largest item is larger than in any tighter one
+    tops = np.maximum.accumulate([0, *(f[0] for f in kept)])
+    return sorted(kept, key=lambda f: f[0] <= tops[kept.index(f)])[:width]
 
 
 def exact_fill(have: np.ndarray, room: int, most: int = 4) -> list[int]:
@@ -235,14 +297,17 @@ def best_fit(counts: np.ndarray, capacity: int = CAPACITY) -> Plan:
     return [g for groups in free.values() for g in groups]
 
 
-def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = 2_000, width: int = 3) -> Plan:
+def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = 2_000, width: int = 3, exact: bool = False) -> Plan:
     """Fillings and how often each is used, for ``counts[size]`` items; all items are placed.
 
     Branch and bound: each step completes the bin of the largest item left by an undominated
     filling, as often as the counts allow (equal bins are one step, so the work does not grow with
     the number of documents). The best-fit solution is the first incumbent; fillings are tried
-    tightest first. A branch is left when its waste exceeds what a better solution may waste; the
+    in the order of ``fillings``, deepest first. A branch is left when its waste exceeds what a better solution may waste; the
     search ends at the lower bound or after ``nodes`` steps, with the best found.
+
+    With ``exact`` a step is one bin, every undominated filling is tried, and only the bound ends the
+    search: no packing has fewer bins. Its time is exponential in the bins, so it is for small tables.
     """
     counts = counts.astype("i8").copy()
     counts[0] = 0
@@ -252,7 +317,7 @@ def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = 2_
     bins_best = sum(times for _, times in best)
     todo: list[tuple[np.ndarray, int, int, tuple | None]] = [(counts, 0, 0, None)]
     steps = 0
-    while todo and bins_best > least and steps < nodes:
+    while todo and bins_best > least and (exact or steps < nodes):
         have, bins, waste, trail = todo.pop()
         if waste > (bins_best - 1) * capacity - total or bins + lower_bound(have, capacity) >= bins_best:
             continue
@@ -270,12 +335,12 @@ def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = 2_
         have = have.copy()
         have[big] -= 1
         children = []
-        for items in fillings(have, capacity - big, width):
+        for items in all_fillings(have, capacity - big) if exact else fillings(have, capacity - big, width):
             need = np.bincount([big, *items], minlength=capacity + 1)
             used = np.flatnonzero(need)
             whole = have.copy()
             whole[big] += 1
-            times = int((whole[used] // need[used]).min())
+            times = 1 if exact else int((whole[used] // need[used]).min())
             whole[used] -= need[used] * times
             over = capacity - big - sum(items)
             children.append((whole, bins + times, waste + over * times, (trail, ((big, *items), times))))
@@ -283,7 +348,7 @@ def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = 2_
     return best
 
 
-def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, nodes: int = 2_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, nodes: int = 2_000, exact: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row for each piece.
 
     Every row of ``docs`` gives its pieces: null and empty texts one of a single end token; rows of
@@ -291,7 +356,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     from the end into full pieces, so that only the first may be shorter. Extra columns are ignored.
 
     Only the counts of the ``capacity`` possible lengths reach the driver, however many documents
-    there are; the plan made from them is of bounded size too. A piece finds its place by its rank
+    there are (``nodes`` and ``exact`` are those of ``bin_completion``); the plan made from them is of bounded size too. A piece finds its place by its rank
     among the pieces of its length: tasks rank their own, and counts of (task, length) shift them.
     """
     all_pieces = cut(pieces(docs, tokenizer, id_col, text_col, capacity))
@@ -301,7 +366,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         counts[r["length"]] = r["n"]
     runs: dict[int, list[tuple[int, int, int]]] = {}
     first_free, taken = 0, np.zeros(capacity + 1, "i8")
-    for items, times in bin_completion(counts, capacity, nodes):
+    for items, times in bin_completion(counts, capacity, nodes, exact=exact):
         at = 0
         for x in items:
             runs.setdefault(x, []).append((int(taken[x]), first_free, at))

@@ -796,3 +796,37 @@ def test_runs_against_brute_force():
         best = min(found, key=lambda x: (-x[0], x[2] - x[1]), default=None)
         got = s.scan(text)
         assert bool(got) == bool(best) and (not best or max(h[1] for h in got) == best[0]), text
+
+
+def _fewest(items, capacity):
+    """Fewest bins by dynamic programming over subsets."""
+    best = [(0, capacity + 1)]
+    for m in range(1, 1 << len(items)):
+        options = []
+        for i, x in enumerate(items):
+            if m >> i & 1:
+                bins, used = best[m ^ (1 << i)]
+                options.append((bins, used + x) if used + x <= capacity else (bins + 1, x))
+        best.append(min(options))
+    return best[-1][0]
+
+
+def test_packing_search_against_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        capacity = int(rng.choice([10, 20, 50]))
+        items = [int(x) for x in rng.integers(1, capacity + 1, rng.integers(1, 10))]
+        counts = np.bincount(items, minlength=capacity + 1)
+        plans = [packing.bin_completion(counts, capacity, exact=e) for e in (True, False)]
+        for plan in plans:
+            assert sorted(x for f, n in plan for _ in range(n) for x in f) == sorted(items) and all(sum(f) <= capacity for f, _ in plan)
+        exact, quick = (sum(n for _, n in plan) for plan in plans)
+        assert packing.lower_bound(counts, capacity) <= exact == _fewest(items, capacity) <= quick
+
+
+def test_packing_dominance():
+    assert packing.covers((7, 3), (5, 2, 3)) and packing.covers((4, 4), (4, 3)) and packing.covers((3,), ())
+    assert not packing.covers((5, 5), (6, 2)) and not packing.covers((4, 4), (3, 3, 2)) and not packing.covers((9,), (5, 5))
+    counts = np.bincount([9, 5, 4, 4, 3, 1], minlength=11)
+    assert packing.all_fillings(counts, 10) == [(9, 1)]  # 5, 4 and 1 fit in 9 and 1, as does every other set
+    assert (6, 3) in packing.all_fillings(np.bincount([7, 6, 3], minlength=10), 9)
