@@ -42,6 +42,26 @@ c AS (SELECT page_id, url, list_transform(x, lambda t: regexp_replace(replace(re
 d AS (SELECT page_id, url, array_to_string(list_filter(list_transform(x, lambda t: trim(regexp_replace(t, '\\s+', ' ', 'g'))), lambda t: t <> ''), chr(10)) AS text FROM c)
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d"""
 
+#: crc32 of a line's digits, a byte at a time and a bit at a time.
+OP12 = """
+WITH parts AS (
+  SELECT sale_id, line_no, item_id, CAST(floor(100.0 * CAST(amount AS DOUBLE) + 0.5) AS BIGINT) AS a, CAST(quantity AS BIGINT) AS q FROM sale_lines
+  WHERE sale_id IS NOT NULL AND item_id IS NOT NULL AND quantity <> 0 AND amount IS NOT NULL),
+l AS (SELECT sale_id, line_no, item_id, CAST(((2 * a + q) - (((2 * a + q) % (2 * q)) + 2 * q) % (2 * q)) // (2 * q) AS BIGINT) AS u, concat(sale_id, ',', line_no, ',', item_id) AS s FROM parts),
+crc AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(s[i]) AS BIGINT))),
+    lambda c, x: list_reduce(list_prepend(xor(c, x), CAST(range(8) AS BIGINT[])), lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)), 4294967295) AS crc
+  FROM l),
+i AS (SELECT item_id, CAST(floor(100.0 * CAST(price AS DOUBLE) + 0.5) AS BIGINT) AS p FROM items),
+pairs AS (
+  SELECT i.item_id, abs(u - p) AS gap, u, sale_id, line_no, l.item_id AS line_item_id, crc
+  FROM i JOIN crc l ON u BETWEEN p - 50 - p // 100 AND p + 50 + p // 100 WHERE l.item_id <> i.item_id AND (abs(u - p) <= 50 OR 1000 * abs(u - p) <= 5 * least(u, p))),
+first AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY gap, u, sale_id, line_no, line_item_id) AS rank FROM pairs QUALIFY rank <= 10),
+sums AS (SELECT item_id, count(*) AS n_pairs, CAST(sum(gap) AS BIGINT) AS gap_sum, CAST(sum(crc) AS BIGINT) AS lines_crc FROM pairs GROUP BY item_id)
+SELECT i.item_id, CAST(coalesce(rank, 0) AS INTEGER) AS rank, gap, u, sale_id, CAST(line_no AS BIGINT) AS line_no, line_item_id,
+  coalesce(n_pairs, 0) AS n_pairs, coalesce(gap_sum, 0) AS gap_sum, coalesce(lines_crc, 0) AS lines_crc
+FROM i LEFT JOIN sums ON sums.item_id = i.item_id LEFT JOIN first ON first.item_id = i.item_id"""
+
 
 def op4() -> str:
     """The template tree level by level, as nested tables."""
@@ -82,4 +102,4 @@ FROM judged j JOIN t ON t.host = j.host AND t.path = j.path JOIN judged_nodes p
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embedding_near_dedup": OP1, "op2_lm_scoring": OP2, "op4_url_filter": op4(), "op7_html_extraction": OP7}
+    return {"op1_embedding_near_dedup": OP1, "op2_lm_scoring": OP2, "op4_url_filter": op4(), "op7_html_extraction": OP7, "op12_numeric_band_join": OP12}

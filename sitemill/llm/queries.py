@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, html_extract, license_scan, lm_scoring, oracles, packing, simhash_dedup, substring_dedup, toxicity, url_filter, vector_dedup
+from . import band_join, decontaminate, html_extract, license_scan, lm_scoring, oracles, packing, simhash_dedup, substring_dedup, toxicity, url_filter, vector_dedup, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The components' values of every usable vector; an exact distance beyond 64 bits is null."""
+    vectors = table(spark, sf_dir, "embeddings")
+    out = whitening.whiten(vectors, whitening.fit_whitening(vectors))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_numeric_band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item with its first ten lines near its price, and counts over all of them."""
+    return band_join.near_prices(table(spark, sf_dir, "items"), table(spark, sf_dir, "sale_lines"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -77,6 +89,8 @@ ALL = (
     op8_toxicity,
     op9_simhash_near_dedup,
     op10_license_scan,
+    op11_embedding_whitening,
+    op12_numeric_band_join,
     pipeline,
 )
 
