@@ -33,6 +33,8 @@ BINS, ROUNDS = 4096, 3
 
 #: Pairs that are listed for an item.
 FIRST = 10
+#: A price that one item in so many has is dealt to so many tasks.
+COMMON, PARTS = 1000, 32
 
 
 @dataclass
@@ -287,13 +289,18 @@ def near_prices(items: DataFrame, lines: DataFrame, regions: int = REGIONS, leas
     right = groups.groupBy("u").agg(F.sum("n").alias("n"), F.sum("crc").alias("crc")).join(tops, "u")
 
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.when(F.col("item_id").isNotNull(), _cents(F.col("price"))).alias("p"))
-    prices = items.select("p").where("p IS NOT NULL").distinct()
-    found = band_join(prices, right, "p", "u", price_low, price_high, f"p long, n long, g long, crc long, top array<{_ROW}>", _BY_PRICE, regions, least)
+    prices = items.where("p IS NOT NULL").groupBy("p").agg(F.count("*").alias("items"))
+    found = band_join(prices.select("p"), right, "p", "u", price_low, price_high, f"p long, n long, g long, crc long, top array<{_ROW}>", _BY_PRICE, regions, least)
     # a price whose right side was cut has several parts
     found = found.groupBy("p").agg(F.sum("n").alias("n"), F.sum("g").alias("g"), F.sum("crc").alias("crc"), F.flatten(F.collect_list("top")).alias("top"))
     own = items.distinct().join(groups, "item_id").where(_near(F.col("p"), F.col("u")))
     own = own.groupBy("item_id", "p").agg(F.sum("n").alias("own_n"), F.sum(F.col("n") * F.abs(F.col("u") - F.col("p"))).alias("own_g"), F.sum("crc").alias("own_crc"))
-    out = items.join(own, ["item_id", "p"], "left").join(found, "p", "left")
+    # a price with a thousandth of all items, of which there are a thousand at most, is dealt in parts
+    many = F.broadcast(prices.where(F.col("items") * COMMON >= items.count()).select("p", F.lit(True).alias("many")))
+    part = F.pmod(F.xxhash64("item_id"), F.lit(PARTS)).cast("int")
+    items = items.join(many, "p", "left").withColumn("part", F.when(F.col("p").isNull() | F.col("many"), part).otherwise(0)).drop("many")
+    found = found.join(many, "p", "left").withColumn("part", F.explode(F.when(F.col("many"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0))))).drop("many")
+    out = items.join(own, ["item_id", "p"], "left").join(found, ["p", "part"], "left")
     others = F.filter("top", lambda t: t["line_item_id"] != F.col("item_id"))
     out = out.withColumn("first", F.slice(F.sort_array(others), 1, FIRST))
     sums = [(F.coalesce(F.col(a), F.lit(0)) - F.coalesce(F.col(b), F.lit(0))).alias(c) for a, b, c in (("n", "own_n", "n_pairs"), ("g", "own_g", "gap_sum"), ("crc", "own_crc", "lines_crc"))]

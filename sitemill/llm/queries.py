@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import band_join, decontaminate, html_extract, license_scan, lm_scoring, oracles, packing, simhash_dedup, substring_dedup, toxicity, url_filter, vector_dedup, whitening
+from . import band_join, decontaminate, html_extract, license_scan, lm_scoring, oracles, packing, simhash_dedup, substring_dedup, suffix_dedup, toxicity, url_filter, vector_dedup, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,13 @@ def op12_numeric_band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return band_join.near_prices(table(spark, sf_dir, "items"), table(spark, sf_dir, "sale_lines"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the bytes that repeat elsewhere counted and what is left of it as a digest."""
+    out = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -91,6 +98,7 @@ ALL = (
     op10_license_scan,
     op11_embedding_whitening,
     op12_numeric_band_join,
+    op13_suffix_array_dedup,
     pipeline,
 )
 
