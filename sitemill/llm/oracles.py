@@ -62,6 +62,22 @@ SELECT i.item_id, CAST(coalesce(rank, 0) AS INTEGER) AS rank, gap, u, sale_id, C
   coalesce(n_pairs, 0) AS n_pairs, coalesce(gap_sum, 0) AS gap_sum, coalesce(lines_crc, 0) AS lines_crc
 FROM i LEFT JOIN sums ON sums.item_id = i.item_id LEFT JOIN first ON first.item_id = i.item_id"""
 
+#: Every 400 bytes of every text by digest, then islands of covered bytes.
+OP13 = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+h AS (SELECT doc_id, list_transform(range(1, octet_length(b) - 398), lambda s: md5(array_slice(b, s, s + 399))) AS h FROM d),
+w AS (SELECT doc_id, unnest(h) AS h, generate_subscripts(h, 1) AS s FROM h),
+twice AS (SELECT doc_id, s FROM w QUALIFY count(*) OVER (PARTITION BY h) > 1),
+edge AS (SELECT doc_id, s, coalesce(s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) > 400, true) AS opens FROM twice),
+island AS (SELECT doc_id, s, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM edge),
+span AS (SELECT doc_id, min(s) AS a, max(s) + 400 AS e FROM island GROUP BY doc_id, k),
+gone AS (SELECT doc_id, sum(e - a) AS n, count(*) AS k FROM span GROUP BY doc_id),
+cuts AS (SELECT doc_id, a, e FROM span UNION ALL SELECT doc_id, octet_length(b) + 1, octet_length(b) + 1 FROM d),
+part AS (SELECT doc_id, a, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a, e), 1) AS f FROM cuts),
+kept AS (SELECT doc_id, string_agg(CASE WHEN a > f THEN hex(array_slice(b, f, a - 1)) ELSE '' END, '' ORDER BY a, f) AS h FROM part JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(k, 0) AS n_spans, sha256(unhex(h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)"""
+
 
 def op4() -> str:
     """The template tree level by level, as nested tables."""
@@ -102,4 +118,11 @@ FROM judged j JOIN t ON t.host = j.host AND t.path = j.path JOIN judged_nodes p
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embedding_near_dedup": OP1, "op2_lm_scoring": OP2, "op4_url_filter": op4(), "op7_html_extraction": OP7, "op12_numeric_band_join": OP12}
+    return {
+        "op1_embedding_near_dedup": OP1,
+        "op2_lm_scoring": OP2,
+        "op4_url_filter": op4(),
+        "op7_html_extraction": OP7,
+        "op12_numeric_band_join": OP12,
+        "op13_suffix_array_dedup": OP13,
+    }

@@ -280,8 +280,8 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 2000) -> Iter
 
 
 def _keys(length: int):
-    """Digest, rows and anchor keys of each text; a text that the task has met is a count alone."""
-    schema = pa.schema([("digest", pa.binary()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    """Digest, rows and anchor keys, with how often each, of a text; a text that the task has met is a count alone."""
+    schema = pa.schema([("digest", pa.binary()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         more: dict[bytes, int] = {}
@@ -291,8 +291,8 @@ def _keys(length: int):
                 more[d] += 1
             else:
                 more[d] = 0
-                yield d, 1, anchors(text, length)[0]
-        yield from ((d, n, None) for d, n in more.items() if n)
+                yield d, 1, *np.unique(anchors(text, length)[0], return_counts=True)
+        yield from ((d, n, None, None) for d, n in more.items() if n)
 
     return lambda batches: _batches(rows(batches), schema)
 
@@ -317,7 +317,7 @@ def _pieces(row: dict, length: int, block: int) -> Iterator[tuple[int, bytes, by
     """(key, id, body, skip, windows, first window) of the wanted pieces of a text."""
     text = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["z"]), np.uint8)
     key, anchor, first, last = anchors(text.tobytes(), length)
-    for r in row["runs"]:
+    for r in np.flatnonzero(np.isin(key, row["keys"])):
         a, f, e = int(anchor[r]), int(first[r]), int(last[r])
         skip = (f - a) % block
         body = np.zeros(-(-(skip + e - f + length) // block) * block, np.uint8)
@@ -347,12 +347,16 @@ def _bodies(length: int, block: int):
 
 
 def _places(length: int, block: int):
-    schema = pa.schema([("piece", pa.binary()), ("num", pa.int64()), ("first", pa.int64())])
+    """Each distinct piece of a text once, with the first window of all its places."""
+    schema = pa.schema([("piece", pa.binary()), ("num", pa.int64()), ("firsts", pa.list_(pa.int64()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for b in batches:
             for row in b.to_pylist():
-                yield from ((piece, row["num"], f) for _, piece, _, _, _, f in _pieces(row, length, block))
+                firsts: dict[bytes, list[int]] = {}
+                for _, piece, _, _, _, f in _pieces(row, length, block):
+                    firsts.setdefault(piece, []).append(f)
+                yield from ((piece, row["num"], f) for piece, f in firsts.items())
 
     return lambda batches: _batches(rows(batches), schema, 20_000)
 
@@ -418,12 +422,12 @@ def _cut_text(length: int):
         for b in batches:
             for row in b.to_pylist():
                 text = zstandard.ZstdDecompressor().decompress(row["z"])
-                spans: list[list[int]] = []
-                for s in sorted((w["first"], w["last"] + length) for w in row["windows"]):
-                    if spans and s[0] <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], s[1])
-                    else:
-                        spans.append(list(s))
+                found = [np.add.outer([(w["a"], w["b"] + length) for w in p["windows"]], p["firsts"]).transpose(0, 2, 1).reshape(-1, 2) for p in row["pieces"]]
+                found = np.concatenate(found)
+                found = found[np.argsort(found[:, 0])]
+                reach = np.maximum.accumulate(found[:, 1])
+                opens = np.flatnonzero(np.r_[True, found[1:, 0] > reach[:-1]])
+                spans = list(zip(found[opens, 0].tolist(), reach[np.r_[opens[1:] - 1, len(reach) - 1]].tolist()))
                 left = hashlib.sha256()
                 at = 0
                 for a, e in spans:
@@ -441,7 +445,13 @@ def _hot_marks(bodies: DataFrame, length: int) -> DataFrame:
     windows = cut(whole.mapInArrow(_digested(length), "window binary, piece binary, at int, copies long"))
     again = windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
     hits = windows.join(again, "window").groupBy("piece").agg(F.collect_set("at").alias("at"))
-    return hits.select("piece", F.transform("at", lambda w: F.struct(w.alias("a"), w.alias("b"))).alias("windows"))
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flags = [np.bincount(x.values.to_numpy()) > 0 for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_runs_of(f) for f in flags], _MARKS.types[1])], schema=_MARKS)
+
+    return hits.mapInArrow(runs, _MARKS_SQL)
 
 
 def repeated_spans(df: DataFrame, text: str = "text", length: int = LENGTH, block: int = BLOCK, task_bytes: int = TASK_BYTES, hot: int = HOT) -> DataFrame:
@@ -462,27 +472,28 @@ def repeated_spans(df: DataFrame, text: str = "text", length: int = LENGTH, bloc
     if not 2 * block <= length <= 250 * block:
         raise ValueError("length has to be 2 to 250 blocks")
     docs = df.select(F.col(f"`{text}`").cast("binary").alias("t")).where(F.octet_length("t") >= length)
-    texts = docs.mapInArrow(_keys(length), "digest binary, n long, keys array<long>").groupBy("digest").agg(F.sum("n").alias("n"), F.first("keys", ignorenulls=True).alias("keys"))
+    texts = docs.mapInArrow(_keys(length), "digest binary, n long, keys array<long>, times array<long>")
+    texts = texts.groupBy("digest").agg(F.sum("n").alias("n"), F.first(F.when(F.col("keys").isNotNull(), F.arrays_zip("keys", "times")), ignorenulls=True).alias("keys"))
     texts = cut(texts).withColumn("num", F.monotonically_increasing_id())  # stands for the digest while keys are counted
-    runs = texts.select("num", F.posexplode("keys").alias("run", "key"))
-    keys = runs.groupBy("key").agg(F.count("*").alias("pieces")).where("pieces > 1")
-    wanted = runs.join(keys, "key").groupBy("num").agg(F.collect_list(F.struct("run", "pieces")).alias("runs"))
+    keys = texts.select("num", F.explode("keys").alias("k")).select("num", F.col("k.keys").alias("key"), F.col("k.times").alias("times"))
+    again = keys.groupBy("key").agg(F.sum("times").alias("pieces")).where("pieces > 1")
+    wanted = keys.join(again, "key").groupBy("num").agg(F.collect_list(F.struct("key", "pieces", "times")).alias("keys"))
     wanted = texts.select("num", "digest", "n").join(wanted, "num")
     sent = docs.mapInArrow(_packed, "digest binary, z binary").groupBy("digest").agg(F.first("z").alias("z"))
-    held = cut(sent.join(wanted, "digest").select("num", "digest", "n", "z", "runs"))
-    size = held.agg(F.sum(F.size("runs")).alias("n"), F.max(F.array_max(F.transform("runs", lambda r: r["pieces"]))).alias("most")).first()
-    often = lambda few: F.transform(F.filter("runs", lambda r: (r["pieces"] <= hot) if few else (r["pieces"] > hot)), lambda r: r["run"]).alias("runs")
+    held = cut(sent.join(wanted, "digest").select("num", "digest", "n", "z", "keys"))
+    every = F.transform("keys", lambda k: k["key"]).alias("keys")
+    times = F.aggregate("keys", F.lit(0).cast("long"), lambda n, k: n + k["times"])
+    size = held.agg(F.sum(times).alias("n"), F.max(F.array_max(F.transform("keys", lambda k: k["pieces"]))).alias("most")).first()
+    some_keys = lambda few: F.transform(F.filter("keys", lambda k: (k["pieces"] <= hot) if few else (k["pieces"] > hot)), lambda k: k["key"]).alias("keys")
     body_schema = "key long, piece binary, body binary, skip int, windows int, copies long"
     parts = max(1, -(-(size["n"] or 0) * (length + length // 2) // task_bytes))
-    marks = held.select("z", often(True)).mapInArrow(_bodies(length, block), body_schema).repartition(parts, "key").mapInArrow(_sorted(length, block), _MARKS_SQL)
+    marks = held.select("z", some_keys(True)).mapInArrow(_bodies(length, block), body_schema).repartition(parts, "key").mapInArrow(_sorted(length, block), _MARKS_SQL)
     if (size["most"] or 0) > hot:
-        marks = marks.unionByName(_hot_marks(held.select("z", often(False)).mapInArrow(_bodies(length, block), body_schema), length))
-    every = F.transform("runs", lambda r: r["run"]).alias("runs")
-    places = held.where("n = 1").select("num", "z", every).mapInArrow(_places(length, block), "piece binary, num long, first long")
-    hits = places.join(marks, "piece").select("num", F.explode(F.transform("windows", lambda w: F.struct((F.col("first") + w["a"]).alias("first"), (F.col("first") + w["b"]).alias("last")))).alias("w"))
-    hits = hits.groupBy("num").agg(F.collect_list("w").alias("windows"))
+        marks = marks.unionByName(_hot_marks(held.select("z", some_keys(False)).mapInArrow(_bodies(length, block), body_schema), length))
+    places = held.where("n = 1").select("num", "z", every).mapInArrow(_places(length, block), "piece binary, num long, firsts array<long>")
+    hits = places.join(marks, "piece").groupBy("num").agg(F.collect_list(F.struct("firsts", "windows")).alias("pieces"))
     some = held.where("n = 1").select("num", "digest", "z").join(hits, "num")
-    some = some.select("num", "z", "windows").mapInArrow(_cut_text(length), "num long, removed array<struct<start: long, end: long>>, kept_sha256 string")
+    some = some.select("num", "z", "pieces").mapInArrow(_cut_text(length), "num long, removed array<struct<start: long, end: long>>, kept_sha256 string")
     whole = docs.select(F.unhex(F.sha2("t", 256)).alias("digest"), F.octet_length("t").cast("long").alias("size"))
     whole = whole.groupBy("digest", "size").agg(F.count("*").alias("n")).where("n > 1")
     span = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")))
