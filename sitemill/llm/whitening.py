@@ -8,6 +8,7 @@ vectors, and ends when the residuals ``|V q - e q|`` certify all components aske
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from decimal import Decimal
@@ -80,23 +81,29 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _total(fit: DataFrame, partial, size: int) -> np.ndarray:
-    """The sum over all rows of ``partial`` (a matrix of whole numbers -> ``size`` doubles or longs), by entry."""
+    """The sum over all rows of ``partial`` (a matrix of whole numbers -> ``size`` doubles or longs), by entry.
+
+    One row of sums for each task; rows are added in as many tasks as the root of their number, and those in one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = None
-        for b in batches:
-            if b.num_rows:
-                p = partial(b.column(0))
-                got = p if got is None else got + p
-        if got is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(got.ravel())], names=["i", "v"])
-
-    kind = "long" if partial.whole else "double"
-    rows = fit.select("x").mapInArrow(run, f"i int, v {kind}").groupBy("i").agg(F.sum(F.col("v").cast("decimal(38,0)") if partial.whole else "v").alias("v")).collect()
-    out = np.zeros(size, object if partial.whole else float)
-    for r in rows:
-        out[r["i"]] = int(r["v"]) if partial.whole else r["v"]
-    return out
+        yield from _added(partial(b.column(0)).ravel() for b in batches if b.num_rows)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _added(v.values.to_numpy() for b in batches for v in b.column(0))
+
+    schema = f"v array<{'long' if partial.whole else 'double'}>"
+    few = max(1, math.isqrt(fit.rdd.getNumPartitions()))
+    rows = fit.select("x").mapInArrow(run, schema).repartition(few).mapInArrow(add, schema).repartition(1).mapInArrow(add, schema).collect()
+    return np.array(rows[0]["v"] if rows else [0] * size, object if partial.whole else float)
+
+
+def _added(arrays: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    got = None
+    for a in arrays:
+        got = a.copy() if got is None else got + a
+    if got is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([got])], names=["v"])
 
 
 def _partial(f, whole: bool = False):
@@ -118,8 +125,8 @@ def fit_whitening(df: DataFrame, vector: str = "embedding", k: int = 4, seed: in
     Vectors that are null or hold null or non-finite entries are passed over, empty ones and zeros are
     not. Shorter vectors count as filled with zeros up to the longest. The only shuffle is the one
     that makes vectors distinct, with equal ones merged before it; they are written once and each pass
-    reads them. A pass sends one block of sums for each task through a shuffle by entry. The driver holds
-    dimension x block numbers. A block starts with k and eight columns; where eigenvalues lie close it
+    reads them. A pass sends one row of sums for each task, added in two steps; the driver holds dimension x
+    block numbers. A block starts with k and eight columns; where eigenvalues lie close it
     is doubled, so the passes stay few; at the full dimension one pass is exact.
     """
     data = df.select(F.col(f"`{vector}`").alias("v"))
