@@ -103,6 +103,29 @@ def sam_header(spark: SparkSession, d: str) -> DataFrame:
     return R.read_sam_header(spark, path)
 
 
+def _bam_files(spark: SparkSession, d: str) -> str:
+    path, r = scratch(spark), reads(spark, d)
+    W.write_bam(r, r.groupBy("chrom").agg(F.max("end0").alias("length")), path, 8)
+    return path
+
+
+@query(duck(READS) + f" SELECT {', '.join(ALIGNED)}, sample, concat('NH:i:', nh, ' MD:Z:', md) AS tags FROM reads")
+def bam_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """BAM files with indexes, one folder a sample, read in parts of 200 kB."""
+    return R.read_bam(spark, _bam_files(spark, d), split_bytes=200_000).select(*ALIGNED, "sample", F.array_join("tags", " ").alias("tags"))
+
+
+@query(duck(READS) + " SELECT qname, sample, chrom, start0, end0, cigar FROM reads WHERE chrom = 'chr2' AND start0 < 9000 AND end0 > 4000")
+def bam_region(spark: SparkSession, d: str) -> DataFrame:
+    """A region, of which the index names the blocks."""
+    return R.read_bam(spark, _bam_files(spark, d), "chr2", 4000, 9000, split_bytes=50_000).select("qname", "sample", "chrom", "start0", "end0", "cigar")
+
+
+@query(duck(READS) + " SELECT chrom, max(end0) AS length FROM reads GROUP BY chrom")
+def bam_header(spark: SparkSession, d: str) -> DataFrame:
+    return R.read_bam_header(spark, _bam_files(spark, d))
+
+
 @query(duck(READS) + " SELECT qname, sample, chrom, start0, cigar FROM reads")
 def alignment_files(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark)

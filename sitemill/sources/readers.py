@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import io
-import struct
-import zlib
 from collections.abc import Iterator
 from itertools import islice
 
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.alignment import reference_length, strand_of
 from ..functions.names import sample_name
+from . import bam
 
 FASTQ_GLOB = "*.{fastq,fq,fastq.gz,fq.gz}"
 
@@ -99,157 +98,51 @@ def read_sam_header(spark: SparkSession, path: str) -> DataFrame:
     return t.select(F.regexp_extract("value", r"\tSN:([^\t]*)", 1).alias("chrom"), F.regexp_extract("value", r"\tLN:(\d+)", 1).cast("long").alias("length")).distinct()
 
 
-def _inflate(blob: bytes) -> Iterator[bytes]:
-    """Data of a BGZF file: gzip members one after another, each of the size that its header names.
+def read_bam(spark: SparkSession, path: str, chrom: str | None = None, start: int = 0, end: int | None = None, split_bytes: int = bam.SPLIT_BYTES) -> DataFrame:
+    """Alignment rows of BAM files (a file, a folder, a pattern), many tasks a file.
 
-    A plain gzip file, whose headers don't, is inflated by one pass over the rest.
-    """
-    view, at = memoryview(blob), 0
-    while at < len(blob):
-        size = _member_size(view, at)
-        d = zlib.decompressobj(31)
-        yield d.decompress(view[at : at + size] if size else view[at:]) + d.flush()
-        at = at + size if size else len(blob) - len(d.unused_data)
-
-
-def _member_size(view: memoryview, at: int) -> int:
-    """Bytes of the gzip member at ``at`` by its BC field; 0 if it has none."""
-    if len(view) < at + 18 or not view[at + 3] & 4:
-        return 0
-    k, end = at + 12, at + 12 + int.from_bytes(view[at + 10 : at + 12], "little")
-    while k + 4 <= end:
-        n = int.from_bytes(view[k + 2 : k + 4], "little")
-        if bytes(view[k : k + 2]) == b"BC" and n == 2:
-            return int.from_bytes(view[k + 4 : k + 6], "little") + 1
-        k += 4 + n
-    return 0
-
-
-_SEQ, _CIGAR = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
-_SIZES = {"c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
-
-
-def _tags(b: bytes) -> Iterator[str]:
-    at = 0
-    while at + 3 <= len(b):
-        name, kind = b[at : at + 2].decode(), chr(b[at + 2])
-        at += 3
-        if kind == "A":
-            yield f"{name}:A:{chr(b[at])}"
-            at += 1
-        elif kind in "ZH":
-            end = b.index(0, at)
-            yield f"{name}:{kind}:{b[at:end].decode()}"
-            at = end + 1
-        elif kind == "B":
-            sub, n = chr(b[at]), struct.unpack_from("<i", b, at + 1)[0]
-            at += 5 + n * _SIZES[sub]
-        else:
-            code = kind.replace("c", "b").replace("C", "B").replace("s", "h").replace("S", "H")
-            v = struct.unpack_from(f"<{code}", b, at)[0]
-            yield f"{name}:{'f' if kind == 'f' else 'i'}:{v}"
-            at += _SIZES[kind]
-
-
-class _Stream:
-    """Inflated data read forward; what was taken is let go of."""
-
-    def __init__(self, parts: Iterator[bytes]) -> None:
-        self.parts, self.held, self.at = parts, b"", 0
-
-    def take(self, n: int) -> bytes | None:
-        """The next n bytes; None at the end of the data, an error within a record."""
-        while len(self.held) - self.at < n:
-            more = next(self.parts, None)
-            if more is None:
-                if self.at == len(self.held):
-                    return None
-                raise ValueError("truncated BAM file")
-            self.held, self.at = self.held[self.at :] + more, 0
-        self.at += n
-        return self.held[self.at - n : self.at]
-
-
-def bam_references(data: _Stream) -> list[tuple[str, int]]:
-    """References with lengths; the stream then stands at the first record."""
-    if data.take(4) != b"BAM\1":
-        raise ValueError("not a BAM file")
-    number = lambda: struct.unpack("<i", data.take(4) or b"")[0]
-    data.take(number())
-    return [((data.take(number()) or b"")[:-1].decode(), number()) for _ in range(number())]
-
-
-def bam_records(blob: bytes, chrom: str | None = None) -> tuple[list[tuple[str, int]], Iterator[list[str]]]:
-    """(references with lengths, records as SAM fields) of a BAM file's bytes.
-
-    Members are inflated as the records need them. Records of other references than ``chrom`` are
-    passed over by their number, undecoded; in a file whose header says it is sorted by coordinate,
-    nothing after the reference is inflated.
-    """
-    data = _Stream(_inflate(blob))
-    start = _Stream(_inflate(blob)).take(8) or b""
-    head = _Stream(_inflate(blob)).take(8 + struct.unpack("<i", start[4:])[0]) if start[:4] == b"BAM\1" else b""
-    is_sorted = b"\tSO:coordinate" in (head or b"").split(b"\n", 1)[0]
-    refs = bam_references(data)
-    want = None if chrom is None else next((i for i, r in enumerate(refs) if r[0] == chrom), -2 if chrom != "*" else -1)
-
-    def rows() -> Iterator[list[str]]:
-        if want == -2:
-            return
-        while (size := data.take(4)) is not None:
-            record = data.take(struct.unpack("<i", size)[0])
-            if record is None:
-                raise ValueError("truncated BAM file")
-            ref, pos, k, mapq, _, ops, flag, length, mate, mate_pos, insert = struct.unpack_from("<iiBBHHHiiii", record, 0)
-            if want is not None and ref != want:
-                if is_sorted and want >= 0 and (ref > want or ref < 0):
-                    return
-                continue
-            p = 32
-            name = record[p : p + k - 1].decode()
-            p += k
-            cigar = "".join(f"{c >> 4}{_CIGAR[c & 15]}" for c in struct.unpack_from(f"<{ops}I", record, p)) or "*"
-            p += 4 * ops
-            packed = record[p : p + (length + 1) // 2]
-            seq = "".join(_SEQ[x >> 4] + _SEQ[x & 15] for x in packed)[:length] or "*"
-            p += len(packed)
-            qual = "".join(chr(q + 33) for q in record[p : p + length]) if length and record[p] != 255 else "*"
-            p += length
-            yield [name, str(flag), refs[ref][0] if ref >= 0 else "*", str(pos + 1), str(mapq), cigar, refs[mate][0] if mate >= 0 else "*", str(mate_pos + 1), str(insert), seq, qual, *_tags(record[p:])]
-
-    return refs, rows()
-
-
-def read_bam(spark: SparkSession, path: str, chrom: str | None = None) -> DataFrame:
-    """Alignment rows of BAM files, one task a file; ``chrom`` keeps one reference.
-
-    A task holds a file's compressed bytes (Spark's limit for one is 2 GB) and a member of the
-    inflated data. For repeated work write the rows to Parquet partitioned by chromosome, which
-    prunes and splits.
+    ``chrom`` keeps one reference (``*``: rows without one), ``start`` and ``end`` what overlaps the region;
+    with an index beside a file only the blocks of the region are read. ``ord`` is a record's virtual offset
+    in its file, so it rises and doesn't depend on the splits. Paths that Spark knows and Arrow doesn't are
+    read one task a file, whole.
     """
+    try:
+        bam.located(path)
+    except (pa.ArrowInvalid, OSError):
+        raw = _whole_bam(spark, path, chrom, start, end)
+    else:
+        spark.dataSource.register(bam.BamSource)
+        options = {"splitBytes": str(split_bytes), "start": str(start)} | ({"chrom": chrom} if chrom else {}) | ({"end": str(end)} if end is not None else {})
+        raw = spark.read.format("bam").options(**options).load(path)
+    tag = lambda name: F.regexp_extract(F.array_join("tags", "\t"), rf"(?:^|\t){name}:[iZ]:([^\t]*)", 1)
+    out = raw.withColumn("nh", F.when(tag("NH") != "", tag("NH").cast("int"))).withColumn("md", F.when(tag("MD") != "", tag("MD"))).withColumn("strand", strand_of(F.col("flag")))
+    return out.select("sample", "qname", "flag", "chrom", "start0", "mapq", "cigar", "seq", "nh", "md", "ord", "strand", "end0", "mate_chrom", "mate_start0", "insert_size", "qual", "tags")
+
 
+def _whole_bam(spark: SparkSession, path: str, chrom: str | None, start: int, end: int | None) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["path", "f", "ord"]
         for b in batches:
-            for p, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows, done = bam_records(blob, chrom)[1], 0
-                while fields := list(islice(rows, 10_000)):
-                    yield pa.RecordBatch.from_arrays([pa.array([p] * len(fields)), pa.array(fields), pa.array(range(done, done + len(fields)))], names=names)
-                    done += len(fields)
+            for p, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                file, size = pa.BufferReader(blob.as_buffer()), len(blob.as_buffer())
+                refs = [n for n, _ in bam.read_header(file, size).refs]
+                if chrom in (None, "*") or chrom in refs:
+                    rows = bam.rows_of(file, size, bam.Part(p, 0, size, None, refs.index(chrom) if chrom in refs else None), chrom, start, end)
+                    while some := list(islice(rows, bam.ROWS)):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), bam.ARROW.types)], schema=bam.ARROW)
 
-    raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(decode, "path string, f array<string>, ord long")
-    return sam_columns(raw.select(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.bam$", "").alias("sample"), "f", "ord"))
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.bam").load(path).select("path", "content").mapInArrow(decode, bam.SCHEMA)
 
 
 def read_bam_header(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, length) of BAM files."""
+    """(chrom, length) of BAM files; only their first blocks are read, in the tasks."""
+    files = spark.createDataFrame([(f,) for f in bam.files_of(path)], "path string")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            refs = [r for blob in b.column(0).to_pylist() for r in bam_references(_Stream(_inflate(blob)))]
+            refs = [r for p in b.column(0).to_pylist() for r in bam.read_header(*bam.open_file(p)).refs]
             yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in refs], pa.string()), pa.array([k for _, k in refs], pa.int64())], names=["chrom", "length"])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(decode, "chrom string, length long").distinct()
+    return files.mapInArrow(decode, "chrom string, length long").distinct()
 
 
 def read_bed(spark: SparkSession, path: str) -> DataFrame:

@@ -117,20 +117,6 @@ def test_tables(spark, tmp_path):
     assert sorted(tuple(r) for r in fa) == [("a", "ACGT"), ("b", "NN")]
 
 
-def test_bam_stops_and_breaks(spark, tmp_path):
-    row = lambda name, ref, pos: (name, 0, ref, pos, 60, [(4, "M")], "ACGT", "IIII", b"")
-    rows = [row("a", 0, 5), row("b", 1, 6), row("c", 0, 7)]
-    blob = bam([("chr1", 1000), ("chr2", 500)], rows)
-    assert [r[0] for r in R.bam_records(blob, "chr1")[1]] == ["a", "c"]  # not sorted: read to the end
-    assert [r[0] for r in R.bam_records(blob, "chr3")[1]] == []
-    ordered = bam([("chr1", 1000), ("chr2", 500)], rows, b"@HD\tVN:1.6\tSO:coordinate\n@CO\tx\n")
-    assert [r[0] for r in R.bam_records(ordered, "chr1")[1]] == ["a"]  # nothing after the reference is read
-    stream = R._Stream(iter([b"ab", b"", b"cde"]))
-    assert (stream.take(1), stream.take(3), stream.take(1), stream.take(1)) == (b"a", b"bcd", b"e", None)
-    with pytest.raises(ValueError, match="truncated"):
-        R._Stream(iter([b"ab"])).take(3)
-
-
 def test_stored_substitutions(spark, tmp_path):
     buf = io.BytesIO()
     pos = np.array([3, 9], "i4")
