@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -36,6 +36,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def named(name: str) -> Column:
+    """The column of that very name, dots and backticks in it or not."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def boxed(docs: DataFrame, alias: str = "row") -> Column:
+    """All columns as one struct, so that a step's own columns clash with none; ``alias.*`` gives them back."""
+    return F.struct(*[named(c) for c in docs.columns]).alias(alias)
+
+
+def fresh(docs: DataFrame, stem: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 #: Edge tables of at most so many rows (16 bytes each) are contracted in one task.
 SMALL_EDGES = 1_000_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import boxed, cut, named
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -157,6 +157,6 @@ def pick_grams(hashes: Column, k: Column, a: Column, b: Column, sizes: list[int]
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that hold no benchmark passage, columns unchanged."""
-    bad = contamination(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__bad"), F.col("__rid").alias("__badrid")).distinct()
-    d = docs.withColumn("__key", F.col(id_col).cast("long")).withColumn("__h", F.xxhash64(F.col(text_col).cast("string")))
-    return d.join(bad, d["__key"].eqNullSafe(bad["__bad"]) & (d["__h"] == bad["__badrid"]), "left_anti").drop("__key", "__h")
+    bad = contamination(docs, benchmark, id_col, text_col).select("doc_id", "__rid").distinct()
+    d = docs.select(boxed(docs), named(id_col).cast("long").alias("key"), F.xxhash64(named(text_col).cast("string")).alias("h"))
+    return d.join(bad, d["key"].eqNullSafe(bad["doc_id"]) & (d["h"] == bad["__rid"]), "left_anti").select("row.*")

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, join_labels, whole_groups
+from .common import boxed, connected_components, cut, join_labels, named, whole_groups
 
 RADIUS = 3
 #: Distinct fingerprints that may share a bucket before it is split by further blocks.
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.fromiter((fingerprint(t, shingle) for t in b.column(1).to_pylist()), "u8", b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view("i8"))], names=["doc_id", "fp"])
 
-    cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), named(text_col).cast("string").alias("text"))
     return cols.mapInArrow(run, "doc_id long, fp long")
 
 
@@ -326,7 +326,7 @@ def described(docs: DataFrame, id_col: str, text_col: str, shingle: int, similar
     have one of these in common. The commonest shingles of a sample come last, which makes lists
     short and has no part in the result.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("rid"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(named(id_col).cast("long").alias("doc_id"), F.xxhash64(named(text_col).cast("string")).alias("rid"), named(text_col).cast("string").alias("text"))
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -365,7 +365,7 @@ def verified(edges: DataFrame, atoms: DataFrame, docs: DataFrame, id_col: str, t
     edges = cut(edges.distinct())
     ends = edges.select(F.col("src").alias("atom")).union(edges.select(F.col("dst").alias("atom"))).distinct()
     ends = cut(ends.join(atoms.select("atom", "at"), "atom").select("atom", F.col("at.id").alias("id"), F.col("at.rid").alias("rid")))
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("rid"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(named(id_col).cast("long").alias("doc_id"), F.xxhash64(named(text_col).cast("string")).alias("rid"), named(text_col).cast("string").alias("text"))
     few = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
     texts = base.join(few, (base["rid"] == ends["rid"]) & base["doc_id"].eqNullSafe(ends["id"])).select("atom", "text")
 
@@ -463,10 +463,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """
     groups = near_groups(docs, id_col, text_col, shingle, similarity, radius)
     best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "rid")).alias("x"))
-    best = best.select(F.col("x.none").alias("__none"), F.col("x.id").alias("__id"), F.col("x.rid").alias("__rid"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    own = F.col(id_col).cast("long")
-    d = docs.select(*names, own.isNull().alias("__none"), F.coalesce(own, F.lit(0)).alias("__id"), F.xxhash64(F.col(text_col).cast("string")).alias("__rid"))
-    keys = ["__none", "__id", "__rid"]
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*names)))
-    return d.join(best, keys).withColumn("__place", place).where("__place = 1").select(*names)
+    keys = ["none", "id", "rid"]
+    own = named(id_col).cast("long")
+    d = docs.select(boxed(docs), own.isNull().alias("none"), F.coalesce(own, F.lit(0)).alias("id"), F.xxhash64(named(text_col).cast("string")).alias("rid"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("row")))
+    return d.join(best.select("x.*"), keys).withColumn("place", place).where("place = 1").select("row.*")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import boxed, cut, named
 
 #: A unit ends after a line break, or after a sentence mark and the space behind it.
 BOUNDARY = re.compile(r"\n+|[.!?…][\"'»”)\]]*[ \t]+")
@@ -84,8 +84,9 @@ def substring_dedup(
     text_col: str = "text",
     min_words: int = MIN_UNIT_WORDS,
     min_run_words: int = MIN_RUN_WORDS,
+    removed_col: str = "removed",
 ) -> DataFrame:
-    """``docs`` with repeated passages removed from ``text_col``; adds removed array<struct<start,end>>.
+    """``docs`` with repeated passages removed from ``text_col``; adds ``removed_col`` array<struct<start,end>>.
 
     Units (lines, and sentences within lines, so that a passage pasted into a line is found too)
     are normalised by case and white space and grouped by a 128-bit digest over the whole table.
@@ -99,14 +100,14 @@ def substring_dedup(
     TOP_DIGESTS of all repeats, so fewer than that many, are broadcast and their units dealt by row:
     a unit that a third of all rows share makes no large task.
     """
-    names = [c for c in docs.columns if c != "removed"]
-    docs = docs.select(*[F.col(f"`{c}`") for c in names])
-    text = F.col(text_col).cast("string")
-    base = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))).withColumn("__rid", F.xxhash64(text))
-    some = base.where(F.length(text) > 0)
+    names = [c for c in docs.columns if c != removed_col]
+    docs = docs.select(*[named(c) for c in names])
+    text = named(text_col).cast("string")
+    base = docs.select(boxed(docs), F.coalesce(named(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("__id"), F.xxhash64(text).alias("__rid"), (F.length(text) > 0).alias("filled"))
+    some = docs.select(F.coalesce(named(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("__id"), F.xxhash64(text).alias("__rid"), text.alias("text")).where(F.length("text") > 0)
     # rows of one id and text, if any, are told apart by their number among equals
     again = cut(some.groupBy("__id", "__rid").agg(F.count("*").alias("__n")).where("__n > 1"))
-    rows = some.select("__id", "__rid", text.alias("text"))
+    rows = some
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -135,15 +136,16 @@ def substring_dedup(
     # of equal rows all but one lose every unit that repeats, and equal rows repeat all their units
     joined = base.join(marks, ["__id", "__rid"], "left")
     if again.head(1):
-        copy = F.row_number().over(Window.partitionBy("__id", "__rid").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in names])))
-        joined = joined.withColumn("__copy", F.when(F.length(text) > 0, copy).otherwise(1))
+        copy = F.row_number().over(Window.partitionBy("__id", "__rid").orderBy(F.xxhash64("row")))
+        joined = joined.withColumn("__copy", F.when(F.col("filled"), copy).otherwise(1))
     else:
         joined = joined.withColumn("__copy", F.lit(1))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, gone = [], []
-            for t, u, copy in zip(*(b.column(c).to_pylist() for c in (names[at], "__units", "__copy")), strict=True):
+            cols = b.column("row").flatten()
+            for t, u, copy in zip(cols[at].to_pylist(), b.column("__units").to_pylist(), b.column("__copy").to_pylist(), strict=True):
                 if copy > 1:
                     u = range(len(passages(t, min_words)))
                 spans = removed_spans(t, set(u), min_run_words, min_words) if u else []
@@ -151,12 +153,10 @@ def substring_dedup(
                     t = t[:x] + t[y:]
                 texts.append(t)
                 gone.append([{"start": x, "end": y} for x, y in spans])
-            cols = [c for n, c in zip(b.schema.names, b.columns, strict=True) if n not in ("__units", "__copy")]
             cols[at] = pa.array(texts, pa.string())
-            cols.append(pa.array(gone, kind))
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, "removed"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(gone, kind)], names=[*names, removed_col])
 
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     at = names.index(text_col)
-    schema = docs.withColumn("removed", F.lit(None).cast("array<struct<start:int,end:int>>")).schema
-    return joined.select(*[F.col(f"`{c}`") for c in names], "__units", "__copy").mapInArrow(cut_out, schema)
+    schema = docs.select(*[named(c) for c in names], F.lit(None).cast("array<struct<start:int,end:int>>").alias(removed_col)).schema
+    return joined.select("row", "__units", "__copy").mapInArrow(cut_out, schema)

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import boxed, cut, named
+
 WORD = re.compile(r"[^\W_]+")
 #: Features are word stems of these lengths and whole words, hashed.
 STEMS = (4, 5, 6)
@@ -77,15 +79,19 @@ def likelihood_ratio(pos: np.ndarray, n1: int, neg: np.ndarray, n0: int) -> np.n
     return 2 * (term(pos, n1 * share) + term(neg, n0 * share) + term(n1 - pos, n1 * (1 - share)) + term(n0 - neg, n0 * (1 - share)))
 
 
+def candidates(pos: np.ndarray, n1: int, neg: np.ndarray, n0: int, z: float, pair_terms: int = PAIR_TERMS, pair_z: float = PAIR_Z) -> tuple[np.ndarray, np.ndarray]:
+    """Features that differ between the classes alone, and in order the common others that are tested in pairs."""
+    kept = (likelihood_ratio(pos, n1, neg, n0) >= z * z) | (z <= 0)
+    count = np.where(kept | (pos + neg == n1 + n0), 0, pos + neg)
+    common = np.argsort(-count, kind="stable")[:pair_terms]
+    return kept, np.sort(common[count[common] >= pair_z])
+
+
 def screened(rows: list[np.ndarray], labels: np.ndarray, n: int, z: float, pair_terms: int = PAIR_TERMS, pair_z: float = PAIR_Z) -> np.ndarray:
     """Which of ``n`` features differ between the classes, alone or in a pair of two that don't alone."""
     n1, n0 = int((labels == 1).sum()), int((labels == 0).sum())
     pos, neg = (np.bincount(np.concatenate([r for r, y in zip(rows, labels, strict=True) if y == c] or [[]]).astype("i8"), minlength=n).astype("f8") for c in (1, 0))
-    kept = likelihood_ratio(pos, n1, neg, n0) >= z * z
-    kept |= z <= 0
-    count = np.where(kept | (pos + neg == n1 + n0), 0, pos + neg)
-    common = np.argsort(-count, kind="stable")[:pair_terms]
-    common = np.sort(common[count[common] >= pair_z])
+    kept, common = candidates(pos, n1, neg, n0, z, pair_terms, pair_z)
     if len(common) < 2:
         return kept
     both = [np.zeros((len(common), len(common)), "f4") for _ in range(2)]
@@ -162,8 +168,9 @@ def fold(id_col: str) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> FactorizationMachine:
     """Fit on labelled rows outside the held-out fold, ``per_class`` rows of each class at most.
 
-    The bounded sample (ids first in the order of a hash) is the only thing the driver gets: sorted
-    feature ids, not texts. Rows without a label, an id or a text take no part; of labels that
+    The bounded sample (ids first in the order of a hash) is screened where it lies: the driver gets
+    how many rows of each class have each of the 2^18 features, and then of each row those features that
+    pass the screen or are tested in pairs, whatever its length. Rows without a label, an id or a text take no part; of labels that
     disagree for one id the larger holds, of texts that share an id the one of the smallest hash. Without any label every text scores a low prior.
     """
     lab = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
@@ -180,15 +187,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, list[int]] = {}
         for b in batches:
-            f = [features(t, cache).astype("<i4").tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(f, pa.binary())], names=["id", "y", "f"])
+            f = [features(t, cache).astype("i4") for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(f, pa.list_(pa.int32()))], names=["id", "y", "f"])
 
     # at most 2 * per_class rows, so the broadcast has a fixed bound
     one = texts.join(F.broadcast(pick), "id").groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    rows = one.select("id", "y", "text").mapInArrow(hashed, "id long, y int, f binary")
-    got = sorted((r["id"], (r["y"], r["f"])) for r in rows.collect())
-    x = [np.frombuffer(bytes(f), "<i4").astype("i8") for _, (_, f) in got]
-    return train(x, np.array([y for _, (y, _) in got], float), prior)
+    rows = cut(one.select("id", "y", "text").mapInArrow(hashed, "id long, y int, f array<int>"))
+    size = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    if not size:
+        return train([], np.zeros(0), prior)
+    counts = [np.zeros(1 << BITS) for _ in range(2)]
+    for r in rows.select("y", F.explode("f").alias("f")).groupBy("f").pivot("y", [0, 1]).count().toArrow().to_pylist():
+        counts[0][r["f"]], counts[1][r["f"]] = r["0"] or 0, r["1"] or 0
+    wanted, common = candidates(counts[1], size.get(1, 0), counts[0], size.get(0, 0), SCREEN_Z)
+    wanted[common] = True
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            f = [x.values.to_numpy() for x in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x[wanted[x]] for x in f], pa.list_(pa.int32()))], names=["id", "y", "f"])
+
+    got = rows.mapInArrow(some, "id long, y int, f array<int>").orderBy("id").toArrow()
+    return train([v.values.to_numpy().astype("i8") for v in got.column("f").combine_chunks()], got.column("y").to_numpy().astype(float), prior)
 
 
 def toxicity_scores(docs: DataFrame, model: FactorizationMachine, text_col: str = "text") -> DataFrame:
@@ -196,19 +216,21 @@ def toxicity_scores(docs: DataFrame, model: FactorizationMachine, text_col: str
 
     Every row gives one row; other columns pass through, a former score column does not. The model is a few MB of fixed size.
     """
-    docs = docs.drop("score")
+    names = [c for c in docs.columns if c != "score"]
+    docs = docs.select(*[named(c) for c in names])
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.w.astype("f4"), model.v.astype("f4")))
-    at = docs.columns.index(text_col)
+    at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, w, v = shared.value
         m, cache = FactorizationMachine(bias, w, v), {}
         for b in batches:
-            texts = b.column(at).to_pylist()
+            cols = b.column(0).flatten()
+            texts = cols[at].to_pylist()
             s = [m.score([features(t, cache) for t in texts[i : i + 256]]) for i in range(0, len(texts), 256)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(s) if s else np.zeros(0))], names=[*b.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(s) if s else np.zeros(0))], names=[*names, "score"])
 
-    return docs.mapInArrow(run, docs.withColumn("score", F.lit(0.0)).schema)
+    return docs.select(boxed(docs)).mapInArrow(run, docs.select(*[named(c) for c in names], F.lit(0.0).alias("score")).schema)
 
 
 def flag_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.5) -> DataFrame:

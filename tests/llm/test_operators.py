@@ -589,18 +589,19 @@ def test_pages_of_a_host_do_not_depend_on_its_shards(spark, monkeypatch, shard,
     want = Counter()
     for i, u, x in rows:
         texts = re.findall("<p>(.*?)</p>", x)
-        keep = texts if u is None or u[7] in "cd" else [t for t in texts if t != shared]  # few is on a twelfth of the pages
+        # few is on a twelfth of the pages; host b marks its articles, which stay whole
+        keep = texts if u is None or u[7] in "bcd" else [t for t in texts if t != shared]
         want[i, "\n".join(t.strip() for t in keep)] += 1
     assert got == want and few in got.most_common(1)[0][0][1] + "".join(t for _, t in got)
 
 
 def test_pages(spark):
     frame = "<body><div><p>Welcome to this site of ours where you find all things</p></div><div><p>{}</p></div><div class=cookie>ok</div></body>"
-    rows = [(i, "http://h.org/" + str(i), frame.format(prose(12, 200 + i))) for i in range(6)] + [(50, "http://m.org", PAGE), (51, None, None), (52, "x", ""), (53, "http://h.org/9", frame.format(prose(12, 200)))]
+    rows = [(i, "http://h.org/" + str(i), frame.format(prose(12, 200 + i))) for i in range(12)] + [(50, "http://m.org", PAGE), (51, None, None), (52, "x", ""), (53, "http://h.org/9", frame.format(prose(12, 200)))]
     df = spark.createDataFrame([(*r, "q", "s") for r in rows], "page_id long, url string, html string, text string, shard string")
     got = {r["page_id"]: r for r in html_extract.extract_text(df).collect()}
     assert len(got) == len(rows)
-    for i in range(6):
+    for i in range(12):
         assert got[i]["text"] == prose(12, 200 + i)
     assert got[53]["text"] == prose(12, 200)  # a copy of page 0 is no sign of boilerplate
     assert got[50]["text"].startswith("Title & more") and got[51]["text"] == got[52]["text"] == ""
@@ -608,6 +609,23 @@ def test_pages(spark):
     assert html_extract.extract_text(df.limit(0)).count() == 0
 
 
+def test_shared_paragraphs_of_articles_stay(spark):
+    """What pages share is their article, on small hosts, in marked main parts, and in near copies."""
+    shared = prose(60, 901)
+    story = lambda wrap, h, n: [(f"http://{h}.org/{i}", wrap.format(f"<p>Story {i}.</p><p>{shared}</p><p>{i}.</p>")) for i in range(n)]
+    rows = story("<div>{}</div>", "two", 2) + story("<div>{}</div>", "nine", 9) + story("<article>{}</article>", "five", 5) + story("<main>{}</main>", "many", 40)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = {r["url"]: r["text"] for r in html_extract.extract_text(df).collect()}
+    assert all(got[u] == "\n".join([f"Story {u.split('/')[-1]}.", shared, f"{u.split('/')[-1]}."]) for u, _ in rows)
+
+
+def test_boilerplate_of_unmarked_pages_goes(spark):
+    notice = "This site has a long standing notice that every single page of it repeats in full"
+    rows = [(i, f"http://h.org/{i}", f"<div><p>{prose(20, 950 + i)}</p></div><div><p>{notice}</p></div>") for i in range(12)]
+    got = html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: prose(20, 950 + i) for i in range(12)}
+
+
 def test_repeated_words_against_brute_force():
     rng = np.random.default_rng(3)
     words, pages = rng.integers(0, 4, 600).astype("u8"), np.repeat(np.arange(6), 100)
