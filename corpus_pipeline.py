@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitemill.llm import decontaminate, packing, simhash_dedup, substring_dedup, toxicity
-from sitemill.llm.common import cut, table
+from sitemill.llm.common import boxed, cut, fresh, named, table
 
 #: Documents that score this or more are rejected.
 TOXIC = 0.5
@@ -19,7 +19,8 @@ TOKENIZER = "byte_bpe_50k.json"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the factorization machine scores below one half."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.toxicity_scores(docs, model).where(F.col("score") < TOXIC).drop("score")
+    whole = docs.select(boxed(docs, "doc"), named("text").alias("text"))
+    return toxicity.toxicity_scores(whole, model).where(F.col("score") < TOXIC).select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +30,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document; passages that an earlier one has are cut out of its text."""
-    out = substring_dedup.substring_dedup(docs).drop("removed")
+    spans = fresh(docs, "removed")
+    out = substring_dedup.substring_dedup(docs, removed_col=spans).drop(spans)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out
