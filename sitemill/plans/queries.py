@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..functions.alignment import cigar_blocks, with_md
 from ..functions.stats import binom_sf, binom_sf_deep, site_score
-from ..operators import dedup, demux, filters, intervals, matrix, mutations, tracks
+from ..operators import collapse, dedup, demux, filters, intervals, matrix, mutations, tracks
 from ..operators import pileup as P
 from ..streaming.batches import windowed_counts
 from . import prep, sites, tags
@@ -857,6 +857,47 @@ def recomputed_md(spark: SparkSession, d: str) -> DataFrame:
     return with_md(r, ref, 1000).select("qname", F.col("copy").alias("ord"), "md", "nm")
 
 
+def _em(rounds: int, final: str) -> str:
+    """Parents of UMIs by so many rounds, each a table of its own."""
+    b = "sample, chrom, strand, site, spliced"
+    weight = "share * pow(1 - e, length(u) - d) * pow(e / 3, d)"
+    steps = [
+        f"em_sums AS (SELECT sample, chrom, strand, CASE WHEN strand = '-' THEN end0 ELSE start0 END AS site, shape = 'N' AS spliced, umi, sum(read_id % 3 + 1) AS copies, count(*) AS n FROM reads GROUP BY ALL)",
+        f"em_total AS (SELECT {b}, sum(copies) AS total FROM em_sums GROUP BY ALL)",
+        f"em0 AS (SELECT {b}, x.umi AS u, y.umi AS v, hamming(x.umi, y.umi) AS d, CAST(x.copies AS DOUBLE) AS copies, CAST(total AS DOUBLE) AS total, CAST(y.copies AS DOUBLE) AS share FROM em_sums x JOIN em_sums y USING ({b}) JOIN em_total USING ({b}) WHERE hamming(x.umi, y.umi) <= 1)",
+        "rate0 AS (SELECT 0.01::DOUBLE AS e)",
+    ]
+    for k in range(1, rounds + 1):
+        steps.append(f"em{k}w AS (SELECT *, {weight} AS w FROM em{k - 1}, rate{k - 1})")
+        steps.append(f"em{k}s AS (SELECT *, sum(w) OVER (PARTITION BY {b}, u) AS s FROM em{k}w)")
+        steps.append(f"em{k}c AS (SELECT *, sum(10 * copies * log10(s / least(s, greatest(s - w, total * pow(e / 3, 2))))) OVER (PARTITION BY {b}, v) >= 30 AS stays FROM em{k}s)")
+        steps.append(f"em{k}k AS (SELECT * FROM em{k}c QUALIFY stays OR NOT bool_or(stays) OVER (PARTITION BY {b}, u))")
+        steps.append(f"em{k}g AS (SELECT *, copies * w / sum(w) OVER (PARTITION BY {b}, u) AS given FROM em{k}k)")
+        steps.append(f"em{k} AS (SELECT {b}, u, v, d, copies, total, sum(given) OVER (PARTITION BY {b}, v) AS share, given * d AS wrong FROM em{k}g)")
+        steps.append(f"rate{k} AS (SELECT least(greatest(sum(wrong) / (SELECT sum(copies * length(umi)) FROM em_sums), 1e-6), 0.25) AS e FROM em{k})")
+    steps.append(f"best AS (SELECT {b}, u, v AS x, row_number() OVER (PARTITION BY {b}, u ORDER BY v <> u, {weight} DESC, v) AS k FROM em{rounds}, rate{rounds})")
+    steps.append(f"em_owner AS (SELECT {b}, m.umi, coalesce(x, m.umi) AS owner, copies, n FROM em_sums m LEFT JOIN (SELECT {b}, u AS umi, x FROM best WHERE k = 1) USING ({b}, umi))")
+    return duck(READS, *steps) + final
+
+
+EM_BUNDLE = "sample, chrom, strand, site, spliced"
+
+
+@query(_em(1, f" SELECT {EM_BUNDLE}, u, v, CAST(d AS INT) AS d, round(share, 9) AS share FROM em1"))
+def em_parents_step(spark: SparkSession, d: str) -> DataFrame:
+    """One round of the parents of UMIs."""
+    r = reads(spark, d)
+    sums = collapse.umi_sums(r, "umi", F.col("read_id") % 3 + 1)
+    return collapse.em_step(collapse.parent_edges(sums), collapse.ERROR).select(*dedup.BUNDLE, "u", "v", "d", F.round("share", 9).alias("share"))
+
+
+@query(_em(3, f" SELECT {EM_BUNDLE}, owner AS umi, CAST(sum(n) AS BIGINT) AS reads, CAST(sum(copies) AS BIGINT) AS score FROM em_owner GROUP BY ALL"))
+def em_collapse(spark: SparkSession, d: str) -> DataFrame:
+    """Tags by three rounds, whatever they change."""
+    r = reads(spark, d).withColumn("qname", F.concat("qname", F.lit("#"), (F.col("read_id") % 3 + 1).cast("string")))
+    return collapse.collapse_em(r, iterations=3, tolerance=0.0).select(*dedup.BUNDLE, "umi", "reads", "score")
+
+
 @query(_networks("concat(qname, '#', CAST(read_id % 3 + 1 AS VARCHAR))", "read_id % 3 + 1") + ", CAST(score AS BIGINT) AS score FROM nets JOIN umis u ON u.id = nets.i")
 def weighted_collapse(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumn("qname", F.concat("qname", F.lit("#"), (F.col("read_id") % 3 + 1).cast("string")))
