@@ -1,4 +1,4 @@
-"""Binomial tails, false discovery rates, truncation to decimals."""
+"""Binomial tails, false discovery rates, exact quantiles, truncation to decimals."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from .lineage import settled
+
 
 def binom_sf(k: Column, n: Column, p: Column) -> Column:
     """P(X >= k) for X ~ Bin(n, p), by summing terms in the JVM; fit for coverage in the thousands.
@@ -67,30 +69,79 @@ def binom_sf_deep(k: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
     return pd.Series(np.fromiter((binom_tail(int(a), int(b), float(c)) for a, b, c in zip(k, n, p, strict=True)), float, len(k)))
 
 
-def bh_adjust(df: DataFrame, family: list[str], p: str = "pvalue", q: str = "qvalue") -> DataFrame:
+#: Distinct values of p of at most so many (some 40 bytes each) are ranked by plain windows, and broadcast.
+FEW_VALUES = 200_000
+
+
+def bh_adjust(df: DataFrame, family: list[str], p: str = "pvalue", q: str = "qvalue", few: int = FEW_VALUES) -> DataFrame:
     """Adds Benjamini-Hochberg q values within each family: least p*m/rank over this and later ranks.
 
-    No task sorts a whole family, however large. Rows are counted by distinct p first, since ties
-    share the least of their values, which is that of the last of them. Distinct values are dealt
-    to ranges a 256th of a power of two wide; one row for each range shifts the ranks in it and
-    bounds its values by the least of later ranges. Rows without a p get no q.
+    Rows are counted by distinct p first, since ties share the least of their values, which is that
+    of the last of them. If the counts are ``few``, they are ranked and broadcast, and the rows stay
+    where they are. Otherwise no task sorts a whole family: distinct values are dealt to ranges a
+    256th of a power of two wide, and one row for each range shifts the ranks in it and bounds its
+    values by the least of later ranges. Rows of p = 1, often a large part, have q = 1 and meet no
+    one. Rows without a p get no q. The rows are read twice.
     """
     from ..operators.intervals import join_null_safe
 
-    level = F.floor(F.log2(F.greatest(F.col(p), F.lit(1e-300))) * 256)
-    n = df.where(F.col(p).isNotNull()).groupBy(*family, p).agg(F.count("*").alias("__n")).withColumn("__b", level)
-    up, every = Window.partitionBy(*family).orderBy("__b"), Window.partitionBy(*family)
+    n = settled(df.where(F.col(p).isNotNull()).groupBy(*family, p).agg(F.count("*").alias("__n")))
+    every = Window.partitionBy(*family)
+    if n.count() <= few:
+        up = every.orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
+        down = every.orderBy(F.col(p).desc()).rowsBetween(Window.unboundedPreceding, 0)
+        adj = n.withColumn("__adj", F.col(p) * F.sum("__n").over(every) / F.sum("__n").over(up))
+        table = F.broadcast(adj.select(*family, p, F.least(F.lit(1.0), F.min("__adj").over(down)).alias(q)))
+        return join_null_safe(df.drop(q), table, [*family, p]).select(*[c for c in df.columns if c != q], q)
+    n = n.withColumn("__b", F.floor(F.log2(F.greatest(F.col(p), F.lit(1e-300))) * 256))
+    up = every.orderBy("__b")
     ranges = n.groupBy(*family, "__b").agg(F.sum("__n").alias("n"))
     ranges = ranges.select(*family, "__b", (F.sum("n").over(up) - F.col("n")).alias("__base"), F.sum("n").over(every).alias("__m"))
     inside = Window.partitionBy(*family, "__b").orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
     ranked = join_null_safe(n, ranges, [*family, "__b"]).withColumn("__adj", F.col(p) * F.col("__m") / (F.col("__base") + F.sum("__n").over(inside)))
     lows = ranked.groupBy(*family, "__b").agg(F.min("__adj").alias("low"))
-    after = Window.partitionBy(*family).orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = every.orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     lows = lows.select(*family, "__b", F.min("low").over(after).alias("__later"))
     down = Window.partitionBy(*family, "__b").orderBy(F.col(p).desc()).rowsBetween(Window.unboundedPreceding, 0)
     value = F.least(F.lit(1.0), F.min("__adj").over(down), F.col("__later"))
-    table = join_null_safe(ranked, lows, [*family, "__b"]).select(*family, p, value.alias(q))
-    return join_null_safe(df.drop(q), table, [*family, p]).select(*[c for c in df.columns if c != q], q)
+    table = join_null_safe(ranked, lows, [*family, "__b"]).where(F.col(p) < 1).select(*family, p, F.lit(0).alias("__part"), value.alias(q))
+    part = F.when(F.col(p) >= 1, 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 20))).otherwise(0).cast("int")
+    out = join_null_safe(df.drop(q).withColumn("__part", part), table, [*family, p, "__part"])
+    return out.withColumn(q, F.when(F.col(p) >= 1, 1.0).otherwise(F.col(q))).select(*[c for c in df.columns if c != q], q)
+
+
+def weighted_quantile(df: DataFrame, value: str, weight: str, by: list[str], at: float, bins: int = 4096) -> DataFrame:
+    """(by, quantile): exact, interpolated linearly between the rows around rank (rows - 1) * at.
+
+    A row stands for ``weight`` rows. The two ranks are looked for from the top: counts in equal
+    bins between the least and the largest value, then in bins of the bin that has the rank, then by
+    distinct value in that. So no task gets a group, only its bins. Null values and weights of zero
+    take no part; a group without any has no row.
+    """
+    d = df.where(F.col(value).isNotNull() & (F.col(weight) > 0)).select(*by, F.col(value).cast("double").alias("__v"), F.col(weight).cast("long").alias("__w"))
+    d = d.withColumn("__all", F.lit(1))
+    keys = ["__all", *by]
+    spot = (F.col("__rows") - 1) * at
+    ranks = d.groupBy(*keys).agg(F.sum("__w").alias("__rows"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    ranks = ranks.select(*keys, (spot - F.floor(spot)).alias("__frac"), F.explode(F.array(F.floor(spot), F.ceil(spot))).alias("__rank"), "__lo", "__hi").distinct()
+    order = Window.partitionBy(*keys, "__first").orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0)
+
+    def found(counted: DataFrame) -> DataFrame:
+        """The bin with the rank, which is then counted from that bin on."""
+        c = counted.withColumn("__upto", F.sum("__n").over(order))
+        return c.where((F.col("__rank") < F.col("__upto")) & (F.col("__rank") >= F.col("__upto") - F.col("__n"))).withColumn("__rank", F.col("__rank") - F.col("__upto") + F.col("__n"))
+
+    left = d.join(ranks, keys).withColumn("__first", F.col("__rank"))
+    state = ["__first", "__rank", "__frac"]
+    for _ in range(2):
+        wide = (F.col("__hi") - F.col("__lo")) / bins
+        left = left.withColumn("__bin", F.when(wide > 0, F.least(F.floor((F.col("__v") - F.col("__lo")) / wide), F.lit(bins - 1))).otherwise(0))
+        counted = left.groupBy(*keys, *state, "__bin").agg(F.sum("__w").alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+        picked = found(counted).select(*keys, "__first", "__bin", F.col("__rank").alias("__new"), F.col("__lo").alias("__l"), F.col("__hi").alias("__h"))
+        left = left.join(picked, [*keys, "__first", "__bin"]).select(*keys, "__v", "__w", "__first", "__frac", F.col("__new").alias("__rank"), F.col("__l").alias("__lo"), F.col("__h").alias("__hi"))
+    last = left.groupBy(*keys, *state, F.col("__v").alias("__bin")).agg(F.sum("__w").alias("__n"))
+    ends = found(last).groupBy(*by, "__all").agg(F.min("__bin").alias("a"), F.max("__bin").alias("b"), F.first("__frac").alias("f"))
+    return ends.select(*by, (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("quantile"))
 
 
 def bh_adjust_ranged(df: DataFrame, p: str = "pvalue", q: str = "qvalue") -> DataFrame:

@@ -77,7 +77,7 @@ def demux_summary(reads: DataFrame) -> DataFrame:
 
 def assign_groups(df: DataFrame, groups: DataFrame, fallback: bool = True) -> DataFrame:
     """Adds grp by exact sample name; a sample that no group lists is its own, or is left out."""
-    g = F.broadcast(groups.select("sample", "grp").distinct())
+    g = groups.select("sample", "grp").distinct()
     if not fallback:
         return df.join(g, "sample")
     return df.join(g, "sample", "left").withColumn("grp", F.coalesce("grp", "sample"))
@@ -90,7 +90,7 @@ def repeat_elements(hits: DataFrame, totals: DataFrame, name: str = "ref") -> Da
     """
     element, kind, family = repeat_parts(F.col(name))
     n = hits.where(F.col(name) != "*").groupBy("sample", name).agg(F.count("*").alias("raw_reads"))
-    out = n.join(F.broadcast(totals.select("sample", "total")), "sample")
+    out = n.join(totals.select("sample", "total"), "sample")
     return out.select("sample", element.alias("element"), kind.alias("class"), family.alias("family"), "raw_reads", F.round(F.col("raw_reads") / F.col("total") * 1e6, 2).alias("rpm"))
 
 

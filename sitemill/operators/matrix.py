@@ -20,7 +20,7 @@ def peak_counts(peaks: DataFrame, reads: DataFrame) -> DataFrame:
 
 def normed_counts(counts: DataFrame, scales: DataFrame) -> DataFrame:
     """Adds normed: count times the sample's scale, four decimals; a missing scale is one."""
-    s = F.broadcast(scales.select("sample", "scale"))
+    s = scales.select("sample", "scale")
     return counts.join(s, "sample", "left").withColumn("normed", F.round(F.col("tc") * F.coalesce("scale", F.lit(1.0)), 4)).drop("scale")
 
 
@@ -29,7 +29,7 @@ def group_counts(counts: DataFrame, groups: DataFrame, scales: DataFrame) -> Dat
 
     Samples without a group take no part; those without a scale add nothing to normed.
     """
-    g = counts.join(F.broadcast(groups.select("sample", "grp").distinct()), "sample").join(F.broadcast(scales.select("sample", "scale")), "sample", "left")
+    g = counts.join(groups.select("sample", "grp").distinct(), "sample").join(scales.select("sample", "scale"), "sample", "left")
     return g.groupBy("peak_id", "grp").agg(
         F.sum((F.col("tc") > 0).cast("long")).alias("bc"), F.sum("tc").alias("tc"), F.round(F.sum(F.col("tc") * F.coalesce("scale", F.lit(0.0))), 4).alias("normed")
     )

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.alignment import cigar_blocks, has_deletion, reference_length, substitutions, truncation_site
-from ..functions.stats import bh_adjust, binom_sf, binom_sf_deep
+from ..functions.lineage import settled
+from ..functions.stats import bh_adjust, binom_sf, binom_sf_deep, weighted_quantile
 from .filters import testable
 from .intervals import gap_cluster_chunked
 
@@ -26,7 +27,7 @@ def read_events(reads: DataFrame, chrom_sizes: DataFrame | None = None) -> DataF
     site = F.struct(F.when(has_deletion(F.col("cigar")), "T").otherwise("C").alias("kind"), t.cast("long").alias("s"), (t + 1).cast("long").alias("e"))
     ok = t >= 0
     if chrom_sizes is not None:
-        reads = reads.join(F.broadcast(chrom_sizes.select("chrom", F.col("length").alias("__len"))), "chrom", "left")
+        reads = reads.join(chrom_sizes.select("chrom", F.col("length").alias("__len")), "chrom", "left")
         ok = ok & F.coalesce(t < F.col("__len"), F.lit(True))
     none = F.array().cast("array<struct<kind:string,s:bigint,e:bigint>>")
     every = F.concat(cigar_blocks(F.col("cigar"), F.col("start0")), F.when(ok, F.array(site)).otherwise(none))
@@ -61,15 +62,17 @@ def background(df: DataFrame, signal: str, by: list[str] | None = None, min_cove
     """Background rate ``lambda`` by ``by`` (one row without it): signal over coverage.
 
     Positions of the top fractions are left out: those above the exact quantile, interpolated
-    linearly. Where the quantile is not above zero, or nothing is left, all positions count.
+    linearly. Where the quantile is not above zero, or nothing is left, all positions count. The pileup
+    is read once, to a histogram of (signal, coverage), on which quantile and sums are exact.
     """
     by = by or []
-    d = df.where(F.col("coverage") >= min_coverage).select(*by, F.col(signal).alias("s"), F.col("coverage").alias("c")).withColumn("f", F.col("s") / F.col("c"))
-    cut = d.groupBy(*by).agg(F.percentile("f", 1 - exclude_top).alias("t"))
-    both = d.join(F.broadcast(cut), by) if by else d.crossJoin(F.broadcast(cut))
+    h = df.where(F.col("coverage") >= min_coverage).groupBy(*by, F.col(signal).alias("s"), F.col("coverage").alias("c")).agg(F.count("*").alias("n"))
+    h = settled(h.withColumn("f", F.col("s") / F.col("c")))
+    top = weighted_quantile(h, "f", "n", by, 1 - exclude_top).withColumnRenamed("quantile", "t")
     low = F.col("f") <= F.col("t")
-    sums = both.groupBy(*by).agg(
-        F.max("t").alias("t"), F.sum("s").alias("s_all"), F.sum("c").alias("c_all"), F.sum(F.when(low, F.col("s"))).alias("s_low"), F.sum(F.when(low, F.col("c"))).alias("c_low")
+    s, c = F.col("s") * F.col("n"), F.col("c") * F.col("n")
+    sums = (h.join(top, by) if by else h.crossJoin(top)).groupBy(*by).agg(
+        F.max("t").alias("t"), F.sum(s).alias("s_all"), F.sum(c).alias("c_all"), F.sum(F.when(low, s)).alias("s_low"), F.sum(F.when(low, c)).alias("c_low")
     )
     kept = (F.col("t") > 0) & (F.coalesce("c_low", F.lit(0)) > 0)
     rate = F.when(kept, F.col("s_low") / F.col("c_low")).otherwise(F.col("s_all") / F.col("c_all"))
@@ -106,9 +109,9 @@ def test_sites(
 
     The filter comes before the adjustment, whose family is by default one (sample, chrom, strand).
     Positions whose rate is zero get p = 1 and stay in the family. The testable positions, a small
-    part of a pileup, are read twice and so persisted (memory and disk) until the cache is cleared.
+    part of a pileup, are read twice and so written first.
     """
-    return bh_adjust(site_pvalues(df, signal, rate, min_coverage, min_signal, min_fraction, deep).persist(), family or KEYS)
+    return bh_adjust(settled(site_pvalues(df, signal, rate, min_coverage, min_signal, min_fraction, deep)), family or KEYS)
 
 
 def bed_sites(sites: DataFrame, label: str | None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions.alignment import cigar_blocks, with_md
+from ..functions.lineage import settled
 from ..functions.stats import binom_sf, binom_sf_deep, site_score
 from ..operators import collapse, dedup, demux, filters, intervals, matrix, mutations, tracks
 from ..operators import pileup as P
@@ -167,6 +168,11 @@ def _pile(spark: SparkSession, d: str) -> DataFrame:
     return P.pileup(filters.pileup_reads(reads(spark, d)))
 
 
+def _stored_pile(spark: SparkSession, d: str) -> DataFrame:
+    """For site tests, which read it for the background, the clusters and the tests."""
+    return settled(_pile(spark, d))
+
+
 def _subs(spark: SparkSession, d: str) -> DataFrame:
     return P.substitution_counts(filters.pileup_reads(reads(spark, d)))
 
@@ -257,7 +263,7 @@ def background_lambda(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck(READS, KEPT, PILE, SUBS, SUBLAM) + " SELECT sample, sub_type, round(lam, 9) AS lambda FROM lam")
 def background_lambda_by_type(spark: SparkSession, d: str) -> DataFrame:
-    return sites.substitution_background(_pile(spark, d), _subs(spark, d)).select("sample", "sub_type", F.round("lambda", 9).alias("lambda"))
+    return sites.substitution_background(_stored_pile(spark, d), _subs(spark, d)).select("sample", "sub_type", F.round("lambda", 9).alias("lambda"))
 
 
 @query(duck(READS, KEPT, PILE, CLUSTERS) + " SELECT sample, chrom, strand, pos, cluster FROM clusters")
@@ -321,19 +327,19 @@ def bh_qvalue_ranged(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck(READS, KEPT, PILE, CITS) + f" SELECT {SITE}, clean_truncations AS signal, round(fraction, 6) AS fraction, {SITE_STATS}, CAST(least(floor(-log10(greatest(qvalue, 1e-300)) * 100), 1000) AS BIGINT) AS score FROM (SELECT *, clean_truncations / coverage AS fraction FROM cits) WHERE qvalue <= 0.05")
 def cits_sites(spark: SparkSession, d: str) -> DataFrame:
-    t = sites.truncation_sites(_pile(spark, d))
+    t = sites.truncation_sites(_stored_pile(spark, d))
     return t.select(*P.KEYS, "pos", "coverage", "signal", F.round("fraction", 6).alias("fraction"), _log("pvalue").alias("logp"), F.round("qvalue", 6).alias("qvalue"), site_score(F.col("qvalue")).alias("score"))
 
 
 @query(duck(READS, KEPT, PILE, DELS) + f" SELECT {SITE}, deletions, {SITE_STATS} FROM dels WHERE qvalue <= 0.05")
 def cims_deletions(spark: SparkSession, d: str) -> DataFrame:
-    t = sites.deletion_sites(_pile(spark, d))
+    t = sites.deletion_sites(_stored_pile(spark, d))
     return t.select(*P.KEYS, "pos", "coverage", "deletions", _log("pvalue").alias("logp"), F.round("qvalue", 6).alias("qvalue"))
 
 
 @query(duck(READS, KEPT, PILE, SUBS, SUBSITES) + f" SELECT {SITE}, sub_type, CAST(n AS BIGINT) AS n, {SITE_STATS} FROM hits WHERE qvalue <= 0.05")
 def cims_substitutions(spark: SparkSession, d: str) -> DataFrame:
-    t = sites.substitution_sites(_pile(spark, d), _subs(spark, d))
+    t = sites.substitution_sites(_stored_pile(spark, d), _subs(spark, d))
     return t.select(*P.KEYS, "pos", "coverage", "sub_type", "n", _log("pvalue").alias("logp"), F.round("qvalue", 6).alias("qvalue"))
 
 
@@ -342,7 +348,7 @@ def cims_substitutions(spark: SparkSession, d: str) -> DataFrame:
     + f" SELECT {SITE}, clean_truncations, {SITE_STATS} FROM tested WHERE qvalue <= 0.05"
 )
 def legacy_global_sites(spark: SparkSession, d: str) -> DataFrame:
-    t = sites.truncation_sites(_pile(spark, d), rates="global")
+    t = sites.truncation_sites(_stored_pile(spark, d), rates="global")
     return t.select(*P.KEYS, "pos", "coverage", "clean_truncations", _log("pvalue").alias("logp"), F.round("qvalue", 6).alias("qvalue"))
 
 

@@ -107,16 +107,42 @@ def test_bh_adjust_families_and_ties(spark):
     r = random.Random(5)
     cells = [(r.choice("ab"), r.choice([1.0, 0.0, 0.25, 1e-200, 10 ** r.uniform(-12, 0), r.random()]), i) for i in range(600)] + [("c", None, -1), ("c", 0.7, -2)]
     df = spark.createDataFrame(cells, "f string, pvalue double, i int").repartition(5)
-    got = {x["i"]: x["qvalue"] for x in S.bh_adjust(df, ["f"]).collect()}
-    for f in "abc":
-        ps = sorted((p, i) for g, p, i in cells if g == f and p is not None)
-        least = 1.0
-        for rank in range(len(ps), 0, -1):
-            p, i = ps[rank - 1]
-            least = min(least, p * len(ps) / rank)
-            assert got[i] == pytest.approx(least, rel=1e-12)
-    assert got[-1] is None and len(got) == len(cells)
-    assert S.bh_adjust(df.limit(0), ["f"]).collect() == []
+    for few in (S.FEW_VALUES, 0):  # ranked at once, and in ranges
+        got = {x["i"]: x["qvalue"] for x in S.bh_adjust(df, ["f"], few=few).collect()}
+        for f in "abc":
+            ps = sorted((p, i) for g, p, i in cells if g == f and p is not None)
+            least = 1.0
+            for rank in range(len(ps), 0, -1):
+                p, i = ps[rank - 1]
+                least = min(least, p * len(ps) / rank)
+                assert got[i] == pytest.approx(least, rel=1e-12)
+        assert got[-1] is None and len(got) == len(cells)
+        assert S.bh_adjust(df.limit(0), ["f"], few=few).collect() == []
+
+
+@pytest.mark.parametrize("bins", [2, 7, 4096])
+def test_weighted_quantile(spark, bins):
+    r = random.Random(bins)
+    groups = {
+        "ties": [(0.0, 900), (0.5, 3), (1.0, 1)],
+        "one": [(0.25, 1)],
+        "many": [(r.random(), r.randint(1, 4)) for _ in range(300)],
+        "wide": [(10 ** r.uniform(-300, 300), 1) for _ in range(50)],
+        "below": [(-r.random() * 5, r.randint(1, 3)) for _ in range(40)],
+        None: [(1.0, 2), (2.0, 2)],
+    }
+    cells = [(g, v, w) for g, x in groups.items() for v, w in x] + [("none", None, 4), ("none", 3.0, 0), ("one", None, 9)]
+    df = spark.createDataFrame(cells, "g string, v double, w int").repartition(3)
+    for at in (0.99, 0.5, 0.0, 1.0, 0.37):
+        got = {x["g"]: x["quantile"] for x in S.weighted_quantile(df.withColumn("g", F.coalesce("g", F.lit("?"))), "v", "w", ["g"], at, bins).collect()}
+        assert set(got) == {g or "?" for g in groups}
+        for g, x in groups.items():
+            rows_ = sorted(v for v, w in x for _ in range(w))
+            spot = (len(rows_) - 1) * at
+            a, b = rows_[math.floor(spot)], rows_[math.ceil(spot)]
+            assert got[g or "?"] == pytest.approx(a + (b - a) * (spot - math.floor(spot)), rel=1e-12)
+    assert S.weighted_quantile(df.limit(0), "v", "w", [], 0.5).count() == 0
+    assert S.weighted_quantile(df.where("g = 'many'"), "v", "w", [], 1.0).first()[0] == max(v for v, _ in groups["many"])
 
 
 def test_scores(spark):
