@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 UNMAPPED, REVERSE, SECONDARY, SUPPLEMENTARY = 4, 16, 256, 2048
 
 _OPS = re.compile(r"(\d+)([MIDNSHP=X])")
+_INTRONS = re.compile(r"\d+N")
 _MD = re.compile(r"(\d+)|\^([A-Za-z]+)|([A-Za-z])")
 _COMPLEMENT = {"A": "T", "C": "G", "G": "C", "T": "A"}
 
@@ -151,30 +152,37 @@ def md_tag(cigar: str, seq: str, reference: str) -> tuple[str, int]:
 
 
 def with_md(reads: DataFrame, reference: DataFrame, slice_size: int = 100_000) -> DataFrame:
-    """Adds md and nm to reads, from a reference table (name, seq) of whole sequences.
+    """Adds md and nm to reads, from a reference in slices (name, slice, bases) or of whole sequences (name, seq).
 
-    Sequences are cut to slices, and a read joins the slices that it touches: the join is keyed by
-    (chrom, slice), no task holds a chromosome, and nothing is broadcast. Reads beyond the reference
-    get nulls. Reads need a unique ord.
+    Whole sequences are cut to slices of ``slice_size`` first. A read joins the slices that its aligned and
+    deleted blocks touch, so introns fetch nothing, no task holds a chromosome, and nothing is broadcast.
+    Tags depend on chrom, start0, cigar and seq alone: equal ones are tagged once, and rows need no number.
+    Reads beyond the reference, or without an alignment, get nulls.
     """
-    n = F.ceil(F.length("seq") / slice_size)
-    cuts = reference.where(F.length("seq") > 0).select(F.col("name").alias("chrom"), "seq", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("slice"))
-    slices = cuts.select("chrom", "slice", F.expr(f"substring(seq, cast(slice * {slice_size} + 1 as int), {slice_size})").alias("bases"))
-    end0 = F.col("start0") + reference_length(F.col("cigar"))
-    wide = reads.select("*", end0.alias("__end"), F.explode(F.sequence(F.floor(F.col("start0") / slice_size), F.floor((end0 - 1) / slice_size))).alias("slice"))
-    part = wide.join(slices, ["chrom", "slice"]).select(
-        "ord", "slice", F.expr(f"substring(bases, cast(greatest(start0 - slice * {slice_size}, 0) + 1 as int), cast(__end - greatest(start0, slice * {slice_size}) as int))").alias("b")
-    )
-    whole = part.groupBy("ord").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("slice", "b"))), lambda x: x["b"]), "").alias("__ref"))
-    old = reads.drop("md", "nm")
-    at = [f.name for f in old.schema]
+    if "slice" in reference.columns:
+        slices = reference.select(F.col("name").alias("chrom"), "slice", "bases")
+    else:
+        n = F.ceil(F.length("seq") / slice_size)
+        cuts = reference.where(F.length("seq") > 0).select(F.col("name").alias("chrom"), "seq", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("slice"))
+        slices = cuts.select("chrom", "slice", F.expr(f"substring(seq, cast(slice * {slice_size} + 1 as int), {slice_size})").alias("bases"))
+    keys = ["chrom", "start0", "cigar", "seq"]
+    alike = reads.where(F.col("cigar").isNotNull() & (F.col("cigar") != "*") & F.col("chrom").isNotNull() & (F.col("start0") >= 0)).select(*keys).distinct()
+    wide = alike.select(*keys, F.posexplode(cigar_blocks(F.col("cigar"), F.col("start0"))).alias("block", "b")).select(*keys, "block", "b.s", "b.e")
+    wide = wide.select("*", F.explode(F.sequence(F.floor(F.col("s") / slice_size), F.floor((F.col("e") - 1) / slice_size))).alias("slice"))
+    low, high = F.greatest(F.col("s"), F.col("slice") * slice_size), F.least(F.col("e"), (F.col("slice") + 1) * slice_size)
+    part = wide.join(slices, ["chrom", "slice"]).select(*keys, "block", "slice", F.substring("bases", (low - F.col("slice") * slice_size + 1).cast("int"), (high - low).cast("int")).alias("part"))
+    parts = part.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("block", "slice", "part"))).alias("parts"))
+    ref = parts.select(*keys, F.array_join(F.transform("parts", lambda x: x["part"]), "").alias("ref"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = zip(b.column("cigar").to_pylist(), b.column("seq").to_pylist(), b.column("__ref").to_pylist(), strict=True)
-            tags = [(None, None) if r is None or c in (None, "*") else md_tag(c, q or "", r) for c, q, r in rows]
-            cols = [b.column(n) for n in at]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array([t[0] for t in tags], pa.string()), pa.array([t[1] for t in tags], pa.int32())], names=[*at, "md", "nm"])
+            rows = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)
+            tags = [md_tag(_INTRONS.sub("", c), q or "", r) for c, q, r in rows]  # the blocks' bases, one after another
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([t[0] for t in tags], pa.string()), pa.array([t[1] for t in tags], pa.int32())], names=[*keys, "md", "nm"])
 
-    schema = old.withColumn("md", F.lit(None).cast("string")).withColumn("nm", F.lit(None).cast("int")).schema
-    return old.join(whole, "ord", "left").select(*at, "__ref").mapInArrow(run, schema)
+    kinds = ", ".join(f"{k} {reads.schema[k].dataType.simpleString()}" for k in keys)
+    tags = ref.mapInArrow(run, f"{kinds}, md string, nm int")
+    right = tags.select(*[F.col(k).alias(f"__{k}") for k in keys], "md", "nm")
+    old = reads.drop("md", "nm")
+    on = [old[k].eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return old.join(right, on, "left").drop(*[f"__{k}" for k in keys])

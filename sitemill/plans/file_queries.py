@@ -18,8 +18,9 @@ from ..operators import demux, filters, mutations, tracks
 from ..operators import pileup as P
 from ..sources import readers as R
 from ..sources import writers as W
+from ..streaming import batches as B
 from . import sites
-from .queries import CITS, DELS, KEPT, PILE, SCALES, SUBS, SUBSITES, _pile, _steps, _subs, query
+from .queries import CITS, DELS, KEPT, PILE, SCALES, SQL, SUBS, SUBSITES, _pile, _steps, _subs, query
 from .views import FASTQ, PEAKS, READS, duck, fastq, peaks, reads
 
 
@@ -59,6 +60,17 @@ def deposit_files(spark: SparkSession, d: str) -> DataFrame:
     return W.deposit_summary(spark, path)
 
 
+@query(duck(FASTQ) + " SELECT DISTINCT concat('s', CAST(ord % 4 AS VARCHAR)) AS sample, true AS same FROM fastq")
+def deposit_digests(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of the deposited files, read as streams, against those of their whole contents."""
+    path = scratch(spark)
+    mine = W.deposit(fastq(spark, d).withColumn("name", F.col("header")).withColumn("sample", F.concat(F.lit("s"), (F.col("ord") % 4).cast("string"))), path)
+    whole = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path)
+    name = F.regexp_extract("path", "sample=[^/]*/[^/]*$", 0).alias("file")
+    both = mine.select(name, "md5").join(whole.select(name, F.md5("content").alias("other")), "file", "full")
+    return both.groupBy(F.regexp_extract("file", "sample=([^/]*)/", 1).alias("sample")).agg(F.bool_and(F.coalesce(F.col("md5") == F.col("other"), F.lit(False))).alias("same"))
+
+
 @query(duck(FASTQ) + " SELECT header, seq FROM fastq ORDER BY ord LIMIT 100")
 def trial_reads(spark: SparkSession, d: str) -> DataFrame:
     return R.first_reads(fastq(spark, d), 100).select("header", "seq")
@@ -85,6 +97,16 @@ def fasta_files(spark: SparkSession, d: str) -> DataFrame:
     return R.read_fasta(spark, path)
 
 
+@query("SELECT concat('c', CAST(p_partkey AS VARCHAR)) AS name, CAST(4 + 2 * p_size AS BIGINT) AS bases, concat('ACGT', repeat('GA', CAST(p_size AS INT))) AS seq FROM part")
+def fasta_slices(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences read in slices of seven bases, and put together again."""
+    path = scratch(spark)
+    W.write_text(spark.read.parquet(f"{d}/part.parquet").select(F.concat(F.lit(">c"), F.col("p_partkey").cast("string"), F.lit(" text\nACGT\n"), F.expr("repeat('GA', cast(p_size as int))")).alias("value")), path)
+    s = R.read_fasta_slices(spark, path, 7)
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("slice", "bases"))), lambda x: x["bases"]), "")
+    return s.groupBy("name").agg(F.sum(F.length("bases")).alias("bases"), whole.alias("seq"))
+
+
 # --- alignments ---------------------------------------------------------------------------------
 ALIGNED = ["qname", "flag", "chrom", "start0", "end0", "mapq", "cigar", "seq", "nh", "md", "strand"]
 
@@ -251,3 +273,13 @@ def sample_run(spark: SparkSession, d: str) -> DataFrame:
     out = sites.analyse(reads(spark, d))
     parts = [out[k].groupBy("sample").agg(F.count("*").alias("n")).select(F.lit(k).alias("kind"), "sample", "n") for k in ("truncations", "crosslinks", "pileup")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(SQL["umi_directional_dedup"])
+def streamed_umi_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Reads in four files, a file a batch of a stream, whose state gives the networks of one table."""
+    root = scratch(spark)
+    reads(spark, d).repartition(4).write.parquet(f"{root}/in")
+    rows = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    B.keep_umi_sums(filters.unique_reads(rows), f"{root}/sums", f"{root}/state").awaitTermination()
+    return B.streamed_dedup(spark, f"{root}/sums")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..functions.alignment import cigar_blocks, with_md
 from ..functions.lineage import settled
+from ..functions.sql import register
 from ..functions.stats import binom_sf, binom_sf_deep, site_score
 from ..operators import collapse, dedup, demux, filters, intervals, matrix, mutations, tracks
 from ..operators import pileup as P
@@ -858,9 +859,9 @@ def known_samples(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck(READS) + " SELECT qname, ord, CASE WHEN shape = 'D' THEN concat('8^A', CAST(len - 9 AS VARCHAR)) WHEN has_sub = 1 THEN concat('5A', CAST(len - 6 AS VARCHAR)) WHEN shape = 'N' THEN CAST(len - 4 AS VARCHAR) ELSE CAST(len AS VARCHAR) END AS md, CAST(CASE WHEN shape = 'D' OR has_sub = 1 THEN 1 ELSE 0 END AS INT) AS nm FROM reads")
 def recomputed_md(spark: SparkSession, d: str) -> DataFrame:
-    r = reads(spark, d).withColumnRenamed("ord", "copy").withColumn("ord", F.struct("qname", "copy"))
+    r = reads(spark, d)
     ref = r.groupBy(F.col("chrom").alias("name")).agg(F.max("end0").cast("int").alias("n")).select("name", F.expr("repeat('A', n)").alias("seq"))
-    return with_md(r, ref, 1000).select("qname", F.col("copy").alias("ord"), "md", "nm")
+    return with_md(r, ref, 1000).select("qname", "ord", "md", "nm")
 
 
 def _em(rounds: int, final: str) -> str:
@@ -910,6 +911,35 @@ def weighted_collapse(spark: SparkSession, d: str) -> DataFrame:
     return dedup.collapse_weighted(r)
 
 
+# --- the library's functions in SQL text ----------------------------------------------------------
+@query(duck(READS) + """ SELECT qname, ord, kind, s, e FROM (
+SELECT qname, ord, 'M' AS kind, start0 AS s, CASE shape WHEN 'D' THEN start0 + 8 WHEN 'N' THEN start0 + 6 ELSE end0 END AS e FROM reads
+UNION ALL SELECT qname, ord, 'M', CASE shape WHEN 'D' THEN start0 + 9 ELSE start0 + 10 END, end0 FROM reads WHERE shape <> 'M'
+UNION ALL SELECT qname, ord, 'D', start0 + 8, start0 + 9 FROM reads WHERE shape = 'D')""")
+def sql_cigar_blocks(spark: SparkSession, d: str) -> DataFrame:
+    register(spark)
+    return spark.sql("SELECT qname, ord, b.kind, b.s, b.e FROM {r} r, LATERAL cigar_blocks(r.start0, r.cigar) b", r=reads(spark, d))
+
+
+@query(duck(READS, KEPT, PILE) + """, total AS (SELECT sample, sum(deletions) / sum(coverage) AS rate FROM pile GROUP BY sample),
+test AS (SELECT sample, chrom, strand, pos, coverage AS n, deletions AS k, rate AS p FROM pile JOIN total USING (sample) WHERE deletions > 0 AND coverage >= 5)
+SELECT sample, chrom, strand, pos, round(-log10(CASE WHEN k = 0 THEN 1 ELSE (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p) + (n - i) * ln(1 - p))) FROM (SELECT unnest(range(k, n + 1)) AS i)) END), 4) AS logp FROM test""")
+def sql_deletion_tails(spark: SparkSession, d: str) -> DataFrame:
+    """A site test in SQL text: tails of deletions against the rate of the sample."""
+    register(spark)
+    return spark.sql(
+        """WITH total AS (SELECT sample, sum(deletions) / sum(coverage) AS rate FROM {p} GROUP BY sample)
+        SELECT sample, chrom, strand, pos, round(-log10(binom_sf(deletions, coverage, rate)), 4) AS logp FROM {p} JOIN total USING (sample) WHERE deletions > 0 AND coverage >= 5""",
+        p=_pile(spark, d),
+    )
+
+
+@query(duck(FASTQ) + " SELECT name, hamming(substr(seq, 1, 4), substr(seq, 3, 4)) AS distance FROM fastq WHERE hamming(substr(seq, 1, 4), substr(seq, 3, 4)) <= 3")
+def sql_hamming(spark: SparkSession, d: str) -> DataFrame:
+    register(spark)
+    return spark.sql("SELECT * FROM (SELECT name, hamming(substr(seq, 1, 4), substr(seq, 3, 4)) AS distance FROM {f}) WHERE distance <= 3", f=fastq(spark, d))
+
+
 # --- sets, groups, streams ------------------------------------------------------------------------
 @query(duck(READS) + " SELECT chrom, strand, count(*) AS n, count(DISTINCT sample) AS n_samples FROM (SELECT chrom, strand, sample FROM reads WHERE sample = 'A' UNION ALL SELECT chrom, strand, sample FROM reads WHERE sample <> 'A') GROUP BY ALL")
 def aggregate_union(spark: SparkSession, d: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -57,7 +57,7 @@ def first_reads(reads: DataFrame, n: int) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(name, seq) of a small FASTA file, sequences over several lines joined."""
+    """(name, seq) of a small FASTA file, sequences over several lines joined; genomes: ``read_fasta_slices``."""
     t = numbered_lines(spark, path).where(F.length("value") > 0)
     w = Window.partitionBy("path").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("k", F.sum(F.col("value").startswith(">").cast("int")).over(w))
@@ -66,6 +66,70 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return t.groupBy("path", "k").agg(name.alias("name"), seq.alias("seq")).select("name", "seq")
 
 
+def read_fasta_slices(spark: SparkSession, path: str, size: int = 100_000) -> DataFrame:
+    """(name, slice, bases): sequences of any length in slices of ``size`` bases, the last one shorter.
+
+    The name is the first word of a header. Files are split: a task counts bases from the headers that it
+    meets, and one row for each split (its bases before the first header and after the last) tells the next
+    ones where they start. No row holds more than a slice, or what a batch of lines has of one sequence.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """(path, at, header number in the split, name or None, bases so far, joined lines) of consecutive lines."""
+        split, k, name, done = None, 0, None, 0
+        for b in batches:
+            parts: list[str] = []
+            for value, path, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                header = value.startswith(">")
+                if (path, at) != split or header:
+                    if split is not None:
+                        yield (*split, k, name, done, "".join(parts))
+                    parts = []
+                    k, name, done = (k + 1 if (path, at) == split else int(header)), None, 0
+                    if header:
+                        name = (value[1:].split() or [""])[0]
+                    split = (path, at)
+                if not header:
+                    parts.append(value.strip())
+            if split is not None and parts:
+                text = "".join(parts)
+                yield (*split, k, name, done, text)
+                done += len(text)
+        if split is not None:
+            yield (*split, k, name, done, "")
+
+    schema = pa.schema([("path", pa.string()), ("at", pa.int64()), ("k", pa.int64()), ("name", pa.string()), ("start", pa.int64()), ("bases", pa.string())])
+
+    def decode(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for r in runs(batches):
+                if whole:
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(r, schema.types)], schema=schema)
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (*r[:3], r[4] + len(r[5]))] + [pa.array([r[3]], pa.string())], names=["path", "at", "k", "bases", "name"])
+
+        return run
+
+    seen = lines.mapInArrow(decode(False), "path string, at long, k long, bases long, name string").groupBy("path", "at", "k").agg(F.max("bases").alias("bases"), F.max("name").alias("name"))
+    ends = seen.groupBy("path", "at").agg(F.max_by(F.struct("k", "bases", "name"), "k").alias("last"))
+    before = Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("headers", F.sum((F.col("last.k") > 0).cast("int")).over(Window.partitionBy("path").orderBy("at")))
+    since = Window.partitionBy("path", "headers").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    ends = ends.withColumn("bases", F.sum("last.bases").over(since))
+    carry = ends.select("path", "at", F.last("last.name", ignorenulls=True).over(before).alias("old"), F.lag("bases").over(Window.partitionBy("path").orderBy("at")).alias("base"))
+    pieces = lines.mapInArrow(decode(True), "path string, at long, k long, name string, start long, bases string").where(F.length("bases") > 0)
+    # one row a split: 128 MB of a file
+    pieces = pieces.join(carry, ["path", "at"])
+    first = F.col("k") == 0
+    pieces = pieces.select(F.when(first, F.col("old")).otherwise(F.col("name")).alias("name"), (F.col("start") + F.when(first, F.coalesce("base", F.lit(0))).otherwise(0)).alias("start"), "bases")
+    end = F.col("start") + F.length("bases")
+    dealt = pieces.where("name is not null").select("*", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((end - 1) / size))).alias("slice"))
+    low, high = F.greatest(F.col("start"), F.col("slice") * size), F.least(end, (F.col("slice") + 1) * size)
+    cut = dealt.select("name", "slice", low.alias("low"), F.substring("bases", (low - F.col("start") + 1).cast("int"), (high - low).cast("int")).alias("part"))
+    return cut.groupBy("name", "slice").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("low", "part"))), lambda x: x["part"]), "").alias("bases"))
+
+
 def sam_columns(rows: DataFrame) -> DataFrame:
     """Named columns of raw SAM fields f (array of strings), with sample and ord."""
     f = lambda i: F.get("f", F.lit(i))  # noqa: E731  header lines may still be here when a filter is pushed down

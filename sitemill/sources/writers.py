@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +25,35 @@ def write_fastq(reads: DataFrame, path: str, gzip: bool = False, by_sample: bool
     (w.partitionBy("sample") if by_sample else w).text(path)
 
 
+def file_digests(spark: SparkSession, path: str, ending: str = "", chunk: int = 8 << 20) -> DataFrame:
+    """(path, bytes, md5) of the files below a folder, each read as a stream, so of any size; a task takes a file at a time.
+
+    Paths that Spark knows and Arrow doesn't are read whole, up to Spark's 2 GB for one file.
+    """
+    try:
+        system, inner, prefix = bam.located(path)
+    except (pa.ArrowInvalid, OSError):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{ending}").load(path)
+        return files.select("path", F.col("length").alias("bytes"), F.md5("content").alias("md5"))
+    found = [f.path for f in system.get_file_info(fs.FileSelector(inner, recursive=True)) if f.type == fs.FileType.File and f.path.endswith(ending)]
+    names = spark.createDataFrame([(prefix + f,) for f in found], "path string")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                file, size = bam.open_file(name)
+                md5 = hashlib.md5(usedforsecurity=False)
+                while data := file.read(chunk):
+                    md5.update(data)
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64()), pa.array([md5.hexdigest()])], names=["path", "bytes", "md5"])
+
+    return names.repartition(max(1, len(found))).mapInArrow(digest, "path string, bytes long, md5 string")
+
+
 def deposit(reads: DataFrame, path: str) -> DataFrame:
     """Compressed reads by sample, and (path, md5) of the files written."""
     write_fastq(reads, path, gzip=True, by_sample=True)
-    files = reads.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("path", F.md5("content").alias("md5"))
+    return file_digests(reads.sparkSession, path, ".gz").select("path", "md5")
 
 
 def deposit_summary(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from sitemill import cli
 from sitemill.functions.alignment import md_tag, with_md
 from sitemill.operators import dedup
@@ -53,6 +55,26 @@ def test_md_tags(spark):
     assert got[0] == ("10", 0) and got[1] == ("3T4", 1) and got[3] == (None, None)
 
 
+def test_md_tags_from_slices_of_any_size(spark):
+    """Slices of any size give the tags of the whole reference; introns and repeated orders don't matter."""
+    r = random.Random(9)
+    seq = "".join(r.choice("ACGT") for _ in range(3000))
+    rows, want = [], {}
+    for i in range(60):
+        start, gap = r.randrange(2000), r.choice([0, 5, 700])
+        cigar = f"3S12M{gap}N10M2D4M" if gap else "20M1I5M"
+        spanned = seq[start : start + (28 + gap if gap else 25)]
+        read_seq = "".join(r.choice("ACGT") for _ in range(29)) if i % 3 else "TTT" + seq[start : start + 12] + seq[start + 12 + gap : start + 22 + gap] + seq[start + 24 + gap : start + 28 + gap]
+        rows.append(read(start, cigar, seq=read_seq, order=i % 7, name=f"r{i}"))
+        want[f"r{i}"] = md_tag(cigar, read_seq, spanned)
+    reads = spark.createDataFrame([*rows, read(10, "*", seq="ACG", order=0, name="none")], READ)
+    for size in (11, 64, 5000):
+        cuts = [("chr1", k, seq[k * size : (k + 1) * size]) for k in range(-(-len(seq) // size))]
+        slices = spark.createDataFrame(cuts, "name string, slice long, bases string")
+        got = {x["qname"]: (x["md"], x["nm"]) for x in with_md(reads, slices, size).collect()}
+        assert got == want | {"none": (None, None)}
+
+
 def test_weighted_collapse(spark):
     reads = [read(100, "30M", end=130, umi="AAA", name=f"r{i}#3#AAA", order=i) for i in range(2)]
     got = dedup.collapse_weighted(spark.createDataFrame(reads, READ)).collect()

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gzip
+import hashlib
 import io
+import random
 import struct
 import zlib
 
@@ -172,20 +174,37 @@ def test_event_windows_of_a_stream(spark, tmp_path):
     assert spark.table("w").agg(F.sum("n")).first()[0] == e.count()
 
 
-def test_inflate_is_linear_and_takes_plain_members():
-    import gzip
-    import struct
-    import zlib
-
-    from sitemill.sources.readers import _inflate
+@pytest.mark.parametrize("split", [40, 97, 1 << 20])
+def test_fasta_slices(spark, tmp_path, split):
+    """Slices of any size, however the files are split, over headers at the borders."""
+    r = random.Random(split)
+    want = {f"s{i}": "".join(r.choice("ACGTN") for _ in range(r.choice([0, 1, 9, 60, 333]))) for i in range(12)}
+    names = sorted(want)
+    for f, own in (("a.fa", names[:7]), ("b.fa", names[7:])):
+        text = "".join(f">{n} about it\n" + "".join(want[n][k : k + 10] + "\n" for k in range(0, len(want[n]), 10)) + ("\n" if n == "s3" else "") for n in own)
+        put(tmp_path / f, text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        for size in (1, 7, 100_000):
+            got = {}
+            for x in R.read_fasta_slices(spark, str(tmp_path / "*.fa"), size).collect():
+                got.setdefault(x["name"], {})[x["slice"]] = x["bases"]
+            assert {n: "".join(s[k] for k in sorted(s)) for n, s in got.items()} == {n: s for n, s in want.items() if s}
+            assert all(sorted(s) == list(range(len(s))) and all(len(b) == size for k, b in s.items() if k < len(s) - 1) for s in got.values())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
-    def member(data):
-        c = zlib.compressobj(1, zlib.DEFLATED, -15)
-        body = c.compress(data) + c.flush()
-        head = b"\x1f\x8b\x08\x04" + b"\0" * 5 + b"\xff" + struct.pack("<H", 6) + b"BC" + struct.pack("<HH", 2, len(body) + 25)
-        return head + body + struct.pack("<II", zlib.crc32(data), len(data))
 
-    parts = [bytes([i % 251]) * 60_000 for i in range(1500)]
-    blob = b"".join(map(member, parts)) + member(b"")
-    assert b"".join(_inflate(blob)) == b"".join(parts)
-    assert b"".join(_inflate(gzip.compress(b"abc") + gzip.compress(b"def"))) == b"abcdef" and list(_inflate(b"")) == []
+def test_digests_of_large_files(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    put(tmp_path / "d/small.gz", "abc")
+    put(tmp_path / "d/other.txt", "abc")
+    with open(tmp_path / "d/large.gz", "wb") as f:  # sparse: more than Spark reads as one value
+        f.truncate((1 << 31) + 5)
+    md5 = hashlib.md5()
+    for _ in range(1 << 11):
+        md5.update(bytes(1 << 20))
+    md5.update(bytes(5))
+    got = {r["path"].split("/")[-1]: (r["bytes"], r["md5"]) for r in W.file_digests(spark, str(tmp_path / "d"), ".gz").collect()}
+    assert got == {"small.gz": (3, hashlib.md5(b"abc").hexdigest()), "large.gz": ((1 << 31) + 5, md5.hexdigest())}
+    assert W.file_digests(spark, str(tmp_path / "d"), ".none").count() == 0
