@@ -33,6 +33,21 @@ def binom_sf(k: Column, n: Column, p: Column) -> Column:
     return F.when(k <= 0, 1.0).when((p <= 0) | (k > n), 0.0).when(p >= 1, 1.0).otherwise(F.least(F.exp(first + F.log(ratio)), F.lit(1.0)))
 
 
+def poisson_sf(k: Column, mean: Column) -> Column:
+    """P(X >= k) for a Poisson mean, by summing the nearer tail in the JVM; k <= 0 gives 1, a mean of zero 0."""
+    k, mean = k.cast("long"), mean.cast("double")
+
+    def add(acc: Column, i: Column) -> Column:
+        term = acc["term"] * mean / i
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    log_first = F.aggregate(F.sequence(F.lit(1).cast("long"), k), F.lit(0.0), lambda s, i: s + F.log(mean / i)) - mean
+    ratio = F.aggregate(F.sequence(k + 1, k + 100), F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")), add, lambda acc: acc["total"])
+    below = F.aggregate(F.sequence(F.lit(1).cast("long"), k), F.struct(F.exp(-mean).alias("term"), F.lit(0.0).alias("total")), lambda acc, i: F.struct((acc["term"] * mean / i).alias("term"), (acc["total"] + acc["term"]).alias("total")), lambda acc: acc["total"])
+    tail = F.when(k > mean, F.exp(log_first + F.log(ratio))).otherwise(F.greatest(1 - below, F.lit(0.0)))
+    return F.when(k <= 0, 1.0).when(mean <= 0, 0.0).otherwise(F.least(tail, F.lit(1.0)))
+
+
 def _beta_fraction(a: float, b: float, x: float) -> float:
     """Continued fraction of the incomplete beta function (Lentz)."""
     tiny, c, d = 1e-300, 1.0, 1.0 - (a + b) * x / (a + 1)

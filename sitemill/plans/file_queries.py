@@ -137,10 +137,10 @@ def bam_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return R.read_bam(spark, _bam_files(spark, d), split_bytes=200_000).select(*ALIGNED, "sample", F.array_join("tags", " ").alias("tags"))
 
 
-@query(duck(READS) + " SELECT qname, sample, chrom, start0, end0, cigar FROM reads WHERE chrom = 'chr2' AND start0 < 9000 AND end0 > 4000")
+@query(duck(READS) + " SELECT qname, sample, chrom, start0, end0, cigar FROM reads WHERE chrom = 'chr2' AND start0 < 9000 AND end0 > 400")
 def bam_region(spark: SparkSession, d: str) -> DataFrame:
     """A region, of which the index names the blocks."""
-    return R.read_bam(spark, _bam_files(spark, d), "chr2", 4000, 9000, split_bytes=50_000).select("qname", "sample", "chrom", "start0", "end0", "cigar")
+    return R.read_bam(spark, _bam_files(spark, d), "chr2", 400, 9000, split_bytes=50_000).select("qname", "sample", "chrom", "start0", "end0", "cigar")
 
 
 @query(duck(READS) + " SELECT chrom, max(end0) AS length FROM reads GROUP BY chrom")

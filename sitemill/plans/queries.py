@@ -13,6 +13,7 @@ from ..functions.lineage import settled
 from ..functions.sql import register
 from ..functions.stats import binom_sf, binom_sf_deep, site_score
 from ..operators import collapse, dedup, demux, filters, intervals, matrix, mutations, tracks
+from ..operators import peaks as peaking
 from ..operators import pileup as P
 from ..streaming.batches import windowed_counts
 from . import prep, sites, tags
@@ -724,6 +725,51 @@ def grouped_peaks(spark: SparkSession, d: str) -> DataFrame:
     return matrix.call_peaks(r, pvalue=0.01, by=["grp"]).withColumn("logp", _log("pvalue")).drop("pvalue")
 
 
+def _ranked(by: str, source: str, rounds: int = 14) -> str:
+    """Greedy peaks in so many rounds, more than any table here needs, and the threshold of each ``by``."""
+    keys, own = f"{by}chrom, strand", by.rstrip(", ")
+    near = f"OVER (PARTITION BY {keys} ORDER BY pos RANGE BETWEEN 50 PRECEDING AND 50 FOLLOWING)"
+    steps = [
+        f"tag AS (SELECT {keys}, (start0 + end0) // 2 AS pos, count(*) AS tags FROM {source} GROUP BY ALL)",
+        f"st0 AS (SELECT {keys}, pos, CAST(sum(tags) OVER (PARTITION BY {keys} ORDER BY pos RANGE BETWEEN 10 PRECEDING AND 10 FOLLOWING) AS BIGINT) AS n, CAST(sum(tags) OVER (PARTITION BY {keys} ORDER BY pos RANGE BETWEEN 500 PRECEDING AND 500 FOLLOWING) AS BIGINT) AS around FROM tag)",
+    ]
+    for k in range(1, rounds + 1):
+        steps.append(f"nw{k} AS (SELECT *, max(n * 1000000000 - pos) {near} = n * 1000000000 - pos AS taken FROM st{k - 1})")
+        steps.append(f"hit{k} AS (SELECT *, bool_or(taken) {near} AS near FROM nw{k})")
+        steps.append(f"st{k} AS (SELECT {keys}, pos, n, around FROM hit{k} WHERE NOT near)")
+    steps.append("found AS (" + " UNION ALL ".join(f"SELECT {keys}, pos, n, around FROM hit{k} WHERE taken" for k in range(1, rounds + 1)) + ")")
+    steps.append(f"total AS (SELECT {by}count(*) AS tags, (SELECT 2.0 * sum(x) FROM (SELECT max(end0) AS x FROM reads GROUP BY chrom)) AS genome FROM {source} {'GROUP BY ' + own if own else ''})")
+    steps.append(f"seen AS (SELECT *, sum(peaks) OVER ({'PARTITION BY ' + own if own else ''} ORDER BY n DESC) AS observed, tags * 21 / genome AS mean FROM (SELECT {by}n, count(*) AS peaks FROM found GROUP BY ALL) JOIN total {'USING (' + own + ')' if own else 'ON true'})")
+    tail = "CASE WHEN n > mean THEN list_sum(list_transform(range(0, 101), lambda j: exp((n + j) * ln(mean) - mean - lgamma(n + j + 1)))) ELSE 1 - list_sum(list_transform(range(0, n), lambda j: exp(j * ln(mean) - mean - lgamma(j + 1)))) END"
+    steps.append(f"rated AS (SELECT *, genome / 21 * least({tail}, 1) / observed AS rate FROM seen)")
+    steps.append(f"cut AS (SELECT {by}min(n) AS least FROM rated WHERE rate <= 0.5 {'GROUP BY ' + own if own else ''})")
+    join = f"USING ({own})" if own else "ON true"
+    return ", ".join(steps) + (
+        f" SELECT {keys}, greatest(pos - 10, 0) AS start, greatest(pos - 10, 0) + 20 AS \"end\", n AS score, round(rate, 6) AS expected_rate "
+        f"FROM found JOIN cut {join} JOIN (SELECT {by}n, rate FROM rated) r USING ({by}n) WHERE n >= least AND n * 1000 >= 2.0 * around * 20"
+    )
+
+
+def _ranked_of(r: DataFrame, every: DataFrame, by: list[str] | None) -> DataFrame:
+    tags = r.withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
+    out = peaking.ranked_peaks(tags, every.groupBy("chrom").agg(F.max("end0").alias("length")), fdr=0.5, by=by)
+    return out.drop("name").withColumn("expected_rate", F.round("expected_rate", 6))
+
+
+@query(duck(READS, _ranked("", "reads")))
+def ranked_peaks(spark: SparkSession, d: str) -> DataFrame:
+    """Peaks of all reads, with one threshold."""
+    r = reads(spark, d)
+    return _ranked_of(r, r, None)
+
+
+@query(duck(READS, _ranked("sample, ", "reads")))
+def ranked_sample_peaks(spark: SparkSession, d: str) -> DataFrame:
+    """Peaks of each sample, with a threshold of its own."""
+    r = reads(spark, d)
+    return _ranked_of(r, r, ["sample"])
+
+
 @query(
     duck(
         READS,
