@@ -67,7 +67,7 @@ class Settings:
 
 
 #: Numbered folders of a run; tracks take one more when they are made.
-FOLDERS = ("reads", "alignments", "tags", "tracks", "pileups", "sites", "peaks", "matrix")
+FOLDERS = ("reads", "alignments", "tags", "tracks", "pileups", "sites", "peaks", "matrix", "tag_sites", "reports")
 
 
 def layout(root: str, with_tracks: bool = True) -> dict[str, str]:

@@ -142,6 +142,41 @@ def write_text(text: DataFrame, path: str, header: str | None = None) -> None:
     (with_header(text, header) if header else text).write.text(path)
 
 
+#: Headers of the tag-based tables, in the order of their columns.
+CITS_HEADER = "#chrom\tchromStart\tchromEnd\tname\tscore\tstrand"
+CIMS_HEADER = CITS_HEADER + "\tk\tm\tFDR"
+
+
+def write_truncation_table(sites: DataFrame, path: str) -> None:
+    """Tag-based truncation sites of one base, with a header, in order of place."""
+    write_text(bed_text(sites.orderBy("chrom", "start", "strand")), path, CITS_HEADER)
+
+
+def write_mutation_table(sites: DataFrame, path: str) -> None:
+    """Tag-based mutation sites with tags (k), mutations (m) and rate, by rising rate, falling m, rising k."""
+    cells = [F.col(c).cast("string") for c in ("chrom", "start", "end", "name", "score", "strand", "k", "m", "fdr")]
+    write_text(sites.orderBy("fdr", F.col("m").desc(), "k", "chrom", "start", "strand").select(F.concat_ws("\t", *cells).alias("value")), path, CIMS_HEADER)
+
+
+def write_flanked(sites: DataFrame, path: str) -> None:
+    """Flanked sites as BED without a header."""
+    write_text(bed_text(sites.orderBy("chrom", "start", "strand")), path)
+
+
+def write_repeat_tables(elements: DataFrame, families: DataFrame, path: str) -> None:
+    """Elements and families of repeats as tables with headers, rates to two decimals, families by falling reads; a folder for each sample."""
+    rpm = _number(F.col("rpm"), "%.2f").alias("rpm")
+    for r in elements.select("sample").distinct().orderBy("sample").collect():  # as many as there are samples
+        own = F.col("sample") == r["sample"]
+        write_tsv(elements.where(own).orderBy("element").select("element", "class", "family", "raw_reads", rpm), f"{path}/{r['sample']}/repeat_elements")
+        write_tsv(families.where(own).orderBy(F.col("raw_reads").desc(), "family").select("class", "family", "raw_reads", rpm), f"{path}/{r['sample']}/repeat_families")
+
+
+def write_by_sample(text: DataFrame, path: str, *by: str) -> None:
+    """Lines (value) in a folder for each sample, and for each of ``by`` below it."""
+    text.write.partitionBy("sample", *by).text(path)
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.option("sep", "\t").option("header", "true").csv(path)
 
