@@ -49,6 +49,24 @@ def cigar_blocks(cigar: Column, start0: Column) -> Column:
     return F.aggregate(ops, F.struct(start0.cast("long").alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
 
 
+def cigar_insertions(cigar: Column, start0: Column) -> Column:
+    """array<struct<pos, q, n>>: inserted bases of a read: the reference base behind them, their place in the read, their number."""
+    ops = F.regexp_extract_all(cigar, F.lit(r"(\d+[MIDNSHP=X])"), 1)
+
+    def step(acc: Column, op: Column) -> Column:
+        n, kind = op.substr(F.lit(1), F.length(op) - 1).cast("long"), F.right(op, F.lit(1))
+        found = F.array(F.struct(acc["at"].alias("pos"), acc["q"].alias("q"), n.alias("n")))
+        return F.struct(
+            F.when(kind.isin("M", "=", "X", "D", "N"), acc["at"] + n).otherwise(acc["at"]).alias("at"),
+            F.when(kind.isin("M", "=", "X", "I", "S"), acc["q"] + n).otherwise(acc["q"]).alias("q"),
+            F.when(kind == "I", F.concat(acc["out"], found)).otherwise(acc["out"]).alias("out"),
+        )
+
+    empty = F.array().cast("array<struct<pos:bigint,q:bigint,n:bigint>>")
+    zero = F.lit(0).cast("long")
+    return F.aggregate(ops, F.struct(start0.cast("long").alias("at"), zero.alias("q"), empty.alias("out")), step, lambda acc: acc["out"])
+
+
 def reference_length(cigar: Column) -> Column:
     """Reference bases that a CIGAR spans."""
     return F.aggregate(F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), 1), F.lit(0).cast("long"), lambda n, x: n + x.cast("long"))

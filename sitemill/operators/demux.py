@@ -107,14 +107,15 @@ def divert_repeats(reads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return reads.where(mapped), reads.where(~mapped)
 
 
-def check_eclip(reads: DataFrame, mode: str, header: str = "header", order: str = "ord", probe: int = 1000) -> DataFrame:
+def check_eclip(reads: DataFrame, mode: str, header: str = "header", order: str = "ord", probe: int = 1000, umi_length: int | None = None) -> DataFrame:
     """Whether a file's headers fit paired (``pe``) or single (``se``) eCLIP input, as one row.
 
     (mate, umi_location, umi_length, verdict). The mate is the one that 95 % of the first headers
     name, else unknown. The first header tells where the UMI is: five to ten bases before a colon,
     the same after a last underscore, or in the sequence (length zero for these two). Paired input
     is read 2 with a colon UMI, single input read 1 with the UMI in the sequence; the verdict is
-    ``ok`` or what is wrong. No reads: an unknown mate.
+    ``ok`` or what is wrong. No reads: an unknown mate. With a given ``umi_length``, a column warning says
+    if the headers have another one, which is then the one to use; else it is null.
     """
     if mode not in ("pe", "se"):
         raise ValueError(f"mode {mode}: pe or se")
@@ -126,6 +127,9 @@ def check_eclip(reads: DataFrame, mode: str, header: str = "header", order: str
     facts = facts.select("mate", place.alias("umi_location"), F.coalesce(colon, F.lit(0)).alias("umi_length"))
     mate, where = ("R2", "header_colon") if mode == "pe" else ("R1", "sequence")
     wrong = F.when(F.col("mate") == "unknown", "no mate in the headers").when(F.col("mate") != mate, F.concat(F.lit(f"{mode} input is {mate}, not "), "mate"))
+    if umi_length is not None:
+        other = (F.col("umi_length") > 0) & (F.col("umi_length") != umi_length)
+        facts = facts.withColumn("warning", F.when(other, F.concat(F.lit(f"UMI of {umi_length} given, of "), F.col("umi_length").cast("string"), F.lit(" in the headers"))))
     return facts.withColumn("verdict", wrong.when(F.col("umi_location") != where, F.concat(F.lit(f"{mode} input has the UMI in {where}, not in "), "umi_location")).otherwise("ok"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.alignment import cigar_blocks, has_deletion, substitutions, truncation_site
+from ..functions.alignment import cigar_blocks, cigar_insertions, complement, has_deletion, substitutions, truncation_site
 from .intervals import gap_cluster_chunked
 from .pileup import site_pvalues
 
@@ -34,16 +34,22 @@ def parse_alignments(reads: DataFrame, min_mapq: int = 1, min_length: int = 16)
 
 
 def mutation_list(reads: DataFrame, min_mapq: int = 1, min_length: int = 16) -> DataFrame:
-    """(sample, qname, chrom, strand, pos, mut_type, ref, alt): substituted and deleted bases of the reads that parse_alignments takes.
+    """(sample, qname, chrom, strand, pos, mut_type, ref, alt): what differs in the reads that parse_alignments takes.
 
-    Bases are those of the read's strand, null for deletions, which have a row a base. Insertions are not listed.
+    Bases are those of the read's strand: substitutions (``sub``) have both, deletions (``del``) a row a base
+    and none, insertions (``ins``) one row with the inserted bases, at the reference base that follows them
+    on the forward strand.
     """
     keys = ("sample", "qname", "chrom", "strand")
     kept = reads.where((F.col("mapq") >= min_mapq) & (F.length("seq") >= min_length))
     subs = substitutions(kept, keys).select(*keys, "pos", F.lit("sub").alias("mut_type"), "ref", "alt")
     gone = kept.where(has_deletion(F.col("cigar"))).select(*keys, F.inline(cigar_blocks(F.col("cigar"), F.col("start0")))).where("kind = 'D'")
     dels = gone.select(*keys, F.explode(F.sequence("s", F.col("e") - 1)).alias("pos"), F.lit("del").alias("mut_type"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("string").alias("alt"))
-    return subs.unionByName(dels)
+    more = kept.where(F.col("cigar").contains("I")).select(*keys, "seq", F.inline(cigar_insertions(F.col("cigar"), F.col("start0"))))
+    bases = F.substring(F.col("seq"), (F.col("q") + 1).cast("int"), F.col("n").cast("int"))
+    bases = F.when(F.col("strand") == "-", complement(F.reverse(bases))).otherwise(bases)
+    extra = more.select(*keys, "pos", F.lit("ins").alias("mut_type"), F.lit(None).cast("string").alias("ref"), bases.alias("alt"))
+    return subs.unionByName(dels).unionByName(extra)
 
 
 def permuted_mutations(tags: DataFrame, mutations: DataFrame, iterations: int = 5, seed: int = 1) -> DataFrame:

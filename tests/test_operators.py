@@ -305,3 +305,18 @@ def test_analysis_of_a_batch(spark):
     pooled = sites.analyse(df, spark.createDataFrame([("a", "g"), ("b", "g")], "sample string, grp string"), no_subs=True)
     assert {x["sample"] for x in pooled["truncations"].collect()} == {"g"}
     assert out["crosslinks"].where("start = 999").first()["score"] >= 40
+
+
+def test_insertions_of_reads(spark):
+    reads = [read(100, "5M2I10M3D4M1I2M", seq="AAAAACGAAAAAAAAAAAAAATAA", name="f", md="15^AAA6"), read(50, "2S8M3I9M", strand="-", seq="TTAAAAAAAAACGAAAAAAAAA", name="r", md="17"), read(70, "20M", name="n", md="20", seq="A" * 20)]
+    got = mutations.mutation_list(spark.createDataFrame(reads, READ))
+    rows = sorted((r["qname"], r["pos"], r["alt"]) for r in got.where("mut_type = 'ins'").collect())
+    assert rows == [("f", 105, "CG"), ("f", 122, "T"), ("r", 58, "CGT")]
+    assert sorted(r["pos"] for r in got.where("mut_type = 'del'").collect()) == [115, 116, 117]
+
+
+def test_umi_length_of_headers_against_a_given_one(spark):
+    heads = spark.createDataFrame([(f"ACGTAC:r{i} 2:N:0", i) for i in range(5)], "header string, ord long")
+    assert demux.check_eclip(heads, "pe", umi_length=10).first()["warning"] == "UMI of 10 given, of 6 in the headers"
+    assert demux.check_eclip(heads, "pe", umi_length=6).first()["warning"] is None
+    assert "warning" not in demux.check_eclip(heads, "pe").columns
