@@ -22,8 +22,8 @@ RECALL, PROBES = 0.99, 1000
 VECTORS_PER_PIVOT, PIVOTS = 400, (64, 2048)
 #: Members of an inverted list that are compared in one task; longer lists are dealt in blocks.
 BLOCK = 4096
-#: Candidates whose cosines are computed at once.
-VERIFIED_AT_ONCE = 20_000
+#: Candidates whose cosines are computed at once; the share of pairs from which all cosines are cheaper.
+VERIFIED_AT_ONCE, DENSE = 20_000, 16
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -81,8 +81,9 @@ def reference_points(some: np.ndarray, n: int, cosine: float, prefix: int, share
 def links_in_list(pivot: int, x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray, same: bool, cosine: float, shared: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i of x, j of y) of one inverted list that link, a few hundred rows at a time.
 
-    Candidates share ``shared`` pivots at least, counted by a product of membership matrices. Only
-    candidates are gathered and verified by their cosine. A pair that several lists hold is reported
+    Candidates share ``shared`` pivots at least, counted by a product of membership matrices. Where
+    they are few, only they are gathered and verified by their cosine; where more than one pair in
+    ``DENSE`` is a candidate, one product of the rows is cheaper than gathering. A pair that several lists hold is reported
     in the list of its smallest shared pivot only.
     """
     ids = np.unique(np.r_[px.ravel(), py.ravel()])
@@ -93,14 +94,19 @@ def links_in_list(pivot: int, x: np.ndarray, y: np.ndarray, px: np.ndarray, py:
     my = member(py).T
     for at in range(0, len(x), step):
         mx = member(px[at : at + step])
-        i, j = np.nonzero(mx @ my >= shared)
+        hit = mx @ my >= shared
+        dense = DENSE * int(hit.sum()) > hit.size
+        if dense:
+            hit &= x[at : at + step] @ y.T >= cosine
+        i, j = np.nonzero(hit)
         if same:
             above = i + at < j
             i, j = i[above], j[above]
         for k in range(0, len(i), VERIFIED_AT_ONCE):
             a, b = i[k : k + VERIFIED_AT_ONCE], j[k : k + VERIFIED_AT_ONCE]
-            near = np.einsum("ij,ij->i", x[a + at], y[b]) >= cosine
-            a, b = a[near], b[near]
+            if not dense:
+                near = np.einsum("ij,ij->i", x[a + at], y[b]) >= cosine
+                a, b = a[near], b[near]
             if len(a):
                 own = ids[((mx[a] > 0) & (my.T[b] > 0)).argmax(1)] == pivot
                 yield a[own] + at, b[own]

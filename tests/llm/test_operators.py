@@ -848,3 +848,18 @@ def test_packing_dominance():
     counts = np.bincount([9, 5, 4, 4, 3, 1], minlength=11)
     assert packing.all_fillings(counts, 10) == [(9, 1)]  # 5, 4 and 1 fit in 9 and 1, as does every other set
     assert (6, 3) in packing.all_fillings(np.bincount([7, 6, 3], minlength=10), 9)
+
+
+@pytest.mark.parametrize("dense", [0, 10**9])
+def test_links_of_a_list_either_way(monkeypatch, dense):
+    """Few candidates are gathered, many are multiplied out: the same links."""
+    monkeypatch.setattr(vector_dedup, "DENSE", dense)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((60, 8))
+    x[30:] = x[:30] + 0.1 * rng.standard_normal((30, 8))
+    p = np.array([rng.choice(9, 4, replace=False) for _ in range(60)], "i2")
+    p[:, 0] = 3
+    got = {(int(a), int(b)) for i, j in vector_dedup.links_in_list(3, x, x, p, p, True, 0.9, 2) for a, b in zip(i, j, strict=True)}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    both = lambda a, b: set(p[a]) & set(p[b])
+    assert got == {(a, b) for a in range(60) for b in range(a + 1, 60) if u[a] @ u[b] >= 0.9 and len(both(a, b)) >= 2 and min(both(a, b)) == 3}
