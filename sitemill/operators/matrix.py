@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import gap_cluster_chunked, overlap_counts, overlap_values
+from ..functions.lineage import settled
+from .intervals import join_null_safe, local_runs, overlap_counts, overlap_values, run_edges, with_run_edges
 
 STRANDED = ["chrom", "strand"]
 BASE = ["peak_id", "chrom", "start", "end", "name", "score", "strand"]
@@ -106,12 +107,26 @@ def valley_peaks(track: DataFrame, gap: int = 50, valley: float = 0.9, by: list[
     With ``by`` (a sample or group column), each of its values has its own peaks.
     """
     keys = [*(by or []), *STRANDED]
-    runs = gap_cluster_chunked(track.withColumn("pos", F.col("start")), keys, "pos", gap, name="run")
-    w = Window.partitionBy(*keys, "run").orderBy("start")
-    left, right = F.max("value").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.max("value").over(w.rowsBetween(0, Window.unboundedFollowing))
-    low = F.col("value") < (1 - valley) * F.least(left, right)
-    marked = runs.withColumn("low", low)
-    part = F.sum(F.when(F.col("low"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    kept = marked.withColumn("part", part).where(~F.col("low"))
-    out = kept.groupBy(*keys, "run", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("value").alias("score"), F.max_by("start", F.struct("value", -F.col("start"))).alias("top"))
-    return out.drop("run", "part")
+    row, joins = F.struct("start", "end", "value"), lambda a, b: b["start"] - a["start"] <= gap
+    c = local_runs(track.select(*keys, "start", "end", "value"), keys, "start", row, joins)
+    edges = run_edges(c, keys, "start", row, joins, {"top": F.max("value")})
+    whole = Window.partitionBy(*keys, "__run")
+    before, after = (whole.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col("__lo"), F.col("__lo").desc()))
+    edges = edges.withColumn("__left", F.max("top").over(before)).withColumn("__right", F.max("top").over(after))
+    part = Window.partitionBy(*keys, "__chunk", "__lo")
+    up, down = (part.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.col("start"), F.col("start").desc()))
+    # tops from both ends inward: a frame up to the end of the run would be summed anew for each row
+    marked = with_run_edges(c, edges, keys, __run=F.col("__lo"), __left=F.lit(None), __right=F.lit(None))
+    marked = marked.withColumn("__right", F.greatest("__right", F.max("value").over(down))).withColumn("__left", F.greatest("__left", F.max("value").over(up)))
+    marked = marked.withColumn("low", F.col("value") < (1 - valley) * F.least("__left", "__right"))
+    marked = marked.withColumn("part", F.max(F.when(F.col("low"), F.col("start"))).over(up))
+    pieces = settled(
+        marked.groupBy(*keys, "__run", "__chunk", "part", "low").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.struct("value", (-F.col("start")).alias("at"))).alias("top"))
+    )
+    # a chunk's rows before its first low belong to the part that the last low of the chunks before began
+    lows = pieces.groupBy(*keys, "__run", "__chunk").agg(F.max("part").alias("__last"))
+    earlier = whole.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    lows = lows.select(*keys, "__run", "__chunk", F.max("__last").over(earlier).alias("__from"))
+    kept = join_null_safe(pieces.where(~F.col("low")), lows, [*keys, "__run", "__chunk"]).withColumn("part", F.coalesce("part", "__from"))
+    out = kept.groupBy(*keys, "__run", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("top").alias("top"))
+    return out.select(*keys, "start", "end", F.col("top.value").alias("score"), (-F.col("top.at")).alias("top"))
