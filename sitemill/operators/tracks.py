@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.alignment import UNMAPPED, crosslink_base, has_junction
+from ..functions.lineage import counted
 from ..functions.stats import truncate6
 from .intervals import depth_track, mean_track
 
@@ -25,7 +26,7 @@ def rpm_track(reads: DataFrame, scales: DataFrame) -> DataFrame:
     """Reads-per-million steps of each sample and strand; reads over a junction are left out, deletions count."""
     plain = reads.where((F.col("flag").bitwiseAND(UNMAPPED) == 0) & ~has_junction(F.col("cigar")))
     steps = depth_track(plain.select(*KEYS, F.col("start0").alias("start"), F.col("end0").alias("end")), KEYS)
-    return steps.join(scales.select("sample", "scale"), "sample").withColumn("value", F.col("value") * F.col("scale")).drop("scale")
+    return steps.join(counted(scales.select("sample", "scale")), "sample").withColumn("value", F.col("value") * F.col("scale")).drop("scale")
 
 
 def crosslink_track(reads: DataFrame, start: str = "start0", end: str = "end0") -> DataFrame:
@@ -36,6 +37,6 @@ def crosslink_track(reads: DataFrame, start: str = "start0", end: str = "end0")
 
 def group_track(tracks: DataFrame, groups: DataFrame) -> DataFrame:
     """Average track of each group: the sum over the number of its samples that have a track."""
-    own = tracks.join(groups.select("sample", "grp").distinct(), "sample")
-    n = own.groupBy("grp").agg(F.countDistinct("sample").alias("n_samples"))
-    return mean_track(own.join(n, "grp"), ["grp", "strand", "chrom"], "n_samples").drop("n_samples")
+    members = counted(groups.select("sample", "grp").distinct().join(counted(tracks.select("sample").distinct()), "sample"))
+    n = members.groupBy("grp").agg(F.countDistinct("sample").alias("n_samples"))
+    return mean_track(tracks.join(counted(members.join(n, "grp")), "sample"), ["grp", "strand", "chrom"], "n_samples").drop("n_samples")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions.alignment import cigar_blocks, with_md
-from ..functions.lineage import settled
 from ..functions.sql import register
 from ..functions.stats import binom_sf, binom_sf_deep, site_score
 from ..operators import collapse, dedup, demux, filters, intervals, matrix, mutations, tracks
@@ -166,13 +165,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def _pile(spark: SparkSession, d: str) -> DataFrame:
-    return P.pileup(filters.pileup_reads(reads(spark, d)))
-
-
-def _stored_pile(spark: SparkSession, d: str) -> DataFrame:
-    """For site tests, which read it for the background, the clusters and the tests."""
-    return settled(_pile(spark, d))
+def _pile(spark: SparkSession, d: str, chunks: bool = False) -> DataFrame:
+    return P.pileup(filters.pileup_reads(reads(spark, d)), chunks=chunks)
 
 
 def _subs(spark: SparkSession, d: str) -> DataFrame:
@@ -265,12 +259,12 @@ def background_lambda(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck(READS, KEPT, PILE, SUBS, SUBLAM) + " SELECT sample, sub_type, round(lam, 9) AS lambda FROM lam")
 def background_lambda_by_type(spark: SparkSession, d: str) -> DataFrame:
-    return sites.substitution_background(_stored_pile(spark, d), _subs(spark, d)).select("sample", "sub_type", F.round("lambda", 9).alias("lambda"))
+    return sites.substitution_background(_pile(spark, d), _subs(spark, d)).select("sample", "sub_type", F.round("lambda", 9).alias("lambda"))
 
 
 @query(duck(READS, KEPT, PILE, CLUSTERS) + " SELECT sample, chrom, strand, pos, cluster FROM clusters")
 def gap_clusters(spark: SparkSession, d: str) -> DataFrame:
-    return intervals.gap_cluster(_pile(spark, d), P.KEYS).select(*P.KEYS, "pos", F.col("cluster").cast("long").alias("cluster"))
+    return intervals.gap_cluster(_pile(spark, d, True), P.KEYS, chunk=intervals.CHUNK).select(*P.KEYS, "pos", F.col("cluster").cast("long").alias("cluster"))
 
 
 @query(duck(READS, KEPT, PILE, CLUSTERS) + " SELECT sample, chrom, strand, pos, min(pos) OVER (PARTITION BY sample, chrom, strand, cluster) AS cluster FROM clusters")
@@ -286,7 +280,7 @@ def event_gap_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck(READS, KEPT, PILE, CLUSTERS) + " SELECT sample, chrom, strand, pos, round(local_rate, 9) AS local_rate FROM rated")
 def local_cluster_rate(spark: SparkSession, d: str) -> DataFrame:
-    return P.cluster_rates(_pile(spark, d)).select(*P.KEYS, "pos", F.round("local_rate", 9).alias("local_rate"))
+    return P.cluster_rates(_pile(spark, d, True)).select(*P.KEYS, "pos", F.round("local_rate", 9).alias("local_rate"))
 
 
 TAIL = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, k, n, round(-log10(least(1.0, list_sum(list_transform(range(k, n + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p) + (n - i) * ln(1 - p)))))), 4) AS logp FROM (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_linenumber AS k, l_linenumber + CAST(l_quantity AS BIGINT) AS n, 0.01 + l_discount / 2 AS p FROM lineitem)"
@@ -314,7 +308,7 @@ SITE_STATS = "round(-log10(pvalue), 4) AS logp, round(qvalue, 6) AS qvalue"
 
 @query(duck(READS, KEPT, PILE, CITS) + f" SELECT {SITE}, clean_truncations, {SITE_STATS} FROM cits")
 def bh_qvalue(spark: SparkSession, d: str) -> DataFrame:
-    t = P.test_sites(P.cluster_rates(_pile(spark, d)), "clean_truncations", "local_rate")
+    t = P.test_sites(P.cluster_rates(_pile(spark, d, True)), "clean_truncations", "local_rate")
     return t.select(*P.KEYS, "pos", "coverage", "clean_truncations", _log("pvalue").alias("logp"), F.round("qvalue", 6).alias("qvalue"))
 
 
@@ -329,19 +323,19 @@ def bh_qvalue_ranged(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck(READS, KEPT, PILE, CITS) + f" SELECT {SITE}, clean_truncations AS signal, round(fraction, 6) AS fraction, {SITE_STATS}, CAST(least(floor(-log10(greatest(qvalue, 1e-300)) * 100), 1000) AS BIGINT) AS score FROM (SELECT *, clean_truncations / coverage AS fraction FROM cits) WHERE qvalue <= 0.05")
 def cits_sites(spark: SparkSession, d: str) -> DataFrame:
-    t = sites.truncation_sites(_stored_pile(spark, d))
+    t = sites.truncation_sites(_pile(spark, d, True))
     return t.select(*P.KEYS, "pos", "coverage", "signal", F.round("fraction", 6).alias("fraction"), _log("pvalue").alias("logp"), F.round("qvalue", 6).alias("qvalue"), site_score(F.col("qvalue")).alias("score"))
 
 
 @query(duck(READS, KEPT, PILE, DELS) + f" SELECT {SITE}, deletions, {SITE_STATS} FROM dels WHERE qvalue <= 0.05")
 def cims_deletions(spark: SparkSession, d: str) -> DataFrame:
-    t = sites.deletion_sites(_stored_pile(spark, d))
+    t = sites.deletion_sites(_pile(spark, d))
     return t.select(*P.KEYS, "pos", "coverage", "deletions", _log("pvalue").alias("logp"), F.round("qvalue", 6).alias("qvalue"))
 
 
 @query(duck(READS, KEPT, PILE, SUBS, SUBSITES) + f" SELECT {SITE}, sub_type, CAST(n AS BIGINT) AS n, {SITE_STATS} FROM hits WHERE qvalue <= 0.05")
 def cims_substitutions(spark: SparkSession, d: str) -> DataFrame:
-    t = sites.substitution_sites(_stored_pile(spark, d), _subs(spark, d))
+    t = sites.substitution_sites(_pile(spark, d), _subs(spark, d))
     return t.select(*P.KEYS, "pos", "coverage", "sub_type", "n", _log("pvalue").alias("logp"), F.round("qvalue", 6).alias("qvalue"))
 
 
@@ -350,7 +344,7 @@ def cims_substitutions(spark: SparkSession, d: str) -> DataFrame:
     + f" SELECT {SITE}, clean_truncations, {SITE_STATS} FROM tested WHERE qvalue <= 0.05"
 )
 def legacy_global_sites(spark: SparkSession, d: str) -> DataFrame:
-    t = sites.truncation_sites(_stored_pile(spark, d), rates="global")
+    t = sites.truncation_sites(_pile(spark, d), rates="global")
     return t.select(*P.KEYS, "pos", "coverage", "clean_truncations", _log("pvalue").alias("logp"), F.round("qvalue", 6).alias("qvalue"))
 
 

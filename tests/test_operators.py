@@ -361,3 +361,60 @@ def test_cluster_numbers_in_chunks(spark):
         c = intervals.gap_cluster_chunked(df.withColumn("n", F.col("pos") % 7), ["k"], chunk=chunk, sums=["n"])
         totals = c.groupBy("k", "cluster").agg(F.sum("n").alias("own"), F.min("sum_n").alias("a"), F.max("sum_n").alias("b")).collect()
         assert all(r["own"] == r["a"] == r["b"] for r in totals)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString().split("== Physical Plan ==")[-1]
+
+
+def test_positions_of_a_pileup_are_not_shuffled(spark):
+    plan = _plan(P.pileup(spark.createDataFrame([read(100, "10M2D5M", order=1)], READ)))
+    assert 0 <= plan.index("explode(sequence") < plan.index("Exchange")
+
+
+def test_pileup_over_a_chunk_end(spark):
+    end = intervals.CHUNK
+    rows = [read(end - 5, "10M"), read(end - 5, "4M2D6M", strand="-", end=end + 7), read(end, "3M"), read(end - 3, "3M", strand="-", end=end), read(0, "2M")]
+    got = {(r["strand"], r["pos"]): (r["coverage"], r["truncations"], r["clean_truncations"], r["deletions"]) for r in P.pileup(spark.createDataFrame(rows, READ)).collect()}
+    plus = {("+", p): [0, 0, 0, 0] for p in [0, 1, *range(end - 6, end + 5)]}
+    minus = {("-", p): [0, 0, 0, 0] for p in range(end - 5, end + 8)}
+    for s, e in ((end - 5, end + 5), (end, end + 3), (0, 2)):
+        for p in range(s, e):
+            plus["+", p][0] += 1
+    for p in (end - 6, end - 1):
+        plus["+", p] = [plus["+", p][0] + 1, 1, 1, 0]
+    for p in [*range(end - 5, end - 1), *range(end + 1, end + 7), *range(end - 3, end)]:
+        minus["-", p][0] += 1
+    minus["-", end - 1][3] = minus["-", end][3] = 1
+    minus["-", end + 7] = [1, 1, 0, 0]
+    minus["-", end] = [1, 1, 1, 1]
+    assert got == {k: tuple(v) for k, v in (plus | minus).items()}
+
+
+def test_no_window_of_a_whole_cluster(spark):
+    """A run of near positions can be a whole chromosome."""
+    piles = spark.createDataFrame([("s", "c", "+", 5, 9, 1)], "sample string, chrom string, strand string, pos long, coverage long, clean_truncations long")
+    assert not any("cluster#" in line for line in _plan(P.cluster_rates(piles)).splitlines() if "Window [" in line)
+
+
+def test_groups_and_scales_are_broadcast(spark):
+    """A join that shuffles by sample or group would bring all of one to a task."""
+    groups = spark.createDataFrame([("s", "g")], "sample string, grp string")
+    rows = spark.createDataFrame([read(100, "10M")], READ)
+    assert "SortMergeJoin" not in _plan(demux.assign_groups(rows, groups))
+    track = tracks.rpm_track(rows, tracks.scale_factors(rows))
+    assert "SortMergeJoin" not in _plan(track) and "SortMergeJoin" not in _plan(tracks.group_track(track, groups))
+
+
+def test_reference_of_many_slices(spark):
+    """60,000 slices of a sequence of six million bases: each taken from the whole would read it all."""
+    import time
+
+    from sitemill.functions.alignment import with_md
+
+    ref = spark.range(1).select(F.lit("chr1").alias("name"), F.expr("repeat('ACGTTGCAAC', 600000)").alias("seq"))
+    rows = spark.createDataFrame([read(5_999_985, "12M", seq="GCAACACGTTGA", order=1), read(95, "10M", seq="GCAACACGTT", order=2)], READ)
+    began = time.monotonic()
+    got = {r["ord"]: (r["md"], r["nm"]) for r in with_md(rows, ref, 100).collect()}
+    assert time.monotonic() - began < 60
+    assert got == {1: ("11C0", 1), 2: ("10", 0)}
