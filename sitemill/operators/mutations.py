@@ -83,8 +83,7 @@ def truncation_clusters(tags: DataFrame, deletions: DataFrame, pvalue: float = 0
     kept = without_read_through(tags, deletions)
     site = truncation_site(F.col("strand"), F.col("start"), F.col("end"))
     n = kept.groupBy(*STRANDED, site.alias("pos")).agg(F.count("*").alias("truncations")).where((F.col("pos") >= 0) & (F.col("truncations") >= min_depth))
-    c = gap_cluster_chunked(n, STRANDED, "pos", gap)
-    w = Window.partitionBy(*STRANDED, "cluster")
-    c = c.withColumn("coverage", F.sum("truncations").over(w)).withColumn("rate", F.lit(1.0) / (F.max("pos").over(w) - F.min("pos").over(w) + 1))
+    c = gap_cluster_chunked(n, STRANDED, "pos", gap, carry=["truncations"], sums=["truncations"], last="last")
+    c = c.withColumn("coverage", F.col("sum_truncations")).withColumn("rate", F.lit(1.0) / (F.col("last") - F.col("cluster") + 1))
     tested = site_pvalues(c, "truncations", "rate", 1, 1, 0.0)
     return tested.where(F.col("pvalue") < pvalue).select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), "truncations", "strand", "pvalue")
