@@ -63,7 +63,7 @@ def run_samples(spark: SparkSession, reads: DataFrame, root: str, settings: Sett
     reads = settled(reads)
     kept = settled(deduplicated(reads, s))
     sizes = kept.where(F.col("chrom") != "*").groupBy("chrom").agg(F.max("end0").alias("length"))
-    W.write_bam(kept.select("sample", "qname", "flag", "chrom", "start0", "mapq", "cigar", "seq", "nh", "md"), sizes, at["alignments"], spark.sparkContext.defaultParallelism)
+    W.write_bam(kept.select("sample", "qname", "flag", "chrom", "start0", "mapq", "cigar", "seq", "nh", "md"), sizes, at["alignments"])
     tags = kept.withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
     beds = tags.select("sample", F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "qname", F.lit("1"), "strand").alias("value"))
     W.write_by_sample(beds, at["tags"])

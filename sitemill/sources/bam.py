@@ -20,6 +20,7 @@ from fnmatch import fnmatch
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql.datasource import (
@@ -37,14 +38,20 @@ SCHEMA = (
 )
 #: Compressed bytes of a partition; inflated bytes that must hold whole records before a place counts as a record's start.
 SPLIT_BYTES, PROOF = 32 << 20, 1 << 16
-#: Records in a batch.
-ROWS = 10_000
+#: Parts of a whole read from which on they get longer than asked, up to SPLIT_BYTES: a task costs as much as some 100 kB.
+PARTS = 1_000
+#: Inflated bytes whose records are decoded at once.
+DECODED = 2 << 20
 # Fixed values of the format.
 MAGIC, EMPTY_BLOCK = b"\x1f\x8b\x08\x04", bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 BASES, OPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
 TAG_TYPES = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 CONSUMES = (1, 0, 1, 1, 0, 0, 0, 1, 1)  # operations that advance on the reference
-PAIRS = [a + b for a in BASES for b in BASES]
+ON_READ = (1, 1, 0, 0, 1, 0, 0, 1, 1)  # and on the read
+PRINTED = bytes(range(33, 127))  # characters of names
+PAIRS = np.array([[ord(a), ord(b)] for a in BASES for b in BASES], np.uint8)
+CODES = np.array([BASES.index(c) if (c := chr(i).upper()) in BASES else 15 for i in range(256)], np.uint8)
+FIXED = np.dtype([(n, f"<{t}") for n, t in zip("ref pos name mapq bin ops flag length mate mate_pos insert".split(), "i4 i4 u1 u1 u2 u2 u2 i4 i4 i4 i4".split())])
 MIN_SHIFT, BAI_DEPTH = 14, 5
 FULL = 65_280  # bytes of data in a block at most
 
@@ -147,10 +154,10 @@ class Records:
             self.need(skip)
             self.at = skip
 
-    def need(self, n: int) -> bool:
-        """Whether n bytes follow."""
+    def need(self, n: int, stop: int = 1 << 62) -> bool:
+        """Whether n bytes follow; blocks from the virtual offset ``stop`` on are not read for them."""
         parts, have = [], len(self.data) - self.at
-        while have < n and (b := self.blocks.next()):
+        while have < n and self.blocks.at << 16 < stop and (b := self.blocks.next()):
             self.marks.append((len(self.data) + sum(map(len, parts)), b[0]))
             parts.append(b[1])
             have += len(b[1])
@@ -180,11 +187,29 @@ class Records:
         self.at += n
         return self.data[self.at - n : self.at]
 
-    def record(self) -> bytes | None:
-        """The next record without its size; None at the end."""
-        if not self.need(1):
-            return None
-        return self.take(struct.unpack("<i", self.take(4))[0])
+    def starts(self, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, bytes, virtual offset) of the next whole records that start before ``stop``, places without their sizes; none at the end."""
+        self.drop()
+        self.need(DECODED, stop)
+        size, places, k = struct.Struct("<i").unpack_from, [], self.at
+        while self.need(1):
+            data, n = self.data, len(self.data)
+            while k + 4 <= n and (end := k + 4 + size(data, k)[0]) <= n:
+                if end < k + 36:
+                    raise ValueError("damaged BAM record")
+                places.append(k)
+                k = end
+            if places:
+                break
+            if not self.need(4) or not self.need(4 + size(self.data, k)[0]):
+                raise ValueError("truncated BAM file")
+        at = np.array([*places, k], np.int64)
+        marks = np.array(self.marks, np.int64).reshape(-1, 2)
+        block = marks[np.searchsorted(marks[:, 0], at[:-1], "right") - 1]
+        offset = block[:, 1] << 16 | (at[:-1] - block[:, 0])
+        few = int(np.searchsorted(offset, stop))
+        self.at = int(at[few])
+        return at[:few] + 4, np.diff(at)[:few] - 4, offset[:few]
 
 
 def read_header(file: pa.NativeFile, size: int) -> Header:
@@ -213,12 +238,12 @@ def plausible(data: bytes, at: int, refs: Sequence[tuple[str, int]]) -> int:
     if len(data) < at + 36 + name + 4 * ops:
         return -1
     text = data[at + 36 : at + 36 + name]
-    if text[-1] or any(c < 33 or c > 126 for c in text[:-1]):
+    if text[-1] or text[:-1].translate(None, PRINTED):
         return 0
-    cigar = np.frombuffer(data, "<u4", ops, at + 36 + name)
-    if ops and (cigar & 15).max() > 8:
+    cigar = struct.unpack_from(f"<{ops}I", data, at + 36 + name)
+    if any(c & 15 > 8 for c in cigar):
         return 0
-    if ops and length and int((cigar >> 4)[np.isin(cigar & 15, (0, 1, 4, 7, 8))].sum()) != length:
+    if ops and length and sum(c >> 4 for c in cigar if ON_READ[c & 15]) != length:
         return 0
     return size + 4
 
@@ -294,32 +319,196 @@ def _pack_tags(tags: list[str] | None) -> bytes:
     return b"".join(out)
 
 
-def unpack(record: bytes, refs: Sequence[tuple[str, int]]) -> tuple:
-    """The columns of a record between sample and ord."""
-    ref, pos, k, mapq, _, ops, flag, length, mate, mate_pos, insert = struct.unpack_from("<iiBBHHHiiii", record, 0)
-    p = 32 + k
-    name = record[32 : p - 1].decode()
-    codes = struct.unpack_from(f"<{ops}I", record, p)
-    p += 4 * ops
-    packed = record[p : p + (length + 1) // 2]
-    p += len(packed)
-    qual = bytes(q + 33 for q in record[p : p + length]).decode("latin1") if length and record[p] != 255 else "*"
-    span = sum((c >> 4) * CONSUMES[c & 15] for c in codes)
-    return (
-        name,
-        flag,
-        refs[ref][0] if ref >= 0 else "*",
-        pos,
-        pos + span,
-        mapq,
-        "".join(f"{c >> 4}{OPS[c & 15]}" for c in codes) or "*",
-        refs[mate][0] if mate >= 0 else "*",
-        mate_pos,
-        insert,
-        "".join([PAIRS[x] for x in packed])[:length] or "*",
-        qual,
-        _tags(record[p + length :]),
-    )
+# --- many records at once -------------------------------------------------------------------------
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all stretches, one stretch after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
+def _arrow(kind: pa.DataType, values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Strings of so many bytes each, one after another in ``values``."""
+    offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
+    return pa.Array.from_buffers(kind, len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _distinct(values: pa.Array) -> tuple[list, np.ndarray]:
+    """Each value once, and the number of each row's value in that list."""
+    if values.null_count:
+        raise ValueError("a tag is null")
+    d = values.dictionary_encode()
+    return d.dictionary.to_pylist(), d.indices.to_numpy().astype(np.int64)
+
+
+def unpack(data: bytes, at: np.ndarray, size: np.ndarray, ords: np.ndarray, sample: str, refs: Sequence[tuple[str, int]]) -> pa.RecordBatch:
+    """The rows of records that start at places of ``data``."""
+    b = np.frombuffer(data, np.uint8)
+    f = b[at[:, None] + np.arange(FIXED.itemsize)].view(FIXED).ravel()
+    name, ops, length = (f[c].astype(np.int64) for c in ("name", "ops", "length"))
+    half = (length + 1) // 2
+    bases = at + 32 + name + 4 * ops
+    quals = bases + half
+    tags = quals + length
+    qname = _arrow(pa.string(), b[_spread(at + 32, name - 1)], name - 1)
+    qname.validate(full=True)
+    kinds, which = _distinct(_arrow(pa.binary(), b[_spread(at + 32 + name, 4 * ops)], 4 * ops))
+    kinds = [np.frombuffer(k, "<u4").tolist() for k in kinds]
+    span = np.array([sum((c >> 4) * CONSUMES[c & 15] for c in k) for k in kinds], np.int64)[which]
+    cigar = pa.array(["".join(f"{c >> 4}{OPS[c & 15]}" for c in k) or "*" for k in kinds], pa.string()).take(pa.array(which))
+    letters = PAIRS[b[_spread(bases, half)]].ravel()
+    seq = _arrow(pa.string(), np.delete(letters, (np.cumsum(2 * half) - 1)[length % 2 == 1]), length)
+    none = length == 0
+    absent = none | (b[np.minimum(quals, len(b) - 1)] == 255)
+    q = b[_spread(quals, length)]
+    if (q[np.repeat(~absent, length)] > 94).any():  # beyond ASCII
+        qual = pa.array(["" if no else bytes(x + 33 for x in data[i : i + n]).decode("latin1") for i, n, no in zip(quals, length, absent)], pa.string())
+    else:
+        qual = _arrow(pa.string(), np.where(q == 255, 9, q + 33).astype(np.uint8), length)
+    lists, of = _distinct(_arrow(pa.binary(), b[_spread(tags, at + size - tags)], at + size - tags))
+    names = pa.array([*(n for n, _ in refs), "*"])
+    named = lambda r: names.take(pa.array(np.where(r >= 0, r, len(refs))))
+    columns = [
+        pa.repeat(pa.scalar(sample, pa.string()), len(at)),
+        qname,
+        f["flag"],
+        named(f["ref"]),
+        f["pos"],
+        f["pos"] + span,
+        f["mapq"],
+        cigar,
+        named(f["mate"]),
+        f["mate_pos"],
+        f["insert"],
+        pc.if_else(pa.array(none), "*", seq),
+        pc.if_else(pa.array(absent), "*", qual),
+        pa.array([_tags(t) for t in lists], _LIST).take(pa.array(of)),
+        ords,
+    ]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(np.ascontiguousarray(c)).cast(t) for c, t in zip(columns, ARROW.types)], schema=ARROW)
+
+
+def _text(rows: pa.RecordBatch, column: str) -> pa.Array:
+    """A column of strings; null where there is none."""
+    return rows.column(column).cast(pa.string()) if column in rows.schema.names else pa.nulls(rows.num_rows, pa.string())
+
+
+def _bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of strings, one after another; and how many each has."""
+    n = len(values)
+    offsets = np.frombuffer(values.buffers()[1], np.int32, n + 1, 4 * values.offset).astype(np.int64) if n else np.zeros(1, np.int64)
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)
+    return data[offsets[0] : offsets[-1]], np.diff(offsets)
+
+
+def _characters(values: pa.Array, errors: str = "strict") -> tuple[np.ndarray, np.ndarray]:
+    """As _bytes with one byte for each character; nulls and ``*`` are empty."""
+    values = pc.fill_null(values, "*")
+    values = pc.if_else(pc.equal(values, "*"), "", values)
+    if pc.any(pc.not_equal(pc.binary_length(values), pc.utf8_length(values))).as_py():
+        values = pa.array([v.encode("latin1", errors) for v in values.to_pylist()], pa.binary())
+    return _bytes(values)
+
+
+def _table(pieces: list[bytes], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the pieces by number, one after another; and how many each has."""
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    return np.frombuffer(b"".join(pieces), np.uint8)[_spread(starts[which], lengths[which])], lengths[which]
+
+
+def _tag_bytes(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all rows' tags, from the column tags, or nh and md where that is null."""
+    n, given = rows.num_rows, np.zeros(rows.num_rows, bool)
+    texts, which, row = [], [], []
+
+    def take(values: pa.Array, at: np.ndarray) -> None:
+        own, numbers = _distinct(values)
+        which.append(numbers + len(texts))
+        row.append(at)
+        texts.extend(own)
+
+    if "tags" in rows.schema.names:
+        lists = rows.column("tags").cast(_LIST)
+        given = lists.is_valid().to_numpy(zero_copy_only=False)
+        take(lists.flatten(), np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(lists), 0).to_numpy()))
+    for head, column in (("NH:i:", "nh"), ("MD:Z:", "md")):
+        own = _text(rows, column)
+        at = np.flatnonzero(own.is_valid().to_numpy(zero_copy_only=False) & ~given)
+        take(pc.binary_join_element_wise(head, own.take(pa.array(at)), ""), at)
+    row, which = np.concatenate(row), np.concatenate(which)
+    order = np.argsort(row, kind="stable")
+    data, lengths = _table([_pack_tags([t]) for t in texts], which[order])
+    return data, np.bincount(row[order], lengths, n).astype(np.int64)
+
+
+def _ops(cigar: str) -> list[int]:
+    out, n = [], 0
+    for c in "" if cigar == "*" else cigar:
+        if c.isdigit():
+            n = 10 * n + int(c)
+        else:
+            out.append(n << 4 | OPS.index(c))
+            n = 0
+    return out
+
+
+def pack_all(rows: pa.RecordBatch, number: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Records with their sizes, one after another; for each its bytes, reference, start, and where it ends on the reference."""
+    n, names = rows.num_rows, rows.schema.names
+    whole = lambda c, empty: pc.fill_null(rows.column(c).cast(pa.int64()), empty).to_numpy() if c in names else np.full(n, empty, np.int64)
+    kinds, which = _distinct(pc.fill_null(_text(rows, "chrom"), "*"))
+    ref = np.array([-1 if k == "*" else number[k] for k in kinds], np.int64)[which]
+    kinds, which = _distinct(pc.fill_null(_text(rows, "mate_chrom"), "*"))
+    mate = np.array([number.get(k, -1) for k in kinds], np.int64)[which]
+    start = whole("start0", -1)
+    kinds, which = _distinct(pc.fill_null(_text(rows, "cigar"), "*"))
+    kinds = [_ops(k) for k in kinds]
+    end = start + np.array([sum((c >> 4) * CONSUMES[c & 15] for c in k) for k in kinds], np.int64)[which]
+    ops, n_ops = _table([struct.pack(f"<{len(k)}I", *k) for k in kinds], which)
+    name, n_name = _bytes(pc.fill_null(_text(rows, "qname"), "*"))
+    seq, length = _characters(_text(rows, "seq"), "replace")
+    qual, n_qual = _characters(_text(rows, "qual"))
+    given = pc.not_equal(pc.fill_null(_text(rows, "qual"), "*"), "*").to_numpy(zero_copy_only=False)
+    if (n_qual != length)[given].any():
+        raise ValueError("a read's bases and qualities differ in number")
+    if (qual < 33).any():
+        raise ValueError("a quality below '!'")
+    tags, n_tags = _tag_bytes(rows)
+    half = (length + 1) // 2
+    nibbles = np.zeros(2 * half.sum(), np.uint8)
+    nibbles[_spread(2 * (np.cumsum(half) - half), length)] = CODES[seq]
+    size = 37 + n_name + n_ops + half + length + n_tags
+    at = np.cumsum(size) - size
+    fixed = np.zeros(n, [("size", "<i4"), *((c, FIXED[c]) for c in FIXED.names)])
+    values = {
+        "size": size - 4, "ref": ref, "pos": start, "name": n_name + 1, "mapq": whole("mapq", 0), "ops": n_ops // 4, "flag": whole("flag", 0), "length": length,
+        "mate": mate, "mate_pos": whole("mate_start0", -1), "insert": whole("insert_size", 0),
+        "bin": bins_at(np.maximum(start, 0), np.maximum(np.maximum(end, start + 1), 1), BAI_DEPTH) & 0xFFFF,
+    }
+    for c, v in values.items():
+        span = np.iinfo(fixed.dtype[c])
+        if n and (v.min() < span.min or v.max() > span.max):
+            raise ValueError(f"a value of {c} doesn't fit into a BAM record")
+        fixed[c] = v
+    out = np.zeros(size.sum(), np.uint8)
+    out[at[:, None] + np.arange(36)] = fixed.view(np.uint8).reshape(n, 36)
+    here = at + 36
+    out[_spread(here, n_name)] = name
+    here = here + n_name + 1
+    out[_spread(here, n_ops)] = ops
+    here = here + n_ops
+    out[_spread(here, half)] = nibbles[::2] << 4 | nibbles[1::2]
+    here = here + half
+    out[_spread(here, np.where(given, 0, length))] = 255
+    out[_spread(here, n_qual)] = qual - 33
+    out[_spread(here + length, n_tags)] = tags
+    return out, size, ref, start, end
+
+
+def pack(row: dict, ref: int, number: dict[str, int]) -> tuple[bytes, int]:
+    """A record with its size, and where it ends on the reference."""
+    data, _, _, _, end = pack_all(pa.RecordBatch.from_pylist([row]), number)
+    return data.tobytes(), int(end[0])
 
 
 # --- index --------------------------------------------------------------------------------------
@@ -335,6 +524,16 @@ def bin_of(start: int, end: int, depth: int) -> int:
     return 0
 
 
+def bins_at(start: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
+    """The smallest bin that holds [start, end), for each pair."""
+    out, last = np.zeros(len(start), np.int64), end - 1
+    for level in range(1, depth + 1):
+        shift = MIN_SHIFT + 3 * (depth - level)
+        inside = start >> shift == last >> shift
+        out[inside] = ((1 << 3 * level) - 1) // 7 + (start[inside] >> shift)
+    return out
+
+
 def bins_of(start: int, end: int, depth: int) -> set[int]:
     """All bins that may hold records which overlap [start, end)."""
     out, first, shift = set(), 0, MIN_SHIFT + 3 * depth
@@ -362,13 +561,28 @@ class Index:
         return depth
 
     def add(self, ref: int, start: int, end: int, a: int, b: int) -> None:
-        chunks = self.bins[ref].setdefault(bin_of(start, max(end, start + 1), self.depth), [])
-        if chunks and chunks[-1][1] >> 16 >= a >> 16:
-            chunks[-1][1] = b
-        else:
-            chunks.append([a, b])
-        for w in range(start >> MIN_SHIFT, ((max(end, start + 1) - 1) >> MIN_SHIFT) + 1):
-            self.windows[ref].setdefault(w, a)
+        self.add_all(*(np.array([x], np.int64) for x in (ref, start, end, a, b)))
+
+    def add_all(self, ref: np.ndarray, start: np.ndarray, end: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Records that follow one another, from virtual offset a to b; those of one bin in a row are one chunk."""
+        if not len(ref):
+            return
+        start = np.maximum(start, 0)
+        end = np.maximum(end, start + 1)
+        bins = bins_at(start, end, self.depth)
+        begin = np.flatnonzero(np.r_[True, (bins[1:] != bins[:-1]) | (ref[1:] != ref[:-1])])
+        leaf = ((1 << 3 * self.depth) - 1) // 7
+        first, last = (start >> MIN_SHIFT).tolist(), ((end - 1) >> MIN_SHIFT).tolist()
+        for i, j in zip(begin.tolist(), [*begin[1:].tolist(), len(ref)]):
+            here, k = int(ref[i]), int(bins[i])
+            chunks = self.bins[here].setdefault(k, [])
+            if chunks and chunks[-1][1] >> 16 >= int(a[i]) >> 16:
+                chunks[-1][1] = int(b[j - 1])
+            else:
+                chunks.append([int(a[i]), int(b[j - 1])])
+            for r in (i,) if k >= leaf else range(i, j):  # records of a smallest bin lie in one window
+                for w in range(first[r], last[r] + 1):
+                    self.windows[here].setdefault(w, int(a[r]))
 
     def chunks(self, ref: int, start: int, end: int) -> list[tuple[int, int]]:
         """Merged ranges of virtual offsets with all records that overlap [start, end)."""
@@ -518,18 +732,20 @@ class BamReader(DataSourceReader):
 
     def partitions(self) -> list[Part]:
         out = []
+        total = sum(open_file(path)[1] for path in self.paths)
+        split = max(self.split, min(total // PARTS, SPLIT_BYTES))
         for path in self.paths:
             file, size = open_file(path)
             header = read_header(file, size)
             if self.chrom is None or self.chrom == "*":
-                out += [Part(path, a, min(a + self.split, size)) for a in range(header.first >> 16, size, self.split)]
+                out += [Part(path, a, min(a + split, size)) for a in range(header.first >> 16, size, split)]
                 continue
             ref = next((i for i, r in enumerate(header.refs) if r[0] == self.chrom), None)
             if ref is None:
                 continue
             index = index_of(path)
             if index is None:
-                out += [Part(path, a, min(a + self.split, size), None, ref) for a in range(header.first >> 16, size, self.split)]
+                out += [Part(path, a, min(a + split, size), None, ref) for a in range(header.first >> 16, size, split)]
                 continue
             end = header.refs[ref][1] if self.end is None else min(self.end, header.refs[ref][1])
             starts = index.starts(ref)
@@ -543,46 +759,54 @@ class BamReader(DataSourceReader):
         return out or [Part("", 0, 0)]
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
-        schema = ARROW
-        rows: list[tuple] = []
-        for row in rows_of(*open_file(partition.path), partition, self.chrom, self.start, self.end) if partition.path else ():
-            rows.append(row)
-            if len(rows) == ROWS:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+        if partition.path:
+            yield from batches_of(*open_file(partition.path), partition, self.chrom, self.start, self.end)
 
 
-def rows_of(file: pa.NativeFile, size: int, part: Part, chrom: str | None, start: int, end: int | None) -> Iterator[tuple]:
+def batches_of(file: pa.NativeFile, size: int, part: Part, chrom: str | None, start: int, end: int | None) -> Iterator[pa.RecordBatch]:
     """The rows of a part, of one reference and region if asked, with the virtual offset of each as ord."""
     header = read_header(file, size)
     sample = sample_of(part.path)
     known = part.first is not None
     first = part.first if known else first_record(file, size, part.start, header)
-    stop = part.stop if known else part.stop << 16
-    if first >= min(stop, size << 16):
+    stop = min(part.stop if known else part.stop << 16, size << 16)
+    if first >= stop:
         return
     data = Records(Blocks(file, size, first >> 16), first & 0xFFFF)
-    while (at := data.offset()) < stop and at < size << 16:
-        data.drop()
-        record = data.record()
-        ref, pos = struct.unpack_from("<ii", record)
-        if part.ref is not None:
-            after = ref > part.ref or ref < 0 or (ref == part.ref and end is not None and pos >= end)
-            if after and header.is_sorted:
-                return
-            if after or ref != part.ref:
-                continue
-        elif chrom == "*" and ref >= 0:
-            continue
-        row = unpack(record, header.refs)
-        if part.ref is None or max(row[4], row[3] + 1) > start:
-            yield (sample, *row, at)
+    while len((found := data.starts(stop))[0]):
+        at, length, ords = found
+        more = True
+        if part.ref is not None or chrom == "*":
+            b = np.frombuffer(data.data, np.uint8)
+            ref, pos = b[at[:, None] + np.arange(8)].view("<i4").T
+            if part.ref is None:
+                wanted = ref < 0
+            else:
+                after = (ref > part.ref) | (ref < 0) | ((ref == part.ref) & (end is not None) & (pos >= (end or 0)))
+                wanted = (ref == part.ref) & ~after
+                more = not (header.is_sorted and after.any())
+                if not more:
+                    wanted[int(after.argmax()) :] = False
+            at, length, ords = at[wanted], length[wanted], ords[wanted]
+        if len(at):
+            rows = unpack(data.data, at, length, ords, sample, header.refs)
+            if part.ref is not None:
+                reach = np.maximum(rows.column("end0").to_numpy(), rows.column("start0").to_numpy() + 1)
+                rows = rows.filter(pa.array(reach > start))
+            if rows.num_rows:
+                yield rows
+        if not more:
+            return
+    at = data.offset()
     if not known and at < size << 16 and first_record(file, size, part.stop, header) != at:
         raise ValueError(f"{part.path}: the next part would not start at record {at >> 16}:{at & 0xFFFF}")
 
 
+def rows_of(file: pa.NativeFile, size: int, part: Part, chrom: str | None, start: int, end: int | None) -> Iterator[tuple]:
+    for b in batches_of(file, size, part, chrom, start, end):
+        yield from zip(*(c.to_pylist() for c in b.columns))
+
+
 class PartFile:
     """One BAM file being written, and its index."""
 
@@ -595,18 +819,25 @@ class PartFile:
         self.held += head + b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", k) for n, k in refs)
         self.flush()
 
-    def add(self, row: dict) -> None:
-        ref = -1 if row["chrom"] in (None, "*") else self.number[row["chrom"]]
-        record, end = pack(row, ref, self.number)
-        place = (ref if ref >= 0 else 1 << 31, row["start0"] if ref >= 0 else 0)
-        if place < self.place:
+    def add(self, rows: pa.RecordBatch) -> None:
+        data, size, ref, start, end = pack_all(rows, self.number)
+        order = np.r_[self.place[0], np.where(ref >= 0, ref, 1 << 31)], np.r_[self.place[1], np.where(ref >= 0, start, 0)]
+        step, move = (np.diff(x) for x in order)
+        if ((step < 0) | ((step == 0) & (move < 0))).any():
             raise ValueError("rows of a BAM file have to be sorted by reference and start0")
-        self.place = place
-        if len(self.held) + len(record) > FULL:
-            self.flush()
-        self.begun.append((ref, row["start0"], end, len(self.held), len(record)))
-        self.held += record
-        self.rows += 1
+        self.place = int(order[0][-1]), int(order[1][-1])
+        ends, i = np.cumsum(size), 0
+        while i < len(size):
+            done = int(ends[i] - size[i])
+            j = int(np.searchsorted(ends, done + FULL - len(self.held), "right"))
+            if j <= i and self.held:
+                self.flush()
+                continue
+            j = max(j, i + 1)
+            self.begun.append((ref[i:j], start[i:j], end[i:j], ends[i:j] - size[i:j] - done + len(self.held), size[i:j]))
+            self.held += data[done : ends[j - 1]].tobytes()
+            self.rows += j - i
+            i = j
 
     def flush(self) -> None:
         """Write what is held as blocks, and index its records."""
@@ -616,10 +847,11 @@ class PartFile:
             block = pack_block(bytes(self.held[i : i + FULL]))
             self.out.write(block)
             self.at += len(block)
-        spot = lambda k: places[k // FULL] << 16 | k % FULL if k < len(self.held) else self.at << 16
-        for ref, start, end, k, n in self.begun:
-            if ref >= 0:
-                self.index.add(ref, start, end, spot(k), spot(k + n))
+        if self.begun:
+            ref, start, end, k, n = (np.concatenate(x) for x in zip(*self.begun))
+            block = np.array([*places, self.at], np.int64)
+            spot = lambda k: np.where(k < len(self.held), block[np.minimum(k // FULL, len(places))] << 16 | k % FULL, self.at << 16)
+            self.index.add_all(*(x[ref >= 0] for x in (ref, start, end, spot(k), spot(k + n))))
         self.held.clear()
         self.begun.clear()
 
@@ -634,6 +866,10 @@ class PartFile:
         return kind
 
 
+#: Columns that are written, of those that rows have.
+WRITTEN = ("sample", "qname", "flag", "chrom", "start0", "mapq", "cigar", "mate_chrom", "mate_start0", "insert_size", "seq", "qual", "tags", "nh", "md")
+
+
 class BamWriter(DataSourceArrowWriter):
     """A folder of BAM files with header, end block and index, one for each task and sample.
 
@@ -657,13 +893,16 @@ class BamWriter(DataSourceArrowWriter):
                 files.append((part.path, f"{root}/{sample}.bam/{name}" if sample else f"{root}/{name}", part.close()))
 
         for batch in iterator:
-            for row in batch.to_pylist():
-                if part is None or row.get("sample") != sample:
+            own_sample = _text(batch, "sample").dictionary_encode("encode").indices.to_numpy()
+            begin = np.flatnonzero(np.r_[True, own_sample[1:] != own_sample[:-1]]) if len(own_sample) else []
+            for i, j in zip(begin, [*begin[1:], batch.num_rows]):
+                here = _text(batch, "sample")[int(i)].as_py()
+                if part is None or here != sample:
                     close()
-                    sample = row.get("sample")
+                    sample = here
                     system.create_dir(own, recursive=True)
                     part = PartFile(system, f"{own}/{len(files)}", self.text, self.refs)
-                part.add(row)
+                part.add(batch.slice(int(i), int(j - i)))
         close()
         return Written(files)
 
@@ -693,35 +932,6 @@ class Written(WriterCommitMessage):
     files: list[tuple[str, str, str]]
 
 
-def pack(row: dict, ref: int, number: dict[str, int]) -> tuple[bytes, int]:
-    """A record with its size, and where it ends on the reference."""
-    name = row["qname"].encode() + b"\0"
-    cigar, n = [], 0
-    for c in "" if row["cigar"] in (None, "*") else row["cigar"]:
-        if c.isdigit():
-            n = 10 * n + int(c)
-        else:
-            cigar.append(n << 4 | OPS.index(c))
-            n = 0
-    seq = "" if row.get("seq") in (None, "*") else row["seq"]
-    code = [BASES.index(c) if c in BASES else 15 for c in seq.upper()] + [0] * (len(seq) % 2)
-    packed = bytes(a << 4 | b for a, b in zip(code[::2], code[1::2]))
-    qual = row.get("qual")
-    quals = bytes(ord(c) - 33 for c in qual) if qual not in (None, "*") else b"\xff" * len(seq)
-    tags = row.get("tags")
-    if tags is None:
-        tags = [f"{t}:{k}:{row[c]}" for t, k, c in (("NH", "i", "nh"), ("MD", "Z", "md")) if row.get(c) is not None]
-    start = -1 if row["start0"] is None else row["start0"]
-    end = start + sum((c >> 4) * CONSUMES[c & 15] for c in cigar)
-    mate = number.get(row.get("mate_chrom") or "*", -1)
-    mate_start = row.get("mate_start0")
-    fixed = struct.pack(
-        "<iiBBHHHiiii", ref, start, len(name), row["mapq"] or 0, bin_of(max(start, 0), max(end, start + 1, 1), BAI_DEPTH) & 0xFFFF, len(cigar), row["flag"] or 0, len(seq), mate, -1 if mate_start is None else mate_start, row.get("insert_size") or 0
-    )
-    body = fixed + name + struct.pack(f"<{len(cigar)}I", *cigar) + packed + quals + _pack_tags(tags)
-    return struct.pack("<i", len(body)) + body, end
-
-
 _LIST = pa.list_(pa.string())
 ARROW = pa.schema(
     [(n, {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "array<string>": _LIST}[k]) for n, k in (f.split(" ", 1) for f in SCHEMA.split(", "))]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -178,8 +177,8 @@ def read_bam(spark: SparkSession, path: str, chrom: str | None = None, start: in
         spark.dataSource.register(bam.BamSource)
         options = {"splitBytes": str(split_bytes), "start": str(start)} | ({"chrom": chrom} if chrom else {}) | ({"end": str(end)} if end is not None else {})
         raw = spark.read.format("bam").options(**options).load(path)
-    tag = lambda name: F.regexp_extract(F.array_join("tags", "\t"), rf"(?:^|\t){name}:[iZ]:([^\t]*)", 1)
-    out = raw.withColumn("nh", F.when(tag("NH") != "", tag("NH").cast("int"))).withColumn("md", F.when(tag("MD") != "", tag("MD"))).withColumn("strand", strand_of(F.col("flag")))
+    tag = lambda name: F.nullif(F.substr(F.get(F.filter("tags", lambda t: t.startswith(f"{name}:i:") | t.startswith(f"{name}:Z:")), F.lit(0)), F.lit(6)), F.lit(""))
+    out = raw.withColumn("nh", tag("NH").cast("int")).withColumn("md", tag("MD")).withColumn("strand", strand_of(F.col("flag")))
     return out.select("sample", "qname", "flag", "chrom", "start0", "mapq", "cigar", "seq", "nh", "md", "ord", "strand", "end0", "mate_chrom", "mate_start0", "insert_size", "qual", "tags")
 
 
@@ -190,9 +189,7 @@ def _whole_bam(spark: SparkSession, path: str, chrom: str | None, start: int, en
                 file, size = pa.BufferReader(blob.as_buffer()), len(blob.as_buffer())
                 refs = [n for n, _ in bam.read_header(file, size).refs]
                 if chrom in (None, "*") or chrom in refs:
-                    rows = bam.rows_of(file, size, bam.Part(p, 0, size, None, refs.index(chrom) if chrom in refs else None), chrom, start, end)
-                    while some := list(islice(rows, bam.ROWS)):
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), bam.ARROW.types)], schema=bam.ARROW)
+                    yield from bam.batches_of(file, size, bam.Part(p, 0, size, None, refs.index(chrom) if chrom in refs else None), chrom, start, end)
 
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.bam").load(path).select("path", "content").mapInArrow(decode, bam.SCHEMA)
 

@@ -76,17 +76,24 @@ def write_sam(reads: DataFrame, sizes: DataFrame, path: str) -> None:
     sizes.select(F.concat(F.lit("@SQ\tSN:"), "chrom", F.lit("\tLN:"), F.col("length").cast("string"))).coalesce(1).write.mode("append").text(path)
 
 
-def write_bam(reads: DataFrame, sizes: DataFrame, path: str, partitions: int = 200, mode: str = "append") -> None:
+#: Rows of a BAM writer's task, about, where the caller gives no number of tasks.
+BAM_ROWS = 500_000
+
+
+def write_bam(reads: DataFrame, sizes: DataFrame, path: str, partitions: int | None = None, mode: str = "append") -> None:
     """Coordinate-sorted BAM files with indexes in a folder (one below it for each sample, if there is that column).
 
     ``sizes`` (chrom, length) gives the references by name; rows without one come last. Each task writes
     a range of the order, so the parts of a folder don't overlap and a region is read from a few. Tags are
-    those of the column tags, else NH and MD from nh and md.
+    those of the column tags, else NH and MD from nh and md. Without ``partitions`` the rows are counted, and their
+    number grows with them.
     """
     spark = reads.sparkSession
     refs = sorted((r["chrom"], r["length"]) for r in sizes.select("chrom", "length").distinct().collect())  # as many as the genome has
     number = spark.createDataFrame([(n, i) for i, (n, _) in enumerate(refs)], "chrom string, __ref int")
-    rows = reads.join(F.broadcast(number), "chrom", "left").withColumn("__ref", F.coalesce("__ref", F.lit(len(refs))))
+    if partitions is None:
+        partitions = max(8, -(-reads.count() // BAM_ROWS))
+    rows = reads.select(*[c for c in bam.WRITTEN if c in reads.columns]).join(F.broadcast(number), "chrom", "left").withColumn("__ref", F.coalesce("__ref", F.lit(len(refs))))
     order = [*(["sample"] if "sample" in reads.columns else []), "__ref", "start0", "qname", "flag"]
     rows = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).drop("__ref")
     spark.dataSource.register(bam.BamSource)

@@ -215,3 +215,40 @@ def test_paths_that_only_spark_reads(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(bam, "located", refuse)
     assert plain(tuple(r[f] for f in FIELDS) for r in R.read_bam(spark, str(tmp_path / "s.bam")).collect()) == plain(rows)
     assert R.read_bam(spark, str(tmp_path / "s.bam"), "chr1", 0, 50_000).count() == sum(overlapping(rows, "chr1", 0, 50_000).values())
+
+
+def test_tasks_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    """Writers are as many as the rows need; parts get longer where they would be very many."""
+    rows = rows_of(3_000, 9)
+    df, sizes = spark.createDataFrame(rows, ROW), spark.createDataFrame(REFS, "chrom string, length long")
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    W.write_bam(df, sizes, few)
+    monkeypatch.setattr(W, "BAM_ROWS", 200)
+    W.write_bam(df, sizes, many)
+    assert len(bam.files_of(few)) <= 8 < len(bam.files_of(many)) <= 16
+    for path in (few, many):
+        assert plain(tuple(r[f] for f in FIELDS) for r in R.read_bam(spark, path, split_bytes=3_000).collect()) == plain(rows)
+    monkeypatch.setattr(bam, "PARTS", 10)
+    n = lambda split: len(bam.BamReader({"path": few, "splitbytes": str(split)}).partitions())
+    assert 10 <= n(1_000) == n(10) < 25 and n(1 << 30) == len(bam.files_of(few))
+
+
+def test_records_are_packed_together():
+    """A batch gives the bytes of its rows one by one, wherever it is cut."""
+    number = {n: i for i, (n, _) in enumerate(REFS)}
+    rows = [dict(zip(FIELDS, r)) | {"nh": 2, "md": f"{i}A"} for i, r in enumerate(rows_of(200, 12, long_every=90))]
+    for i, r in enumerate(rows):
+        r["tags"] = None if i % 5 == 0 else r["tags"]
+        if i % 7 == 0:
+            r["seq"], r["qual"] = "*", None
+    types = {"flag": pa.int32(), "start0": pa.int64(), "mapq": pa.int32(), "mate_start0": pa.int64(), "insert_size": pa.int32(), "tags": pa.list_(pa.string()), "nh": pa.int32()}
+    whole = pa.RecordBatch.from_pylist(rows, pa.schema([(c, types.get(c, pa.string())) for c in [*FIELDS, "md", "nh"]]))
+    data, size, ref, start, end = bam.pack_all(whole, number)
+    assert data.tobytes() == b"".join(bam.pack(r, 0, number)[0] for r in rows) and size.sum() == len(data)
+    assert bam.pack_all(whole.slice(33, 90), number)[0].tobytes() == data[size[:33].sum() : size[:123].sum()].tobytes()
+    assert [r["chrom"] for r in rows] == [REFS[k][0] if k >= 0 else "*" for k in ref] and start.tolist() == [r["start0"] for r in rows]
+    for bad in ({"qual": "I"}, {"flag": 70_000}, {"qname": "x" * 300}, {"qual": " " * 3}):
+        with pytest.raises(ValueError):
+            bam.pack({**rows[1], "seq": "ACG", "qual": "III"} | bad, 0, number)
+    with pytest.raises(ValueError, match="damaged"):
+        bam.Records(bam.Blocks(pa.BufferReader(b := bam.pack_block(struct.pack("<i", 5) * 9)), len(b), 0)).starts(1 << 40)
