@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.alignment import cigar_blocks, cigar_insertions, complement, has_deletion, substitutions, truncation_site
-from .intervals import gap_cluster_chunked
+from ..functions.lineage import counted, stored
+from .intervals import depth_at, gap_cluster_chunked
 from .pileup import site_pvalues
 
 STRANDED = ["chrom", "strand"]
@@ -52,27 +53,29 @@ def mutation_list(reads: DataFrame, min_mapq: int = 1, min_length: int = 16) ->
     return subs.unionByName(dels).unionByName(extra)
 
 
-def permuted_mutations(tags: DataFrame, mutations: DataFrame, iterations: int = 5, seed: int = 1) -> DataFrame:
+def permuted_mutations(tags: DataFrame, mutations: DataFrame, iterations: int = 5, seed: int = 1, by: list[str] | None = None) -> DataFrame:
     """(chrom, strand, pos, k, m, fdr): mutated tags m of k overlapping ones, against random places.
 
     Own estimate: each mutation is thrown ``iterations`` times to a place of its tag chosen by a
     digest (repeatable on any partitioning and engine). The rate at (m, k) is the expected number of positions
-    with so many mutations or more, over the observed number, at most one.
+    with so many mutations or more, over the observed number, at most one. With ``by`` (columns of the mutations),
+    each of its values has rates of its own. Tags are counted at the mutations' places only, in one sweep for all.
     """
-    cover = tags.select(*STRANDED, F.explode(F.sequence("start", F.col("end") - 1)).alias("pos")).groupBy(*STRANDED, "pos").agg(F.count("*").alias("k"))
-    seen = mutations.groupBy(*STRANDED, "pos").agg(F.count("*").alias("m"))
-    real = seen.join(cover, [*STRANDED, "pos"])
-    placed = mutations.select("qname").join(tags.select("qname", *STRANDED, "start", "end"), "qname")
-    numbered = placed.withColumn("i", F.row_number().over(Window.partitionBy("qname").orderBy("start")))
+    by = by or []
+    placed = mutations.select("qname", *by).join(tags.select("qname", *STRANDED, "start", "end"), "qname")
+    numbered = placed.withColumn("i", F.row_number().over(Window.partitionBy("qname", *by).orderBy("start")))
     thrown = numbered.select("*", F.explode(F.sequence(F.lit(1), F.lit(iterations))).alias("it"))
     digits = F.substring(F.md5(F.concat_ws("|", "qname", "i", "it", F.lit(seed))), 1, 8)
     at = F.col("start") + F.conv(digits, 16, 10).cast("long") % (F.col("end") - F.col("start"))
-    null = thrown.groupBy("it", *STRANDED, at.alias("pos")).agg(F.count("*").alias("m")).join(cover, [*STRANDED, "pos"])
-    both = real.groupBy("k", "m").agg(F.count("*").alias("n_real")).join(null.groupBy("k", "m").agg((F.count("*") / F.lit(iterations)).alias("n_null")), ["k", "m"], "full").fillna(0)
-    more = Window.partitionBy("k").orderBy(F.col("m").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    rates = both.withColumn("a", F.sum("n_real").over(more)).withColumn("b", F.sum("n_null").over(more))
-    rates = rates.select("k", "m", F.when(F.col("a") > 0, F.least(F.col("b") / F.col("a"), F.lit(1.0))).otherwise(1.0).alias("fdr"))
-    return real.join(rates, ["k", "m"]).select(*STRANDED, "pos", "k", "m", "fdr")
+    # throw zero is where the mutations are
+    every = mutations.select(*by, F.lit(0).alias("it"), *STRANDED, F.col("pos").cast("long").alias("pos")).unionByName(thrown.select(*by, "it", *STRANDED, at.cast("long").alias("pos")))
+    m = every.dropna(subset=[*STRANDED, "pos"]).groupBy(*by, "it", *STRANDED, "pos").agg(F.count("*").alias("m"))
+    counted_at = stored(depth_at(m, tags, STRANDED, name="k").where("k > 0"))
+    n = counted_at.groupBy(*by, "k", "m").agg(F.count_if(F.col("it") == 0).alias("n_real"), (F.count_if(F.col("it") > 0) / F.lit(iterations)).alias("n_null"))
+    more = Window.partitionBy(*by, "k").orderBy(F.col("m").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    rates = n.withColumn("a", F.sum("n_real").over(more)).withColumn("b", F.sum("n_null").over(more)).where("n_real > 0")
+    rates = counted(rates.select(*by, "k", "m", F.least(F.col("b") / F.col("a"), F.lit(1.0)).alias("fdr")))
+    return counted_at.where("it = 0").join(rates, [*by, "k", "m"]).select(*by, *STRANDED, "pos", "k", "m", "fdr")
 
 
 def truncation_clusters(tags: DataFrame, deletions: DataFrame, pvalue: float = 0.001, gap: int = 25, min_depth: int = 1) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions.alignment import cigar_blocks, with_md
+from ..functions.lineage import stored
 from ..functions.sql import register
 from ..functions.stats import binom_sf, binom_sf_deep, site_score
 from ..operators import collapse, dedup, demux, filters, intervals, matrix, mutations, tracks
@@ -781,6 +782,13 @@ def valley_peaks(spark: SparkSession, d: str) -> DataFrame:
     return matrix.valley_peaks(intervals.depth_track(r, ["chrom", "strand"])).withColumn("score", F.col("score").cast("long"))
 
 
+def _mutated(r: DataFrame) -> DataFrame:
+    """The substitution or deletion of each read that has one (no read has both), in one pass over the reads."""
+    sub = F.col("has_sub") == 1
+    pos = F.col("start") + F.when(sub, 5).otherwise(8)
+    return r.where(sub | (F.col("shape") == "D")).select("qname", "sample", "chrom", "strand", pos.alias("pos"), F.when(sub, "sub").otherwise("del").alias("mut_type"))
+
+
 @query(
     duck(READS, "u AS (SELECT * FROM reads WHERE nh <= 1)", _truncated("chrom, strand"))
     + " SELECT chrom, pos AS start, strand, 'trunc' AS kind, CAST(k AS DOUBLE) AS score FROM p WHERE pvalue < 0.001"
@@ -789,10 +797,8 @@ def valley_peaks(spark: SparkSession, d: str) -> DataFrame:
 )
 def tag_sites(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
-    at = lambda n: (F.col("start") + n).alias("pos")
-    cols = ["qname", "chrom", "strand"]
-    m = r.where("has_sub = 1").select(*cols, at(5), F.lit("sub").alias("mut_type")).unionByName(r.where("shape = 'D'").select(*cols, at(8), F.lit("del").alias("mut_type")))
-    out = tags.tag_sites(r, m)
+    r = stored(r.select("qname", "sample", "chrom", "strand", "start", "end", "has_sub", "shape"))
+    out = tags.tag_sites(r, _mutated(r))
     return out["del"].select("chrom", "start", "strand", F.lit("del").alias("kind"), "score").unionByName(out["sub"].select("chrom", "start", "strand", F.lit("sub").alias("kind"), "score")).unionByName(
         out["trunc"].select("chrom", "start", "strand", F.lit("trunc").alias("kind"), "score")
     )
@@ -873,10 +879,8 @@ def rescued_dedup(spark: SparkSession, d: str) -> DataFrame:
 )
 def grouped_tag_sites(spark: SparkSession, d: str) -> DataFrame:
     r = filters.unique_reads(reads(spark, d)).withColumnRenamed("start0", "start").withColumnRenamed("end0", "end")
-    cols = ["qname", "sample", "chrom", "strand"]
-    m = r.where("has_sub = 1").select(*cols, (F.col("start") + 5).alias("pos"), F.lit("sub").alias("mut_type"))
-    m = m.unionByName(r.where("shape = 'D'").select(*cols, (F.col("start") + 8).alias("pos"), F.lit("del").alias("mut_type")))
-    out = tags.grouped_tag_sites(r, m, groups(spark), ["g1", "g2"])
+    r = stored(r.select("qname", "sample", "chrom", "strand", "start", "end", "has_sub", "shape"))
+    out = tags.grouped_tag_sites(r, _mutated(r), groups(spark), ["g1", "g2"])
     sides = [out[g]["trunc"].select(F.lit(g).alias("grp"), "chrom", "start", "strand", "score") for g in ("g1", "g2")]
     return sides[0].unionByName(sides[1])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import stored
 from ..operators import mutations as M
 from ..operators.demux import assign_groups
 from ..operators.filters import cims_postfilter, is_numbered_or_named, singletons
@@ -17,14 +18,17 @@ def tag_sites(tags: DataFrame, mutations: DataFrame, settings: Settings | None =
 
     Tags have qname, chrom, strand, start, end; mutations qname, chrom, strand, pos, mut_type (del or
     sub). Mutations of tags that were not kept drop out first. An empty kind gives an empty table.
+    Tags and their mutations are read several times, and so written first.
     """
     s = settings or Settings()
     tags = tags.where(is_numbered_or_named(F.col("chrom"))) if s.filter_chromosomes else tags
-    kept = M.of_kept_tags(mutations, tags)
+    tags = stored(tags.select("qname", "chrom", "strand", "start", "end"))
+    kept = stored(M.of_kept_tags(mutations.where(F.col("mut_type").isin("del", "sub")), tags).select("qname", "chrom", "strand", "pos", "mut_type"))
     out: dict[str, DataFrame] = {}
     if cims:
+        rated = M.permuted_mutations(tags, kept, s.cims_iterations, by=["mut_type"])
         for kind in ("del", "sub"):
-            found = cims_postfilter(M.permuted_mutations(tags, M.of_type(kept, kind), s.cims_iterations), s.cims_fdr)
+            found = cims_postfilter(M.of_type(rated, kind), s.cims_fdr)
             out[kind] = found.select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), F.concat_ws(":", "chrom", F.col("pos").cast("string"), "strand").alias("name"), F.col("m").cast("double").alias("score"), "strand", "k", "m", "fdr")
     if cits:
         sites = singletons(M.truncation_clusters(tags, M.of_type(kept, "del"), s.cits_pvalue, s.cits_gap))

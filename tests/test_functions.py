@@ -166,3 +166,15 @@ def test_settings():
 def test_sub_types():
     assert parse_sub_types(["TC", "T>C", "TtoC", "XX"]) == ["TC", "TC", "TC"]
     assert parse_sub_types(None) is None and parse_sub_types(["QQ"]) is None
+
+
+def test_binomial_tail_of_a_wide_cluster(spark):
+    """An even share of two thousand million positions: few terms count, and no list of all is made."""
+    rows = [(k, 2_000_000_000, m / 2e9) for m in (0.3, 2.0, 900.0) for k in (1, 2, 5, 40, 950)]
+    got = spark.createDataFrame(rows, "k long, n long, p double").select("k", "n", "p", S.binom_sf(F.col("k"), F.col("n"), F.col("p")).alias("x")).collect()
+    for x in got:
+        k, n, p = x["k"], x["n"], x["p"]
+        logs = [sum(math.log((n - k + i) / i) for i in range(1, k + 1)) + k * math.log(p) + (n - k) * math.log1p(-p)]
+        for i in range(k + 1, k + 4000):
+            logs.append(logs[-1] + math.log((n - i + 1) / i * p / (1 - p)))
+        assert x["x"] == pytest.approx(math.exp(max(logs)) * math.fsum(math.exp(v - max(logs)) for v in logs), rel=1e-9)

@@ -284,6 +284,24 @@ def test_mutation_rates(spark):
     assert again[0]["fdr"] == got[0]["fdr"]
 
 
+def test_mutation_rates_by_kind_and_of_long_tags(spark):
+    """Kinds have the rates that each has alone; tags are counted at mutations only, not at each of their bases."""
+    r = random.Random(4)
+    tags = [(f"t{i}", r.choice("cd"), "+", s, s + 30) for i, s in enumerate(r.randint(99_900, 100_100) for _ in range(300))]
+    at = [(q, c, "+", s + r.randrange(30), r.choice(("del", "sub"))) for q, c, _, s, _ in tags]
+    names = "qname string, chrom string, strand string"
+    t, m = spark.createDataFrame(tags, f"{names}, start long, end long"), spark.createDataFrame(at, f"{names}, pos long, mut_type string")
+    both = mutations.permuted_mutations(t, m, by=["mut_type"])
+    for kind in ("del", "sub"):
+        alone = {tuple(x) for x in mutations.permuted_mutations(t, m.where(F.col("mut_type") == kind)).collect()}
+        assert {tuple(x) for x in both.where(F.col("mut_type") == kind).drop("mut_type").collect()} == alone
+        seen = [(c, p) for _, c, _, p, x in at if x == kind]
+        assert {x[:5] for x in alone} == {(c, "+", p, sum(a == c and s <= p < e for _, a, _, s, e in tags), seen.count((c, p))) for c, p in seen}
+    long = spark.createDataFrame([(f"t{i}", "c", "+", 10, 3_000_000_000) for i in range(3)], f"{names}, start long, end long")
+    got = mutations.permuted_mutations(long, spark.createDataFrame([("t0", "c", "+", 2_500_000_000)], f"{names}, pos long")).collect()
+    assert [(x["k"], x["m"]) for x in got] == [(3, 1)]
+
+
 def test_preprocessing(spark):
     reads = spark.createDataFrame([("r1/1", "AACCC" + "G" * 20, "I" * 25), ("r2", "AACCC" + "G" * 10, "I" * 15), ("r3", "AACCC" + "G" * 20, "#" * 25)], "name string, seq string, qual string")
     got = prep.standard(reads, umi=2, barcode=3).collect()
