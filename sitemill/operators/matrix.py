@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.lineage import settled
+from ..functions.lineage import settled, stored
 from .intervals import join_null_safe, local_runs, overlap_counts, overlap_values, run_edges, with_run_edges
 
 STRANDED = ["chrom", "strand"]
@@ -37,10 +37,12 @@ def group_counts(counts: DataFrame, groups: DataFrame, scales: DataFrame) -> Dat
 
 
 def coverage_stats(peaks: DataFrame, tracks: DataFrame, by: str = "sample") -> DataFrame:
-    """(peak_id, by, cov_sum, cov_mean, cov_max) of each sample's track; zeros where it is empty."""
-    frame = peaks.crossJoin(F.broadcast(tracks.select(by).distinct()))
-    keyed = frame.withColumn("peak", F.col("peak_id")).withColumn("peak_id", F.struct("peak", by))
-    return overlap_values(keyed, tracks, [by, *STRANDED]).select(F.col("peak").alias("peak_id"), by, "cov_sum", "cov_mean", "cov_max")
+    """(peak_id, by, cov_sum, cov_mean, cov_max) of each sample's track; zeros where it is empty.
+
+    The tracks are read twice, and so written first.
+    """
+    t = stored(tracks.select(by, *STRANDED, "start", "end", "value"))
+    return overlap_values(peaks.select("peak_id", *STRANDED, "start", "end"), t, STRANDED, [by]).select("peak_id", by, "cov_sum", "cov_mean", "cov_max")
 
 
 def site_counts(peaks: DataFrame, sites: DataFrame) -> DataFrame:

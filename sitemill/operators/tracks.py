@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.alignment import UNMAPPED, crosslink_base, has_junction
-from ..functions.lineage import counted
+from ..functions.lineage import counted, stored
 from ..functions.stats import truncate6
 from .intervals import depth_track, mean_track
 
@@ -36,7 +36,11 @@ def crosslink_track(reads: DataFrame, start: str = "start0", end: str = "end0")
 
 
 def group_track(tracks: DataFrame, groups: DataFrame) -> DataFrame:
-    """Average track of each group: the sum over the number of its samples that have a track."""
+    """Average track of each group: the sum over the number of its samples that have a track.
+
+    The tracks are read twice, and so written first.
+    """
+    tracks = stored(tracks.select("sample", "strand", "chrom", "start", "end", "value"))
     members = counted(groups.select("sample", "grp").distinct().join(counted(tracks.select("sample").distinct()), "sample"))
     n = members.groupBy("grp").agg(F.countDistinct("sample").alias("n_samples"))
     return mean_track(tracks.join(counted(members.join(n, "grp")), "sample"), ["grp", "strand", "chrom"], "n_samples").drop("n_samples")

@@ -556,9 +556,14 @@ def scale_factors(spark: SparkSession, d: str) -> DataFrame:
     return tracks.scale_factors(reads(spark, d)).withColumn("scale", F.round("scale", 6))
 
 
+def _stored_reads(spark: SparkSession, d: str) -> DataFrame:
+    """What tracks take of the reads, written: they are counted first, then swept."""
+    return stored(reads(spark, d).select("sample", "strand", "chrom", "start0", "end0", "flag", "cigar"))
+
+
 @query(duck(READS, SCALES, RPM) + " SELECT sample, strand, chrom, s AS start, e AS \"end\", round(v * scale, 6) AS \"value\" FROM steps JOIN scales USING (sample)")
 def rpm_bedgraph(spark: SparkSession, d: str) -> DataFrame:
-    r = reads(spark, d)
+    r = _stored_reads(spark, d)
     return tracks.rpm_track(r, tracks.scale_factors(r)).select("sample", "strand", "chrom", "start", "end", F.round("value", 6).alias("value"))
 
 
@@ -572,7 +577,7 @@ GROUP_TRACK = "weighted AS (SELECT grp, strand, chrom, s, e, v * scale AS v FROM
 
 @query(duck(READS, GROUPS, SCALES, RPM, GROUP_TRACK) + ", perbase AS (SELECT grp, strand, chrom, unnest(range(s, e)) AS pos, v FROM weighted) SELECT grp, strand, chrom, pos, round(sum(v) / any_value(n), 3) AS \"value\" FROM perbase JOIN counts USING (grp) GROUP BY grp, strand, chrom, pos")
 def group_mean_bedgraph(spark: SparkSession, d: str) -> DataFrame:
-    r = reads(spark, d)
+    r = _stored_reads(spark, d)
     t = tracks.group_track(tracks.rpm_track(r, tracks.scale_factors(r)), groups(spark))
     return t.select("grp", "strand", "chrom", F.explode(F.sequence("start", F.col("end") - 1)).alias("pos"), F.round("value", 3).alias("value"))
 
@@ -617,7 +622,7 @@ def matrix_group_sums(spark: SparkSession, d: str) -> DataFrame:
     + ", t AS (SELECT sample, strand, chrom, s, e, v * scale AS v FROM steps JOIN scales USING (sample)) SELECT k.peak_id, x.sample, round(coalesce(sum(v), 0) + 1e-7, 3) AS cov_sum, round(coalesce(avg(v), 0) + 1e-7, 3) AS cov_mean, round(coalesce(max(v), 0) + 1e-7, 3) AS cov_max FROM peaks k CROSS JOIN (SELECT DISTINCT sample FROM t) x LEFT JOIN t ON t.sample = x.sample AND t.chrom = k.chrom AND t.strand = k.strand AND t.s < k.\"end\" AND k.start < t.e GROUP BY k.peak_id, x.sample"
 )
 def matrix_cov_stats(spark: SparkSession, d: str) -> DataFrame:
-    r = reads(spark, d)
+    r = _stored_reads(spark, d)
     out = matrix.coverage_stats(peaks(spark, d), tracks.rpm_track(r, tracks.scale_factors(r)))
     # halves of a last digit go up on both sides
     return out.select("peak_id", "sample", *[F.round(F.col(c) + 1e-7, 3).alias(c) for c in ("cov_sum", "cov_mean", "cov_max")])
@@ -855,7 +860,7 @@ def repeat_divert(spark: SparkSession, d: str) -> DataFrame:
 means AS (SELECT grp, strand, chrom, pos, sum(v) / any_value(n) AS v FROM perbase JOIN counts USING (grp) GROUP BY grp, strand, chrom, pos)
 SELECT k.peak_id, x.grp, round(coalesce(max(v), 0) + 1e-7, 3) AS cov_max FROM peaks k CROSS JOIN (SELECT DISTINCT grp FROM grp) x LEFT JOIN means b ON b.grp = x.grp AND b.chrom = k.chrom AND b.strand = k.strand AND b.pos >= k.start AND b.pos < k."end" GROUP BY k.peak_id, x.grp""")
 def matrix_group_cov(spark: SparkSession, d: str) -> DataFrame:
-    r = reads(spark, d)
+    r = _stored_reads(spark, d)
     t = tracks.group_track(tracks.rpm_track(r, tracks.scale_factors(r)), groups(spark))
     return matrix.coverage_stats(peaks(spark, d), t, "grp").select("peak_id", "grp", F.round(F.col("cov_max") + 1e-7, 3).alias("cov_max"))
 

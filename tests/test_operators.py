@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from sitemill.functions.adapters import best_places
+from sitemill.functions.lineage import SHUFFLES_GO, stored
 from sitemill.operators import dedup, demux, filters, intervals, matrix, mutations, tracks
 from sitemill.operators import pileup as P
 from sitemill.plans import prep, sites
@@ -302,6 +304,46 @@ def test_mutation_rates_by_kind_and_of_long_tags(spark):
     assert [(x["k"], x["m"]) for x in got] == [(3, 1)]
 
 
+def _shuffled(spark, df):
+    """Records that all stages of a run of ``df`` wrote to shuffles."""
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    stages = lambda: store.stageList(None, False, False, jvm.new_array(spark.sparkContext._jvm.double, 0), None)
+    before = {stages().apply(i).stageId() for i in range(stages().size())}
+    df.write.format("noop").mode("overwrite").save()
+    new = stages()
+    return sum(s.shuffleWriteRecords() for s in (new.apply(i) for i in range(new.size())) if s.stageId() not in before)
+
+
+def test_steps_inside_a_chunk_are_dealt_no_further(spark):
+    df = spark.createDataFrame([("k", 30 * i, 30 * i + 20) for i in range(3000)], "k string, start long, end long")
+    assert _shuffled(spark, intervals.depth_track(df, ["k"])) < 2.2 * 6000  # two shuffles of what begins and ends
+
+
+def test_coverage_of_samples_deals_each_peak_once(spark):
+    """Peaks are not repeated for each sample before the join; a sample that meets no peak has zeros."""
+    peaks = spark.createDataFrame([(i, "c", "+", 100 * i, 100 * i + 50) for i in range(2000)], "peak_id long, chrom string, strand string, start long, end long")
+    rows = [(f"s{j}", "c", "+", 100 * j, 100 * j + 10, float(j)) for j in range(30)] + [("far", "d", "+", 0, 5, 1.0)]
+    got = matrix.coverage_stats(peaks, spark.createDataFrame(rows, "sample string, chrom string, strand string, start long, end long, value double"))
+    assert _shuffled(spark, got) < 70_000  # the rows of the result, once
+    seen = got.collect()
+    assert len(seen) == 31 * 2000 and {(r["peak_id"], r["sample"], r["cov_max"]) for r in seen if r["cov_max"]} == {(j, f"s{j}", float(j)) for j in range(1, 30)}
+    assert all(r["cov_sum"] == r["cov_mean"] == r["cov_max"] for r in seen)
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        every = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (every.apply(i).getName() for i in range(every.size())) if n.startswith("shuffle_")}
+
+    before = files()
+    t = stored(spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").agg(F.count("*").alias("n")))
+    for _ in range(50):  # files go in the background
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and spark.conf.get(SHUFFLES_GO) == "false" and t.agg(F.sum("n")).first()[0] == 1000
+
+
 def test_preprocessing(spark):
     reads = spark.createDataFrame([("r1/1", "AACCC" + "G" * 20, "I" * 25), ("r2", "AACCC" + "G" * 10, "I" * 15), ("r3", "AACCC" + "G" * 20, "#" * 25)], "name string, seq string, qual string")
     got = prep.standard(reads, umi=2, barcode=3).collect()
